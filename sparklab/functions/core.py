@@ -36,8 +36,7 @@ def safe_divide(a, b) -> Column:
 
 def safe_double(c, default: float | None = 0.0) -> Column:
     """``COALESCE(SAFE_CAST(TRIM(x) AS FLOAT64), default)``."""
-    v = F.try_cast(F.trim(col(c).cast("string")), "double") if hasattr(F, "try_cast") else \
-        F.expr(f"try_cast(trim(cast({c} as string)) as double)")
+    v = F.trim(col(c).cast("string")).try_cast("double")
     return F.coalesce(v, F.lit(default)) if default is not None else v
 
 
