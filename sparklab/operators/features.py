@@ -49,9 +49,9 @@ def windowed_counts(events: DataFrame, key: str, ts_col: str, as_of,
 
 
 def asof_join(labels: DataFrame, features: DataFrame, key: str, label_ts: str, feature_ts: str,
-              value_cols: list[str]) -> DataFrame:
+              value_cols: list[str], strict: bool = False) -> DataFrame:
     """Point-in-time join: for each label row, the latest feature row with
-    ``feature_ts <= label_ts`` on the same key (NULL features when none).
+    ``feature_ts <= label_ts`` (``<`` when ``strict``) on the same key (NULL features when none).
 
     Equi-join on the key plus an inequality, then ``max_by`` over a struct so
     the pick is one hash aggregate (no window sort); ties on ``feature_ts`` are
@@ -60,7 +60,8 @@ def asof_join(labels: DataFrame, features: DataFrame, key: str, label_ts: str, f
     """
     lab = labels.withColumn("_lid", F.struct(*[F.col(c) for c in labels.columns]))
     f = features.select(F.col(key).alias("_fk"), F.col(feature_ts).alias("_fts"), *value_cols)
-    j = lab.join(f, (lab[key] == f["_fk"]) & (f["_fts"] <= lab[label_ts]), "left")
+    before = (f["_fts"] < lab[label_ts]) if strict else (f["_fts"] <= lab[label_ts])
+    j = lab.join(f, (lab[key] == f["_fk"]) & before, "left")
     pick = F.max_by(F.struct(*value_cols), F.struct(F.col("_fts"), *[F.col(c) for c in value_cols]))
     agg = j.groupBy("_lid").agg(pick.alias("_v"), F.max("_fts").alias("feature_ts"))
     return agg.select("_lid.*", "feature_ts", *[F.col(f"_v.{c}").alias(c) for c in value_cols])
