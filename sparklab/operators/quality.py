@@ -424,9 +424,9 @@ def dq_scan(df: DataFrame, rules: list[dict]) -> DataFrame:
         thr = F.lit(float(r.get("threshold", 1.0))).alias("threshold")
         if t == "uniqueness":
             d = df.where(F.col(c).isNotNull()) if r.get("ignoreNull") else df
-            g = d.groupBy(c).agg(F.count(F.lit(1)).alias("k"))
-            parts.append(g.agg(F.sum("k").alias("rows_evaluated"),
-                               F.sum(F.when(F.col("k") == 1, 1).otherwise(0)).alias("rows_passed")).select(
+            g = d.groupBy(c).agg(F.count(F.lit(1)).alias("_dq_k"))
+            parts.append(g.agg(F.sum("_dq_k").alias("rows_evaluated"),
+                               F.sum(F.when(F.col("_dq_k") == 1, 1).otherwise(0)).alias("rows_passed")).select(
                 *meta, F.coalesce("rows_evaluated", F.lit(0)).cast("bigint").alias("rows_evaluated"),
                 F.coalesce("rows_passed", F.lit(0)).cast("bigint").alias("rows_passed"), thr))
         elif t == "statisticRange":

@@ -120,7 +120,8 @@ def rank(df: DataFrame, part: list[str], value: str, out: str = "rank", descendi
          dense: bool = False, n_parts: int | None = None) -> DataFrame:
     """``RANK()`` (or ``DENSE_RANK()`` with ``dense``) over one value column."""
     if descending:
-        tmp = df.withColumn("_neg", -F.col(value))
+        # DESC NULLS LAST, as SQL: order by (is null, -value)
+        tmp = df.withColumn("_neg", F.struct(F.col(value).isNull().alias("n"), (-F.col(value)).alias("v")))
         return rank(tmp, part, "_neg", out, False, dense, n_parts).drop("_neg")
     if dense:
         d = df.select(*part, value).distinct()

@@ -104,8 +104,15 @@ def replace_table(df: DataFrame, path: str, partition_cols: list[str] = ()) -> s
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read the current version written by ``replace_table``."""
-    txt = spark.read.text(path.rstrip("/") + "/_CURRENT").collect()[0][0]
-    return spark.read.parquet(txt)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_CURRENT")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(p)
+    try:
+        txt = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return spark.read.parquet(txt.strip())
 
 
 def ctas(spark: SparkSession, df: DataFrame, name: str, partition_cols: list[str] = ()) -> DataFrame:
