@@ -6,6 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparklab.functions.core import safe_divide
 
@@ -53,18 +54,46 @@ def asof_join(labels: DataFrame, features: DataFrame, key: str, label_ts: str, f
     """Point-in-time join: for each label row, the latest feature row with
     ``feature_ts <= label_ts`` (``<`` when ``strict``) on the same key (NULL features when none).
 
-    Equi-join on the key plus an inequality, then ``max_by`` over a struct so
-    the pick is one hash aggregate (no window sort); ties on ``feature_ts`` are
-    broken by the value columns for determinism.  A hot key is an inner-join
-    fan-out: AQE's skew-join splitting covers the join, the aggregate is partial.
+    Labels and features are unioned into one time-ordered stream per key and
+    the latest feature is carried forward (``distributed_ffill``): linear in the
+    rows, no label x feature pairs, and a hot key is split across range
+    partitions.  At equal timestamps features sort before labels (``<=``) or
+    after them (``<``); among features with the same timestamp the largest
+    value tuple wins, so the pick is deterministic.
     """
-    lab = labels.withColumn("_lid", F.struct(*[F.col(c) for c in labels.columns]))
-    f = features.select(F.col(key).alias("_fk"), F.col(feature_ts).alias("_fts"), *value_cols)
-    before = (f["_fts"] < lab[label_ts]) if strict else (f["_fts"] <= lab[label_ts])
-    j = lab.join(f, (lab[key] == f["_fk"]) & before, "left")
-    pick = F.max_by(F.struct(*value_cols), F.struct(F.col("_fts"), *[F.col(c) for c in value_cols]))
-    agg = j.groupBy("_lid").agg(pick.alias("_v"), F.max("_fts").alias("feature_ts"))
-    return agg.select("_lid.*", "feature_ts", *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+    lab_cols = labels.columns
+    lab = labels.select(F.col(key).alias("_k"), F.col(label_ts).alias("_t"),
+                        F.lit(1 if not strict else 0).alias("_o"),
+                        F.struct(*[F.col(c) for c in lab_cols]).alias("_lab"),
+                        F.lit(None).cast(T.StructType([T.StructField("feature_ts", features.schema[feature_ts].dataType)]
+                                                      + [features.schema[c] for c in value_cols])).alias("_v"))
+    fea = features.select(F.col(key).alias("_k"), F.col(feature_ts).alias("_t"),
+                          F.lit(0 if not strict else 1).alias("_o"),
+                          F.lit(None).cast(lab.schema["_lab"].dataType).alias("_lab"),
+                          F.struct(F.col(feature_ts).alias("feature_ts"), *[F.col(c) for c in value_cols]).alias("_v"))
+    u = lab.unionByName(fea)
+    filled = distributed_ffill(u, "_k", [F.col("_t"), F.col("_o"), F.col("_v")], "_v", "_f")
+    out = filled.where(F.col("_lab").isNotNull())
+    return out.select("_lab.*", "_f.feature_ts", *[F.col(f"_f.{c}").alias(c) for c in value_cols])
+
+
+def distributed_ffill(df: DataFrame, key: str, order: list, value: str, out: str,
+                      n_parts: int | None = None) -> DataFrame:
+    """``LAST(value IGNORE NULLS) OVER (PARTITION BY key ORDER BY order)`` without
+    sending a key to one task: range partitions on (key, order) fill locally;
+    the last non-null value of each earlier (partition, key) slice is carried
+    in through a table with one row per slice."""
+    from sparklab.operators.ranking import range_slices
+    r = range_slices(df, [F.col(key), *order], n_parts)
+    w = Window.partitionBy("_pid", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = r.withColumn("_loc", F.last(F.col(value), ignorenulls=True).over(w))
+    # every (partition, key) slice gets a row, NULL when it holds no value
+    last = r.groupBy("_pid", key).agg(
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_last"))
+    ws = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("_carry", F.last("_last", ignorenulls=True).over(ws)).drop("_last")
+    j = local.join(carried, ["_pid", key], "left")
+    return j.withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_pid", "_loc", "_carry")
 
 
 def left_join_defaults(base: DataFrame, feats: DataFrame, on: str | list, defaults: dict) -> DataFrame:
@@ -72,9 +101,3 @@ def left_join_defaults(base: DataFrame, feats: DataFrame, on: str | list, defaul
     j = base.join(feats, on=on, how="left")
     return j.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
                       for c in j.columns])
-
-
-def percent_rank_exact(df: DataFrame, part: str | None, order: str, out: str) -> DataFrame:
-    """``PERCENT_RANK() OVER (PARTITION BY part ORDER BY order)`` — plain window."""
-    w = Window.orderBy(order) if part is None else Window.partitionBy(part).orderBy(order)
-    return df.withColumn(out, F.percent_rank().over(w))

@@ -108,7 +108,7 @@ def predict_scores(model, df: DataFrame, keep: list[str], positive_index: int =
 
 
 def model_weights(model, names: list[str]) -> DataFrame:
-    """Coefficients of a linear model as rows (``ML.WEIGHTS``) — one row per feature."""
+    """Coefficients of a linear model as rows — one row per feature plus the intercept."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     coef = model.coefficients.toArray().tolist()

@@ -19,6 +19,7 @@ aggregation, so duplicates collapse map-side), then join back on the value.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,20 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def range_slices(df: DataFrame, keys: list, n_parts: int | None = None) -> DataFrame:
+    """Range-partition on ``keys`` and tag each row with its partition id (``_pid``).
+
+    The frame is persisted because two branches read it (the rows and the
+    per-slice totals): range bounds come from sampling seeded by the RDD, so two
+    independent evaluations could assign a row to different partitions.  One
+    materialization gives every consumer the same assignment; a lost block is
+    recomputed from the same partitioner, so the assignment survives executor
+    loss."""
+    r = (df.repartitionByRange(_n_parts(df, n_parts), *keys)
+           .withColumn("_pid", F.spark_partition_id()))
+    return r.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def prefix_sum(df: DataFrame, part: list[str], order: list, weight, out: str,
                inclusive: bool = False, n_parts: int | None = None) -> DataFrame:
     """Running sum of ``weight`` in ``order`` within each ``part`` group.
@@ -38,9 +53,7 @@ def prefix_sum(df: DataFrame, part: list[str], order: list, weight, out: str,
     """
     w = weight if not isinstance(weight, str) else F.col(weight)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    r = (df.withColumn("_w", w)
-           .repartitionByRange(_n_parts(df, n_parts), *[F.col(p) for p in part], *order_cols)
-           .withColumn("_pid", F.spark_partition_id()))
+    r = range_slices(df.withColumn("_w", w), [F.col(p) for p in part] + order_cols, n_parts)
     frame_end = Window.currentRow if inclusive else -1
     wl = Window.partitionBy("_pid", *part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
     local = r.withColumn("_local", F.coalesce(F.sum("_w").over(wl), F.lit(0)))

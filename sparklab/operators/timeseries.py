@@ -25,9 +25,12 @@ def _w(ids, order="ts"):
 def infer_frequency(df: DataFrame, ids: list[str], ts: str) -> DataFrame:
     """Step 1: the most common gap between consecutive distinct timestamps
     (ties -> the smaller gap), in seconds and days."""
-    d = df.select(*ids, F.col(ts).alias("ts")).distinct()
-    d = d.withColumn("_gap", F.col("ts").cast("timestamp").cast("long") -
-                     F.lag(F.col("ts").cast("timestamp").cast("long")).over(_w(ids)))
+    from sparklab.streaming.events import distributed_lag
+    # raw timestamps (not yet a daily grid): a busy series can be huge, so the
+    # lag is computed on range slices instead of one window per series
+    d = df.select(*ids, F.col(ts).alias("ts")).distinct().withColumn(
+        "_sec", F.col("ts").cast("timestamp").cast("long"))
+    d = distributed_lag(d, ids, ["ts"], "_sec", "_prev").withColumn("_gap", F.col("_sec") - F.col("_prev"))
     g = d.where(F.col("_gap").isNotNull()).groupBy(*ids, "_gap").agg(F.count(F.lit(1)).alias("_n"))
     best = g.groupBy(*ids).agg(F.max_by("_gap", F.struct(F.col("_n"), -F.col("_gap"))).alias("step_seconds"))
     pts = d.groupBy(*ids).agg(F.count(F.lit(1)).alias("n_points"))
@@ -208,7 +211,7 @@ def forecast_many(df: DataFrame, id_col: str, horizon: int = 7, max_p: int = 3,
 
 
 def fit_metadata(df: DataFrame, id_col: str, max_p: int = 3, min_points: int = 3) -> DataFrame:
-    """``ARIMA_EVALUATE``-style table: chosen order, AIC, variance, status per series."""
+    """Fit metadata per series: chosen order, AIC, variance, status."""
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         sid = str(pdf[id_col].iloc[0])
         y = pdf.sort_values("ts")["y"].astype(float).to_numpy()

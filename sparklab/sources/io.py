@@ -59,7 +59,7 @@ def read_uri_list(spark: SparkSession, list_path: str) -> DataFrame:
 
 
 def federated_query(spark: SparkSession, url: str, query: str, props: dict | None = None) -> DataFrame:
-    """A relation computed inside another database (``EXTERNAL_QUERY``): the
+    """A relation computed inside another database (a pushed-down query): the
     query text runs remotely; put filters and casts inside it."""
     r = spark.read.format("jdbc").option("url", url).option("query", query)
     for k, v in (props or {}).items():

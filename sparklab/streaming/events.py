@@ -57,17 +57,16 @@ def distributed_lag(df: DataFrame, key: list[str], order: list[str], value: str,
     partition the lag is local; the first row of each slice takes the last
     value of the same key from the previous slice (a table of one row per
     (partition, key) slice)."""
-    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *[F.col(c) for c in key + order]).withColumn("_pid", F.spark_partition_id())
+    r = ranking.range_slices(df, [F.col(c) for c in key + order], n_parts)
     w = Window.partitionBy("_pid", *key).orderBy(*order)
     local = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     last = r.groupBy("_pid", *key).agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last"))
     ws = Window.partitionBy(*key).orderBy("_pid")
     # one row per (range partition, key) slice: bounded by partitions + keys
-    prev = last.withColumn("_prev", F.lag("_last").over(ws)).drop("_last")
+    prev = last.withColumn("_prev_slice", F.lag("_last").over(ws)).drop("_last")
     j = local.join(prev, ["_pid", *key], "inner")
-    return (j.withColumn(out, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col("_lag")))
-             .drop("_pid", "_lag", "_prev", "_first"))
+    return (j.withColumn(out, F.when(F.col("_first"), F.col("_prev_slice")).otherwise(F.col("_lag")))
+             .drop("_pid", "_lag", "_prev_slice", "_first"))
 
 
 def sessionize(df: DataFrame, key: str, ts: str, gap_minutes: int, tiebreak: str) -> DataFrame:
