@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from sparklab.functions.core import md5num
 from sparklab.operators import layout
 from sparklab.operators import quality as qa
+from sparklab.plans.fixtures import SCORES_SQL, with_sql
+from sparklab.plans.quality import DQ_SQL
 from sparklab.plans.registry import query
+from sparklab.plans.text import SENT_SQL
 from sparklab.session import ensure_checkpoint_dir
 from sparklab.sources import io
 from sparklab.sources.tables import Tables
@@ -62,21 +65,21 @@ def q_read_uri_list(spark, sf):
     return io.read_uri_list(spark, lst).select("path", "length", F.md5("content").alias("md5_hash"))
 
 
-@query("read_jsonl_batch")
+@query("read_jsonl_batch", sql="SELECT doc_id, lang, text FROM documents")
 def q_read_jsonl_batch(spark, sf):
     path = scratch(spark, "docs-jsonl")
     Tables(spark, sf).documents.select("doc_id", "lang", "text").write.json(path)
     return io.read_jsonl_batch(spark, path, "doc_id BIGINT, lang STRING, text STRING")
 
 
-@query("read_csv_batch")
+@query("read_csv_batch", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def q_read_csv_batch(spark, sf):
     path = scratch(spark, "orders-csv")
     Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice").write.option("header", True).csv(path)
     return io.read_csv_batch(spark, path, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE")
 
 
-@query("export_jsonl")
+@query("export_jsonl", sql=with_sql(SCORES_SQL, "SELECT c_custkey, p_churn, actual_churn FROM scores"))
 def q_export_jsonl(spark, sf):
     from sparklab.plans.fixtures import churn_scores
     s = churn_scores(Tables(spark, sf)).select("c_custkey", "p_churn", "actual_churn")
@@ -85,7 +88,7 @@ def q_export_jsonl(spark, sf):
     return spark.read.schema("c_custkey BIGINT, p_churn DOUBLE, actual_churn STRING").json(path)
 
 
-@query("ctas")
+@query("ctas", sql="SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
 def q_ctas(spark, sf):
     """CREATE OR REPLACE TABLE ... AS SELECT on a path: a new version folder per
     run, readers see the current one; run twice, the table holds one copy."""
@@ -96,7 +99,9 @@ def q_ctas(spark, sf):
     return io.read_table(spark, path)
 
 
-@query("write_truncate_result")
+@query("write_truncate_result", sql="""
+SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n, round(avg(value), 4) AS avg_value,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS distinct_user_id FROM events GROUP BY 1""")
 def q_write_truncate_result(spark, sf):
     from sparklab.operators.aggs import daily_rollup
     path = scratch(spark, "daily")
@@ -121,7 +126,8 @@ def _events_by_day(spark, sf):
     return path, e
 
 
-@query("expire_partitions")
+@query("expire_partitions", sql="""
+SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-31' - 14""")
 def q_expire_partitions(spark, sf):
     """Dry run: the daily partitions older than 14 days before 2024-01-31."""
     path, _ = _events_by_day(spark, sf)
@@ -136,7 +142,8 @@ def q_partition_limits(spark, sf):
                                  "partitions int, table_limit int, job_limit int, within_job_limit boolean")
 
 
-@query("partition_overwrite_by_input")
+@query("partition_overwrite_by_input", sql="""
+SELECT CAST(ts AS DATE) AS d, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1""")
 def q_partition_overwrite_by_input(spark, sf):
     """Two runs over the same input days overwrite those days instead of appending."""
     path, e = _events_by_day(spark, sf)
@@ -146,7 +153,9 @@ def q_partition_overwrite_by_input(spark, sf):
     return spark.read.parquet(path).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("atomic_claim_sink")
+@query("atomic_claim_sink", sql="""
+SELECT 0 AS batch_id, CAST(count(*) AS BIGINT) AS n FROM events WHERE ts < TIMESTAMP '2024-01-16'
+UNION ALL SELECT 1, count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-16'""")
 def q_atomic_claim_sink(spark, sf):
     """Micro-batches written by batch id; batch 0 is delivered twice (a replay)
     and must not double."""
@@ -160,7 +169,8 @@ def q_atomic_claim_sink(spark, sf):
     return spark.read.parquet(out).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sentinel_batch")
+@query("sentinel_batch", sql="""
+SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'click' GROUP BY 1""")
 def q_sentinel_batch(spark, sf):
     """Only folders holding ``_SUCCESS`` are processed."""
     root = scratch(spark, "landing")
@@ -173,7 +183,7 @@ def q_sentinel_batch(spark, sf):
     return ev.read_complete(spark, root).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("path_filter")
+@query("path_filter", sql="SELECT * FROM events WHERE value >= 10")
 def q_path_filter(spark, sf):
     """Handle only ``validated/*.parquet``."""
     root = scratch(spark, "incoming")
@@ -183,7 +193,7 @@ def q_path_filter(spark, sf):
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(os.path.join(root, "validated"))
 
 
-@query("batch_on_schedule")
+@query("batch_on_schedule", sql="SELECT event_id, user_id, event_type, value FROM events")
 def q_batch_on_schedule(spark, sf):
     """Accumulate, then process what arrived: two ``availableNow`` runs over a
     growing folder; the checkpoint makes the second pick up only new files."""
@@ -209,7 +219,8 @@ def q_findings_stream(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("dq_results_sink")
+@query("dq_results_sink", sql=f"""
+SELECT r.*, j.job_date FROM ({DQ_SQL}) r, (VALUES (DATE '2024-02-01'), (DATE '2024-02-02')) j(job_date)""")
 def q_dq_results_sink(spark, sf):
     """Rule results appended, partitioned by the day the job started."""
     from sparklab.plans.quality import DQ_RULES
@@ -231,7 +242,7 @@ def q_assert_gate(spark, sf):
     return qa.assert_gate_lazy(rep, "drift above threshold")
 
 
-@query("merge_repair")
+@query("merge_repair", sql=with_sql(SENT_SQL, "SELECT doc_id, sentiment, confidence, '' AS status FROM scored"))
 def q_merge_repair(spark, sf):
     """Rows whose first score failed take the re-scored values; others keep theirs."""
     from sparklab.operators.windows import merge_repair
