@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +27,9 @@ def walk(edges: DataFrame, starts: DataFrame, src: str, dst: str, max_depth: int
         if visited is not None:
             nxt = nxt.join(visited.select("start", "node"), ["start", "node"], "left_anti")
         nxt = nxt.withColumn("depth", F.lit(depth))
-        if depth % checkpoint_every == 0:
-            nxt = nxt.checkpoint()
+        # each level is materialized once (the emptiness test and the next level
+        # both read it); every few levels the lineage is cut in the shared folder
+        nxt = nxt.checkpoint() if depth % checkpoint_every == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
         if nxt.isEmpty():
             break
         visited = nxt if visited is None else visited.unionByName(nxt)
