@@ -37,14 +37,24 @@ def luhn_ok(digits: Column) -> Column:
 
 
 def inspect_infotypes(df: DataFrame, key: str, text: str, detectors: list[tuple] | None = None,
-                      id_fields: list[str] = ()) -> DataFrame:
+                      id_fields: list[str] = (), with_offsets: bool = False) -> DataFrame:
     """Findings table: row key, info type, quote, likelihood and up to three
     identifying fields.  Cards passing Luhn are raised to LIKELY."""
     dets = detectors or DETECTORS
 
-    def finding(t, lk):
-        return lambda m: F.struct(F.lit(t).alias("info_type"), m.alias("quote"), F.lit(lk).alias("likelihood"))
-    arrays = [F.transform(F.regexp_extract_all(F.col(text), F.lit(p), 0), finding(t, lk)) for t, p, lk in dets]
+    def finding(t, lk, p):
+        if not with_offsets:
+            return lambda m: F.struct(F.lit(t).alias("info_type"), m.alias("quote"), F.lit(lk).alias("likelihood"))
+        # 0-based start of the i-th match: lengths of the pieces before it
+        # (``split`` around the same pattern) plus the earlier matches
+        pieces = F.split(F.col(text), p, -1)
+        matches = F.regexp_extract_all(F.col(text), F.lit(p), 0)
+
+        def total(arr):
+            return F.aggregate(arr, F.lit(0), lambda acc, s: acc + F.length(s))
+        return lambda m, i: F.struct(F.lit(t).alias("info_type"), m.alias("quote"), F.lit(lk).alias("likelihood"),
+                                     (total(F.slice(pieces, 1, i + 1)) + total(F.slice(matches, 1, i))).alias("start"))
+    arrays = [F.transform(F.regexp_extract_all(F.col(text), F.lit(p), 0), finding(t, lk, p)) for t, p, lk in dets]
     f = df.select(key, *id_fields[:3], F.explode(F.concat(*arrays)).alias("f")).select(key, *id_fields[:3], "f.*")
     lk = F.when((F.col("info_type") == "CREDIT_CARD_NUMBER") & luhn_ok(F.col("quote")), F.lit("LIKELY")) \
           .otherwise(F.col("likelihood"))

@@ -372,6 +372,8 @@ DIMENSIONS = ("FRESHNESS", "VOLUME", "COMPLETENESS", "VALIDITY", "CONSISTENCY",
 
 
 def _rule_condition(rule: dict) -> Column | None:
+    if rule["type"] == "template":  # a named, parameterised row condition
+        return F.expr(rule["template"].format(column=rule.get("column"), **rule.get("params", {})))
     t, c = rule["type"], rule.get("column")
     x = F.col(c) if c else None
     if t == "nonNull":
@@ -401,7 +403,7 @@ def dq_scan(df: DataFrame, rules: list[dict]) -> DataFrame:
     rules (uniqueness, statisticRange, tableCondition, sqlAssertion) are
     aggregates of their own, each one distributed pass."""
     spark = df.sparkSession
-    row_rules = [r for r in rules if r["type"] in ("nonNull", "range", "set", "regex", "rowCondition")]
+    row_rules = [r for r in rules if r["type"] in ("nonNull", "range", "set", "regex", "rowCondition", "template")]
     aggs, outs = [], []
     for i, r in enumerate(row_rules):
         cond = _rule_condition(r)

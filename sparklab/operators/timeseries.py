@@ -28,8 +28,9 @@ def infer_frequency(df: DataFrame, ids: list[str], ts: str) -> DataFrame:
     from sparklab.streaming.events import distributed_lag
     # raw timestamps (not yet a daily grid): a busy series can be huge, so the
     # lag is computed on range slices instead of one window per series
-    d = df.select(*ids, F.col(ts).alias("ts")).distinct().withColumn(
-        "_sec", F.col("ts").cast("timestamp").cast("long"))
+    # seconds since a fixed wall-clock origin: independent of the session time zone
+    d = df.select(*ids, F.col(ts).cast("timestamp_ntz").alias("ts")).distinct().withColumn(
+        "_sec", F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
     d = distributed_lag(d, ids, ["ts"], "_sec", "_prev").withColumn("_gap", F.col("_sec") - F.col("_prev"))
     g = d.where(F.col("_gap").isNotNull()).groupBy(*ids, "_gap").agg(F.count(F.lit(1)).alias("_n"))
     best = g.groupBy(*ids).agg(F.max_by("_gap", F.struct(F.col("_n"), -F.col("_gap"))).alias("step_seconds"))

@@ -141,6 +141,22 @@ def pca_loadings(model, features: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "principal_component_id int, feature string, loading double")
 
 
+def pca_reconstruction_error(model, df: DataFrame, key: str) -> DataFrame:
+    """Mean squared error between the standardized row and its projection back
+    from the principal components (the PC matrix, dims x k, is a literal: the
+    step is map-only)."""
+    pc = model.stages[-1].pc.toArray()
+    d, k = pc.shape
+    x = vector_to_array("x")
+    z = vector_to_array("pcs")
+    rows = [F.array(*[F.lit(float(pc[i, j])) for j in range(k)]) for i in range(d)]
+    recon = F.transform(F.array(*rows), lambda r: F.aggregate(F.zip_with(r, F.col("_z"), lambda a, b: a * b),
+                                                                 F.lit(0.0), lambda s, v: s + v))
+    t = model.transform(df).select(key, x.alias("_x"), z.alias("_z"))
+    err = F.aggregate(F.zip_with(F.col("_x"), recon, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v) / d
+    return t.select(key, err.alias("reconstruction_mse"))
+
+
 def als_fit(ratings: DataFrame, user: str, item: str, rating: str, implicit: bool = True, alpha: float = 40.0,
             rank: int = 10, reg: float = 0.1, max_iter: int = 10, seed: int = 42):
     als = MREC.ALS(userCol=user, itemCol=item, ratingCol=rating, implicitPrefs=implicit, alpha=alpha, rank=rank,

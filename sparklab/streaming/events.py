@@ -92,11 +92,16 @@ def debounce_stream(stream: DataFrame, key: str, ts: str, gap: str = "30 minutes
 # ------------------------------------------------------------------ monitoring -------
 
 def windowed_monitor(df: DataFrame, ts: str, value: str, score: Column, category: str, baseline: DataFrame,
-                     window: str = "1 day") -> DataFrame:
-    """Per tumbling window: requests, mean latency, mean score, and L-infinity
-    drift of the category mix against a baseline (small share table)."""
-    w = F.window(F.col(ts).cast("timestamp"), window)
-    d = df.withColumn("_w", w.start.cast("timestamp_ntz"))
+                     window: str = "1 day", slide: str | None = None) -> DataFrame:
+    """Per tumbling window (or sliding, with ``slide``, for smoothing): requests,
+    mean latency, mean score, and L-infinity drift of the category mix against
+    a baseline (small share table)."""
+    if slide:  # a row belongs to every window that covers it
+        d = df.withColumn("_w", F.window(F.col(ts).cast("timestamp"), window, slide).start.cast("timestamp_ntz"))
+    elif window == "1 day":  # calendar days of the wall-clock timestamp
+        d = df.withColumn("_w", F.date_trunc("day", F.col(ts)).cast("timestamp_ntz"))
+    else:
+        d = df.withColumn("_w", F.window(F.col(ts).cast("timestamp"), window).start.cast("timestamp_ntz"))
     stats = d.groupBy("_w").agg(F.count(F.lit(1)).alias("requests"), F.avg(value).alias("avg_latency"),
                                 F.avg(score).alias("avg_score"))
     mix = d.groupBy("_w", category).agg(F.count(F.lit(1)).alias("_n"))

@@ -102,3 +102,10 @@ def test_table_assertions(spark):
     assert kinds == ["nonNull", "rowCondition", "uniqueKey"]
     with pytest.raises(AssertionError):
         qa.raise_on_violations(v)
+
+
+def test_template_rule(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 50.0)], "k int, v double")
+    r = qa.dq_scan(df, [{"name": "t", "type": "template", "column": "v", "template": "{column} < {hi}",
+                         "params": {"hi": 10}}]).first()
+    assert (r.rows_evaluated, r.rows_passed) == (2, 1)

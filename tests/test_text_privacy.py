@@ -126,3 +126,12 @@ def test_date_shift_keeps_order_within_entity(spark):
     r = df.select("e", "d", pv.date_shift("d", "e", "k", 30).alias("s")).collect()
     a = [x for x in r if x.e == 1]
     assert (a[1].s - a[0].s).days == 9
+
+
+def test_finding_offsets_match_python(spark):
+    import re
+    text = "a x@y.example.com b (555) 123-4567 and z@w.example.org, again x@y.example.com"
+    df = spark.createDataFrame([(1, text)], "id int, t string")
+    got = sorted((r.info_type, r.start) for r in pv.inspect_infotypes(df, "id", "t", with_offsets=True).collect())
+    exp = sorted([(t, m.start()) for t, p, _ in pv.DETECTORS for m in re.finditer(p.replace("(?i)", ""), text)])
+    assert got == exp

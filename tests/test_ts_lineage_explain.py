@@ -71,3 +71,14 @@ def test_linear_attributions_sum(spark):
     df = spark.createDataFrame([(1, Vectors.dense([1.0, 2.0]))], ["id", "f"])
     a = linear_attributions(df, "id", "f", [0.5, -1.0], ["x", "y"], baseline=[0.0, 1.0])
     assert sorted((r.feature, r.attribution) for r in a.collect()) == [("x", 0.5), ("y", -1.0)]
+
+
+def test_pca_reconstruction_error_zero_at_full_rank(spark):
+    from sparklab.operators import unsup as us
+    rows = [(i, float(i % 5), float((i * 3) % 7), float(i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    full = us.pca_pipeline(["a", "b", "c"], 3).fit(df)
+    e = us.pca_reconstruction_error(full, df, "id").agg(F.max("reconstruction_mse")).first()[0]
+    assert e < 1e-18
+    one = us.pca_pipeline(["a", "b", "c"], 1).fit(df)
+    assert us.pca_reconstruction_error(one, df, "id").agg(F.max("reconstruction_mse")).first()[0] > 0
