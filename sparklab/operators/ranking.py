@@ -25,9 +25,17 @@ from pyspark.sql import functions as F
 
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
+    """Range slices: at least the configured shuffle partitions, and at least as
+    many as the input has splits, so a slice stays near a split's size as the
+    data grows (planning only, no job)."""
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        inp = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - plans that cannot expose an RDD keep the default
+        inp = 0
+    return max(base, inp)
 
 
 def range_slices(df: DataFrame, keys: list, n_parts: int | None = None) -> DataFrame:
