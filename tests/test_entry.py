@@ -46,3 +46,16 @@ def test_no_python_udf_in_sql_paths(spark):
               "chunk_documents", "vector_search", "dedup_events"):
         p = _plan(qs[k](spark, SF001))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, k
+
+
+def test_per_group_top_n_is_limited_before_the_shuffle(spark):
+    p = _plan(E.queries()["stratified_sample"](spark, SF001))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_kmeans_scoring_is_map_only(spark):
+    from sparklab.operators import unsup as us
+    df = spark.range(0, 60).selectExpr("id", "cast(id % 7 as double) as a", "cast(id % 5 as double) as b")
+    m = us.kmeans_pipeline(["a", "b"], 3, max_iter=5).fit(df)
+    p = _plan(us.kmeans_predict(m, df, "id"))
+    assert "Exchange" not in p and "Join" not in p
