@@ -118,6 +118,44 @@ def windowed_monitor(df: DataFrame, ts: str, value: str, score: Column, category
     return stats.join(drift, "_w").withColumnRenamed("_w", "window_start")
 
 
+def windowed_monitor_stream(stream: DataFrame, ts: str, value: str, score: Column, category: str,
+                            baseline_shares: DataFrame, sink_path: str, checkpoint: str, window: str = "1 day",
+                            watermark: str = "1 hour", available_now: bool = True):
+    """Streaming monitor: a watermarked aggregation keeps per (window, category)
+    counts and sums in state and emits a window once the watermark passes its
+    end (append mode); ``foreachBatch`` then turns the finalized windows into
+    requests, means and the L-infinity distance to the baseline shares
+    (``baseline_shares``: category, p — a small table) and appends them."""
+    s = stream.withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", watermark)
+    agg = (s.groupBy(F.window("_t", window).alias("w"), F.col(category))
+             .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_sv"), F.sum(score).alias("_ss")))
+
+    def finalize(batch: DataFrame, batch_id: int) -> None:
+        b = batch.withColumn("_w", F.col("w.start").cast("timestamp_ntz"))
+        stats = b.groupBy("_w").agg(F.sum("_n").alias("requests"), (F.sum("_sv") / F.sum("_n")).alias("avg_latency"),
+                                    (F.sum("_ss") / F.sum("_n")).alias("avg_score"))
+        share = b.join(stats.select("_w", "requests"), "_w").select("_w", category,
+                                                                    (F.col("_n") / F.col("requests")).alias("q"))
+        cats = share.select(category).union(baseline_shares.select(category)).distinct()
+        grid = stats.select("_w").crossJoin(F.broadcast(cats))
+        g = grid.join(share, ["_w", category], "left").join(F.broadcast(baseline_shares), category, "left")
+        drift = g.groupBy("_w").agg(F.max(F.abs(F.coalesce("q", F.lit(0.0)) - F.coalesce("p", F.lit(0.0)))).alias("linf"))
+        out = stats.join(drift, "_w").withColumnRenamed("_w", "window_start").withColumn("batch_id", F.lit(batch_id))
+        # overwrite this batch's own folder: a replayed batch does not duplicate rows
+        out.write.mode("overwrite").parquet(os.path.join(sink_path, f"batch_id={batch_id}"))
+
+    w = agg.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(finalize)
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
+def baseline_shares(baseline: DataFrame, category: str) -> DataFrame:
+    b = baseline.groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
+    return b.crossJoin(b.agg(F.sum("_n").alias("_t"))).select(category, (F.col("_n") / F.col("_t")).alias("p"))
+
+
 # ------------------------------------------------------------------ sinks ------------
 
 def atomic_claim_writer(path: str):
