@@ -37,16 +37,19 @@ def categorical_columns(df: DataFrame) -> list[str]:
 
 # ------------------------------------------------------------ statistics -------
 
-def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str], bins: int = DEFAULT_BINS) -> DataFrame:
+def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str], bins: int = DEFAULT_BINS,
+                   edges_from: DataFrame | None = None) -> DataFrame:
     """Statistics stored beside a model (or computed for a baseline table):
     one row per (feature, bucket) with the bucket's count.
 
     numeric: equal-width bins between the baseline min and max (``lo``/``hi``
-    kept, so the serving side reuses the same edges); categorical: one row per
-    category (NULL as its own category)."""
+    kept, so the serving side reuses the same edges; pass ``edges_from`` = the
+    baseline statistics to bin a second table on the same edges); categorical:
+    one row per category (NULL as its own category)."""
     parts = []
     if numeric:
-        edges = _numeric_edges(df, numeric)
+        edges = (edges_from.where(F.col("kind") == "numeric").select("feature", "lo", "hi").distinct()
+                 if edges_from is not None else _numeric_edges(df, numeric))
         parts.append(_numeric_hist(df, numeric, edges, bins).withColumn("kind", F.lit("numeric")))
     if categorical:
         c = (_long(df, categorical, "string")
@@ -198,7 +201,15 @@ def stats_validate(base_blob: DataFrame, test_blob: DataFrame, bins: int = DEFAU
     mism = kinds.where(~F.col("ka").eqNullSafe(F.col("kb"))).select(
         F.col("feature").alias("input"), F.lit("TYPE_MISMATCH").alias("metric"),
         F.lit(0.0).alias("threshold"), F.lit(1.0).alias("value"), F.lit(True).alias("is_anomaly"))
-    ok = kinds.where(F.col("ka") == F.col("kb")).select("feature")
+    # numeric histograms are comparable only on the same bin edges
+    ea = a.where(F.col("kind") == "numeric").select("feature", F.col("lo").alias("la"), F.col("hi").alias("ha")).distinct()
+    eb = b.where(F.col("kind") == "numeric").select("feature", F.col("lo").alias("lb"), F.col("hi").alias("hb")).distinct()
+    edge_bad = (ea.join(eb, "feature").where(~F.col("la").eqNullSafe(F.col("lb")) | ~F.col("ha").eqNullSafe(F.col("hb")))
+                  .select("feature").distinct())
+    mism = mism.unionByName(edge_bad.select(
+        F.col("feature").alias("input"), F.lit("BIN_EDGE_MISMATCH").alias("metric"),
+        F.lit(0.0).alias("threshold"), F.lit(1.0).alias("value"), F.lit(True).alias("is_anomaly")))
+    ok = kinds.where(F.col("ka") == F.col("kb")).select("feature").join(edge_bad, "feature", "left_anti")
     pa = _shares(a.join(ok, "feature", "left_semi").select("feature", "bucket", "n"), "p")
     pb = _shares(b.join(ok, "feature", "left_semi").select("feature", "bucket", "n"), "q")
     j = pa.join(pb, ["feature", "bucket"], "full_outer").select(

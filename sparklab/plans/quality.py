@@ -100,14 +100,23 @@ def q_per_column_thresholds(spark, sf):
     return _r6(qa.validate_drift(b, t, ["value"], ["event_type", "user_id"], overrides=OVERRIDES))
 
 
-@query("validate_skew")
+SKEW_SQL = """ot AS (SELECT * FROM orders WHERE year(o_orderdate) = 1995),
+os AS (SELECT * FROM orders WHERE year(o_orderdate) = 1997)"""
+
+
+@query("validate_skew", sql=with_sql(SKEW_SQL, f""",
+d AS (SELECT * FROM {_jsd_sql('ot', 'os', 'o_totalprice', 'o_totalprice')}
+      UNION ALL SELECT * FROM {_linf_sql('ot', 'os', 'o_orderstatus', 'o_orderstatus')}
+      UNION ALL SELECT * FROM {_linf_sql('ot', 'os', 'o_orderpriority', 'o_orderpriority')})
+SELECT input, metric, CAST(0.3 AS DOUBLE) AS threshold, round(value, 6) AS value, value > 0.3 AS is_anomaly FROM d"""))
 def q_validate_skew(spark, sf):
-    """Orders of 1995 as the training statistics, 1997 as serving data."""
+    """Orders of 1995 as the training statistics, 1997 as serving data (an
+    extra serving column is ignored)."""
     o = Tables(spark, sf).orders
     train, serve = o.where(F.year("o_orderdate") == 1995), o.where(F.year("o_orderdate") == 1997)
     stats = qa.fit_statistics(train, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"])
-    return qa.validate_skew(stats, serve.withColumn("extra_col", F.lit(1)), ["o_totalprice"],
-                            ["o_orderstatus", "o_orderpriority"])
+    return _r6(qa.validate_skew(stats, serve.withColumn("extra_col", F.lit(1)), ["o_totalprice"],
+                                ["o_orderstatus", "o_orderpriority"]))
 
 
 @query("stats_blob")
@@ -116,12 +125,18 @@ def q_stats_blob(spark, sf):
     return qa.stats_blob(qa.fit_statistics(o, ["o_totalprice"], ["o_orderstatus"]))
 
 
-@query("stats_validate")
+@query("stats_validate", sql=with_sql(HALVES_SQL, f""",
+d AS (SELECT * FROM {_linf_sql('eb', 'et', 'event_type', 'event_type')}
+      UNION ALL SELECT * FROM {_jsd_sql('eb', 'et', 'value', 'value')})
+SELECT input, metric, CAST(0.3 AS DOUBLE) AS threshold, round(value, 6) AS value, value > 0.3 AS is_anomaly FROM d"""))
 def q_stats_validate(spark, sf):
+    """Two statistics blobs (JSON values), the second binned on the first's edges,
+    compared without the raw data."""
     b, t = event_halves(Tables(spark, sf))
-    sb = qa.stats_blob(qa.fit_statistics(b, ["value"], ["event_type"]))
-    st = qa.stats_blob(qa.fit_statistics(t, ["value"], ["event_type"]))
-    return qa.stats_validate(sb, st)
+    base = qa.fit_statistics(b, ["value"], ["event_type"])
+    sb = qa.stats_blob(base)
+    st = qa.stats_blob(qa.fit_statistics(t, ["value"], ["event_type"], edges_from=base))
+    return _r6(qa.stats_validate(sb, st))
 
 
 @query("describe_data")

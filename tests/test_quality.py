@@ -109,3 +109,14 @@ def test_template_rule(spark):
     r = qa.dq_scan(df, [{"name": "t", "type": "template", "column": "v", "template": "{column} < {hi}",
                          "params": {"hi": 10}}]).first()
     assert (r.rows_evaluated, r.rows_passed) == (2, 1)
+
+
+def test_stats_validate_flags_different_bin_edges(spark, pair):
+    base, test = pair
+    a = qa.stats_blob(qa.fit_statistics(base, ["x"], []))
+    b = qa.stats_blob(qa.fit_statistics(test, ["x"], []))  # own edges: not comparable
+    r = {x.input: x for x in qa.stats_validate(a, b).collect()}
+    assert r["x"].metric == "BIN_EDGE_MISMATCH" and r["x"].is_anomaly
+    c = qa.stats_blob(qa.fit_statistics(test, ["x"], [], edges_from=qa.fit_statistics(base, ["x"], [])))
+    r2 = {x.input: x for x in qa.stats_validate(a, c).collect()}
+    assert r2["x"].metric == "JENSEN_SHANNON_DIVERGENCE"
