@@ -83,7 +83,15 @@ def q_per_slice_thresholds(spark, sf):
     return xp.per_slice_thresholds(sliced_scores(Tables(spark, sf)), "r_name", "p_churn", _y(), "demographic_parity")
 
 
-@query("per_slice_thresholds_opportunity")
+@query("per_slice_thresholds_opportunity", sql=with_sql(SLICED_SQL, """,
+g AS (SELECT generate_series AS t FROM generate_series(0, 100)),
+c AS (SELECT s.r_name, g.t, g.t / 100.0 AS threshold, count(*) AS n, count_if(actual_churn = 'Yes') AS npos,
+             count_if(p_churn >= g.t / 100.0 AND actual_churn = 'Yes') AS tp,
+             count_if(p_churn < g.t / 100.0 AND actual_churn <> 'Yes') AS tn FROM s, g GROUP BY 1, 2, 3),
+tg AS (SELECT count_if(p_churn >= 0.5 AND actual_churn = 'Yes') / nullif(count_if(actual_churn = 'Yes'), 0) AS target FROM s),
+x AS (SELECT c.*, tp / nullif(npos, 0) AS metric, tg.target, abs(tp / nullif(npos, 0) - tg.target) AS gap FROM c, tg),
+b AS (SELECT *, row_number() OVER (PARTITION BY r_name ORDER BY gap, abs(threshold - 0.5), threshold) AS rk FROM x)
+SELECT r_name, round(threshold, 6) AS threshold, metric, target, (tp + tn) / n AS accuracy FROM b WHERE rk = 1"""))
 def q_per_slice_thresholds_opportunity(spark, sf):
     return xp.per_slice_thresholds(sliced_scores(Tables(spark, sf)), "r_name", "p_churn", _y(), "equal_opportunity")
 

@@ -201,7 +201,11 @@ def q_dq_scan(spark, sf):
     return qa.dq_scan(Tables(spark, sf).customer, DQ_RULES)
 
 
-@query("dq_scores")
+@query("dq_scores", sql=f"""
+WITH r AS ({DQ_SQL})
+SELECT 'job' AS level, 'all' AS name, round(100 * avg(CAST(passed AS INTEGER)), 1) AS score FROM r
+UNION ALL SELECT 'column', "column", round(100 * avg(CAST(passed AS INTEGER)), 1) FROM r WHERE "column" IS NOT NULL GROUP BY "column"
+UNION ALL SELECT 'dimension', dimension, round(100 * avg(CAST(passed AS INTEGER)), 1) FROM r GROUP BY dimension""")
 def q_dq_scores(spark, sf):
     return qa.dq_scores(qa.dq_scan(Tables(spark, sf).customer, DQ_RULES))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparklab.functions.core import md5num
 from sparklab.operators import layout
 from sparklab.operators import quality as qa
-from sparklab.plans.fixtures import SCORES_SQL, with_sql
+from sparklab.plans.fixtures import SCORES_SQL, md5num_sql, with_sql
 from sparklab.plans.quality import DQ_SQL
 from sparklab.plans.registry import query
 from sparklab.plans.text import SENT_SQL
@@ -28,7 +28,9 @@ def scratch(spark, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"{name}-{uuid.uuid4().hex}")
 
 
-@query("load_csv_declared")
+@query("load_csv_declared", sql=f"""
+SELECT CAST(count(*) AS BIGINT) AS rows_loaded, CAST(count_if(c_name IS NULL OR trim(c_name) = '') AS BIGINT) AS blank_text,
+       CAST(count_if(({md5num_sql('c_custkey')}) % 50 = 1) AS BIGINT) AS uncastable_acctbal_text FROM customer""")
 def q_load_csv_declared(spark, sf):
     """``customer`` exported as CSV with a dirty numeric text column (blank or
     'n/a' for some keys), loaded back with a declared schema: the dirty column
@@ -134,7 +136,9 @@ def q_expire_partitions(spark, sf):
     return layout.expire_partitions(spark, path, "d", "2024-01-31", 14, dry_run=True)
 
 
-@query("partition_limits")
+@query("partition_limits", sql="""
+SELECT CAST(count(DISTINCT CAST(ts AS DATE)) AS INTEGER) AS partitions, 10000 AS table_limit, 4000 AS job_limit,
+       count(DISTINCT CAST(ts AS DATE)) <= 4000 AS within_job_limit FROM events""")
 def q_partition_limits(spark, sf):
     e = layout.with_date_partition(Tables(spark, sf).events, "ts", "d")
     n = layout.partition_count_guard(e, ["d"], 10_000)

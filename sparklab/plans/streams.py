@@ -9,6 +9,7 @@ from sparklab.functions.core import md5num
 from sparklab.operators import layout
 from sparklab.operators import lineage as lg
 from sparklab.plans.fixtures import md5num_sql, with_sql
+from sparklab.plans.aggregations import EV_SQL
 from sparklab.plans.registry import query
 from sparklab.sources.tables import Tables
 from sparklab.streaming import events as ev
@@ -131,7 +132,11 @@ def q_lineage_downstream(spark, sf):
     return lg.downstream(e, starts)
 
 
-@query("experiment_table")
+@query("experiment_table", sql=f"""
+SELECT printf('run_%02d', CAST(round(threshold * 100) AS INTEGER)) AS run_id, threshold AS "param.threshold",
+       precision AS "metric.precision", recall AS "metric.recall", net_value AS "metric.net_value",
+       net_value = max(net_value) OVER () AS is_best
+FROM ({EV_SQL}) ev""")
 def q_experiment_table(spark, sf):
     """Threshold runs over the stored scores as an experiment log (long:
     run, kind, name, value) pivoted wide; the best run by net value flagged."""
@@ -140,7 +145,7 @@ def q_experiment_table(spark, sf):
     s = churn_scores(Tables(spark, sf))
     ev_ = aggs.expected_value_curve(s, "p_churn", F.col("actual_churn") == "Yes", "monthly_charges",
                                     aggs.threshold_grid(spark, 10, 90, 5))
-    run = F.format_string("run_%02d", (F.col("threshold") * 100).cast("int"))
+    run = F.format_string("run_%02d", F.round(F.col("threshold") * 100).cast("int"))
     long = ev_.select(run.alias("run_id"), F.inline(F.array(
         F.struct(F.lit("param").alias("kind"), F.lit("threshold").alias("name"), F.col("threshold").alias("value")),
         F.struct(F.lit("metric").alias("kind"), F.lit("precision").alias("name"), F.col("precision").alias("value")),
@@ -189,7 +194,7 @@ def _scratch(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-@query("partition_by_date")
+@query("partition_by_date", sql="SELECT CAST(ts AS DATE) AS d, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1")
 def q_partition_by_date(spark, sf):
     """Write ``events`` with daily partitions (to the shared checkpoint folder)
     and read one day back: partition pruning shows as PartitionFilters."""
@@ -199,7 +204,7 @@ def q_partition_by_date(spark, sf):
     return spark.read.parquet(path).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("export_parquet")
+@query("export_parquet", sql="SELECT * FROM lineitem WHERE year(l_shipdate) = 1996")
 def q_export_parquet(spark, sf):
     from sparklab.sources.io import export_parquet
     path = _scratch(spark, "lineitem-1996")

@@ -382,7 +382,18 @@ def q_inspect_rules(spark, sf):
                           exclusions={"IP_ADDRESS": r"^(10|127)\."}, min_likelihood="POSSIBLE")
 
 
-@query("profile_sensitivity")
+def _sensitivity_sql():
+    parts = []
+    for table, cols in (("documents", ["text"]), ("pages", ["url", "html"]), ("conversations", ["text"])):
+        for c in cols:
+            for t, p, _ in pv.DETECTORS:
+                ps = p.replace("'", "''")
+                parts.append(f"SELECT '{c}' AS column_name, '{t}' AS info_type, "
+                             f"avg(CAST(regexp_matches({c}, '{ps}') AS INTEGER)) AS share, '{table}' AS table_name FROM {table}")
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE share > 0"
+
+
+@query("profile_sensitivity", sql=_sensitivity_sql())
 def q_profile_sensitivity(spark, sf):
     t = Tables(spark, sf)
     return (pv.profile_sensitivity(t.documents, "documents", ["text"])
@@ -452,7 +463,9 @@ def q_deid_time_extract(spark, sf):
     return o.select("o_orderkey", pv.time_extract("o_orderdate").alias("order_month"))
 
 
-@query("deid_records_vs_text")
+@query("deid_records_vs_text", sql=f"""
+SELECT c_custkey AS id, sha256('k3y' || c_name) AS value FROM customer
+UNION ALL SELECT doc_id, {_sql_replace('text', lambda t: '[' + t + ']')} FROM documents""")
 def q_deid_records_vs_text(spark, sf):
     """Record-level transform of identifier columns and match-level transform of free text."""
     t = Tables(spark, sf)
