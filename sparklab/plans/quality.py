@@ -261,7 +261,19 @@ def q_point_in_time_contract(spark, sf):
     return qa.point_in_time_contract(feats, "ts", labs, "ts", "2024-01-15", 14)
 
 
-@query("threshold_calibration")
+def _weeks_sql(prefix: str, select: str = "*") -> str:
+    return ",\n".join(f"{prefix}{w} AS (SELECT {select} FROM events WHERE "
+                      f"floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) = {w})" for w in range(4))
+
+
+CALIB_SQL = with_sql(_weeks_sql("ew"), ",\nd AS (" + " UNION ALL ".join(
+    f"SELECT * FROM {_jsd_sql(f'ew{w}', f'ew{w + 1}', 'value', 'value')} UNION ALL "
+    f"SELECT * FROM {_linf_sql(f'ew{w}', f'ew{w + 1}', 'event_type', 'event_type')}" for w in range(3)) + """)
+SELECT input, metric, round(max(value), 6) AS max_healthy, round(least(max(value) * 1.5, 0.99), 6) AS threshold
+FROM d GROUP BY input, metric""")
+
+
+@query("threshold_calibration", sql=CALIB_SQL)
 def q_threshold_calibration(spark, sf):
     """Distances between consecutive healthy weekly windows of ``events``; the
     threshold is set above the observed band (max x 1.5, capped below 1)."""
@@ -273,11 +285,16 @@ def q_threshold_calibration(spark, sf):
         parts.append(qa.distances(qa.fit_statistics(a, ["value"], ["event_type"]), b, ["value"], ["event_type"])
                      .withColumn("window_pair", F.lit(w)))
     d = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return d.groupBy("input", "metric").agg(F.max("value").alias("max_healthy"),
-                                            F.least(F.max("value") * 1.5, F.lit(0.99)).alias("threshold"))
+    return d.groupBy("input", "metric").agg(F.round(F.max("value"), 6).alias("max_healthy"),
+                                            F.round(F.least(F.max("value") * 1.5, F.lit(0.99)), 6).alias("threshold"))
+
+
+PRED_DRIFT_SQL = with_sql(_weeks_sql("pw", "value / 100.0 AS p"), "\n" + " UNION ALL ".join(
+    f"SELECT input, metric, round(value, 6) AS value, {w} AS week FROM {_jsd_sql('pw0', f'pw{w}', 'p', 'p')}"
+    for w in range(1, 4)))
 
 
-@query("prediction_drift")
+@query("prediction_drift", sql=PRED_DRIFT_SQL)
 def q_prediction_drift(spark, sf):
     """Score distribution per week vs the first week (JSD of ``p``-like values)."""
     e = Tables(spark, sf).events.withColumn("p", F.col("value") / 100.0).withColumn(
@@ -285,7 +302,7 @@ def q_prediction_drift(spark, sf):
     base = e.where(F.col("wk") == 0)
     stats = qa.fit_statistics(base, ["p"], [])
     parts = [qa.distances(stats, e.where(F.col("wk") == w), ["p"], []).withColumn("week", F.lit(w)) for w in range(1, 4)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _r6(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @query("structural_feature_filter")

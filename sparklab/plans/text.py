@@ -243,6 +243,16 @@ def q_vector_search(spark, sf):
     return r.withColumn("distance", F.round("distance", 6))
 
 
+@query("vector_search_ann")
+def q_vector_search_ann(spark, sf):
+    """Approximate variant of ``vector_search`` (random-projection LSH candidates,
+    exact re-rank); recall against the exact search is checked in pytest."""
+    e = Tables(spark, sf).embeddings
+    q = tx.centroids_by(e, "label", "embedding")
+    return tx.vector_search_lsh(e, "vec_id", "embedding", q, "label", "centroid", k=5).withColumn(
+        "distance", F.round("distance", 6))
+
+
 @query("nearest_examples", sql=with_sql(CENTROID_SQL, f""",
 d AS (SELECT q.query_id, b.vec_id AS base_id, {DIST_SQL} AS distance FROM embeddings b, q WHERE b.label = q.query_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, base_id) AS rank FROM d)

@@ -135,3 +135,12 @@ def test_finding_offsets_match_python(spark):
     got = sorted((r.info_type, r.start) for r in pv.inspect_infotypes(df, "id", "t", with_offsets=True).collect())
     exp = sorted([(t, m.start()) for t, p, _ in pv.DETECTORS for m in re.finditer(p.replace("(?i)", ""), text)])
     assert got == exp
+
+
+def test_lsh_recall_vs_exact(spark):
+    from tests.conftest import SF01
+    e = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    q = tx.centroids_by(e, "label", "embedding")
+    exact = tx.vector_search(e, "vec_id", "embedding", q, "label", "centroid", k=5).select("query_id", "base_id")
+    ann = tx.vector_search_lsh(e, "vec_id", "embedding", q, "label", "centroid", k=5).select("query_id", "base_id")
+    assert ann.join(exact, ["query_id", "base_id"]).count() / exact.count() >= 0.9
