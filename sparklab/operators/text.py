@@ -110,11 +110,29 @@ class LexiconScorer:
         return out
 
 
-def lexicon_sentiment(text: Column) -> tuple[Column, Column]:
-    """(sentiment, confidence) from the fixed lexicon with built-in functions only."""
-    ws = words(text)
+def _polarity_counts(ws: Column) -> list[Column]:
+    """``_pos`` / ``_neg``: lexicon hits in a token array (pass a materialized
+    token column so the text is split once)."""
     pos = F.size(F.filter(ws, lambda w: F.array_contains(F.array(*[F.lit(x) for x in POSITIVE_WORDS]), w)))
     neg = F.size(F.filter(ws, lambda w: F.array_contains(F.array(*[F.lit(x) for x in NEGATIVE_WORDS]), w)))
+    return [pos.alias("_pos"), neg.alias("_neg")]
+
+
+def lexicon_sentiment_columns(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` + (sentiment, confidence) from the fixed lexicon, built-ins only:
+    tokenize once, count once, then label."""
+    c = df.select(*keep, words(text).alias("_ws")).select(*keep, *_polarity_counts(F.col("_ws")))
+    pos, neg = F.col("_pos"), F.col("_neg")
+    label = F.when(pos > neg, "POSITIVE").when(neg > pos, "NEGATIVE").otherwise("NEUTRAL")
+    conf = F.when(pos + neg > 0, F.round(F.abs(pos - neg) / (pos + neg), 3)).otherwise(F.lit(0.5))
+    return c.select(*keep, label.alias("sentiment"), conf.alias("confidence"))
+
+
+def lexicon_sentiment(text: Column) -> tuple[Column, Column]:
+    """(sentiment, confidence) as column expressions (convenience form; prefer
+    ``lexicon_sentiment_columns`` on large texts, which tokenizes once)."""
+    ws = words(text)
+    pos, neg = (c for c in _polarity_counts(ws))
     label = F.when(pos > neg, "POSITIVE").when(neg > pos, "NEGATIVE").otherwise("NEUTRAL")
     conf = F.when(pos + neg > 0, F.round(F.abs(pos - neg) / (pos + neg), 3)).otherwise(F.lit(0.5))
     return label, conf
@@ -133,11 +151,11 @@ def sentiment_score_magnitude(df: DataFrame, key: str, text: str) -> DataFrame:
     """Per sentence: (pos - neg) / (pos + neg) or 0; per document: ``score`` =
     mean of sentence scores, ``magnitude`` = sum of absolute sentence scores."""
     s = df.select(key, F.posexplode(F.split(F.col(text), SENTENCE_SPLIT)).alias("sentence_no", "sentence"))
-    ws = words(F.col("sentence"))
-    pos = F.size(F.filter(ws, lambda w: F.array_contains(F.array(*[F.lit(x) for x in POSITIVE_WORDS]), w)))
-    neg = F.size(F.filter(ws, lambda w: F.array_contains(F.array(*[F.lit(x) for x in NEGATIVE_WORDS]), w)))
-    sc = F.when(pos + neg > 0, (pos - neg) / (pos + neg)).otherwise(F.lit(0.0))
-    per = s.where(F.trim("sentence") != "").select(key, sc.alias("_s"))
+    s = s.where(F.trim("sentence") != "").select(key, words(F.col("sentence")).alias("_ws"))  # tokenize once
+    c = s.select(key, *_polarity_counts(F.col("_ws")))
+    sc = F.when(F.col("_pos") + F.col("_neg") > 0,
+                (F.col("_pos") - F.col("_neg")) / (F.col("_pos") + F.col("_neg"))).otherwise(F.lit(0.0))
+    per = c.select(key, sc.alias("_s"))
     g = per.groupBy(key).agg(F.avg("_s").alias("score"), F.sum(F.abs("_s")).alias("magnitude"))
     kind = (F.when(F.abs("score") < 0.25, F.when(F.col("magnitude") >= 2, "mixed").otherwise("neutral"))
              .when(F.col("score") > 0, "positive").otherwise("negative"))

@@ -33,9 +33,8 @@ scored AS (
 
 
 def lexicon_scored(t):
-    d = t.documents
-    label, conf = tx.lexicon_sentiment(F.col("text"))
-    return d.select("doc_id", label.alias("sentiment"), conf.alias("confidence"), F.lit("").alias("status"))
+    s = tx.lexicon_sentiment_columns(t.documents, "text", ["doc_id"])
+    return s.withColumn("status", F.lit(""))
 
 
 @query("score_table")
