@@ -24,6 +24,33 @@ DETECTORS = [
 
 LIKELIHOOD_ORDER = ["VERY_UNLIKELY", "UNLIKELY", "POSSIBLE", "LIKELY", "VERY_LIKELY"]
 
+# Necessary conditions of the detectors above (a text failing all of them cannot
+# produce a finding): a cheap exact pre-filter before the extraction passes.
+NECESSARY = {
+    "EMAIL_ADDRESS": ("contains", "@"),
+    "CREDIT_CARD_NUMBER": ("rlike", "[0-9]"),
+    "PHONE_NUMBER": ("rlike", "[0-9]"),
+    "IP_ADDRESS": ("rlike", "[0-9]"),
+    "AUTH_TOKEN": ("rlike", "(?i)(api[_-]?key|secret|token|password)"),
+}
+
+
+def may_match(text: Column, detectors: list[tuple] | None = None) -> Column | None:
+    """OR of the detectors' necessary conditions; None when a detector has none
+    (then every text must be scanned)."""
+    conds = []
+    for t, _, _ in (detectors or DETECTORS):
+        if t not in NECESSARY:
+            return None
+        kind, arg = NECESSARY[t]
+        c = text.contains(arg) if kind == "contains" else text.rlike(arg)
+        if all(str(c) != str(x) for x in conds):
+            conds.append(c)
+    out = None
+    for c in conds:
+        out = c if out is None else out | c
+    return out
+
 
 def luhn_ok(digits: Column) -> Column:
     """Luhn checksum of a digit string (non-digits removed), with array functions."""
@@ -55,7 +82,9 @@ def inspect_infotypes(df: DataFrame, key: str, text: str, detectors: list[tuple]
         return lambda m, i: F.struct(F.lit(t).alias("info_type"), m.alias("quote"), F.lit(lk).alias("likelihood"),
                                      (total(F.slice(pieces, 1, i + 1)) + total(F.slice(matches, 1, i))).alias("start"))
     arrays = [F.transform(F.regexp_extract_all(F.col(text), F.lit(p), 0), finding(t, lk, p)) for t, p, lk in dets]
-    f = df.select(key, *id_fields[:3], F.explode(F.concat(*arrays)).alias("f")).select(key, *id_fields[:3], "f.*")
+    pre = may_match(F.col(text), dets)
+    src = df.where(pre) if pre is not None else df  # exact: texts failing it have no finding
+    f = src.select(key, *id_fields[:3], F.explode(F.concat(*arrays)).alias("f")).select(key, *id_fields[:3], "f.*")
     lk = F.when((F.col("info_type") == "CREDIT_CARD_NUMBER") & luhn_ok(F.col("quote")), F.lit("LIKELY")) \
           .otherwise(F.col("likelihood"))
     return f.withColumn("likelihood", lk)
@@ -115,18 +144,27 @@ def _patterns(types: list[str] | None):
     return [(t, p) for t, p, _ in DETECTORS if types is None or t in types]
 
 
+def _guarded(x: Column, out: Column, types: list[str] | None) -> Column:
+    """Run the replacement chain only on texts that can contain a match."""
+    dets = [d for d in DETECTORS if types is None or d[0] in types]
+    pre = may_match(x, dets)
+    return out if pre is None else F.when(pre, out).otherwise(x)
+
+
 def redact(c, types: list[str] | None = None) -> Column:
-    x = F.col(c) if isinstance(c, str) else c
+    x0 = F.col(c) if isinstance(c, str) else c
+    x = x0
     for _, p in _patterns(types):
         x = F.regexp_replace(x, p, "")
-    return x
+    return _guarded(x0, x, types)
 
 
 def replace_with_type(c, types: list[str] | None = None) -> Column:
-    x = F.col(c) if isinstance(c, str) else c
+    x0 = F.col(c) if isinstance(c, str) else c
+    x = x0
     for t, p in _patterns(types):
         x = F.regexp_replace(x, p, f"[{t}]")
-    return x
+    return _guarded(x0, x, types)
 
 
 CARD_MASK_PATTERN = r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?([0-9]{4})"
