@@ -124,16 +124,30 @@ def q_histogram_fixed(spark, sf):
 CORR_FEATURES = ["tenure_months", "monthly_charges", "n_orders", "c_nationkey"]
 
 
-@query("corr_label")
+@query("corr_label", sql=with_sql(SCORES_SQL, "\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(corr(CAST({c} AS DOUBLE), CASE WHEN actual_churn = 'Yes' THEN 1.0 ELSE 0.0 END), 4)"
+    f" AS corr_with_label FROM scores" for c in CORR_FEATURES)))
 def q_corr_label(spark, sf):
     s = churn_scores(Tables(spark, sf))
     return aggs.corr_with_label(s, CORR_FEATURES, F.col("actual_churn") == "Yes")
 
 
-@query("corr_redundancy")
+REDUNDANCY_FEATURES = CORR_FEATURES + ["tenure_days"]
+
+
+def _redundancy_sql():
+    pairs = [(a, b) for i, a in enumerate(REDUNDANCY_FEATURES) for b in REDUNDANCY_FEATURES[i + 1:]]
+    body = " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+                              f" AS corr FROM f" for a, b in pairs)
+    return with_sql(SCORES_SQL, f""",
+f AS (SELECT *, tenure_months * 30 + 1 AS tenure_days FROM scores)
+SELECT feature_a, feature_b, round(corr, 6) AS corr FROM ({body}) WHERE abs(corr) >= 0.95""")
+
+
+@query("corr_redundancy", sql=_redundancy_sql())
 def q_corr_redundancy(spark, sf):
     s = churn_scores(Tables(spark, sf)).withColumn("tenure_days", F.col("tenure_months") * 30 + 1)
-    return aggs.corr_redundancy(s, CORR_FEATURES + ["tenure_days"], 0.95)
+    return aggs.corr_redundancy(s, REDUNDANCY_FEATURES, 0.95).withColumn("corr", F.round("corr", 6))
 
 
 @query("describe_events", sql="""

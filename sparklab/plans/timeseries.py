@@ -153,13 +153,43 @@ def q_forecast_reconcile(spark, sf):
                     F.col("gid").cast("bigint").alias("gid"))
 
 
-@query("ts_step_changes")
+def step_sql(h: int, threshold: float) -> str:
+    """Oracle of ``change_points`` with half window ``h``."""
+    return with_sql(REG_SQL, f""",
+w AS (SELECT series_id, ts, avg(y) OVER l AS ml, avg(y) OVER r AS mr, stddev_samp(y) OVER l AS sl,
+             stddev_samp(y) OVER r AS sr, count(y) OVER l AS nl, count(y) OVER r AS nr FROM reg
+      WINDOW l AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN {h} PRECEDING AND 1 PRECEDING),
+             r AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND {h - 1} FOLLOWING)),
+sc AS (SELECT *, CASE WHEN nl = {h} AND nr = {h} AND sqrt((pow(sl, 2) + pow(sr, 2)) / 2) > 0
+                      THEN abs(mr - ml) / sqrt((pow(sl, 2) + pow(sr, 2)) / 2) END AS shift_score FROM w),
+mx AS (SELECT *, max(shift_score) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING) AS m
+       FROM sc)
+SELECT series_id, ts, round(shift_score, 6) AS shift_score FROM mx WHERE shift_score >= {threshold} AND shift_score = m""")
+
+
+STEP_SQL = step_sql(7, 2.0)
+
+
+@query("ts_step_changes", sql=STEP_SQL)
 def q_ts_step_changes(spark, sf):
     c = ts.change_points(regular(Tables(spark, sf)), IDS, 7, 2.0)
-    return c.where(F.col("is_change_point")).select("series_id", "ts", "shift_score")
+    return c.where(F.col("is_change_point")).select("series_id", "ts", F.round("shift_score", 6).alias("shift_score"))
+
+
+HOLIDAY_SQL = with_sql(REG_SQL, """,
+t AS (SELECT *, CASE WHEN count(y) OVER w = 7 THEN avg(y) OVER w END AS trend, dayofweek(ts) + 1 AS phase FROM reg
+      WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+s0 AS (SELECT series_id, phase, avg(y - trend) AS s FROM t WHERE trend IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT series_id, phase, s - avg(s) OVER (PARTITION BY series_id) AS seasonal FROM s0),
+dec AS (SELECT t.series_id, t.ts, t.y - t.trend - s.seasonal AS residual
+        FROM t LEFT JOIN s ON s.series_id = t.series_id AND s.phase = t.phase),
+cal AS (SELECT DISTINCT make_date(year(ts), 1, 1) AS ts, '01-01' AS holiday FROM dec
+        UNION SELECT DISTINCT make_date(year(ts), 12, 25), '12-25' FROM dec)
+SELECT series_id, holiday, round(avg(residual), 6) AS mean_residual, CAST(count(*) AS BIGINT) AS n
+FROM dec JOIN cal ON cal.ts = dec.ts GROUP BY 1, 2""")
 
 
-@query("ts_holiday_effect")
+@query("ts_holiday_effect", sql=HOLIDAY_SQL)
 def q_ts_holiday_effect(spark, sf):
     """Mean residual on calendar days supplied by the user (here: 1 January and
     25 December of each year in range)."""
@@ -168,7 +198,7 @@ def q_ts_holiday_effect(spark, sf):
         F.make_date("yr", F.lit(1), F.lit(1)), F.make_date("yr", F.lit(12), F.lit(25)))).alias("ts"))
     cal = cal.withColumn("holiday", F.date_format("ts", "MM-dd"))
     return d.join(F.broadcast(cal), "ts").groupBy("series_id", "holiday").agg(
-        F.avg("residual").alias("mean_residual"), F.count(F.lit(1)).alias("n"))
+        F.round(F.avg("residual"), 6).alias("mean_residual"), F.count(F.lit(1)).alias("n"))
 
 
 def _fc(t, horizon=7):
