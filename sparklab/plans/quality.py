@@ -305,7 +305,22 @@ def q_prediction_drift(spark, sf):
     return _r6(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
-@query("structural_feature_filter")
+def _structural_sql():
+    feats = ["c_custkey", "tenure_months", "monthly_charges", "n_orders", "const_col", "tenure_days"]
+    cand = ["tenure_months", "monthly_charges", "n_orders", "tenure_days"]
+    prof = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS d FROM f" for c in feats)
+    pairs = " UNION ALL ".join(f"SELECT '{b}' AS column_name, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c FROM f"
+                               for i, a in enumerate(cand) for b in cand[i + 1:])
+    return with_sql(SCORES_SQL, f""",
+f AS (SELECT *, 1.0 AS const_col, tenure_months * 30 + 1 AS tenure_days FROM scores),
+p AS ({prof}), red AS (SELECT DISTINCT column_name FROM ({pairs}) WHERE abs(c) >= 0.95),
+r AS (SELECT p.column_name, CASE WHEN d = (SELECT count(*) FROM f) THEN 'identifier' WHEN d <= 1 THEN 'constant'
+                                 WHEN red.column_name IS NOT NULL THEN 'near_duplicate' END AS drop_reason
+      FROM p LEFT JOIN red ON red.column_name = p.column_name)
+SELECT column_name, drop_reason, drop_reason IS NULL AS keep FROM r""")
+
+
+@query("structural_feature_filter", sql=_structural_sql())
 def q_structural_feature_filter(spark, sf):
     """Keep list: drop identifiers (distinct = rows), constants and near-duplicate
     features; never on low correlation with the label alone."""

@@ -17,7 +17,7 @@ from sparklab.operators import quality as qa
 from sparklab.plans.fixtures import SCORES_SQL, md5num_sql, with_sql
 from sparklab.plans.quality import DQ_SQL
 from sparklab.plans.registry import query
-from sparklab.plans.text import SENT_SQL
+from sparklab.plans.text import FINDINGS_SQL, SENT_SQL
 from sparklab.plans.timeseries import step_sql
 from sparklab.session import ensure_checkpoint_dir
 from sparklab.sources import io
@@ -212,7 +212,7 @@ def q_batch_on_schedule(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("findings_stream")
+@query("findings_stream", sql=with_sql(FINDINGS_SQL, "SELECT doc_id, info_type, quote, likelihood FROM findings"))
 def q_findings_stream(spark, sf):
     """Sensitive-data findings available while the job runs (append mode)."""
     from sparklab.operators.privacy import inspect_infotypes

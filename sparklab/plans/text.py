@@ -377,13 +377,40 @@ def q_inspect_infotypes(spark, sf):
     return f.where(F.col("info_type") != "CREDIT_CARD_NUMBER")
 
 
-@query("inspect_cards")
+def _luhn_sql(q: str) -> str:
+    """Likelihood of a card quote: LIKELY when its digits pass the Luhn check."""
+    dg = f"regexp_replace({q}, '[^0-9]', '', 'g')"
+    digit = f"CAST(substr({dg}, length({dg}) - i, 1) AS INTEGER)"
+    s = (f"list_sum(list_transform(range(0, length({dg})), lambda i: CASE WHEN i % 2 = 1 THEN "
+         f"(CASE WHEN 2 * {digit} > 9 THEN 2 * {digit} - 9 ELSE 2 * {digit} END) ELSE {digit} END))")
+    return f"CASE WHEN length({dg}) >= 12 AND {s} % 10 = 0 THEN 'LIKELY' ELSE 'POSSIBLE' END"
+
+
+FINDINGS_SQL = f"""raw AS (SELECT doc_id, lang, source, text, unnest({_det_sql_array()}) AS f FROM documents),
+findings AS (SELECT doc_id, lang, source, text, f.info_type AS info_type, f.quote AS quote,
+                    CASE WHEN f.info_type = 'CREDIT_CARD_NUMBER' THEN {_luhn_sql('f.quote')} ELSE f.likelihood END AS likelihood
+             FROM raw)"""
+
+
+@query("inspect_cards", sql=with_sql(FINDINGS_SQL, """
+SELECT doc_id, lang, source, info_type, quote, likelihood FROM findings WHERE info_type = 'CREDIT_CARD_NUMBER'"""))
 def q_inspect_cards(spark, sf):
+    """Card findings with identifying fields; LIKELY when the digits pass Luhn."""
     f = pv.inspect_infotypes(Tables(spark, sf).documents, "doc_id", "text", id_fields=["lang", "source"])
     return f.where(F.col("info_type") == "CREDIT_CARD_NUMBER")
 
 
-@query("inspect_rules")
+LEVELS_SQL = "[" + ", ".join(f"'{x}'" for x in pv.LIKELIHOOD_ORDER) + "]"
+
+
+@query("inspect_rules", sql=with_sql(FINDINGS_SQL, f""",
+c AS (SELECT *, instr(text, quote) AS pos,
+             lower(substring(text, greatest(instr(text, quote) - 30, 1), least(instr(text, quote) - 1, 30))) AS ctx,
+             list_position({LEVELS_SQL}, likelihood) AS lvl FROM findings),
+h AS (SELECT *, CASE WHEN info_type = 'CREDIT_CARD_NUMBER' AND (contains(ctx, 'card') OR contains(ctx, 'visa')) AND pos > 0
+                     THEN least(lvl + 1, {len(pv.LIKELIHOOD_ORDER)}) ELSE lvl END AS lvl2 FROM c)
+SELECT doc_id, info_type, quote, {LEVELS_SQL}[lvl2] AS likelihood FROM h
+WHERE NOT (info_type = 'IP_ADDRESS' AND regexp_matches(quote, '^(10|127)\\.')) AND lvl2 >= 3"""))
 def q_inspect_rules(spark, sf):
     d = Tables(spark, sf).documents
     f = pv.inspect_infotypes(d, "doc_id", "text")
