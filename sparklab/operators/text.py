@@ -34,8 +34,8 @@ def score_table(df: DataFrame, prompt: Column, scorer: Callable[[pd.Series], lis
     """Batch a table through a caller-supplied scorer with an enforced schema.
 
     ``scorer`` receives a pandas Series of prompts (one Arrow batch) and returns
-    one JSON text per prompt.  It is built once per partition (pass a factory
-    by wrapping it in a class with ``__call__`` if it holds a client).  Errors
+    one JSON text per prompt.  Pass a class (with ``__call__``) to have it
+    instantiated once per partition, e.g. when it holds a network client.  Errors
     never fail the job: a row whose call raises, returns invalid JSON or a value
     of the wrong type gets a non-empty ``status`` and NULL typed columns.
     """
@@ -45,11 +45,14 @@ def score_table(df: DataFrame, prompt: Column, scorer: Callable[[pd.Series], lis
                                                     T.StructField("_status", T.StringType())])
 
     def run(batches):
+        # a class is instantiated once per partition (one client per task); an
+        # instance or function is used as given
+        call = scorer() if isinstance(scorer, type) else scorer
         for pdf in batches:
             prompts = pdf["_prompt"]
             raw, status = [None] * len(prompts), [""] * len(prompts)
             try:
-                res = list(scorer(prompts))
+                res = list(call(prompts))
                 if len(res) != len(prompts):
                     raise ValueError("scorer returned a different number of rows")
                 for i, r in enumerate(res):
@@ -58,7 +61,7 @@ def score_table(df: DataFrame, prompt: Column, scorer: Callable[[pd.Series], lis
                 for i, p in enumerate(prompts):
                     for attempt in range(max_retries + 1):
                         try:
-                            raw[i] = list(scorer(pd.Series([p])))[0]
+                            raw[i] = list(call(pd.Series([p])))[0]
                             status[i] = ""
                             break
                         except Exception as e:  # noqa: BLE001

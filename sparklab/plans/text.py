@@ -41,7 +41,7 @@ def lexicon_scored(t):
 def q_score_table(spark, sf):
     d = Tables(spark, sf).documents.select("doc_id", "lang", "text")
     prompt = F.concat(F.lit("Classify the sentiment of this text.\nText: "), F.col("text"))
-    return tx.score_table(d, prompt, tx.LexiconScorer(),
+    return tx.score_table(d, prompt, tx.LexiconScorer,
                           "sentiment STRING, confidence DOUBLE, themes ARRAY<STRING>, actionable_issue STRING",
                           keep=["doc_id", "lang"])
 
