@@ -76,6 +76,27 @@ def approx_quantiles(df: DataFrame, c: str, n: int = 100, accuracy: int = 10_000
     return df.agg(F.percentile_approx(F.col(c), probs, accuracy).alias(f"{c}_quantiles"))
 
 
+def quantile_sketches(df: DataFrame, c: str, by: list[str], k: int = 200) -> DataFrame:
+    """Mergeable KLL sketches of ``c`` per group (e.g. per day): store them, then
+    ``merged_quantiles`` answers for any union of groups without rescanning."""
+    return df.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, probs: list[float]) -> DataFrame:
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("m"))
+    return merged.select(*[F.kll_sketch_get_quantile_double("m", F.lit(p)).alias(f"q{int(round(p * 100))}")
+                           for p in probs])
+
+
+def distinct_sketches(df: DataFrame, c: str, by: list[str]) -> DataFrame:
+    """Mergeable HLL sketches of distinct ``c`` per group."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(F.col(c)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame) -> DataFrame:
+    return sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"))
+
+
 def histogram_fixed(df: DataFrame, c: str, width: float, out: str = "bin") -> DataFrame:
     b = (F.floor(F.col(c) / F.lit(width)) * F.lit(width))
     return df.groupBy(b.alias(out)).agg(F.count(F.lit(1)).alias("n"))

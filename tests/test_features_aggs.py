@@ -91,3 +91,29 @@ def test_profile_scan_options(spark):
     assert set(p) == {"id", "g"} and p["id"].num_rows == 400 and p["g"].distinct_ratio < 0.01
     sampled = profile_scan(df, sampling_percent=50.0).first().num_rows
     assert 150 < sampled < 350
+
+
+def test_mergeable_sketches_close_to_exact(spark):
+    from tests.conftest import SF01
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").withColumn("d", F.to_date("l_shipdate"))
+    sk = aggs.quantile_sketches(li, "l_extendedprice", ["d"])
+    q = aggs.merged_quantiles(sk, [0.5, 0.9]).first()
+    n = li.count()
+    # rank error of the merged sketch stays within a few percent
+    for got, p in ((q.q50, 0.5), (q.q90, 0.9)):
+        r = li.where(F.col("l_extendedprice") <= got).count() / n
+        assert abs(r - p) < 0.03
+    ds = aggs.merged_distinct(aggs.distinct_sketches(li, "l_partkey", ["d"])).first()[0]
+    ex = li.select("l_partkey").distinct().count()
+    assert abs(ds - ex) / ex < 0.05
+
+
+def test_vector_search_without_broadcast_matches(spark):
+    from sparklab.operators import text as tx
+    from tests.conftest import SF01
+    e = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    q = tx.centroids_by(e, "label", "embedding")
+    a = tx.vector_search(e, "vec_id", "embedding", q, "label", "centroid", k=3).select("query_id", "base_id", "rank")
+    b = tx.vector_search(e, "vec_id", "embedding", q, "label", "centroid", k=3, max_broadcast_queries=1).select(
+        "query_id", "base_id", "rank")
+    assert sorted(a.collect()) == sorted(b.collect())
