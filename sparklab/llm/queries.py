@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import bpe, fingerprints, language, token_counts, token_store
+from sparklab.llm import bpe, fingerprints, language, quality_rules, token_counts, token_store, toxicity
 from sparklab.llm.common import documents, scratch, text_or_empty
 
 QUERIES: dict = {}
@@ -68,6 +68,26 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", bpe.n_ids().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of four fifths of the documents train."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = documents(spark, sf_dir, "doc_id", "quality", table="labels").where(fold(5) != 0)
+    ensemble = quality_rules.fit(docs, labels, "quality")
+    scored = quality_rules.score(docs, ensemble)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of two thirds of the documents train."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = documents(spark, sf_dir, "doc_id", "toxic", table="labels").where(fold(3) != 1)
+    model = toxicity.train(docs.join(labels.groupBy("doc_id").agg(F.max("toxic").alias("label")), "doc_id"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; three quarters of the documents train."""
