@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklab.llm.bpe import OTHER, SPACE, char_classes
-from sparklab.llm.common import M1, P, ranges, utf8
+from sparklab.llm.common import M1, P, powers, ranges, utf8
 
 Q = 10
 EDITS = 0.06
@@ -75,11 +75,11 @@ def gram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
     if len(chars) < q:
         return np.zeros(0, np.uint64)
     one = chars.astype(np.uint64)
-    h, done, power = one, 1, P
+    h, done = one, 1
     for bit in bin(q)[3:]:
-        h, done, power = h[:-done] * power + h[done:], 2 * done, power * power
+        h, done = h[:-done] * powers(done + 1)[done] + h[done:], 2 * done
         if bit == "1":
-            h, done, power = h[:-1] * P + one[done:], done + 1, power * P
+            h, done = h[:-1] * P + one[done:], done + 1
     return h
 
 
@@ -126,14 +126,14 @@ class Index:
         found = self.table[slots(h)]
         for end in at[1:-1].tolist():  # q-grams over the ends of rows are none
             found[max(0, end - self.q + 1) : end] = False
-        total = np.concatenate([[0], np.cumsum(found, dtype=np.int64)])
-        dense = np.zeros(n + 1, np.int32)
+        # q-grams that lie in some window with enough of them
+        hit = np.flatnonzero(found)
+        dense = np.zeros(len(hit) + 1, np.int32)
         for width, least in self.windows:
-            width = min(width, n)
-            first = np.flatnonzero(total[width:] - total[:-width] >= least)
-            np.add.at(dense, first, 1)
-            np.add.at(dense, first + width, -1)
-        hit = np.flatnonzero(found & (np.cumsum(dense)[:n] > 0))
+            first = np.flatnonzero(hit[least - 1 :] - hit[: len(hit) - least + 1] < width) if len(hit) >= least else hit[:0]
+            dense[first] += 1
+            dense[first + least] -= 1
+        hit = hit[np.cumsum(dense)[:-1] > 0]
         if not len(hit):
             return []
         a, b = np.searchsorted(self.h, h[hit], "left"), np.searchsorted(self.h, h[hit], "right")
