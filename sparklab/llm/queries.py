@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import bpe, decontaminate, fingerprints, language, quality_rules, token_counts, token_store, toxicity
+from sparklab.llm import bpe, decontaminate, fingerprints, language, ngram_join, quality_rules, token_counts, token_store, toxicity
 from sparklab.llm.common import documents, scratch, text_or_empty
 
 QUERIES: dict = {}
@@ -88,6 +88,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles are at least 0.9 similar."""
+    return ngram_join.linked(documents(spark, sf_dir, "doc_id", "text"), words=3, percent=90)
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All passages of documents near a benchmark item."""
