@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import bpe, decontaminate, fingerprints, language, ngram_join, quality_rules, token_counts, token_store, toxicity
+from sparklab.llm import bpe, decontaminate, fingerprints, language, ngram_join, quality_rules, suffix_dedup, token_counts, token_store, toxicity
 from sparklab.llm.common import documents, scratch, text_or_empty
 
 QUERIES: dict = {}
@@ -53,6 +53,12 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, folder).drop("ids")
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of 100-byte strings that start earlier."""
+    return suffix_dedup.dedup(documents(spark, sf_dir, "doc_id", "text")).drop("kept")
+
+
 @query
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, with their likeness and that to the next document."""
