@@ -205,21 +205,25 @@ class Index:
         return [(int(v >> 40), int(v & (one - 1)), int(e)) for v, e in best.tolist()]
 
 
+def indexes(items: DataFrame, item_id: str, item_text: str, q: int, edits: float, block: int) -> Iterator:
+    """Broadcast indexes of the items, of ``block`` characters each on average."""
+    spark = items.sparkSession
+    queries = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
+    size = queries.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // block))
+    for k in range(blocks):
+        some = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        yield spark.sparkContext.broadcast(Index([(r["item"], r["text"]) for r in some.collect()], q, edits))
+
+
 def hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = Q, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
     """One row per passage of a document near an item: the document's other columns, ``item_id`` (long), ``start`` and
     ``end`` (code points) and ``distance``."""
-    spark = docs.sparkSession
     names = [f.name for f in HITS]
     keep = [c for c in docs.columns if c != text and c not in names]
     schema = T.StructType([docs.schema[c] for c in keep] + HITS)
-    queries = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
-    size = queries.agg(F.sum(F.length("text")), F.max(F.length("text"))).first()
-    blocks = max(1, -(-(size[0] or 0) // block))
-
-    def searched(k: int) -> DataFrame:
-        some = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast(Index([(r["item"], r["text"]) for r in some.collect()], q, edits))
 
+    def searched(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for b in batches:
@@ -231,7 +235,20 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
 
         return docs.select(*keep, text).mapInArrow(run, schema)
 
-    out = searched(0)
-    for k in range(1, blocks):
-        out = out.unionByName(searched(k))
-    return out
+    return functools.reduce(DataFrame.unionByName, map(searched, indexes(items, item_id, item_text, q, edits, block)))
+
+
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = Q, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
+    """The documents without any passage near an item, all columns as they are."""
+
+    def without(rows: DataFrame, shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for b in batches:
+                keep = np.ones(b.num_rows, bool)
+                keep[[x[0] for x in index.search(*utf8(b.column(text)))]] = False
+                yield b.filter(pa.array(keep))
+
+        return rows.mapInArrow(run, docs.schema)
+
+    return functools.reduce(without, indexes(items, item_id, item_text, q, edits, block), docs)

@@ -78,9 +78,9 @@ def measure(raw: bytes, offsets: np.ndarray) -> np.ndarray:
     return np.column_stack([words, np.bincount(of, length, minlength=n) / some, longest, total(_LETTER) / size, total(_UPPER) / np.maximum(total(_LETTER), 1), total(_DIGIT) / size, total(_SYMBOL) / size, total(_BAR) / size, total(_MARK) / size, total(_BLANK) / size, words / lines, distinct / some, repeat / some, bare / some, total(_HIGH) / size]).astype(np.float64)
 
 
-def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replace ``text`` by the columns of ``STATISTICS`` in a struct ``stats``; other columns are carried."""
-    keep = [c for c in df.columns if c not in (text, "stats")]
+def statistics(df: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """Replace ``text`` (or keep it beside) by the columns of ``STATISTICS`` in a struct ``stats``; others are carried."""
+    keep = [c for c in df.columns if c != "stats" and (keep_text or c != text)]
     kind = T.StructType([T.StructField(c, T.DoubleType()) for c in STATISTICS])
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("stats", kind)])
 
@@ -168,6 +168,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", tex
     return Ensemble([(rule, float(w)) for rule, w in zip(rules, weights) if w], float(lasso.intercept))
 
 
-def score(df: DataFrame, ensemble: Ensemble, text: str = "text", out: str = "score") -> DataFrame:
-    """Replace ``text`` by the probability of label 1; other columns are carried."""
-    return statistics(df, text).withColumn(out, ensemble.score()).drop("stats")
+def score(df: DataFrame, ensemble: Ensemble, text: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
+    """Replace ``text`` (or keep it beside) by the probability of label 1; other columns are carried."""
+    return statistics(df, text, keep_text).withColumn(out, ensemble.score()).drop("stats")

@@ -56,7 +56,7 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the bytes of 100-byte strings that start earlier."""
-    return suffix_dedup.dedup(documents(spark, sf_dir, "doc_id", "text")).drop("kept")
+    return suffix_dedup.dedup(documents(spark, sf_dir, "doc_id", "text")).drop("kept", "kept_text")
 
 
 @query

@@ -240,7 +240,7 @@ def _named(docs: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
             none = pa.nulls(len(parts)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(shard[cuts].astype(np.int32)), *cols, none, none, none], names=[*names, "run_id", "run_tie", "run"])
 
-    return docs.mapInArrow(run, f"{PACKED}, run_id long, run_tie long, run long")
+    return docs.select("id", "tie", "text").mapInArrow(run, f"{PACKED}, run_id long, run_tie long, run long")
 
 
 def _firsts(packed: DataFrame, length: int) -> DataFrame:
@@ -265,7 +265,7 @@ def _firsts(packed: DataFrame, length: int) -> DataFrame:
 
 
 def _cut(docs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The bytes of the segments to be sorted, from the documents."""
+    """The bytes of the segments to be sorted, from the documents (equal rows give equal segments)."""
     lists = segments.groupBy("id", "tie").agg(F.collect_list(F.struct("run", "anchor", "strings", "left")).alias("segments"))
     kind = f"{RUN}, anchor long, strings long, left long, bytes binary"
 
@@ -281,7 +281,7 @@ def _cut(docs: DataFrame, segments: DataFrame) -> DataFrame:
             id_, tie = (np.repeat(b.column(c).to_numpy(), n) for c in ("id", "tie"))
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (id_, tie, place, anchor, strings, left)), pa.array([raw[x:y] for x, y in zip(a, z)], pa.binary())], names=[c.split()[0] for c in kind.split(", ")])
 
-    return docs.dropDuplicates(["id", "tie"]).join(lists, ["id", "tie"]).select("id", "tie", "text", "segments").mapInArrow(run, kind)
+    return docs.select("id", "tie", "text").join(lists, ["id", "tie"]).select("id", "tie", "text", "segments").mapInArrow(run, kind)
 
 
 def _sorted(segments: DataFrame, length: int, held: int) -> DataFrame:
@@ -317,18 +317,19 @@ def _sorted(segments: DataFrame, length: int, held: int) -> DataFrame:
     return segments.repartition("anchor").select("id", "tie", "run", "strings", "left", "bytes").mapInArrow(run, RUN)
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, held: int = HELD, shards: int | None = None) -> DataFrame:
-    """Per document: ``key`` (a long), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept`` (the
-    other bytes) and ``kept_sha256`` (of them, lowercase hexadecimal)."""
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, held: int = HELD, shards: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: ``key`` (a long), the columns of ``carry``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
+    runs), ``kept`` (the other bytes), ``kept_sha256`` (of them, lowercase hexadecimal) and ``kept_text`` (of them,
+    without the parts of characters that a cut has split)."""
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.coalesce(F.col(key), F.lit(LAST)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.col(text).alias("text"))
+    docs = docs.select(F.coalesce(F.col(key), F.lit(LAST)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
     packed = written(_named(docs, shards, length, gram), "dedup-named")
     firsts = written(_firsts(packed, length), "dedup-firsts")
     segments = _cut(docs, firsts.where("anchor is not null"))
     runs = packed.where("shard is null").select(F.col("run_id").alias("id"), F.col("run_tie").alias("tie"), "run").union(firsts.where("anchor is null").select("id", "tie", "run")).union(_sorted(segments, length, held))
     lists = runs.groupBy("id", "tie").agg(F.collect_list("run").alias("runs"))  # fewer runs than the document has bytes
-    kind = T.StructType([T.StructField(key, T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType())])
+    kind = T.StructType([T.StructField(key, T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType()), docs.schema["carried"]])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -351,6 +352,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             ends = (offs - total[offs]).tolist()
             parts = [kept[a:z] for a, z in zip(ends, ends[1:])]
             ids = pa.array([None if x == LAST else x for x in b.column("id").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offs)), pa.array(np.diff(total[offs])), pa.array(np.diff(spans[offs])), pa.array(parts, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string())], names=kind.names)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offs)), pa.array(np.diff(total[offs])), pa.array(np.diff(spans[offs])), pa.array(parts, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in parts], pa.string()), b.column("carried")], names=kind.names)
 
-    return docs.join(lists, ["id", "tie"], "left").select("id", "text", F.coalesce("runs", F.array().cast("array<long>")).alias("runs")).mapInArrow(remove, kind)
+    done = docs.join(lists, ["id", "tie"], "left").select("id", "text", "carried", F.coalesce("runs", F.array().cast("array<long>")).alias("runs")).mapInArrow(remove, kind)
+    return done.select(key, *(F.col(f"carried.{c}").alias(c) for c in carry), *[c for c in kind.names[1:] if c != "carried"])
