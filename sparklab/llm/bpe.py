@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from sparklab.llm.common import utf8
 
 #: Fragments that a worker remembers; beyond them it starts anew (memory bound only, results do not change).
-MEMO = 700_000
+MEMO = 350_000
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Suffixes that a pre-token of their own begins with an apostrophe (fixed values of the public pattern).
