@@ -179,29 +179,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, kind)
 
 
-def _sets(docs: DataFrame, members: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """(key, sorted hashes) of the ``needed`` classes, from the text of one member of each."""
-    first = members.join(needed, "key").where("id is not null").groupBy("id").agg(F.min("key").alias("key"))
-    first = written(first.groupBy("key").agg(F.min("id").alias("id")), "join-needed")
-    # an id with several texts can stand for several classes: the class is compared again with the text's own
-    wanted = None
-    if first.count() <= BROADCAST:
-        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(first.select("id").toArrow().column("id").to_numpy()))
-    else:
-        docs = docs.join(first.select("id").distinct(), "id", "left_semi")
+def _sets(docs: DataFrame, members: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(key, sorted hashes) of the classes of ``pairs``, from the text of one member of each."""
+    needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    first = members.join(needed, "key").where("id is not null").groupBy("key").agg(F.min("id").alias("id"))
+    first = written(first, "join-needed")
+    ids = first.select("id").distinct()
+    texts = docs.select("id", "text").join(F.broadcast(ids) if first.count() <= BROADCAST else ids, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if wanted is not None:
-                ids = b.column("id").fill_null(-1).to_numpy()
-                keys = wanted.value
-                some = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, ids), len(keys) - 1)] == ids) if len(keys) else []
-                b = b.take(pa.array(some, pa.int64()))
             s = Sets(*utf8(b.column("text")), words)
             rows = [s.hash[a:z].tobytes() for a, z in zip(s.at.tolist(), s.at[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(s.keys()), pa.array(rows, pa.binary())], names=["key", "set"])
 
-    return docs.select("id", "text").mapInArrow(run, "key long, set binary").join(needed, "key", "left_semi").dropDuplicates(["key"])
+    # an id with several texts can stand for several classes, so the classes come from the texts themselves
+    return written(texts.mapInArrow(run, "key long, set binary").dropDuplicates(["key"]), "join-sets")
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
@@ -218,21 +211,19 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     pivot = rows.groupBy("h").agg(F.min(F.struct(F.xxhash64("key"), F.col("key").alias("other"), F.col("at").alias("other_at"))).alias("p"), F.count("*").alias("n")).where("n > 1").select("h", "p.other", "p.other_at")
     shared = written(rows.join(pivot, "h"), "join-shared")
     pairs = shared.where("key <> other").where(_passes("at", "other_at", percent))
-    sets = tested = links = labels = None
+    tested = links = None
+    labels = docs.sparkSession.createDataFrame([], "key long, label long")
     for k in range(ROUNDS + 1):
         found = _candidates(pairs, sizes, percent)
         if tested is not None:
             found = found.join(tested, ["a", "b"], "left_anti")
         found = written(found, "join-pairs")
-        if sets is None:
-            # any class of an n-gram with a partner of fitting size can be needed later
-            needed = shared.where("key <> other").select("key").union(shared.select("other")).distinct()
-            sets = written(_sets(docs, members, needed, words), "join-sets")
-        new = written(_verified(found, sets, percent), "join-links")
-        tested = found if tested is None else tested.union(found)
-        links = new if links is None else links.union(new)
-        if labels is None or not new.isEmpty():
-            labels = components(links).withColumnRenamed("node", "key")
+        if not found.isEmpty():
+            new = written(_verified(found, _sets(docs, members, found, words), percent), "join-links")
+            tested = found if tested is None else tested.union(found)
+            if not new.isEmpty():
+                links = new if links is None else links.union(new)
+                labels = components(links).withColumnRenamed("node", "key")
         if k == ROUNDS:
             break
         # n-grams whose classes are still of different components

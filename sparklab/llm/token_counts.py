@@ -148,7 +148,7 @@ def attach_edits(state: DataFrame, edits: DataFrame, key: str = "doc_id", order:
     """Join a table of edits (key, order, start, length, replacement) to the documents as the column ``edits``.
 
     Ties in ``order`` are resolved by the other fields; edits of unknown documents are ignored."""
-    one = F.struct(order, F.col("start").cast("int"), F.col("length").cast("int"), "replacement")
+    one = F.struct(F.col(order).alias("seq"), F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length"), F.col("replacement"))
     lists = edits.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("edits"))
     lists = lists.withColumn("edits", F.transform("edits", lambda e: F.struct(e.start.alias("start"), e.length.alias("length"), e.replacement.alias("replacement"))))
     return state.drop("edits").join(lists, key, "left")
