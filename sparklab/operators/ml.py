@@ -10,6 +10,8 @@ prefix sum, never a single-partition window over all rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import classification as MC
 from pyspark.ml import regression as MR
 from pyspark.ml.functions import vector_to_array
@@ -41,8 +43,9 @@ def data_split(df: DataFrame, method: str = "AUTO", key: str | None = None, eval
     if m == "CUSTOM":
         return df.withColumn("is_eval", F.col(custom_col).cast("boolean"))
     if m == "RANDOM":
-        pct = int(round(eval_fraction * 1000))
-        return df.withColumn("is_eval", F.pmod(md5num(key), F.lit(1000)) < pct)
+        # thousandths suffice for the usual fractions; a smaller share of a large table needs a finer modulus
+        modulus = 1000 if eval_fraction * 1000 == round(eval_fraction * 1000) else 1_000_000_000
+        return df.withColumn("is_eval", F.pmod(md5num(key), F.lit(modulus)) < math.ceil(eval_fraction * modulus))
     if m == "SEQ":
         r = ranking.row_number(df, [], [F.col(seq_col), F.col(key)], "_seq")
         r = ranking.group_sizes(r, [], "_n")
@@ -112,6 +115,8 @@ def model_weights(model, names: list[str]) -> DataFrame:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     coef = model.coefficients.toArray().tolist()
+    if len(names) != len(coef):
+        raise ValueError(f"{len(names)} names for {len(coef)} weights")
     rows = [(n, float(w)) for n, w in zip(names, coef)] + [("__INTERCEPT__", float(model.intercept))]
     return spark.createDataFrame(rows, "processed_input string, weight double")
 

@@ -71,7 +71,7 @@ def prefix_sum(df: DataFrame, part: list[str], order: list, weight, out: str,
     # ``slices`` has one row per (range partition, group): its size is bounded by
     # partitions + groups, never by rows, so this small window and the join are cheap.
     offsets = slices.withColumn("_off", F.coalesce(F.sum("_tot").over(wo), F.lit(0))).drop("_tot")
-    res = local.join(offsets, on=["_pid", *part], how="inner")
+    res = _join_back(local, offsets, ["_pid", *part])
     return res.withColumn(out, F.col("_local") + F.col("_off")).drop("_w", "_pid", "_local", "_off")
 
 
@@ -88,7 +88,7 @@ def group_sizes(df: DataFrame, part: list[str], out: str = "_n") -> DataFrame:
         tot = df.agg(F.count(F.lit(1)).alias(out))
         return df.crossJoin(F.broadcast(tot))  # one row: a proven size bound
     sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, on=part, how="inner")
+    return _join_back(df, sizes, part)
 
 
 def ntile(df: DataFrame, k: int, part: list[str], order: list, out: str = "ntile",
@@ -114,7 +114,7 @@ def value_ranks(df: DataFrame, part: list[str], value: str, n_parts: int | None
     d = prefix_sum(d, part, [value], "_c", "_lt", n_parts=n_parts)
     d = d.withColumn("_le", F.col("_lt") + F.col("_c")).drop("_c")
     # group totals: one row per group (a single row when global -> broadcast is bounded)
-    d = d.join(tot, on=part, how="inner") if part else d.crossJoin(F.broadcast(tot))
+    d = _join_back(d, tot, part) if part else d.crossJoin(F.broadcast(tot))
     return _join_back(df, d, [*part, value])
 
 

@@ -62,3 +62,25 @@ def test_no_single_partition_exchange(data):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "Aggregate" in lines[i + 1]
+
+
+def test_null_groups_stay(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from sparklab.operators import ranking
+
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", 3, 1.0), ("a", 4, 3.0)], "g string, id int, v double")
+    w = Window.partitionBy("g").orderBy("v", "id")
+    want = {(r["id"], r["rn"], r["pr"], r["nt"]) for r in df.select("id", F.row_number().over(w).alias("rn"), F.percent_rank().over(Window.partitionBy("g").orderBy("v")).alias("pr"), F.ntile(2).over(w).alias("nt")).collect()}
+    rn = {r["id"]: r["rn"] for r in ranking.row_number(df, ["g"], ["v", "id"]).collect()}
+    pr = {r["id"]: r["percent_rank"] for r in ranking.percent_rank(df, ["g"], "v").collect()}
+    nt = {r["id"]: r["ntile"] for r in ranking.ntile(df, 2, ["g"], ["v", "id"]).collect()}
+    assert {(k, rn[k], pr[k], nt[k]) for k in rn} == want and len(rn) == len(pr) == len(nt) == 4
+
+
+def test_auto_split_of_a_huge_table_has_eval_rows(spark):
+    from sparklab.operators import ml
+
+    rows = spark.range(400_000).withColumnRenamed("id", "k")
+    assert ml.data_split(rows, "AUTO", "k", n_rows=1_000_000_000).where("is_eval").count() > 0
