@@ -40,8 +40,10 @@ from sparklab.llm.fingerprints import shingle_hashes
 
 CELLS = 1 << 18
 CLASSES = 16
-#: Class ids that are broadcast at most (8 bytes each); more are joined by a shuffle.
-BROADCAST = 2_000_000
+#: Places that sets are sent to, broadcast at most (24 bytes each); more are joined by a shuffle.
+BROADCAST = 1_000_000
+#: Partners of a hub that one task compares with it, and bytes of sets that leave a task in one Arrow batch.
+PARTNERS, FLUSH = 64, 8 << 20
 #: Rounds of pivots before all remaining pairs.
 ROUNDS = 2
 
@@ -162,39 +164,62 @@ def _candidates(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where((100 + percent) * both >= percent * (F.col("n") + F.col("m"))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are as similar as asked."""
-    kind = "a long, b long"
+def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are as similar as asked; ``hub`` picks a side of each.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for p, q in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                x, y = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                all_ = np.sort(np.concatenate([x, y]), kind="stable")
-                both = int(np.count_nonzero(all_[1:] == all_[:-1]))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, kind)
-
-
-def _sets(docs: DataFrame, members: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(key, sorted hashes) of the classes of ``pairs``, from the text of one member of each."""
-    needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    first = members.join(needed, "key").where("id is not null").groupBy("key").agg(F.min("id").alias("id"))
-    first = written(first, "join-needed")
-    ids = first.select("id").distinct()
-    texts = docs.select("id", "text").join(F.broadcast(ids) if first.count() <= BROADCAST else ids, "id", "left_semi")
+    A hub's set travels once per ``PARTNERS`` partners and a partner's set once per pair, straight from the texts: the
+    sets are neither stored nor sent to be joined twice.  No part of a hub is larger than about ``PARTNERS`` sets."""
+    pairs = pairs.select("a", "b", hub.alias("hub"))
+    parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PARTNERS).alias("parts"))
+    spread = pairs.join(parts, "hub").select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("key"), "parts")
+    spread = spread.withColumn("part", F.pmod(F.xxhash64("key"), "parts")).select("key", "hub", "part")
+    ways = spread.union(spread.select(F.col("hub").alias("key"), "hub", "part").distinct())
+    first = members.join(ways.select("key").distinct(), "key").where("id is not null").groupBy("key").agg(F.min("id").alias("id"))
+    ways = ways.join(first, "key").groupBy("id", F.floor(F.col("part") / 256).alias("some")).agg(F.collect_list(F.struct("key", "hub", "part")).alias("ways")).select("id", "ways")
+    ways = written(ways, "join-ways")
+    texts = docs.select("id", "text").join(F.broadcast(ways) if ways.agg(F.sum(F.size("ways"))).first()[0] <= BROADCAST else ways, "id").select("text", "ways")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
         for b in batches:
             s = Sets(*utf8(b.column("text")), words)
-            rows = [s.hash[a:z].tobytes() for a, z in zip(s.at.tolist(), s.at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(s.keys()), pa.array(rows, pa.binary())], names=["key", "set"])
+            keys = s.keys().tolist()
+            for row, ways_ in enumerate(b.column("ways")):
+                x = s.hash[s.at[row] : s.at[row + 1]].tobytes()
+                for w in ways_.as_py():
+                    # an id with several texts can stand for several classes
+                    if w["key"] == keys[row]:
+                        out.append((w["hub"], w["part"], w["key"], x))
+                        size += len(x)
+                        if size > FLUSH:
+                            yield _batch(out)
+                            out, size = [], 0
+        if out:
+            yield _batch(out)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, whole = None, None
+        for b in batches:
+            a, z = [], []
+            for hub_, part, key, raw in zip(b.column("hub").to_pylist(), b.column("part").to_pylist(), b.column("key").to_pylist(), b.column("set")):
+                x = np.frombuffer(raw.as_buffer(), np.uint64)
+                if key == hub_:
+                    at, whole = (hub_, part), x.copy()
+                elif at == (hub_, part):
+                    all_ = np.sort(np.concatenate([whole, x]), kind="stable")
+                    both = int(np.count_nonzero(all_[1:] == all_[:-1]))
+                    if 100 * both >= percent * (len(all_) - both):
+                        a.append(min(key, hub_))
+                        z.append(max(key, hub_))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
+
+    sent = texts.mapInArrow(send, "hub long, part long, key long, set binary").repartition("hub", "part")
+    return sent.sortWithinPartitions("hub", "part", F.col("key") != F.col("hub")).mapInArrow(compare, "a long, b long")
+
 
-    # an id with several texts can stand for several classes, so the classes come from the texts themselves
-    return written(texts.mapInArrow(run, "key long, set binary").dropDuplicates(["key"]), "join-sets")
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    hub, part, key, sets = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(hub, pa.int64()), pa.array(part, pa.int64()), pa.array(key, pa.int64()), pa.array(sets, pa.binary())], names=["hub", "part", "key", "set"])
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
@@ -207,11 +232,12 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     prefixes = written(_prefixes(docs, _cells(summary), words, percent), "join-prefixes")
     sizes = prefixes.select("key", "n", "classes")
     rows = _spread(prefixes)
-    # the pivot of an n-gram is its class of the smallest hash; n-grams of one class only meet nobody
-    pivot = rows.groupBy("h").agg(F.min(F.struct(F.xxhash64("key"), F.col("key").alias("other"), F.col("at").alias("other_at"))).alias("p"), F.count("*").alias("n")).where("n > 1").select("h", "p.other", "p.other_at")
+    # the pivot of an n-gram is its class of the smallest key (a hash); n-grams of one class only meet nobody
+    pivot = rows.groupBy("h").agg(F.min("key").alias("other"), F.min_by("at", "key").alias("other_at"), F.count("*").alias("n")).where("n > 1").select("h", "other", "other_at")
     shared = written(rows.join(pivot, "h"), "join-shared")
     pairs = shared.where("key <> other").where(_passes("at", "other_at", percent))
     tested = links = None
+    hub = F.col("a")
     labels = docs.sparkSession.createDataFrame([], "key long, label long")
     for k in range(ROUNDS + 1):
         found = _candidates(pairs, sizes, percent)
@@ -219,7 +245,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             found = found.join(tested, ["a", "b"], "left_anti")
         found = written(found, "join-pairs")
         if not found.isEmpty():
-            new = written(_verified(found, _sets(docs, members, found, words), percent), "join-links")
+            new = written(_verified(docs, members, found, hub, words, percent), "join-links")
             tested = found if tested is None else tested.union(found)
             if not new.isEmpty():
                 links = new if links is None else links.union(new)
@@ -228,9 +254,11 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             break
         # n-grams whose classes are still of different components
         at = shared.select("h", "key", "at").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min(F.struct(F.xxhash64(F.lit(k), "key"), F.col("key").alias("other"), F.col("at").alias("other_at"), F.col("label").alias("other_label"))).alias("p")).where("x <> y")
+        by = F.xxhash64(F.lit(k), "key")
+        split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("at", "other_at"), ("label", "other_label")))).where("x <> y")
+        hub = F.when(F.xxhash64(F.lit(k), "a") < F.xxhash64(F.lit(k), "b"), F.col("a")).otherwise(F.col("b")) if k + 1 < ROUNDS else F.col("a")
         if k + 1 < ROUNDS:
-            pairs = at.join(split.select("h", "p.other", "p.other_at", "p.other_label"), "h").where("label <> other_label").where(_passes("at", "other_at", percent))
+            pairs = at.join(split.select("h", "other", "other_at", "other_label"), "h").where("label <> other_label").where(_passes("at", "other_at", percent))
         else:
             rest = written(at.join(split.select("h"), "h"), "join-rest")
             other = rest.select("h", F.col("key").alias("other"), F.col("at").alias("other_at"), F.col("label").alias("other_label"))

@@ -195,6 +195,15 @@ def test_ngram_join_equals_brute_force(spark):
     assert ngram_join.linked(empty(spark)).count() == 0
 
 
+def test_ngram_join_splits_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PARTNERS", 3)
+    w = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join([*w, f"end{k}"])) for k in range(20)] + [(30, " ".join(w[:60])), (31, " ".join(w)), (31, " ".join(w)), (None, " ".join(w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1))
+    got = {(x["doc_id"], x["component_id"]) for x in ngram_join.linked(docs).collect()}
+    assert got == {(k, 0) for k in [*range(20), 31, None]} | {(30, 30)}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
