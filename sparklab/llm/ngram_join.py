@@ -6,7 +6,8 @@ those prefix n-grams, and are compared by
 
 * length: the smaller size is at least t times the larger one,
 * position: what can follow the shared n-gram in both orders still allows the overlap that t asks for,
-* suffix: n-grams fall into 16 classes by hash; the sum over the classes of the smaller count bounds the overlap,
+* suffix: n-grams fall into 512 classes by hash; each class whose two counts differ in parity holds an n-gram of one
+  set only, so the number of these classes bounds from below how far the sets differ,
 
 and each pair that remains is verified once on the whole sets.
 
@@ -39,7 +40,7 @@ from sparklab.llm.components import components
 from sparklab.llm.fingerprints import shingle_hashes
 
 CELLS = 1 << 18
-CLASSES = 16
+CLASSES = 512
 #: Places that sets are sent to, broadcast at most (24 bytes each); more are joined by a shuffle.
 BROADCAST = 1_000_000
 #: Partners of a hub that one task compares with it, and bytes of sets that leave a task in one Arrow batch.
@@ -109,9 +110,9 @@ def _cells(summary: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Per document with n-grams: key, n, its prefix (hashes, rare first) and the counts of its suffix classes."""
+    """Per document with n-grams: key, n, its prefix (hashes, rare first) and the parities of its suffix classes as bits."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
-    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType()), T.StructField("classes", T.ArrayType(T.IntegerType()))])
+    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType()), T.StructField("classes", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = shared.value
@@ -125,9 +126,10 @@ def _prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> D
             some = np.flatnonzero(s.n)
             ends = np.cumsum(prefix[some])
             classes = np.bincount(s.row * CLASSES + (s.hash & np.uint64(CLASSES - 1)).astype(np.int64), minlength=s.rows * CLASSES).reshape(s.rows, CLASSES)[some]
+            bits = np.packbits((classes & 1).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view("<i8")
             yield pa.RecordBatch.from_arrays([
                 pa.array(s.keys()[some]), pa.array(s.n[some].astype(np.int64)), pa.array([kept[a:z].tobytes() for a, z in zip([0, *ends.tolist()], ends.tolist())], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * CLASSES), pa.array(classes.reshape(-1).astype(np.int32))),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * (CLASSES // 64)), pa.array(bits)),
             ], names=kind.names)
 
     return docs.mapInArrow(run, kind).dropDuplicates(["key"])
@@ -156,12 +158,17 @@ def _passes(x: str, y: str, percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
+def _near(c: str, d: str, n, m, percent: int):
+    """Whether sets of ``n`` and ``m`` n-grams with the parities ``c`` and ``d`` may link."""
+    apart = sum((F.bit_count(F.col(c)[k].bitwiseXOR(F.col(d)[k])) for k in range(CLASSES // 64)), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (n + m)
+
+
 def _candidates(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) that pass the suffix filter."""
     pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     x, y = sizes.toDF("a", "n", "c"), sizes.toDF("b", "m", "d")
-    both = F.aggregate(F.zip_with("c", "d", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
-    return pairs.join(x, "a").join(y, "b").where((100 + percent) * both >= percent * (F.col("n") + F.col("m"))).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").where(_near("c", "d", F.col("n"), F.col("m"), percent)).select("a", "b")
 
 
 def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words: int, percent: int) -> DataFrame:
@@ -260,9 +267,10 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
         if k + 1 < ROUNDS:
             pairs = at.join(split.select("h", "other", "other_at", "other_label"), "h").where("label <> other_label").where(_passes("at", "other_at", percent))
         else:
-            rest = written(at.join(split.select("h"), "h"), "join-rest")
-            other = rest.select("h", F.col("key").alias("other"), F.col("at").alias("other_at"), F.col("label").alias("other_label"))
-            pairs = rest.join(other, (rest["h"] == other["h"]) & (F.col("key") < F.col("other")) & (F.col("label") != F.col("other_label")) & _passes("at", "other_at", percent)).select("key", "other")
+            rest = written(at.join(split.select("h"), "h").join(sizes.select("key", "n", "classes"), "key"), "join-rest")
+            other = rest.select("h", *(F.col(c).alias(f"other_{c}") for c in ("at", "label", "n", "classes")), F.col("key").alias("other"))
+            near = _passes("at", "other_at", percent) & _near("classes", "other_classes", F.col("n"), F.col("other_n"), percent)
+            pairs = rest.join(other, (rest["h"] == other["h"]) & (F.col("key") < F.col("other")) & (F.col("label") != F.col("other_label")) & near).select("key", "other")
     names = members.where("n > 0").select("key", "id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = names.groupBy("label").agg(F.min("id").alias("component_id"))
     # one row per class, so that copies do not meet in one task: their rows are split by the join
