@@ -104,18 +104,18 @@ def apply_rules(findings: DataFrame, df: DataFrame, key: str, text: str, hotword
                 exclusions: dict | None = None, window: int = 30, min_likelihood: str = "POSSIBLE") -> DataFrame:
     """Hotword rules (a word within ``window`` characters before the match raises
     likelihood one level), exclusion rules (a regex on the quote drops it) and
-    a minimum likelihood."""
+    a minimum likelihood.  ``findings`` carry the 0-based ``start`` of each match
+    (``inspect_infotypes(..., with_offsets=True)``), so equal quotes at several
+    places are judged each by its own context."""
     j = findings.join(df.select(key, text), key)
-    pos = F.expr(f"instr(`{text}`, quote)")
-    ctx = F.lower(F.expr(f"substring(`{text}`, greatest(instr(`{text}`, quote) - {window}, 1), "
-                         f"least(instr(`{text}`, quote) - 1, {window}))"))
+    ctx = F.lower(F.expr(f"substring(`{text}`, greatest(start + 1 - {window}, 1), least(start, {window}))"))
     order = F.array(*[F.lit(x) for x in LIKELIHOOD_ORDER])
     lvl = F.array_position(order, F.col("likelihood"))
     for t, words in (hotwords or {}).items():
         hit = F.lit(False)
         for w in words:
             hit = hit | ctx.contains(w.lower())
-        lvl = F.when((F.col("info_type") == t) & hit & (pos > 0), F.least(lvl + 1, F.lit(len(LIKELIHOOD_ORDER)))) \
+        lvl = F.when((F.col("info_type") == t) & hit, F.least(lvl + 1, F.lit(len(LIKELIHOOD_ORDER)))) \
                .otherwise(lvl)
     j = j.withColumn("_lvl", lvl)
     for t, pat in (exclusions or {}).items():

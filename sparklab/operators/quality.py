@@ -75,13 +75,14 @@ def _numeric_edges(df: DataFrame, numeric: list[str]) -> DataFrame:
 def _bin_expr(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     width = (hi - lo) / F.lit(bins)
     raw = F.floor((x - lo) / width)
-    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)))
-    return F.when(x.isNull(), F.lit(-1)).otherwise(b).cast("int")
+    b = (F.when(x.isNull(), F.lit(-1)).when(lo.isNull() | (x > hi), F.lit(bins)).when(x < lo, F.lit(-2))
+          .when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))))
+    return b.cast("int")
 
 
 def _numeric_hist(df: DataFrame, numeric: list[str], edges: DataFrame, bins: int) -> DataFrame:
-    """Counts per (feature, bin) with shared edges; out-of-range values go to the
-    end bins, NULL to bin -1.  ``edges`` has one row per feature: broadcast is
+    """Counts per (feature, bin) with shared edges; values below the edges go to
+    bin -2, above them (or when the baseline has no value) to bin ``bins``, NULL to bin -1.  ``edges`` has one row per feature: broadcast is
     bounded by the column count."""
     lg = _long(df, numeric, "double").join(F.broadcast(edges), "feature")
     b = _bin_expr(F.col("value"), F.col("lo"), F.col("hi"), bins)

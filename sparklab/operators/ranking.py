@@ -24,18 +24,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Frames that ``range_slices`` persisted and ``release`` has not given back yet.
+_HELD: list[DataFrame] = []
+
+
 def _n_parts(df: DataFrame, n: int | None) -> int:
-    """Range slices: at least the configured shuffle partitions, and at least as
-    many as the input has splits, so a slice stays near a split's size as the
-    data grows (planning only, no job)."""
-    if n:
-        return n
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        inp = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - plans that cannot expose an RDD keep the default
-        inp = 0
-    return max(base, inp)
+    """Range slices: the caller's number, or the configured shuffle partitions
+    (asking the input for its splits would run its upstream stages)."""
+    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release() -> None:
+    """Unpersist every frame that ranking calls hold.  Call it when their results
+    have been written or collected; a result read later is computed again."""
+    while _HELD:
+        _HELD.pop().unpersist()
 
 
 def range_slices(df: DataFrame, keys: list, n_parts: int | None = None) -> DataFrame:
@@ -46,10 +49,12 @@ def range_slices(df: DataFrame, keys: list, n_parts: int | None = None) -> DataF
     independent evaluations could assign a row to different partitions.  One
     materialization gives every consumer the same assignment; a lost block is
     recomputed from the same partitioner, so the assignment survives executor
-    loss."""
+    loss.  ``release`` gives the storage back."""
     r = (df.repartitionByRange(_n_parts(df, n_parts), *keys)
            .withColumn("_pid", F.spark_partition_id()))
-    return r.persist(StorageLevel.MEMORY_AND_DISK)
+    r = r.persist(StorageLevel.MEMORY_AND_DISK)
+    _HELD.append(r)
+    return r
 
 
 def prefix_sum(df: DataFrame, part: list[str], order: list, weight, out: str,

@@ -151,23 +151,24 @@ FIT_SCHEMA = "series_id string, ar_order int, aic double, variance double, n_poi
 
 
 def _fit_ar(y: np.ndarray, max_p: int):
-    """AR(p) with intercept by least squares for p in 0..max_p; pick min AIC."""
-    best = None
+    """AR(p) with intercept by least squares for p in 0..max_p; pick min AIC.
+
+    All orders are compared on the same points (those that the highest order can
+    explain); the chosen one is then fitted on all of its own."""
     n = len(y)
-    for p in range(0, max_p + 1):
-        if n - p < p + 2:
-            break
-        Y = y[p:]
-        X = np.column_stack([np.ones(n - p)] + [y[p - j - 1:n - j - 1] for j in range(p)])
-        coef, *_ = np.linalg.lstsq(X, Y, rcond=None)
-        resid = Y - X @ coef
-        sse = float(resid @ resid)
-        m = len(Y)
-        var = sse / m if m else float("nan")
-        aic = m * np.log(max(var, 1e-12)) + 2 * (p + 1)
-        if best is None or aic < best[1]:
-            best = (p, aic, coef, var)
-    return best
+    top = min(max_p, (n - 2) // 2)
+
+    def fit(p, first):
+        X = np.column_stack([np.ones(n - first)] + [y[first - j - 1:n - j - 1] for j in range(p)])
+        coef, *_ = np.linalg.lstsq(X, y[first:], rcond=None)
+        resid = y[first:] - X @ coef
+        return coef, float(resid @ resid) / (n - first)
+
+    def aic(p):
+        return (n - top) * np.log(max(fit(p, top)[1], 1e-12)) + 2 * (p + 1)
+    p = min(range(top + 1), key=aic)
+    coef, var = fit(p, p)
+    return p, aic(p), coef, var
 
 
 def _forecast_ar(y, coef, p, horizon, var):
@@ -216,10 +217,13 @@ def fit_metadata(df: DataFrame, id_col: str, max_p: int = 3, min_points: int = 3
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         sid = str(pdf[id_col].iloc[0])
         y = pdf.sort_values("ts")["y"].astype(float).to_numpy()
-        if len(y) < min_points:
-            return pd.DataFrame([{"series_id": sid, "ar_order": None, "aic": None, "variance": None,
-                                  "n_points": len(y), "status": "failed", "message": "too few points"}])
-        p, aic, _, var = _fit_ar(y, max_p)
+        failed = {"series_id": sid, "ar_order": None, "aic": None, "variance": None, "n_points": len(y), "status": "failed"}
+        if len(y) < min_points or np.isnan(y).any():
+            return pd.DataFrame([failed | {"message": f"needs at least {min_points} non-null points"}])
+        try:
+            p, aic, _, var = _fit_ar(y, max_p)
+        except Exception as e:  # noqa: BLE001
+            return pd.DataFrame([failed | {"message": str(e)[:200]}])
         return pd.DataFrame([{"series_id": sid, "ar_order": p, "aic": float(aic), "variance": float(var),
                               "n_points": len(y), "status": "ok", "message": ""}])
     return df.select(F.col(id_col).cast("string").alias(id_col), "ts", "y").groupBy(id_col).applyInPandas(fit, FIT_SCHEMA)
@@ -241,21 +245,27 @@ def with_intervals(fc: DataFrame, level: float = 0.95, horizon: int | None = Non
 def xreg_fit_forecast(hist: DataFrame, future: DataFrame, id_col: str, xcols: list[str]) -> DataFrame:
     """Linear external regressors per series (least squares on the history);
     future regressor values must be supplied; missing history values are
-    imputed with the series mean first."""
-    schema = f"{id_col} string, ts date, forecast_value double"
+    imputed with the series mean first.  A series that cannot be fitted is one
+    row with ``status='failed'``."""
+    schema = f"{id_col} string, ts date, forecast_value double, status string, message string"
 
     def fit(key, pdf: pd.DataFrame) -> pd.DataFrame:
         h = pdf[pdf["_part"] == "h"]
         f = pdf[pdf["_part"] == "f"]
-        if len(h) < len(xcols) + 2 or f.empty:
-            return pd.DataFrame(columns=[id_col, "ts", "forecast_value"])
+        failed = {id_col: None if key[0] is None else str(key[0]), "ts": None, "forecast_value": None, "status": "failed"}
+        if f.empty:
+            return pd.DataFrame([failed | {"message": "no future regressor values"}])
+        h = h[h["y"].notna()]
+        if len(h) < len(xcols) + 2:
+            return pd.DataFrame([failed | {"message": f"needs at least {len(xcols) + 2} non-null points, got {len(h)}"}])
         X = h[xcols].astype(float)
         X = X.fillna(X.mean())
         A = np.column_stack([np.ones(len(h)), X.to_numpy()])
         coef, *_ = np.linalg.lstsq(A, h["y"].astype(float).to_numpy(), rcond=None)
         Xf = f[xcols].astype(float).fillna(X.mean()).to_numpy()
         pred = np.column_stack([np.ones(len(f)), Xf]) @ coef
-        return pd.DataFrame({id_col: str(key[0]), "ts": f["ts"].to_numpy(), "forecast_value": pred})
+        return pd.DataFrame({id_col: None if key[0] is None else str(key[0]), "ts": f["ts"].to_numpy(), "forecast_value": pred,
+                             "status": "ok", "message": ""})
     a = hist.select(F.col(id_col).cast("string").alias(id_col), "ts", "y", *xcols, F.lit("h").alias("_part"))
     b = future.select(F.col(id_col).cast("string").alias(id_col), "ts", F.lit(None).cast("double").alias("y"), *xcols,
                       F.lit("f").alias("_part"))

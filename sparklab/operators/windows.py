@@ -34,11 +34,15 @@ def block_sample(df: DataFrame, fraction: float, seed: int = 7, block_rows: int
     return df.where(bucket < int(fraction * 10_000))
 
 
-def dedupe_exact(df: DataFrame, by: list[str] | Column, keep_min: str) -> DataFrame:
-    """One row per duplicate group (the one with the smallest ``keep_min``)."""
+def dedupe_exact(df: DataFrame, by: list[str] | Column, keep_min: str, copies: str | None = None) -> DataFrame:
+    """One row per duplicate group: one with the smallest ``keep_min`` (any one of
+    them on a tie, NULL last); ``copies`` names a column for the group's size.
+    NULL keys are a group.  The pick is a partial aggregate, so a hot group is
+    combined before the shuffle."""
     by_cols = by if isinstance(by, list) else [by.alias("_dk")]
-    g = df.groupBy(*by_cols).agg(F.min(keep_min).alias(keep_min))
-    return df.join(g.select(keep_min), keep_min, "left_semi")
+    first = F.min_by(F.struct(*df.columns), F.struct(F.col(keep_min).isNull(), F.col(keep_min)))
+    g = df.groupBy(*by_cols).agg(first.alias("_row"), F.count(F.lit(1)).alias("_copies"))
+    return g.select("_row.*", *([F.col("_copies").alias(copies)] if copies else []))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],

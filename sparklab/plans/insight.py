@@ -375,14 +375,20 @@ def q_cluster_health(spark, sf):
     return us.rand_index(a, b, "c_custkey").crossJoin(sizes)
 
 
+def _components_of(e):
+    """The embeddings as one column per dimension, and the columns' names; all dimensions of the data."""
+    width = e.agg(F.max(F.size("embedding"))).first()[0]
+    names = [f"e{i}" for i in range(width)]
+    return e.select("vec_id", *[F.col("embedding")[i].alias(c) for i, c in enumerate(names)]), names
+
+
 @query("pca_fit")
 def q_pca_fit(spark, sf):
     e = Tables(spark, sf).embeddings
-    cols = [F.col("embedding")[i].alias(f"e{i}") for i in range(64)]
-    x = e.select("vec_id", *cols)
-    full = us.pca_pipeline([f"e{i}" for i in range(64)], 32).fit(x)
+    x, names = _components_of(e)
+    full = us.pca_pipeline(names, len(names)).fit(x)
     k = us.choose_pca_k(us.pca_info(full), 0.9)
-    m = us.pca_pipeline([f"e{i}" for i in range(64)], k).fit(x)
+    m = us.pca_pipeline(names, k).fit(x)
     from pyspark.ml.functions import vector_to_array
     return m.transform(x).select("vec_id", vector_to_array("pcs").alias("components"))
 
@@ -390,15 +396,15 @@ def q_pca_fit(spark, sf):
 @query("pca_info")
 def q_pca_info(spark, sf):
     e = Tables(spark, sf).embeddings
-    x = e.select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
-    return us.pca_info(us.pca_pipeline([f"e{i}" for i in range(64)], 16).fit(x))
+    x, names = _components_of(e)
+    return us.pca_info(us.pca_pipeline(names, len(names)).fit(x))
 
 
 @query("pca_loadings")
 def q_pca_loadings(spark, sf):
     e = Tables(spark, sf).embeddings
-    x = e.select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
-    return us.pca_loadings(us.pca_pipeline([f"e{i}" for i in range(64)], 4).fit(x), [f"e{i}" for i in range(64)])
+    x, names = _components_of(e)
+    return us.pca_loadings(us.pca_pipeline(names, 4).fit(x), names)
 
 
 def _ratings(t):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparklab.functions.core import md5num
@@ -25,8 +28,8 @@ def lineitem_years(t):
 
 
 def _jsd_sql(base: str, test: str, x: str, name: str, bins: int = 20) -> str:
-    binexpr = (f"CASE WHEN x IS NULL THEN -1 WHEN e.hi = e.lo THEN 0 ELSE "
-               f"least(greatest(floor((x - e.lo) / ((e.hi - e.lo) / {bins})), 0), {bins - 1}) END")
+    binexpr = (f"CASE WHEN x IS NULL THEN -1 WHEN e.lo IS NULL OR x > e.hi THEN {bins} WHEN x < e.lo THEN -2 "
+               f"WHEN e.hi = e.lo THEN 0 ELSE least(floor((x - e.lo) / ((e.hi - e.lo) / {bins})), {bins - 1}) END")
     return f"""(WITH b AS (SELECT CAST({x} AS DOUBLE) AS x FROM {base}), t AS (SELECT CAST({x} AS DOUBLE) AS x FROM {test}),
   e AS (SELECT min(x) AS lo, max(x) AS hi FROM b),
   hb AS (SELECT {binexpr} AS bin, count(*) AS n FROM b, e GROUP BY 1),
@@ -261,14 +264,23 @@ def q_point_in_time_contract(spark, sf):
     return qa.point_in_time_contract(feats, "ts", labs, "ts", "2024-01-15", 14)
 
 
+#: Weeks that the events of the given tables span (the statements below are written out per week).
+WEEKS = 5
+
+
 def _weeks_sql(prefix: str, select: str = "*") -> str:
     return ",\n".join(f"{prefix}{w} AS (SELECT {select} FROM events WHERE "
-                      f"floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) = {w})" for w in range(4))
+                      f"floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) = {w})" for w in range(WEEKS))
+
+
+def _last_week(e) -> int:
+    """The last week that the events reach (one number)."""
+    return int(e.agg(F.max("wk")).first()[0])
 
 
 CALIB_SQL = with_sql(_weeks_sql("ew"), ",\nd AS (" + " UNION ALL ".join(
     f"SELECT * FROM {_jsd_sql(f'ew{w}', f'ew{w + 1}', 'value', 'value')} UNION ALL "
-    f"SELECT * FROM {_linf_sql(f'ew{w}', f'ew{w + 1}', 'event_type', 'event_type')}" for w in range(3)) + """)
+    f"SELECT * FROM {_linf_sql(f'ew{w}', f'ew{w + 1}', 'event_type', 'event_type')}" for w in range(WEEKS - 1)) + """)
 SELECT input, metric, round(max(value), 6) AS max_healthy, round(least(max(value) * 1.5, 0.99), 6) AS threshold
 FROM d GROUP BY input, metric""")
 
@@ -278,20 +290,19 @@ def q_threshold_calibration(spark, sf):
     """Distances between consecutive healthy weekly windows of ``events``; the
     threshold is set above the observed band (max x 1.5, capped below 1)."""
     e = Tables(spark, sf).events.withColumn("wk", F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7))
-    e = e.where(F.col("wk") < 4)
     parts = []
-    for w in range(3):
+    for w in range(_last_week(e)):
         a, b = e.where(F.col("wk") == w), e.where(F.col("wk") == w + 1)
         parts.append(qa.distances(qa.fit_statistics(a, ["value"], ["event_type"]), b, ["value"], ["event_type"])
                      .withColumn("window_pair", F.lit(w)))
-    d = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    d = functools.reduce(DataFrame.unionByName, parts)
     return d.groupBy("input", "metric").agg(F.round(F.max("value"), 6).alias("max_healthy"),
                                             F.round(F.least(F.max("value") * 1.5, F.lit(0.99)), 6).alias("threshold"))
 
 
 PRED_DRIFT_SQL = with_sql(_weeks_sql("pw", "value / 100.0 AS p"), "\n" + " UNION ALL ".join(
     f"SELECT input, metric, round(value, 6) AS value, {w} AS week FROM {_jsd_sql('pw0', f'pw{w}', 'p', 'p')}"
-    for w in range(1, 4)))
+    for w in range(1, WEEKS)))
 
 
 @query("prediction_drift", sql=PRED_DRIFT_SQL)
@@ -301,8 +312,8 @@ def q_prediction_drift(spark, sf):
         "wk", F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7))
     base = e.where(F.col("wk") == 0)
     stats = qa.fit_statistics(base, ["p"], [])
-    parts = [qa.distances(stats, e.where(F.col("wk") == w), ["p"], []).withColumn("week", F.lit(w)) for w in range(1, 4)]
-    return _r6(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    parts = [qa.distances(stats, e.where(F.col("wk") == w), ["p"], []).withColumn("week", F.lit(w)) for w in range(1, _last_week(e) + 1)]
+    return _r6(functools.reduce(DataFrame.unionByName, parts))
 
 
 def _structural_sql():

@@ -234,6 +234,5 @@ def q_merge_upsert(spark, sf):
 @query("dedupe_exact", sql="""
 SELECT min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies FROM documents GROUP BY md5(text)""")
 def q_dedupe_exact(spark, sf):
-    d = Tables(spark, sf).documents
-    return d.groupBy(F.md5("text").alias("_h")).agg(F.min("doc_id").alias("doc_id"),
-                                                   F.count(F.lit(1)).alias("copies")).drop("_h")
+    d = Tables(spark, sf).documents.select("doc_id", F.md5("text").alias("_h"))
+    return windows.dedupe_exact(d, ["_h"], "doc_id", copies="copies").drop("_h")

@@ -111,7 +111,7 @@ def lineage_edges(t):
 @query("lineage_upstream", sql=with_sql("RECURSIVE " + EDGES_SQL, """,
 up(start, node, depth) AS (
   SELECT child, parent, 1 FROM edges WHERE child LIKE 'order:%'
-  UNION ALL SELECT up.start, e.parent, up.depth + 1 FROM up JOIN edges e ON e.child = up.node WHERE up.depth < 10)
+  UNION ALL SELECT up.start, e.parent, up.depth + 1 FROM up JOIN edges e ON e.child = up.node)
 SELECT start, node AS ancestor, CAST(min(depth) AS INTEGER) AS depth FROM up GROUP BY start, node"""))
 def q_lineage_upstream(spark, sf):
     t = Tables(spark, sf)
@@ -123,7 +123,7 @@ def q_lineage_upstream(spark, sf):
 @query("lineage_downstream", sql=with_sql("RECURSIVE " + EDGES_SQL, """,
 dn(start, node, depth) AS (
   SELECT parent, child, 1 FROM edges WHERE parent LIKE 'region:%'
-  UNION ALL SELECT dn.start, e.child, dn.depth + 1 FROM dn JOIN edges e ON e.parent = dn.node WHERE dn.depth < 10)
+  UNION ALL SELECT dn.start, e.child, dn.depth + 1 FROM dn JOIN edges e ON e.parent = dn.node)
 SELECT start, node AS descendant, CAST(min(depth) AS INTEGER) AS depth FROM dn GROUP BY start, node"""))
 def q_lineage_downstream(spark, sf):
     t = Tables(spark, sf)

@@ -260,8 +260,9 @@ def q_nearest_examples(spark, sf):
     """Example-based explanation: the training rows of a class nearest to its prototype."""
     e = Tables(spark, sf).embeddings
     q = tx.centroids_by(e, "label", "embedding")
-    r = tx.vector_search(e, "vec_id", "embedding", q, "label", "centroid", k=10_000_000, base_cols=["label"])
-    r = r.where(F.col("label") == F.col("query_id"))
+    r = e.select("vec_id", "embedding", "label").join(q, "label").select(
+        F.col("label").alias("query_id"), F.col("vec_id").alias("base_id"),
+        tx.euclidean(F.col("embedding"), F.col("centroid")).alias("distance"))
     from pyspark.sql import Window
     w = Window.partitionBy("query_id").orderBy("distance", "base_id")
     return (r.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= 3)
@@ -403,17 +404,32 @@ def q_inspect_cards(spark, sf):
 LEVELS_SQL = "[" + ", ".join(f"'{x}'" for x in pv.LIKELIHOOD_ORDER) + "]"
 
 
-@query("inspect_rules", sql=with_sql(FINDINGS_SQL, f""",
-c AS (SELECT *, instr(text, quote) AS pos,
-             lower(substring(text, greatest(instr(text, quote) - 30, 1), least(instr(text, quote) - 1, 30))) AS ctx,
+def _offsets_sql() -> str:
+    """Findings with the 0-based start of each match: the lengths of the pieces and matches before it."""
+    parts = []
+    for t, p, lk in pv.DETECTORS:
+        ps = p.replace("'", "''")
+        parts.append(f"SELECT doc_id, text, '{t}' AS info_type, '{lk}' AS lk, regexp_extract_all(text, '{ps}') AS m, "
+                     f"string_split_regex(text, '{ps}') AS s FROM documents")
+    return f"""matched AS ({" UNION ALL ".join(parts)}),
+placed AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matched),
+found AS (SELECT doc_id, text, info_type, m[i] AS quote, lk,
+                 list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+          FROM placed),
+findings AS (SELECT doc_id, text, info_type, quote, CAST(start AS INTEGER) AS start,
+                    CASE WHEN info_type = 'CREDIT_CARD_NUMBER' THEN {_luhn_sql('quote')} ELSE lk END AS likelihood FROM found)"""
+
+
+@query("inspect_rules", sql=with_sql(_offsets_sql(), f""",
+c AS (SELECT *, lower(substring(text, greatest(start + 1 - 30, 1), least(start, 30))) AS ctx,
              list_position({LEVELS_SQL}, likelihood) AS lvl FROM findings),
-h AS (SELECT *, CASE WHEN info_type = 'CREDIT_CARD_NUMBER' AND (contains(ctx, 'card') OR contains(ctx, 'visa')) AND pos > 0
+h AS (SELECT *, CASE WHEN info_type = 'CREDIT_CARD_NUMBER' AND (contains(ctx, 'card') OR contains(ctx, 'visa'))
                      THEN least(lvl + 1, {len(pv.LIKELIHOOD_ORDER)}) ELSE lvl END AS lvl2 FROM c)
-SELECT doc_id, info_type, quote, {LEVELS_SQL}[lvl2] AS likelihood FROM h
+SELECT doc_id, info_type, quote, start, {LEVELS_SQL}[lvl2] AS likelihood FROM h
 WHERE NOT (info_type = 'IP_ADDRESS' AND regexp_matches(quote, '^(10|127)\\.')) AND lvl2 >= 3"""))
 def q_inspect_rules(spark, sf):
     d = Tables(spark, sf).documents
-    f = pv.inspect_infotypes(d, "doc_id", "text")
+    f = pv.inspect_infotypes(d, "doc_id", "text", with_offsets=True)
     return pv.apply_rules(f, d, "doc_id", "text", hotwords={"CREDIT_CARD_NUMBER": ["card", "visa"]},
                           exclusions={"IP_ADDRESS": r"^(10|127)\."}, min_likelihood="POSSIBLE")
 

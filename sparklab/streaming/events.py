@@ -64,7 +64,7 @@ def distributed_lag(df: DataFrame, key: list[str], order: list[str], value: str,
     ws = Window.partitionBy(*key).orderBy("_pid")
     # one row per (range partition, key) slice: bounded by partitions + keys
     prev = last.withColumn("_prev_slice", F.lag("_last").over(ws)).drop("_last")
-    j = local.join(prev, ["_pid", *key], "inner")
+    j = ranking._join_back(local, prev, ["_pid", *key])
     return (j.withColumn(out, F.when(F.col("_first"), F.col("_prev_slice")).otherwise(F.col("_lag")))
              .drop("_pid", "_lag", "_prev_slice", "_first"))
 

@@ -103,7 +103,7 @@ def test_detectors_and_lookalikes(spark):
     assert f[("CREDIT_CARD_NUMBER", "4111 1111 1111 1112")] == "POSSIBLE"    # fails Luhn
     assert ("IP_ADDRESS", "10.0.0.1") in f
     assert any(k[0] == "AUTH_TOKEN" for k in f)
-    r = pv.apply_rules(pv.inspect_infotypes(df, "id", "t"), df, "id", "t", exclusions={"IP_ADDRESS": r"^10\."})
+    r = pv.apply_rules(pv.inspect_infotypes(df, "id", "t", with_offsets=True), df, "id", "t", exclusions={"IP_ADDRESS": r"^10\."})
     assert not any(x.info_type == "IP_ADDRESS" for x in r.collect())
     red = df.select(pv.replace_with_type("t").alias("x")).first().x
     assert "[EMAIL_ADDRESS]" in red and "a.b@" not in red
