@@ -13,9 +13,11 @@ and each pair that remains is verified once on the whole sets.
 
 Documents of equal sets are one class and need no pairs.  Classes that meet on an n-gram are first compared with one
 member only (a pivot, the same for most n-grams they share), and what links is merged into components; pairs are then
-formed only between classes of different components, first with another pivot, at last all that remain.  So a group of
-near copies costs a number of pairs in proportion to its size, and no link between different texts is lost for the
-components.
+formed only between classes of different components.  In the next rounds those that meet on an n-gram have one pivot for
+each least hash of a set (under the round's seed): sets of similarity t have the same least hash with probability t, so
+copies inside a crowd that shares a passage find a pivot of their own.  At last all pairs that remain are compared.  So
+a group of near copies costs a number of pairs in proportion to its size, and no link between different texts is lost
+for the components.
 
 The order comes from a table of ``CELLS`` counts that n-grams are hashed to: 2 MB whatever the corpus; n-grams that
 share a cell count together, which changes the order but never the result.
@@ -45,8 +47,8 @@ CLASSES = 512
 BROADCAST = 1_000_000
 #: Partners of a hub that one task compares with it, and bytes of sets that leave a task in one Arrow batch.
 PARTNERS, FLUSH = 64, 8 << 20
-#: Rounds of pivots before all remaining pairs.
-ROUNDS = 2
+#: Rounds of pivots before all remaining pairs: one of an n-gram alone, the others of an n-gram and a least hash.
+ROUNDS = 4
 
 
 class Sets:
@@ -72,6 +74,14 @@ class Sets:
         key = mixed(sums * M2 + self.n.astype(np.uint64))
         return np.where(self.n > 0, key, np.uint64(0)).view(np.int64)
 
+    def least(self, seeds: int) -> np.ndarray:
+        """The least hash of every set that is not empty under each of so many seeds (sets x seeds)."""
+        at = self.at[:-1][self.n > 0]
+        if not len(at):
+            return np.zeros((0, seeds), np.int64)
+        marks = mixed(np.arange(1, seeds + 1, dtype=np.uint64))
+        return np.stack([np.minimum.reduceat(mixed(self.hash ^ k), at) for k in marks], axis=1).view(np.int64)
+
 
 def _needed(n, percent: int):
     """Overlap that a partner of the same or another size must at least have with a set of ``n``."""
@@ -110,9 +120,10 @@ def _cells(summary: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Per document with n-grams: key, n, its prefix (hashes, rare first) and the parities of its suffix classes as bits."""
+    """Per document with n-grams: key, n, its prefix (hashes, rare first), the parities of its suffix classes as bits
+    and its least hashes."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
-    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType()), T.StructField("classes", T.ArrayType(T.LongType()))])
+    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType()), T.StructField("classes", T.ArrayType(T.LongType())), T.StructField("least", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = shared.value
@@ -130,6 +141,7 @@ def _prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> D
             yield pa.RecordBatch.from_arrays([
                 pa.array(s.keys()[some]), pa.array(s.n[some].astype(np.int64)), pa.array([kept[a:z].tobytes() for a, z in zip([0, *ends.tolist()], ends.tolist())], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * (CLASSES // 64)), pa.array(bits)),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * (ROUNDS - 1)), pa.array(s.least(ROUNDS - 1).reshape(-1))),
             ], names=kind.names)
 
     return docs.mapInArrow(run, kind).dropDuplicates(["key"])
@@ -259,14 +271,17 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
                 labels = components(links).withColumnRenamed("node", "key")
         if k == ROUNDS:
             break
-        # n-grams whose classes are still of different components
         at = shared.select("h", "key", "at").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        by = F.xxhash64(F.lit(k), "key")
-        split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("at", "other_at"), ("label", "other_label")))).where("x <> y")
-        hub = F.when(F.xxhash64(F.lit(k), "a") < F.xxhash64(F.lit(k), "b"), F.col("a")).otherwise(F.col("b")) if k + 1 < ROUNDS else F.col("a")
         if k + 1 < ROUNDS:
-            pairs = at.join(split.select("h", "other", "other_at", "other_label"), "h").where("label <> other_label").where(_passes("at", "other_at", percent))
+            # n-grams and least hashes whose classes are still of different components
+            by = F.xxhash64(F.lit(k), "key")
+            at = at.join(prefixes.select("key", F.col("least")[k].alias("least")), "key")
+            split = at.groupBy("h", "least").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("at", "other_at"), ("label", "other_label")))).where("x <> y")
+            hub = F.when(F.xxhash64(F.lit(k), "a") < F.xxhash64(F.lit(k), "b"), F.col("a")).otherwise(F.col("b"))
+            pairs = at.join(split.select("h", "least", "other", "other_at", "other_label"), ["h", "least"]).where("label <> other_label").where(_passes("at", "other_at", percent))
         else:
+            hub = F.col("a")
+            split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
             rest = written(at.join(split.select("h"), "h").join(sizes.select("key", "n", "classes"), "key"), "join-rest")
             other = rest.select("h", *(F.col(c).alias(f"other_{c}") for c in ("at", "label", "n", "classes")), F.col("key").alias("other"))
             near = _passes("at", "other_at", percent) & _near("classes", "other_classes", F.col("n"), F.col("other_n"), percent)
