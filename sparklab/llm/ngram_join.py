@@ -13,11 +13,11 @@ and each pair that remains is verified once on the whole sets.
 
 Documents of equal sets are one class and need no pairs.  Classes that meet on an n-gram are first compared with one
 member only (a pivot, the same for most n-grams they share), and what links is merged into components; pairs are then
-formed only between classes of different components.  In the next rounds those that meet on an n-gram have one pivot for
-each least hash of a set (under the round's seed): sets of similarity t have the same least hash with probability t, so
-copies inside a crowd that shares a passage find a pivot of their own.  At last all pairs that remain are compared.  So
-a group of near copies costs a number of pairs in proportion to its size, and no link between different texts is lost
-for the components.
+formed only between classes of different components.  In the next rounds classes that share prefix n-grams with others
+have one pivot for each two least hashes of a whole set (under two of the seeds): sets of similarity t have the same
+least hash with probability t, so copies inside a crowd that shares a passage find a pivot of their own.  At last all
+pairs that remain on any prefix n-gram are compared: the rounds before only save pairs.  So a group of near copies costs
+a number of pairs in proportion to its size, and no link between different texts is lost for the components.
 
 The order comes from a table of ``CELLS`` counts that n-grams are hashed to: 2 MB whatever the corpus; n-grams that
 share a cell count together, which changes the order but never the result.
@@ -47,7 +47,7 @@ CLASSES = 512
 BROADCAST = 1_000_000
 #: Partners of a hub that one task compares with it, and bytes of sets that leave a task in one Arrow batch.
 PARTNERS, FLUSH = 64, 8 << 20
-#: Rounds of pivots before all remaining pairs: one of an n-gram alone, the others of an n-gram and a least hash.
+#: Rounds of pivots before all remaining pairs: one of each n-gram, the others of each two least hashes.
 ROUNDS = 4
 
 
@@ -255,6 +255,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     pivot = rows.groupBy("h").agg(F.min("key").alias("other"), F.min_by("at", "key").alias("other_at"), F.count("*").alias("n")).where("n > 1").select("h", "other", "other_at")
     shared = written(rows.join(pivot, "h"), "join-shared")
     pairs = shared.where("key <> other").where(_passes("at", "other_at", percent))
+    picks = written(prefixes.join(shared.select("key").distinct(), "key").select("key", "n", "least"), "join-picks")
     tested = links = None
     hub = F.col("a")
     labels = docs.sparkSession.createDataFrame([], "key long, label long")
@@ -271,16 +272,18 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
                 labels = components(links).withColumnRenamed("node", "key")
         if k == ROUNDS:
             break
-        at = shared.select("h", "key", "at").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        named = lambda rows: rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))  # noqa: E731, B023
         if k + 1 < ROUNDS:
-            # n-grams and least hashes whose classes are still of different components
+            # least hashes whose classes are still of different components
             by = F.xxhash64(F.lit(k), "key")
-            at = at.join(prefixes.select("key", F.col("least")[k].alias("least")), "key")
-            split = at.groupBy("h", "least").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("at", "other_at"), ("label", "other_label")))).where("x <> y")
+            at = named(picks.select("key", "n", F.xxhash64(F.col("least")[k], F.col("least")[(k + 1) % (ROUNDS - 1)]).alias("least")))
+            split = at.groupBy("least").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("n", "other_n"), ("label", "other_label")))).where("x <> y")
             hub = F.when(F.xxhash64(F.lit(k), "a") < F.xxhash64(F.lit(k), "b"), F.col("a")).otherwise(F.col("b"))
-            pairs = at.join(split.select("h", "least", "other", "other_at", "other_label"), ["h", "least"]).where("label <> other_label").where(_passes("at", "other_at", percent))
+            sized = 100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")
+            pairs = at.join(split.select("least", "other", "other_n", "other_label"), "least").where(sized & (F.col("label") != F.col("other_label"))).select("key", "other")
         else:
             hub = F.col("a")
+            at = named(shared.select("h", "key", "at"))
             split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
             rest = written(at.join(split.select("h"), "h").join(sizes.select("key", "n", "classes"), "key"), "join-rest")
             other = rest.select("h", *(F.col(c).alias(f"other_{c}") for c in ("at", "label", "n", "classes")), F.col("key").alias("other"))
