@@ -419,7 +419,7 @@ def q_als_recommend(spark, sf):
     t = Tables(spark, sf)
     r = _ratings(t)
     m = us.als_fit(r, "user_id", "item_id", "rating", implicit=True, alpha=40.0)
-    users = t.customer.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").cast("int").alias("user_id"))
+    users = t.customer.select(F.col("c_custkey").cast("int").alias("user_id"))
     return us.als_recommend(m, users, "user_id", 5)
 
 

@@ -130,7 +130,7 @@ def q_enrich_join(spark, sf):
 
 
 @query("asof_feature_join", sql="""
-WITH lab AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE year(o_orderdate) = 1998),
+WITH lab AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders),
 prev AS (SELECT o_custkey AS pk, o_orderdate AS pts, o_orderkey AS prev_orderkey, o_totalprice AS prev_totalprice FROM orders),
 j AS (SELECT lab.*, prev.pts, prev.prev_orderkey, prev.prev_totalprice,
              row_number() OVER (PARTITION BY lab.o_orderkey ORDER BY prev.pts DESC, prev.prev_orderkey DESC,
@@ -139,7 +139,7 @@ j AS (SELECT lab.*, prev.pts, prev.prev_orderkey, prev.prev_totalprice,
 SELECT o_orderkey, o_custkey, o_orderdate, pts AS feature_ts, prev_orderkey, prev_totalprice FROM j WHERE rn = 1""")
 def q_asof_feature_join(spark, sf):
     o = Tables(spark, sf).orders
-    lab = o.where(F.year("o_orderdate") == 1998).select("o_orderkey", "o_custkey", "o_orderdate")
+    lab = o.select("o_orderkey", "o_custkey", "o_orderdate")
     f = o.select("o_custkey", F.col("o_orderdate").alias("pts"), F.col("o_orderkey").alias("prev_orderkey"),
                  F.col("o_totalprice").alias("prev_totalprice"))
     return feat.asof_join(lab, f, "o_custkey", "o_orderdate", "pts", ["prev_orderkey", "prev_totalprice"], strict=True)
