@@ -19,8 +19,8 @@ tuples live in files of the worker's temporary folder, which go with it.  At eac
 ``LENGTH`` bytes in common hold one string; all but its first start are repeats.
 
 Defined cases: null and empty texts and texts shorter than ``LENGTH`` lose nothing; a null key counts as the largest;
-rows of the same key are ordered by a hash of their text, and rows of the same key and text are one document; extra
-columns are not carried; an empty table gives an empty result.
+rows of the same key are ordered by a hash of their text, and rows of the same key and text are one document, of which
+each row gets what is left; extra columns are not carried; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -203,8 +203,12 @@ def _runs(id_: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray)
 
 
 def _first_of_names(anchor, name, id_, tie, at):
-    """Sorting order by anchor, name and place, and which rows of it are the first of their name."""
+    """Sorting order by anchor, name and place, and which rows of it are the first of their name; of equal places, which
+    repeated rows give, the order holds one."""
     order = np.lexsort((at, tie, id_, name, anchor))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (anchor, name, id_, tie, at)], axis=0)
+    order = order[new]
     first = np.ones(len(order), bool)
     first[1:] = (anchor[order][1:] != anchor[order][:-1]) | (name[order][1:] != name[order][:-1])
     return order, first
@@ -265,7 +269,7 @@ def _firsts(packed: DataFrame, length: int) -> DataFrame:
 
 
 def _cut(docs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The bytes of the segments to be sorted, from the documents (equal rows give equal segments)."""
+    """The bytes of the segments to be sorted, from the documents; repeated rows give theirs once."""
     lists = segments.groupBy("id", "tie").agg(F.collect_list(F.struct("run", "anchor", "strings", "left")).alias("segments"))
     kind = f"{RUN}, anchor long, strings long, left long, bytes binary"
 
@@ -281,7 +285,7 @@ def _cut(docs: DataFrame, segments: DataFrame) -> DataFrame:
             id_, tie = (np.repeat(b.column(c).to_numpy(), n) for c in ("id", "tie"))
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (id_, tie, place, anchor, strings, left)), pa.array([raw[x:y] for x, y in zip(a, z)], pa.binary())], names=[c.split()[0] for c in kind.split(", ")])
 
-    return docs.select("id", "tie", "text").join(lists, ["id", "tie"]).select("id", "tie", "text", "segments").mapInArrow(run, kind)
+    return docs.select("id", "tie", "text").dropDuplicates(["id", "tie"]).join(lists, ["id", "tie"]).select("id", "tie", "text", "segments").mapInArrow(run, kind)
 
 
 def _sorted(segments: DataFrame, length: int, held: int) -> DataFrame:
@@ -328,7 +332,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     firsts = written(_firsts(packed, length), "dedup-firsts")
     segments = _cut(docs, firsts.where("anchor is not null"))
     runs = packed.where("shard is null").select(F.col("run_id").alias("id"), F.col("run_tie").alias("tie"), "run").union(firsts.where("anchor is null").select("id", "tie", "run")).union(_sorted(segments, length, held))
-    lists = runs.groupBy("id", "tie").agg(F.collect_list("run").alias("runs"))  # fewer runs than the document has bytes
+    lists = runs.groupBy("id", "tie").agg(F.collect_set("run").alias("runs"))  # fewer runs than the document has bytes
     kind = T.StructType([T.StructField(key, T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType()), docs.schema["carried"]])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -235,6 +235,26 @@ def test_suffix_dedup_equals_brute_force(spark, held):
     assert suffix_dedup.dedup(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("batch", [1, 1000])
+def test_suffix_dedup_repeated_rows_are_one_document(spark, batch):
+    r = random.Random(12)
+    parts = [t for t in texts(12, 13) if len(t) > 110]
+    rows = [(k, " ".join(r.choices(parts, k=2))) for k in range(12)]
+    rows += [(None, " ".join(r.choices(parts, k=2)) + f" own words {k} " + "".join(r.choices("abc ", k=150))) for k in range(4)]
+    rows += [(20, "q" + "".join(r.choices("abc ", k=200)) + parts[0]), (21, "z" * 150)]
+    last = suffix_dedup.LAST
+    # null keys are the largest, rows of one key go by the hash of their text
+    tie = {x["t"]: x["h"] for x in spark.createDataFrame([(t,) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    order = sorted(rows, key=lambda x: (last if x[0] is None else x[0], tie[x[1]]))
+    want = brute_dedup([(k, t) for k, (_, t) in enumerate(order)], 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    got = suffix_dedup.dedup(spark.createDataFrame(rows + rows[::-1] + rows[3:9], "doc_id long, text string")).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert len(got) == 2 * len(rows) + 6
+    kept = {(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got}
+    assert kept == {(i, *want[k]) for k, (i, _) in enumerate(order)}
+
+
 def distance_to_part(item, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(item, 1):
