@@ -23,8 +23,8 @@ The order comes from a table of ``CELLS`` counts that n-grams are hashed to: 2 M
 share a cell count together, which changes the order but never the result.
 
 Defined cases: null and empty texts, and texts of separators, have no n-grams and link with nothing; a text of fewer
-words is one n-gram; repeated rows are one class; a row with a null id takes its class's component; extra columns are
-not carried; an empty table gives an empty result.
+words is one n-gram; repeated rows are one class; a row with a null id takes its class's component, which is null where
+all ids are; extra columns are not carried; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -89,8 +89,8 @@ def _needed(n, percent: int):
 
 
 def _summary(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: per document (key, id, n), and per task the counts of the cells in pieces of 4,096."""
-    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    """Rows of two kinds: per document (key, id, tie, n), and per task the counts of the cells in pieces of 4,096."""
+    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("n", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
@@ -98,10 +98,10 @@ def _summary(docs: DataFrame, words: int) -> DataFrame:
             s = Sets(*utf8(b.column("text")), words)
             counts += np.bincount((s.hash >> np.uint64(46)).astype(np.int64), minlength=CELLS)
             none = pa.nulls(s.rows)
-            yield pa.RecordBatch.from_arrays([pa.array(s.keys()), b.column("id"), pa.array(s.n.astype(np.int64)), none.cast(pa.int32()), none.cast(pa.binary())], names=kind.names)
+            yield pa.RecordBatch.from_arrays([pa.array(s.keys()), b.column("id"), b.column("tie"), pa.array(s.n.astype(np.int64)), none.cast(pa.int32()), none.cast(pa.binary())], names=kind.names)
         pieces = [k for k in range(CELLS // 4096) if counts[4096 * k : 4096 * k + 4096].any()]
         none = pa.nulls(len(pieces)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(pieces, pa.int32()), pa.array([counts[4096 * k : 4096 * k + 4096].astype("<i8").tobytes() for k in pieces], pa.binary())], names=kind.names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(pieces, pa.int32()), pa.array([counts[4096 * k : 4096 * k + 4096].astype("<i8").tobytes() for k in pieces], pa.binary())], names=kind.names)
 
     return docs.mapInArrow(run, kind)
 
@@ -193,10 +193,18 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words:
     spread = pairs.join(parts, "hub").select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("key"), "parts")
     spread = spread.withColumn("part", F.pmod(F.xxhash64("key"), "parts")).select("key", "hub", "part")
     ways = spread.union(spread.select(F.col("hub").alias("key"), "hub", "part").distinct())
-    first = members.join(ways.select("key").distinct(), "key").where("id is not null").groupBy("key").agg(F.min("id").alias("id"))
-    ways = ways.join(first, "key").groupBy("id", F.floor(F.col("part") / 256).alias("some")).agg(F.collect_list(F.struct("key", "hub", "part")).alias("ways")).select("id", "ways")
+    # a class is read from the row of its smallest id, or by the hash of a text if all its ids are null
+    first = members.join(ways.select("key").distinct(), "key").groupBy("key").agg(F.min("id").alias("id"), F.min("tie").alias("tie"))
+    bare = F.col("id").isNull()
+    ways = ways.join(first, "key").groupBy("id", F.when(bare, F.col("tie")).alias("tie"), F.floor(F.col("part") / 256).alias("some")).agg(F.collect_list(F.struct("key", "hub", "part")).alias("ways")).select("id", "tie", "ways")
     ways = written(ways, "join-ways")
-    texts = docs.select("id", "text").join(F.broadcast(ways) if ways.agg(F.sum(F.size("ways"))).first()[0] <= BROADCAST else ways, "id").select("text", "ways")
+    small = (ways.agg(F.sum(F.size("ways"))).first()[0] or 0) <= BROADCAST
+    to = lambda rows: F.broadcast(rows) if small else rows
+    texts = docs.select("id", "text").join(to(ways.where(~bare).drop("tie")), "id").select("text", "ways")
+    if not ways.where(bare).isEmpty():
+        # copies have the same hash: one of them is enough
+        rest = docs.where(bare).select("tie", "text").join(to(ways.where(bare).select("tie").distinct()), "tie", "left_semi").dropDuplicates(["tie"])
+        texts = texts.union(rest.join(to(ways.where(bare).drop("id")), "tie").select("text", "ways"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
@@ -245,9 +253,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     """Per document: ``key`` (a long), ``n_shingles`` and ``component_id`` (the smallest key that links lead to).
 
     Documents link when 100 * (n-grams of both) >= ``percent`` * (n-grams of either)."""
-    docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
     summary = written(_summary(docs, words), "join-summary")
-    members = summary.where("piece is null").select("key", "id", "n")
+    members = summary.where("piece is null").select("key", "id", "tie", "n")
     prefixes = written(_prefixes(docs, _cells(summary), words, percent), "join-prefixes")
     sizes = prefixes.select("key", "n", "classes")
     rows = _spread(prefixes)

@@ -204,6 +204,23 @@ def test_ngram_join_splits_a_hub(spark, monkeypatch):
     assert got == {(k, 0) for k in [*range(20), 31, None]} | {(30, 30)}
 
 
+@pytest.mark.parametrize("broadcast", [ngram_join.BROADCAST, 0])
+def test_ngram_join_links_texts_without_ids(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ngram_join, "BROADCAST", broadcast)
+    w = [f"w{k}" for k in range(100)]
+    put = lambda a, z: " ".join([*(f"x{k}" for k in range(a, z)), *w[:a], *w[z:]])
+    # 4 words of 100 apart link, 8 do not: the texts without an id link documents 1 and 2
+    chain = [(1, put(0, 4)), (None, " ".join(w)), (None, " ".join(w)), (2, " ".join([*w[:96], "y1", "y2", "y3", "y4"]))]
+    near = [(None, " ".join([*"abcdefghijklmnopqrstuvwxyz", str(k)])) for k in range(2)]
+    frame_ = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((x["doc_id"] or 0, x["component_id"] or 0) for x in ngram_join.linked(frame_(chain + near)).collect())
+    label = {i: c for i, (_, c) in brute_components([(k, t) for k, (_, t) in enumerate(chain + near)], 3, 90).items()}
+    assert label == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 4}
+    assert got == [(0, 0), (0, 0), (0, 1), (0, 1), (1, 1), (2, 1)]
+    # no pair with an id: an error before
+    assert [(x["doc_id"], x["n_shingles"], x["component_id"]) for x in ngram_join.linked(frame_(near)).collect()] == [(None, 25, None)] * 2
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
