@@ -9,13 +9,19 @@ bytes; equal strings have equal anchors, so segments dealt out by their anchor b
 
 Naming.  As in induced sorting, equal substrings get one name before anything is sorted: equal segments (by two hashes)
 are one, and only the first of them can keep a string; all strings of the others have an earlier start.  Names are
-summed inside each batch before the shuffle, so an anchor in a third of all texts arrives once per batch.
+summed inside each batch before the shuffle, so a name in a third of all texts arrives once per batch.  Spark sorts the
+segments by anchor and name on disk, and a task reads them in that order, one batch at a time.
+
+Frequent anchors.  An anchor of more than ``HOT`` segments is not sorted: it would meet in one task.  Its segments are
+cut into their strings, each a segment of its own that is named and dealt out by the whole string.  ``CELLS`` counts
+bound the segments of every anchor from above; anchors are counted one by one only where that bound is passed.
 
 Induced sorting.  First segments whose anchor has several names are sorted by suffixes: the order of the suffixes at a
 column is induced from the order at the next column, recursively from the segments' ends.  The tuples (segment, common
 prefix with the tuple before) pass through a queue keyed by the byte in front, first in, first out; the common prefix
-with the last tuple of the same byte is one more than the smallest on the way.  Queues and segments beyond ``HELD``
-tuples live in files of the worker's temporary folder, which go with it.  At each column, successive tuples that have
+with the last tuple of the same byte is one more than the smallest on the way.  A task takes whole anchors up to about
+``GROUP`` bytes at a time, so what it holds does not grow with its shard; queues and segments beyond ``HELD`` tuples
+live in files of the worker's temporary folder, which go with it.  At each column, successive tuples that have
 ``LENGTH`` bytes in common hold one string; all but its first start are repeats.
 
 Defined cases: null and empty texts and texts shorter than ``LENGTH`` lose nothing; a null key counts as the largest;
@@ -40,6 +46,10 @@ from sparklab.llm.common import M2, P, Rolling, mixed, powers, ranges, utf8, wri
 LENGTH, GRAM = 100, 24
 #: Tuples that a queue holds in memory.
 HELD = 2_000_000
+#: Bytes of segments that a task sorts at once, about, and the segments of an anchor that fit in (of 176 bytes at most).
+GROUP = 16 << 20
+HOT = GROUP // 176
+CELLS = 1 << 18
 LAST = (1 << 63) - 1
 
 
@@ -193,9 +203,10 @@ class Shard:
             held = (segment[at], start[at])
 
 
-#: Rows of the first pass: segments packed by shard, or a run of repeated strings of one document.
-PACKED = "shard int, anchor binary, name binary, id binary, tie binary, at binary, strings binary, left binary"
 RUN = "id long, tie long, run long"
+#: A segment: of one anchor, with its place, the strings that start in it and the bytes before the anchor.
+SEGMENT = "anchor long, name long, id long, tie long, at int, strings short, left short"
+NAMES = [c.split()[0] for c in SEGMENT.split(", ")]
 
 
 def _runs(id_: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -214,96 +225,167 @@ def _first_of_names(anchor, name, id_, tie, at):
     return order, first
 
 
-def _named(docs: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """The segments of all documents, packed by shard; equal ones of a batch are one (``again``: the others' runs)."""
-    names = [c.split()[0] for c in PACKED.split(", ")]
+def _merged(anchor, name, id_, tie, at, strings, left, length: int, kind: list[str]) -> Iterator[pa.RecordBatch]:
+    """The first segments of each name of a batch, and the runs of the others (no ``anchor``; ``run_id`` and so on)."""
+    order, first = _first_of_names(anchor, name, id_, tie, at)
+    again, some = order[~first], order[first]
+    if len(again):
+        runs = _runs(id_[again], tie[again], at[again], at[again] + strings[again] - 1 + length)
+        none = pa.nulls(len(again))
+        yield pa.RecordBatch.from_arrays([*(none.cast(t) for t in (*[pa.int64()] * 4, pa.int32(), pa.int16(), pa.int16())), *runs.columns, *[none.cast(pa.binary())] * (len(kind) - 10)], names=kind)
+    cols = [pa.array(x[some].astype(k)) for x, k in zip((anchor, name, id_, tie, at, strings, left), (*["i8"] * 4, "i4", "i2", "i2"))]
+    none = pa.nulls(len(some))
+    yield pa.RecordBatch.from_arrays([*cols, *[none.cast(pa.int64())] * 3, *[none.cast(pa.binary())] * (len(kind) - 10)], names=kind)
+
+
+def _named(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """The segments of all documents; equal ones of a batch are one (the others are runs); and per task the counts of
+    the cells of its anchors (``cells``)."""
+    kind = [*NAMES, "run_id", "run_tie", "run", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CELLS, np.int64)
         for b in batches:
             raw, offs = utf8(b.column("text"))
             row, start, strings, place, h = anchors(raw, offs, length, gram)
             if not len(row):
                 continue
-            end = start + strings - 1 + length
-            name = mixed(Rolling(np.frombuffer(raw, np.uint8)).slices(start, end) + M2 * (place - start).astype(np.uint64)).view(np.int64)
+            name = mixed(Rolling(np.frombuffer(raw, np.uint8)).slices(start, start + strings - 1 + length) + M2 * (place - start).astype(np.uint64)).view(np.int64)
             id_, tie = (b.column(c).to_numpy()[row] for c in ("id", "tie"))
-            at, anchor = start - offs[row], h.view(np.int64)
-            order, first = _first_of_names(anchor, name, id_, tie, at)
-            again = order[~first]
-            runs = _runs(id_[again], tie[again], at[again], at[again] + strings[again] - 1 + length)
-            if len(again):
-                empty = pa.nulls(len(again))
-                yield pa.RecordBatch.from_arrays([empty.cast(pa.int32()), *(empty.cast(pa.binary()) for _ in names[1:]), *runs.columns], names=[*names, "run_id", "run_tie", "run"])
-            some = order[first]
-            shard = (h[some] % np.uint64(shards)).astype(np.int64)
-            some = some[np.argsort(shard, kind="stable")]
-            shard = np.sort(shard)
-            cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])).tolist()
-            parts = [some[a:z] for a, z in zip(cuts, [*cuts[1:], len(some)])]
-            cols = [pa.array([x[p].astype(k).tobytes() for p in parts], pa.binary()) for x, k in ((anchor, "<i8"), (name, "<i8"), (id_, "<i8"), (tie, "<i8"), (at, "<i4"), (strings, "u1"), (place - start, "u1"))]
-            none = pa.nulls(len(parts)).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(shard[cuts].astype(np.int32)), *cols, none, none, none], names=[*names, "run_id", "run_tie", "run"])
-
-    return docs.select("id", "tie", "text").mapInArrow(run, f"{PACKED}, run_id long, run_tie long, run long")
-
-
-def _firsts(packed: DataFrame, length: int) -> DataFrame:
+            for out in _merged(h.view(np.int64), name, id_, tie, start - offs[row], strings, place - start, length, kind):
+                some = out.column("anchor").drop_null().to_numpy().view(np.uint64)
+                counts += np.bincount((some >> np.uint64(46)).astype(np.int64), minlength=CELLS)
+                yield out
+        at = np.flatnonzero(counts)
+        if len(at):
+            none = pa.nulls(1)
+            yield pa.RecordBatch.from_arrays([*(none.cast(t) for t in (*[pa.int64()] * 4, pa.int32(), pa.int16(), pa.int16(), *[pa.int64()] * 3)), pa.array([np.stack([at, counts[at]]).astype("<i4").tobytes()], pa.binary())], names=kind)
+
+    return docs.select("id", "tie", "text").mapInArrow(run, f"{SEGMENT}, run_id long, run_tie long, run long, cells binary")
+
+
+def _frequent(named: DataFrame, hot: int) -> DataFrame | None:
+    """The anchors of more than ``hot`` segments; None if there are none."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for x in b.column("cells").to_pylist():
+                at, n = np.frombuffer(x, "<i4").reshape(2, -1)
+                total[at] += n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    cells = named.where("cells is not null").select("cells").mapInArrow(add, "cell long, n long")
+    over = written(cells.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > hot).select("cell"), "dedup-cells")
+    if over.isEmpty():
+        return None
+    some = named.where("anchor is not null").select("anchor", F.shiftrightunsigned("anchor", 46).alias("cell")).join(F.broadcast(over), "cell", "left_semi")
+    found = written(some.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "dedup-frequent")
+    return None if found.isEmpty() else found
+
+
+def _firsts(segments: DataFrame, length: int, shards: list[int]) -> DataFrame:
     """Runs of segments whose name has an earlier start (``run``), and the first segments of anchors with several names
-    (``anchor``, ``strings``, ``left`` set; their place is the run)."""
+    or with ``frequent`` set (``anchor``, ``strings``, ``left`` set; their place is the run)."""
+    kind = ["id", "tie", "run", "anchor", "strings", "left", "frequent"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(x, several, first):
+            """``several`` and ``first`` are masks of the rows ``x``."""
+            some = several | ~first
+            anchor, _, id_, tie, at, strings, left, frequent = x[:, some]
+            own = lambda y: pa.array(y, pa.int64(), mask=~first[some])
+            return pa.RecordBatch.from_arrays([*_runs(id_, tie, at, at + strings - 1 + length).columns, own(anchor), own(strings), own(left), own(frequent)], names=kind)
+
+        held, known = None, False  # the last first segment so far, and whether another name of its anchor came before it
+        for b in batches:
+            if not b.num_rows:
+                continue
+            anchor, name, id_, tie, place = (b.column(c).to_numpy() for c in ("anchor", "name", "id", "tie", "place"))
+            x = np.stack([anchor, name, id_, tie, place >> 24 & 0xFFFFFFFF, place >> 12 & 0xFFF, place & 0xFFF, place >> 56])
+            if held is not None:
+                x = np.concatenate([held, x], axis=1)
+            order, first = _first_of_names(*x[:5])
+            x = x[:, order]
+            at = np.flatnonzero(first)
+            same = x[0, at[1:]] == x[0, at[:-1]]
+            before = np.concatenate([[known], same])
+            several = np.zeros(len(first), bool)
+            several[at] = before | np.concatenate([same, [False]]) | (x[7, at] == 1)
+            held, known = x[:, at[-1:]], bool(before[-1])
+            first[at[-1]], several[at[-1]] = True, False
+            yield out(x, several, first)
+        if held is not None:
+            yield out(held, np.array([known or held[7, 0] == 1]), np.array([True]))
+
+    # one number for frequent, at, strings and left: fewer bytes to shuffle
+    place = sum((F.shiftleft(F.col(c).cast("long"), k) for c, k in (("frequent", 56), ("at", 24), ("strings", 12))), F.col("left").cast("long"))
+    # the names of a frequent anchor go to different tasks
+    dealt = segments.select("anchor", "name", "id", "tie", place.alias("place")).repartition(*shards, "anchor", F.when(F.col("place") >= 1 << 56, F.col("name"))).sortWithinPartitions("anchor", "name", "id", "tie", "place")
+    return dealt.mapInArrow(run, f"{RUN}, anchor long, strings long, left long, frequent long")
+
+
+def _texts(docs: DataFrame, segments: DataFrame) -> DataFrame:
+    """The documents of the segments with a list of them; repeated rows come once."""
+    lists = segments.groupBy("id", "tie").agg(F.collect_list(F.struct("run", "anchor", "strings", "left")).alias("segments"))
+    return docs.select("id", "tie", "text").dropDuplicates(["id", "tie"]).join(lists, ["id", "tie"]).select("id", "tie", "text", "segments")
 
-    def run(table: pa.Table) -> pa.Table:
-        cols = [np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("anchor", "<i8"), ("name", "<i8"), ("id", "<i8"), ("tie", "<i8"), ("at", "<i4"), ("strings", "u1"), ("left", "u1"))]
-        anchor, name, id_, tie, at, strings, left = (x.astype(np.int64) for x in cols)
-        order, first = _first_of_names(anchor, name, id_, tie, at)
-        again, some = order[~first], order[first]
-        same = anchor[some][1:] == anchor[some][:-1]
-        several = np.concatenate([[False], same]) | np.concatenate([same, [False]])[: len(some)] if len(some) else np.zeros(0, bool)
-        some = some[several]
-        both = np.concatenate([again, some])
-        set_ = np.arange(len(both)) >= len(again)
-        runs = _runs(id_[both], tie[both], at[both], at[both] + strings[both] - 1 + length)
-        own = lambda x: pa.array(x[both], pa.int64(), mask=~set_)
-        return pa.Table.from_arrays([*runs.columns, own(anchor), own(strings), own(left)], names=["id", "tie", "run", "anchor", "strings", "left"])
 
-    return packed.where("shard is not null").select(*[c.split()[0] for c in PACKED.split(", ")]).groupBy("shard").applyInArrow(run, f"{RUN}, anchor long, strings long, left long")
+def _listed(b: pa.RecordBatch):
+    """Bytes of a batch of ``_texts``, and of each segment: row, start in the bytes, run, anchor, strings, left."""
+    raw, offs = utf8(b.column("text"))
+    rows = b.column("segments")
+    flat = rows.flatten()
+    row = np.repeat(np.arange(b.num_rows), np.diff(rows.offsets.to_numpy()))
+    run, anchor, strings, left = (flat.field(k).to_numpy() for k in range(4))
+    return raw, offs, row, offs[row] + (run >> 32), run, anchor, strings, left
 
 
 def _cut(docs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The bytes of the segments to be sorted, from the documents; repeated rows give theirs once."""
-    lists = segments.groupBy("id", "tie").agg(F.collect_list(F.struct("run", "anchor", "strings", "left")).alias("segments"))
+    """The bytes of the segments to be sorted, from the documents."""
     kind = f"{RUN}, anchor long, strings long, left long, bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, offs = utf8(b.column("text"))
-            rows = b.column("segments")
-            n = np.diff(rows.offsets.to_numpy())
-            flat = rows.flatten()
-            place, anchor, strings, left = (flat.field(k).to_numpy() for k in range(4))
-            base = np.repeat(offs[:-1], n)
-            a, z = (base + (place >> 32)).tolist(), (base + (place & 0xFFFFFFFF)).tolist()
-            id_, tie = (np.repeat(b.column(c).to_numpy(), n) for c in ("id", "tie"))
+            raw, offs, row, start, place, anchor, strings, left = _listed(b)
+            a, z = start.tolist(), (offs[row] + (place & 0xFFFFFFFF)).tolist()
+            id_, tie = (b.column(c).to_numpy()[row] for c in ("id", "tie"))
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (id_, tie, place, anchor, strings, left)), pa.array([raw[x:y] for x, y in zip(a, z)], pa.binary())], names=[c.split()[0] for c in kind.split(", ")])
 
-    return docs.select("id", "tie", "text").dropDuplicates(["id", "tie"]).join(lists, ["id", "tie"]).select("id", "tie", "text", "segments").mapInArrow(run, kind)
+    return _texts(docs, segments).mapInArrow(run, kind)
 
 
-def _sorted(segments: DataFrame, length: int, held: int) -> DataFrame:
-    """Runs of repeated strings of the segments, sorted shard by shard."""
+def _strings(docs: DataFrame, segments: DataFrame, length: int) -> DataFrame:
+    """Every string of the segments as a segment; equal ones of a batch are one (the others are runs)."""
+    kind = [*NAMES, "run_id", "run_tie", "run"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, raw = [], []
         for b in batches:
-            parts.append([b.column(c).to_numpy() for c in ("id", "tie", "run", "strings", "left")])
-            raw += [np.frombuffer(x, np.uint8) for x in b.column("bytes").to_pylist()]
-        if not raw:
-            return
-        id_, tie, place, strings, left = (np.concatenate(x) for x in zip(*parts))
+            raw, offs, row, start, _, anchor, strings, left = _listed(b)
+            if not len(row):
+                continue
+            k = ranges(strings)
+            row, start, anchor, left = (np.repeat(x, strings) for x in (row, start, anchor, left))
+            start, left = start + k, left - k
+            name = mixed(Rolling(np.frombuffer(raw, np.uint8)).slices(start, start + length) + M2 * left.astype(np.uint64)).view(np.int64)
+            id_, tie = (b.column(c).to_numpy()[row] for c in ("id", "tie"))
+            yield from _merged(anchor, name, id_, tie, start - offs[row], np.ones(len(row), np.int64), left, length, kind)
+
+    return _texts(docs, segments).mapInArrow(run, f"{SEGMENT}, run_id long, run_tie long, run long")
+
+
+def _sorted(segments: DataFrame, length: int, held: int, size: int, shards: list[int]) -> DataFrame:
+    """Runs of repeated strings of the segments, sorted in groups of whole anchors of about ``size`` bytes."""
+
+    def one(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        id_, tie, place, strings, left = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("id", "tie", "run", "strings", "left"))
+        raw = [np.frombuffer(x.as_buffer(), np.uint8) for b in batches for x in b.column("bytes")]
         start = place >> 32
         rank = np.empty(len(raw), np.int64)
         rank[np.lexsort((start + left, tie, id_))] = np.arange(len(raw))
         shard = Shard(raw, left, strings, length, held)
-        del raw, parts
+        del raw
         found = [*shard.repeats(rank)]
         if not found:
             return
@@ -318,20 +400,51 @@ def _sorted(segments: DataFrame, length: int, held: int) -> DataFrame:
             s, x, y = segment[first[k : k + 100_000]], at[first[k : k + 100_000]], at[last[k : k + 100_000]]
             yield _runs(id_[s], tie[s], start[s] + x, start[s] + y + length)
 
-    return segments.repartition("anchor").select("id", "tie", "run", "strings", "left", "bytes").mapInArrow(run, RUN)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, bytes_ = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if some and bytes_ >= size:
+                # the group ends before the first new anchor of the batch
+                new = np.flatnonzero(b.column("anchor").to_numpy() != some[-1].column("anchor")[-1].as_py())
+                cut = int(new[0]) if len(new) else b.num_rows
+                some.append(b.slice(0, cut))
+                if cut == b.num_rows:
+                    continue
+                yield from one(some)
+                some, bytes_, b = [], 0, b.slice(cut)
+            some.append(b)
+            bytes_ += b.column("bytes").nbytes
+        if some:
+            yield from one(some)
+
+    dealt = segments.repartition(*shards, "anchor").sortWithinPartitions("anchor").select("anchor", "id", "tie", "run", "strings", "left", "bytes")
+    return dealt.mapInArrow(run, RUN)
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, held: int = HELD, shards: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, held: int = HELD, shards: int | None = None, carry: tuple[str, ...] = (), hot: int = HOT, group: int = GROUP) -> DataFrame:
     """Per document: ``key`` (a long), the columns of ``carry``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs), ``kept`` (the other bytes), ``kept_sha256`` (of them, lowercase hexadecimal) and ``kept_text`` (of them,
     without the parts of characters that a cut has split)."""
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.coalesce(F.col(key), F.lit(LAST)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
-    packed = written(_named(docs, shards, length, gram), "dedup-named")
-    firsts = written(_firsts(packed, length), "dedup-firsts")
-    segments = _cut(docs, firsts.where("anchor is not null"))
-    runs = packed.where("shard is null").select(F.col("run_id").alias("id"), F.col("run_tie").alias("tie"), "run").union(firsts.where("anchor is null").select("id", "tie", "run")).union(_sorted(segments, length, held))
+    shards = [shards] if shards else []
+    named = written(_named(docs, length, gram), "dedup-named")
+    segments = named.where("anchor is not null").select(*NAMES)
+    frequent = _frequent(named, hot)
+    if frequent is None:
+        segments = segments.withColumn("frequent", F.lit(0))
+    else:
+        segments = segments.join(frequent.withColumn("frequent", F.lit(1)), "anchor", "left").withColumn("frequent", F.coalesce("frequent", F.lit(0)))
+    firsts = written(_firsts(segments, length, shards), "dedup-firsts")
+    own = lambda rows: rows.where("run is not null and anchor is null").select(F.col("run_id").alias("id"), F.col("run_tie").alias("tie"), "run")
+    runs = own(named).union(firsts.where("anchor is null").select("id", "tie", "run"))
+    runs = runs.union(_sorted(_cut(docs, firsts.where("anchor is not null and frequent = 0")), length, held, group, shards))
+    if frequent is not None:
+        strings = written(_strings(docs, firsts.where("frequent = 1"), length), "dedup-strings")
+        # a string of the whole length shares none with those of another name
+        again = _firsts(strings.where("anchor is not null").select(*NAMES, F.lit(1).alias("frequent")), length, shards).where("anchor is null")
+        runs = runs.union(own(strings)).union(again.select("id", "tie", "run"))
     lists = runs.groupBy("id", "tie").agg(F.collect_set("run").alias("runs"))  # fewer runs than the document has bytes
     kind = T.StructType([T.StructField(key, T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType()), docs.schema["carried"]])
 

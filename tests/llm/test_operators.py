@@ -272,6 +272,31 @@ def test_suffix_dedup_repeated_rows_are_one_document(spark, batch):
     assert kept == {(i, *want[k]) for k, (i, _) in enumerate(order)}
 
 
+@pytest.mark.parametrize("batch", [2, 1000])
+def test_suffix_dedup_frequent_anchors_and_bounded_groups(spark, batch):
+    r = random.Random(14)
+    line = "".join(r.choices("abcdefgh", k=130))
+    rows = [(k, "".join(r.choices("abcd ", k=r.randrange(160))) + line + "".join(r.choices("ab", k=r.randrange(160)))) for k in range(90)]
+    rows += [(100 + k, rows[k % 7][1] * 2) for k in range(20)] + [(k, None) for k in range(200, 203)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        pairs = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
+        named = suffix_dedup.written(suffix_dedup._named(pairs, 100, 24), "test-named")
+        hot = suffix_dedup._frequent(named, 30)
+        sizes = {x["anchor"]: x["count"] for x in named.where("anchor is not null").groupBy("anchor").count().collect()}
+        assert {x["anchor"] for x in hot.collect()} == {a for a, n in sizes.items() if n > 30} != set()
+        assert suffix_dedup._frequent(named, 10**6) is None
+        want = brute_dedup(rows, 100)
+        # group 0: a group is a batch and the rest of its last anchor
+        for more in ({"hot": 30}, {"hot": 30, "group": 0}, {"hot": 0}, {"group": 3000, "held": 50}, {"shards": 1}):
+            done = suffix_dedup.dedup(docs, **more)
+            got = {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in done.collect()}
+            assert got == want, more
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def distance_to_part(item, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(item, 1):
