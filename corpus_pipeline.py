@@ -1,7 +1,7 @@
 """A training-data pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
-Stages but the last return the columns of ``documents``.  Rows with a null id pass the stages that compare ids; rows of
-one id are one document from the second stage on.
+Stages but the last return the columns of ``documents``.  Rows may share an id or have none: those that differ in any
+column are told apart, and equal rows are one from the second stage on.
 """
 
 from __future__ import annotations
@@ -26,13 +26,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of documents linked by 0.8 similar sets of 5-word shingles."""
+    """Keep one row of each group of rows linked by 0.8 similar sets of 5-word shingles: that of the smallest id (null is
+    the largest), of rows of one id that of the smallest hash."""
     small_batches(spark)
-    docs = docs.select(*COLUMNS)
-    links = ngram_join.linked(docs, words=5, percent=80)
-    others = links.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+    docs = docs.select(*COLUMNS).withColumn("_row", F.xxhash64(*COLUMNS, *(F.col(c).isNull() for c in COLUMNS)))
+    links = ngram_join.linked(docs, "_row", words=5, percent=80).select("_row", "component_id").distinct()
+    links = written(links.join(docs.select("_row", "doc_id").distinct(), "_row"), "pipeline-links")
+    first = links.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).getField("_row").alias("first"))
+    others = links.join(first, "component_id").where("_row <> first").select("_row")
+    return docs.join(others, "_row", "left_anti").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +61,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings), ("decontamination", decontamination), ("encoding", encoding)]
 
-#: SQL expresses none of a fitted ensemble, components, suffix order, banded alignment and BPE merges: the stages are
-#: tested against brute force instead.
+#: SQL expresses none of a fitted ensemble, components, suffix order, banded alignment and BPE merges: their operators
+#: are tested against brute force instead, the stages that compare rows also with repeated and null ids.
 ORACLE_SQL = None
 
 

@@ -336,6 +336,33 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.hits(docs, bench.where("false")).count() == 0
 
 
+def test_pipeline_rows_that_share_an_id_or_have_none(spark):
+    import corpus_pipeline
+
+    r = random.Random(15)
+    word = lambda: "".join(r.choices("abcdefghij", k=6))
+    a, b, c, d = ([word() for _ in range(60)] for _ in range(4))
+    near = lambda w: " ".join([*w[:-1], word()])
+    rows = [(4, " ".join(a)), (3, near(a)), (3, " ".join(b)), (3, " ".join(b)), (None, near(b)), (None, " ".join(c)), (None, " ".join(c)), (None, near(c))]
+    rows += [(7, " ".join([*d, *a[:30]])), (None, near(a)), (5, ""), (6, None), (8, "one two"), (None, "one two")]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF001).collect()
+    groups = {}
+    for k, (_, label) in brute_components([(k, t) for k, (_, t) in enumerate(rows)], 5, 80).items():
+        groups.setdefault(label, []).append(rows[k])
+    size = lambda x: (x[0] is None, x[0] or 0)
+    kept = sorted(((x["doc_id"], x["text"]) for x in got), key=lambda x: (*size(x), x[1] or ""))
+    assert len(kept) == len(groups) == 7
+    for members in groups.values():
+        one = [x for x in kept if x in members]
+        assert len(one) == 1 and size(one[0]) == min(map(size, members))
+    # texts of one id or none are cut as separate documents
+    done = corpus_pipeline.repeated_strings(spark, spark.createDataFrame(got, docs.schema), SF001).collect()
+    want = brute_dedup([(k, t) for k, (_, t) in enumerate(kept)], 100)
+    assert sorted(hashlib.sha256(x["text"].encode()).hexdigest() for x in done) == sorted(x[3] for x in want.values())
+    assert any(x[1] for x in want.values())
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
