@@ -13,13 +13,24 @@ def test_load_csv_declared_keeps_dirty_numerics(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "c.csv")
     with open(p, "w") as f:
         f.write('id,total,note\n1,12.5,"multi\nline"\n2, ,x\n3,abc,y\n')
-    df = io.load_csv(spark, p, "id INT, total STRING, note STRING")
+    df = io.load_csv(spark, p, "id INT, total STRING, note STRING", multiline=True)
     assert df.schema["total"].dataType.simpleString() == "string"
     from sparklab.operators.clean import load_audit
     a = load_audit(df, "note", ["total"]).first()
     assert a.rows_loaded == 3 and a.uncastable_total == 2
 
 
+def test_load_csv_default_reads_line_by_line(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "c.csv")
+    with open(p, "w") as f:
+        f.write('id,total,note\n1,12.5,"a, b"\n2, ,x\n3,abc,y\n')
+    rows = io.load_csv(spark, p, "id INT, total STRING, note STRING").orderBy("id").collect()
+    assert [(r.id, r.total, r.note) for r in rows] == [(1, "12.5", "a, b"), (2, " ", "x"), (3, "abc", "y")]
+    with open(p, "w") as f:
+        f.write('id,total,note\n1,2,"multi\nline"\n')
+    assert io.load_csv(spark, p, "id INT, total STRING, note STRING").count() == 2
+
+
 def test_object_table_metadata_only(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "obj")
     os.makedirs(d)
