@@ -12,15 +12,31 @@ from pyspark.sql import functions as F
 
 from sparklab.session import ensure_checkpoint_dir
 
-#: Rows an Arrow batch holds at most; documents average a few KB, so a batch stays at a few MB.
-BATCH_ROWS = 1000
+#: Rows and bytes that an Arrow batch holds at most (one longer text is a batch of its own).
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches handed to Python workers (long texts make the default of 10,000 rows too large)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) != str(rows):
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
+    """Bound the Arrow batches handed to Python workers by rows and bytes: array work takes tens of times a batch.
+
+    Both are settings of the session, which hold for all plans it runs from then on."""
+    for key, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}") != str(value):
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the first of its successors that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``scratch`` through the cluster's file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str, table: str = "documents") -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import bpe, decontaminate, fingerprints, language, ngram_join, quality_rules, suffix_dedup, token_counts, token_store, toxicity
+from sparklab.llm import bpe, decontaminate, fingerprints, language, line_dedup, ngram_join, quality_rules, suffix_dedup, token_counts, token_store, toxicity
 from sparklab.llm.common import documents, scratch, text_or_empty
 
 QUERIES: dict = {}
@@ -112,3 +112,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     filters = language.train(docs.where(fold(4) != 2))
     return language.predict(docs.select("doc_id", "text", (fold(4) == 2).alias("held_out")), filters).drop("text")
+
+
+@query(
+    sql="""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, i, parts[i] AS line,
+         translate(trim(parts[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM cut, unnest(range(1, len(parts) + 1)) AS t(i)),
+many AS (SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT doc_id, i, line, coalesce(doc_id <> keeper, false) AS gone FROM lines LEFT JOIN many USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that five documents or more hold, but for the largest id among them."""
+    done = line_dedup.dedup(documents(spark, sf_dir, "doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
