@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import bpe, decontaminate, fingerprints, language, line_dedup, ngram_join, quality_rules, suffix_dedup, token_counts, token_store, toxicity
+from sparklab.llm import bpe, decontaminate, fingerprints, language, line_dedup, ngram_join, periodic_runs, quality_rules, suffix_dedup, token_counts, token_store, toxicity
 from sparklab.llm.common import documents, scratch, text_or_empty
 
 QUERIES: dict = {}
@@ -114,6 +114,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", (fold(4) == 2).alias("held_out")), filters).drop("text")
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document; in a tenth of them the words from one on are first made to repeat."""
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("words", F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.size("words")
+    at = docs.select("doc_id", "text", "words", ((h % 10 == 0) & (n > 0)).alias("made"), F.floor(h / 10).alias("g"), n.alias("n"))
+    at = at.withColumn("a", F.when(F.col("made"), F.col("g") % F.col("n")))
+    at = at.withColumn("p", F.when(F.col("made"), 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+    word = lambda w, i: F.when(i >= F.col("a"), F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))).otherwise(w)
+    made = at.select("doc_id", F.when(F.col("made"), F.array_join(F.transform("words", word), " ")).otherwise(F.col("text")).alias("text"))
+    done = periodic_runs.find(made)
+    return done.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2(periodic_runs.runs_text(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query(
     sql="""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
