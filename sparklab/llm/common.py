@@ -123,11 +123,11 @@ SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word of the rows of ``data``, and the words before each row (n + 1 numbers)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SEPARATOR[data]
+    inside = ~separator[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(data)]

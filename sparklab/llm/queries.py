@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import bpe, decontaminate, fingerprints, language, line_dedup, ngram_join, periodic_runs, quality_rules, suffix_dedup, token_counts, token_store, toxicity
+from sparklab.llm import bpe, decontaminate, fingerprints, language, line_dedup, ngram_join, periodic_runs, phrases, quality_rules, suffix_dedup, token_counts, token_store, toxicity
 from sparklab.llm.common import documents, scratch, text_or_empty
 
 QUERIES: dict = {}
@@ -145,3 +145,39 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that five documents or more hold, but for the largest id among them."""
     done = line_dedup.dedup(documents(spark, sf_dir, "doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    sql="""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+found AS (
+  SELECT lang, size, list_aggregate(w[i:i + size - 1], 'string_agg', ' ') AS phrase, w[i] AS first, w[i:i + size - 2] AS head, w[i + 1:i + size - 1] AS tail, w[i + size - 1] AS last
+  FROM listed, unnest([1, 2, 3]) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i)),
+f AS (
+  SELECT lang, size, phrase, any_value(first) AS first, any_value(list_aggregate(head, 'string_agg', ' ')) AS head, any_value(list_aggregate(tail, 'string_agg', ' ')) AS tail,
+         any_value(last) AS last, count(*) AS a
+  FROM found GROUP BY lang, size, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+many AS (SELECT * FROM f WHERE size > 1 AND a >= 10),
+cuts AS (
+  SELECT m.lang, m.size, m.phrase, m.a, 1 AS k, x.a AS l, y.a AS r
+  FROM many m JOIN f x ON x.lang = m.lang AND x.size = 1 AND x.phrase = m.first JOIN f y ON y.lang = m.lang AND y.size = m.size - 1 AND y.phrase = m.tail
+  UNION ALL
+  SELECT m.lang, m.size, m.phrase, m.a, 2, x.a, y.a
+  FROM many m JOIN f x ON x.lang = m.lang AND x.size = 2 AND x.phrase = m.head JOIN f y ON y.lang = m.lang AND y.size = 1 AND y.phrase = m.last
+  WHERE m.size = 3),
+scored AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cuts),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase, size ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, part, max(a) AS a FROM (SELECT lang, head AS part, a FROM many WHERE size = 3 UNION ALL SELECT lang, tail, a FROM many WHERE size = 3) GROUP BY lang, part),
+kept AS (SELECT w.* FROM worst w LEFT JOIN longer g ON w.size = 2 AND g.lang = w.lang AND g.part = w.phrase WHERE g.a IS NULL OR 100 * g.a < 50 * w.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of two and three words of each language."""
+    return phrases.collocations(documents(spark, sf_dir, "text", "lang"))

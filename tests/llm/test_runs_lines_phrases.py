@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparklab.llm import line_dedup, periodic_runs, queries
+from sparklab.llm import line_dedup, periodic_runs, phrases, queries
 from tests.conftest import SF001
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -177,3 +177,105 @@ def test_runs_of_lines_are_merged_on_their_buckets(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
     store.close()
+
+
+def plain_phrases(rows, longest, min_count, top, inside):
+    """Collocations by dictionaries of word tuples."""
+    f = defaultdict(lambda: defaultdict(int))
+    for lang, text in rows:
+        low = "".join(c.lower() if c.isascii() else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for size in range(1, longest + 1):
+                for i in range(len(w) - size + 1):
+                    f[lang or "und"][tuple(w[i : i + size])] += 1
+    out = []
+    for lang, counts in f.items():
+        n = sum(c for p, c in counts.items() if len(p) == 1)
+        many = {p: c for p, c in counts.items() if len(p) > 1 and c >= min_count}
+        rows = []
+        for p, a in many.items():
+            cuts = [(1_000_000 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            held = any(100 * c >= inside * a for q, c in many.items() if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1)))
+            if not held:
+                rows.append((score, a, " ".join(p), counts[p[:k]], counts[p[k:]]))
+        rows.sort(key=lambda r: (-r[0], -r[1], r[2].encode()))
+        out += [(lang, k, p, a, left, right, n, score) for k, (score, a, p, left, right) in enumerate(rows[:top], 1)]
+    return sorted(out)
+
+
+def speech(seed, n):
+    r = random.Random(seed)
+    words = [*"abcdefghé漢", "New", "york", "CITY", "x'y", "\x00", "Über"]
+    out = []
+    for _ in range(n):
+        w = r.choices(words, weights=range(len(words), 0, -1), k=r.randint(0, 60))
+        for _ in range(r.randint(0, 6)):
+            w.insert(r.randint(0, len(w)), r.choice(["New york city", "a b a b", "x'y, é"]))
+        out.append(r.choice([" ", "\t", "  "]).join(w).replace("g", r.choice(["g", ".", "!\x0b", "\n"])))
+    return out
+
+
+def test_phrases_equal_dictionaries(spark):
+    texts = speech(4, 400) + ["", None, "...", " a", "w " * 3000, "w w w"]
+    rows = [(r, t) for r, t in zip([None, "en", "fr", "und"] * 200, texts)]
+    # columns of other names, also of those that results have, are not read
+    docs = spark.createDataFrame([(*x, 1, "n") for x in rows + rows[:40]], "lang string, text string, rank int, phrase string").repartition(3)
+    for longest, many, top, inside, head, window in ((3, 10, 2000, 50, 1 << 14, 1 << 20), (4, 5, 7, 80, 5, 300), (2, 3, 50, 50, 1024, 2000)):
+        got = phrases.collocations(docs, longest=longest, min_count=many, top=top, inside=inside, head=head, window=window)
+        assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+        want = plain_phrases(rows + rows[:40], longest, many, top, inside)
+        assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 20
+    assert phrases.collocations(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("crowd", [0, 300_000])
+def test_tiles_equal_unique_pairs(crowd):
+    """Crowded tiles are counted densely, others as sorted pairs; both are the counts of a dictionary."""
+    rng = np.random.default_rng(crowd)
+    a = np.concatenate([rng.integers(0, 512, crowd), rng.integers(0, 3000, 5000)])
+    b = np.concatenate([rng.integers(512, 1024, crowd), rng.integers(0, 3000, 5000)])
+    x, y, n = phrases.tiled(a, b, (1024, 2048))
+    got = dict(zip(zip(x.tolist(), y.tolist()), n.tolist()))
+    want = defaultdict(int)
+    for p in zip(a.tolist(), b.tolist()):
+        want[p] += 1
+    assert got == dict(want) and len(x) == len(got)
+
+
+def test_words_of_one_hash_are_told_apart(spark, monkeypatch):
+    """With hashes of one byte nearly all words collide at first; the counts are still those of the words."""
+    rows = [("en", t) for t in speech(8, 60)]
+    real = phrases.hashlib.blake2b
+
+    class Short:
+        def __init__(self, data, **kw):
+            self.turn, self.raw = int(kw.get("person", b"0")), real(data, **kw).digest()
+
+        def digest(self):
+            return self.raw if len(self.raw) != 8 or self.turn else bytes([self.raw[0] % 4]) + bytes(7)
+
+    class fake:
+        blake2b = Short
+
+    numbers = phrases._Numbers("en", frozenset())
+    monkeypatch.setattr(phrases, "hashlib", fake)
+    seen, bad = {}, frozenset()
+    words = sorted({w for _, t in rows for w in (t or "").encode().lower().split()})
+    while True:
+        numbers = phrases._Numbers("en", bad)
+        seen = defaultdict(set)
+        for w in words:
+            seen[numbers[w]].add(w)
+        shared = {i for i, w in seen.items() if len(w) > 1}
+        if not shared:
+            break
+        bad |= shared
+    assert bad and len(seen) == len(words)
+
+
+def test_scores_beyond_64_bits(spark):
+    big = 3_000_000_019
+    row = spark.createDataFrame([(big, 2 * big + 1, 5 * big + 3)], "a long, l long, r long").select(phrases._score(F.col("a"), F.col("l"), F.col("r")).alias("s")).first()
+    assert row["s"] == 1_000_000 * big * big // ((2 * big + 1) * (5 * big + 3))
