@@ -9,13 +9,14 @@ Results equal the public ``tokenizers`` library for byte-level BPE files (``enco
 without truncation or padding, ``decode(..., skip_special_tokens=False)``): strings of added tokens inside a text
 become their id.
 
-Defined cases: null and empty texts have no ids; repeated rows are encoded each; extra columns are carried; very long
+Defined cases: null and empty texts have no ids; repeated rows are encoded each; extra columns are carried, those named like a result column are replaced; very long
 texts need memory in proportion to one Arrow batch; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 import struct
 from collections.abc import Iterator
@@ -32,6 +33,9 @@ from sparklab.llm.common import utf8
 #: Fragments that a worker remembers; beyond them it starts anew (memory bound only, results do not change).
 MEMO = 350_000
 
+#: Bytes up to which a fragment is merged by plain search, which is faster there.
+SHORT = 100
+
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Suffixes that a pre-token of their own begins with an apostrophe (fixed values of the public pattern).
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -69,6 +73,7 @@ class ByteBPE:
             left, right = map(raw, m if isinstance(m, list) else m.split(" "))
             self.ranks[self.ids[left] << 32 | self.ids[right]] = len(self.made)
             self.made.append(self.ids[left + right])
+        self.pairs, self.pair_ranks = (np.array(x, np.int64) for x in zip(*sorted(self.ranks.items())))
         self.single = [self.ids[bytes([k])] for k in range(256)]
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.tokens: dict[int, bytes] = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.added.items()}
@@ -80,9 +85,12 @@ class ByteBPE:
         self.memo = _Memo(self)
 
     def merge(self, fragment: bytes) -> bytes:
-        """Ids of one fragment as little-endian 32-bit integers: the lowest-ranked pair merges first."""
+        """Ids of one fragment as little-endian 32-bit integers: the lowest-ranked pair merges first, of equal ones the
+        leftmost."""
         single, ranks, made = self.single, self.ranks.get, self.made
         parts = [single[b] for b in fragment]
+        if len(parts) > SHORT:
+            return self._merge_long(parts)
         worst = len(made)
         scores = [ranks(a << 32 | b, worst) for a, b in zip(parts, parts[1:])]
         while scores and (best := min(scores)) < worst:
@@ -95,6 +103,57 @@ class ByteBPE:
                 scores[k] = ranks(new << 32 | parts[k + 1], worst)
         return struct.pack(f"<{len(parts)}I", *parts)
 
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids, -1 for those that do not merge."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_ranks[at], -1)
+
+    def _merge_long(self, ids: list[int]) -> bytes:
+        """The same for long fragments: parts in a linked list, and all places of the lowest rank merge at once.
+
+        A merge's token takes part in later merges only, so no lower rank can come up in between."""
+        parts = np.array(ids, np.int64)
+        n = len(parts)
+        after, before = np.append(np.arange(1, n), -1), np.arange(-1, n - 1)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            rank = self._ranked(parts[at], parts[after[at]])
+            at, rank = at[rank >= 0], rank[rank >= 0]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            cuts = np.flatnonzero(np.append(True, rank[1:] != rank[:-1])) if len(rank) else np.zeros(0, np.int64)
+            for r, some in zip(rank[cuts].tolist(), np.split(at, cuts[1:])):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].append(some)
+
+        wait(np.arange(n - 1))
+        while heap:
+            rank = heapq.heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(rank)))
+            at = at[(parts[at] >= 0) & (after[at] >= 0)]
+            at = at[self._ranked(parts[at], parts[after[at]]) == rank]
+            if not len(at):
+                continue
+            # of pairs that share a part the first, third, .. merge
+            chain = np.append(True, after[at[:-1]] != at[1:])
+            place = np.arange(len(at))
+            at = at[(place - place[chain][np.cumsum(chain) - 1]) % 2 == 0]
+            right = after[at]
+            parts[at], parts[right] = self.made[rank], -1
+            far = after[right]
+            after[at] = far
+            before[far[far >= 0]] = at[far >= 0]
+            near = before[at]
+            again = np.unique(np.concatenate([at, near[near >= 0]]))
+            wait(again[after[again] >= 0])
+        left = parts[parts >= 0]
+        return left.astype("<u4").tobytes()
+
     def segments(self, text: str, offsets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """Character offsets between which pre-tokens are found apart, and (start, end, id) of added tokens."""
         found = []
