@@ -213,6 +213,22 @@ def _runs(id_: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array(id_.astype(np.int64)), pa.array(tie.astype(np.int64)), pa.array((start.astype(np.int64) << 32) | end.astype(np.int64))], names=["id", "tie", "run"])
 
 
+def _spans(id_: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """Runs of which those of one document that overlap or touch are one."""
+    order = np.lexsort((end, start, tie, id_))
+    id_, tie, start, end = id_[order], tie[order], start[order], end[order]
+    other = np.ones(len(order), bool)
+    other[1:] = (id_[1:] != id_[:-1]) | (tie[1:] != tie[:-1])
+    # the furthest end so far within the document: documents are set apart by a base that grows
+    base = (np.cumsum(other) - 1) * (np.int64(end.max()) + 1)
+    far = np.maximum.accumulate(end + base)
+    new = other.copy()
+    new[1:] |= start[1:] + base[1:] > far[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order)) - 1
+    return _runs(id_[first], tie[first], start[first], far[last] - base[last])
+
+
 def _first_of_names(anchor, name, id_, tie, at):
     """Sorting order by anchor, name and place, and which rows of it are the first of their name; of equal places, which
     repeated rows give, the order holds one."""
@@ -230,8 +246,8 @@ def _merged(anchor, name, id_, tie, at, strings, left, length: int, kind: list[s
     order, first = _first_of_names(anchor, name, id_, tie, at)
     again, some = order[~first], order[first]
     if len(again):
-        runs = _runs(id_[again], tie[again], at[again], at[again] + strings[again] - 1 + length)
-        none = pa.nulls(len(again))
+        runs = _spans(id_[again], tie[again], at[again], at[again] + strings[again] - 1 + length)
+        none = pa.nulls(runs.num_rows)
         yield pa.RecordBatch.from_arrays([*(none.cast(t) for t in (*[pa.int64()] * 4, pa.int32(), pa.int16(), pa.int16())), *runs.columns, *[none.cast(pa.binary())] * (len(kind) - 10)], names=kind)
     cols = [pa.array(x[some].astype(k)) for x, k in zip((anchor, name, id_, tie, at, strings, left), (*["i8"] * 4, "i4", "i2", "i2"))]
     none = pa.nulls(len(some))
@@ -427,7 +443,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     """Per document: ``key`` (a long), the columns of ``carry``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs), ``kept`` (the other bytes), ``kept_sha256`` (of them, lowercase hexadecimal) and ``kept_text`` (of them,
     without the parts of characters that a cut has split)."""
-    docs = docs.select(F.coalesce(F.col(key), F.lit(LAST)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
+    docs = docs.select(F.coalesce(F.col(key), F.lit(LAST)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(key).isNull()).alias("tie"), F.col(text).alias("text"), F.struct(F.col(key).cast("long").alias("_key"), *carry).alias("carried"))
     shards = [shards] if shards else []
     named = written(_named(docs, length, gram), "dedup-named")
     segments = named.where("anchor is not null").select(*NAMES)
@@ -445,7 +461,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
         # a string of the whole length shares none with those of another name
         again = _firsts(strings.where("anchor is not null").select(*NAMES, F.lit(1).alias("frequent")), length, shards).where("anchor is null")
         runs = runs.union(own(strings)).union(again.select("id", "tie", "run"))
-    lists = runs.groupBy("id", "tie").agg(F.collect_set("run").alias("runs"))  # fewer runs than the document has bytes
+    # fewer runs than the document has bytes; length before start, as the set's hash folds the upper half onto the lower
+    start = F.shiftright("run", 32)
+    lists = runs.groupBy("id", "tie").agg(F.collect_set(F.shiftleft(F.col("run").bitwiseAND(0xFFFFFFFF) - start, 32) + start).alias("runs"))
     kind = T.StructType([T.StructField(key, T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType()), docs.schema["carried"]])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,8 +474,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             flat = rows.flatten().to_numpy()
             base = np.repeat(offs[:-1], n)
             depth = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(depth, base + (flat >> 32), 1)
-            np.add.at(depth, base + (flat & 0xFFFFFFFF), -1)
+            start = base + (flat & 0xFFFFFFFF)
+            np.add.at(depth, start, 1)
+            np.add.at(depth, start + (flat >> 32), -1)
             gone = np.cumsum(depth)[:-1] > 0
             begins = gone.copy()
             begins[1:] &= ~gone[:-1]
@@ -468,7 +487,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             kept = data[~gone].tobytes()
             ends = (offs - total[offs]).tolist()
             parts = [kept[a:z] for a, z in zip(ends, ends[1:])]
-            ids = pa.array([None if x == LAST else x for x in b.column("id").to_pylist()], pa.int64())
+            ids = b.column("carried").field("_key")
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offs)), pa.array(np.diff(total[offs])), pa.array(np.diff(spans[offs])), pa.array(parts, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in parts], pa.string()), b.column("carried")], names=kind.names)
 
     done = docs.join(lists, ["id", "tie"], "left").select("id", "text", "carried", F.coalesce("runs", F.array().cast("array<long>")).alias("runs")).mapInArrow(remove, kind)
