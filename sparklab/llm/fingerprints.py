@@ -3,14 +3,18 @@
 A fingerprint keeps every hash of a document's word shingles that lies below a fixed fraction of the hash range, so a
 longer document keeps more hashes and two fingerprints sample the same part of the hash range: the share of the smaller
 one's hashes found in the larger one estimates the containment of very unequal documents.  Fingerprints merge by union.
-The smallest hash is kept in any case, so no document with words has an empty fingerprint.
+Below ``LEAST`` expected hashes a document keeps a finer scale, by halves of the divisor down to all of its hashes, so
+that short texts are told apart; two fingerprints are compared by their hashes below the smaller of the two fractions.
+The scale depends on the number of different shingles alone, and a merge keeps the coarser one.
 
 Words are separated by blanks and the ASCII controls 9 to 13, A-Z count as a-z; a shingle is five words, or the whole
-sequence of a text with fewer.  A fingerprint is a string of 16 hexadecimal digits per hash, ascending.
+sequence of a text with fewer.  A fingerprint is a digit, the binary logarithm of its divisor, and 16 hexadecimal digits
+per hash, ascending.
 
 Defined cases: null and empty texts and texts of separators have the empty fingerprint, which is like the empty
-fingerprint (1) and unlike all others (0); repeated rows and ties of the key are ordered by their text; rows with a
-null key come last; extra columns are not carried; an empty table gives an empty result.
+fingerprint (1) and unlike all others (0); two documents of which one has no hash below the common fraction are unlike;
+repeated rows and ties of the key are ordered by their text; rows with a null key come last, also if all are such; a
+very long text is an Arrow batch of its own; extra columns are not carried; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +31,8 @@ from pyspark.sql import types as T
 from sparklab.llm.common import Rolling, mixed, ranges, strings, utf8, word_spans
 
 WORDS = 5
-#: One of so many hashes is kept.
-SCALED = 8
+#: One of so many hashes is kept at the coarsest scale (a power of two), and the hashes that call for a finer one.
+SCALED, LEAST = 8, 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -57,55 +61,89 @@ def shingle_hashes(raw: bytes, offsets: np.ndarray, words: int = WORDS) -> tuple
     return out, at
 
 
-def sketches(raw: bytes, offsets: np.ndarray, words: int = WORDS, scaled: int = SCALED) -> list[np.ndarray]:
-    """The kept hashes of every row, ascending and distinct."""
+def scale_of(n: np.ndarray, scaled: int = SCALED) -> np.ndarray:
+    """Binary logarithm of the divisor for documents of ``n`` different shingles."""
+    return np.clip(np.floor(np.log2(np.maximum(n, 1) / LEAST)), 0, int(np.log2(scaled))).astype(np.int64)
+
+
+Sketch = tuple[int, np.ndarray]
+
+
+def sketches(raw: bytes, offsets: np.ndarray, words: int = WORDS, scaled: int = SCALED) -> list[Sketch]:
+    """The scale (logarithm of the divisor) and the kept hashes of every row, ascending and distinct."""
     hashes, at = shingle_hashes(raw, offsets, words)
     n = len(offsets) - 1
-    keep = hashes < np.uint64((1 << 64) // scaled) if scaled > 1 else np.ones(len(hashes), bool)
-    some = np.flatnonzero(np.diff(at))
-    if len(some):
-        least = np.minimum.reduceat(hashes, at[some])
-        keep |= hashes == np.repeat(least, np.diff(at)[some])
-    row = np.repeat(np.arange(n), np.diff(at))[keep]
-    kept = hashes[keep]
-    order = np.lexsort((kept, row))
-    row, kept = row[order], kept[order]
-    new = np.ones(len(kept), bool)
-    new[1:] = (kept[1:] != kept[:-1]) | (row[1:] != row[:-1])
-    row, kept = row[new], kept[new]
-    return np.split(kept, np.searchsorted(row, np.arange(1, n)))[:n] if n else []
-
-
-def digest(sketch: np.ndarray) -> str:
-    return sketch.astype(">u8").tobytes().hex()
-
-
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Containment of the smaller sketch in the larger one."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    both = np.concatenate([a, b])
+    if not n:
+        return []
+    row = np.repeat(np.arange(n), np.diff(at))
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    row, hashes = row[new], hashes[new]
+    scale = scale_of(np.bincount(row, minlength=n), scaled)
+    keep = below(hashes, scale[row])
+    row, hashes = row[keep], hashes[keep]
+    return [*zip(scale.tolist(), np.split(hashes, np.searchsorted(row, np.arange(1, n))))]
+
+
+def below(hashes: np.ndarray, scale: np.ndarray | int) -> np.ndarray:
+    """Whether hashes lie in the fraction 2 ** -scale of their range."""
+    return hashes >> (np.uint64(63) - np.asarray(scale, np.uint64)) >> np.uint64(1) == 0
+
+
+def digest(sketch: Sketch) -> str:
+    scale, kept = sketch
+    return str(scale) + kept.astype(">u8").tobytes().hex() if len(kept) else ""
+
+
+def likeness(a: Sketch, b: Sketch) -> float:
+    """Containment of the smaller sketch in the larger one, at the coarser of their scales."""
+    if not len(a[1]) or not len(b[1]):
+        return float(len(a[1]) == len(b[1]))
+    x, y = (s[below(s, max(a[0], b[0]))] for s in (a[1], b[1]))
+    if not len(x) or not len(y):
+        return 0.0
+    both = np.concatenate([x, y])
     both.sort()
-    return float(np.count_nonzero(both[1:] == both[:-1])) / min(len(a), len(b))
+    return float(np.count_nonzero(both[1:] == both[:-1])) / min(len(x), len(y))
+
+
+def scale(fingerprint: str | Column) -> Column:
+    f = F.col(fingerprint) if isinstance(fingerprint, str) else fingerprint
+    return F.when(F.length(f) > 0, F.substring(f, 1, 1).cast("int")).otherwise(0)
 
 
 def hashes(fingerprint: str | Column) -> Column:
     """The hashes of a fingerprint column as an array of strings."""
     f = F.col(fingerprint) if isinstance(fingerprint, str) else fingerprint
     n = (F.length(f) / 16).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.substring(f, i * 16 + 1, F.lit(16)))).otherwise(F.array().cast("array<string>"))
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.substring(f, i * 16 + 2, F.lit(16)))).otherwise(F.array().cast("array<string>"))
+
+
+def _below(found: Column, to: Column) -> Column:
+    """The hashes (strings) in the fraction 2 ** -to of their range."""
+    bounds = F.array(F.lit("g"), *(F.lit(f"{(1 << 64) >> k:016x}") for k in range(1, 10)))
+    return F.filter(found, lambda x: x < F.get(bounds, to))
 
 
 def containment(a: str | Column, b: str | Column) -> Column:
     """Likeness of two fingerprint columns: containment of the smaller one in the larger one."""
-    x, y = hashes(a), hashes(b)
+    to = F.greatest(scale(a), scale(b))
+    x, y = _below(hashes(a), to), _below(hashes(b), to)
     least = F.least(F.size(x), F.size(y))
-    return F.when(least > 0, F.size(F.array_intersect(x, y)) / least).otherwise((F.size(x) == F.size(y)).cast("double"))
+    empty = F.size(hashes(a)) + F.size(hashes(b)) == 0
+    return F.when(least > 0, F.size(F.array_intersect(x, y)) / least).otherwise(empty.cast("double"))
 
 
-def merge(fingerprints: str | Column) -> Column:
+def merge(fingerprints: str | Column, scaled: int = SCALED) -> Column:
     """Aggregate: the fingerprint of the union of documents."""
-    return F.concat_ws("", F.array_sort(F.array_distinct(F.flatten(F.collect_set(hashes(fingerprints))))))
+    top = F.max(scale(fingerprints))
+    union = _below(F.array_distinct(F.flatten(F.collect_set(hashes(fingerprints)))), top)
+    whole = F.size(union) * F.pow(F.lit(2), top)  # different shingles; exact while all hashes are kept
+    to = F.greatest(top, F.least(F.floor(F.log2(F.greatest(whole, F.lit(1)) / LEAST)).cast("int"), F.lit(int(np.log2(scaled)))))
+    kept = F.array_sort(_below(union, to))
+    return F.when(F.size(kept) > 0, F.concat(to.cast("string"), F.concat_ws("", kept))).otherwise(F.lit(""))
 
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", words: int = WORDS, scaled: int = SCALED) -> DataFrame:
@@ -137,6 +175,7 @@ def against_next(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     bounds = np.unique(np.array(docs.approxQuantile("key", [k / slices for k in range(slices + 1)], 0.1 / slices), np.int64))
     sliced = T.StructType([T.StructField("key", T.LongType()), T.StructField("text", T.StringType()), T.StructField("slice", T.IntegerType()), T.StructField("halo", T.BooleanType())])
     top = len(bounds) - 1
+    none = docs.orderBy("text").limit(1) if top < 0 else None  # without any key the first of the texts follows the last
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -172,6 +211,9 @@ def against_next(docs: DataFrame, key: str = "doc_id", text: str = "text", words
                 pa.array([likeness(r[4], s) for (r, _), s in zip(pairs, changed)], pa.float64()), pa.array([likeness(r[4], s[4]) for r, s in pairs], pa.float64()),
             ], names=out.names)
 
-    dealt = docs.mapInArrow(deal, sliced).repartition(slices, "slice")
+    dealt = docs.mapInArrow(deal, sliced)
+    if none is not None:
+        dealt = dealt.unionAll(none.select("key", "text", F.lit(0).alias("slice"), F.lit(True).alias("halo")))
+    dealt = dealt.repartition(slices, "slice")
     ordered = dealt.sortWithinPartitions("slice", "halo", F.col("key").desc_nulls_last(), "text")
     return ordered.mapInArrow(compare, out)
