@@ -9,7 +9,8 @@ repeated words, lines); no label, language, source or id goes in.  The fit uses
 of the smallest id hashes.
 
 Defined cases: null and empty texts have the statistics 0 and are scored like any other; rows with a null label do not
-train; several labels of an id count once (the largest); extra columns are carried; without training rows, or with one
+train; several labels of an id count once (the largest); extra columns are carried, one named like
+the score is replaced; a very long text is an Arrow batch of its own (some 60 bytes per byte of it); without training rows, or with one
 class only, all scores are the share of label 1 (0.5 without rows); empty tables give empty results.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparklab.llm.common import Rolling, scratch, utf8, word_spans, written
+from sparklab.llm.common import Rolling, scratch, unused, utf8, word_spans, written
 
 #: Labelled rows that the fit uses at most.
 SAMPLE = 20_000
@@ -78,17 +79,17 @@ def measure(raw: bytes, offsets: np.ndarray) -> np.ndarray:
     return np.column_stack([words, np.bincount(of, length, minlength=n) / some, longest, total(_LETTER) / size, total(_UPPER) / np.maximum(total(_LETTER), 1), total(_DIGIT) / size, total(_SYMBOL) / size, total(_BAR) / size, total(_MARK) / size, total(_BLANK) / size, words / lines, distinct / some, repeat / some, bare / some, total(_HIGH) / size]).astype(np.float64)
 
 
-def statistics(df: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """Replace ``text`` (or keep it beside) by the columns of ``STATISTICS`` in a struct ``stats``; others are carried."""
-    keep = [c for c in df.columns if c != "stats" and (keep_text or c != text)]
+def statistics(df: DataFrame, text: str = "text", keep_text: bool = False, out: str = "stats") -> DataFrame:
+    """Replace ``text`` (or keep it beside) by the columns of ``STATISTICS`` in a struct ``out``; others are carried."""
+    keep = [c for c in df.columns if c != out and (keep_text or c != text)]
     kind = T.StructType([T.StructField(c, T.DoubleType()) for c in STATISTICS])
-    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("stats", kind)])
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             m = measure(*utf8(b.column(text)))
             stats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(m[:, k])) for k in range(len(STATISTICS))], STATISTICS)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), stats], names=[*keep, "stats"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), stats], names=[*keep, out])
 
     return df.mapInArrow(run, schema)
 
@@ -170,4 +171,5 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", tex
 
 def score(df: DataFrame, ensemble: Ensemble, text: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
     """Replace ``text`` (or keep it beside) by the probability of label 1; other columns are carried."""
-    return statistics(df, text, keep_text).withColumn(out, ensemble.score()).drop("stats")
+    stats = unused(df, "_stats")
+    return statistics(df.drop(out), text, keep_text, stats).withColumn(out, ensemble.score(stats)).drop(stats)
