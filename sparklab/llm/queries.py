@@ -88,8 +88,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of two thirds of the documents train."""
     docs = documents(spark, sf_dir, "doc_id", "text")
-    labels = documents(spark, sf_dir, "doc_id", "toxic", table="labels").where(fold(3) != 1)
-    model = toxicity.train(docs.join(labels.groupBy("doc_id").agg(F.max("toxic").alias("label")), "doc_id"))
+    labels = toxicity.chosen(documents(spark, sf_dir, "doc_id", "toxic", table="labels").where(fold(3) != 1))
+    model = toxicity.train(docs.join(F.broadcast(labels), "doc_id"), corpus=docs)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

@@ -8,15 +8,19 @@ continuation counts with absolute discounting and back off, with one weight, to
 
 n_c(w) is the number of different words before w in texts of the class (at most the number of the class's texts that
 hold w, so that neither copies of a text nor one very long text lift a rare expression), P_shared comes from the
-different words before w in any text, and b is the discounted share of both classes.  An expression that neither class
+number of texts that hold w in the whole corpus, labelled or not, and b is the discounted share of both classes.  An expression that neither class
 shows more than d times has the ratio 0: a class of few texts does not look likely by its size alone.  A tenth of the
 training documents stays out of the counts and fits the two numbers that turn the ratio into a probability.
 
+The class counts come from at most ``SAMPLE`` labelled documents of each class (``chosen``: those of the smallest id
+hashes, which are few enough to be broadcast, so that no text is shuffled); the shared counts from all documents.
+
 Word entries grow with the corpus.  Up to ``BROADCAST`` entries (12 bytes each) go to all tasks; beyond, texts and
 entries meet in a shuffle join.  Words are runs of letters, lower-cased, as 64-bit hashes.
 
 Defined cases: null and empty texts and texts without letters have the ratio 0; rows with a null label do not train;
-repeated rows count each; extra columns are carried; a class without training rows, or no calibration row, gives the
+repeated rows count each; extra columns are carried, one named like the result is replaced; a
+very long text is an Arrow batch of its own; a class without training rows, or no calibration row, gives the
 score 0 to all; empty tables give empty results.
 """
 
@@ -31,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparklab.llm.common import P, Rolling, mixed, utf8, written
+from sparklab.llm.common import P, Rolling, mixed, unused, utf8, written
 from sparklab.llm.language import _letters
 
 #: Discount of continuation counts; words of a passage.
 DISCOUNT, PASSAGE = 2.0, 2
 #: One of so many training documents calibrates instead of being counted.
 CALIBRATE = 10
+#: Labelled documents of a class that are counted at most.
+SAMPLE = 20_000
 #: Entries that are broadcast at most (12 bytes each).
 BROADCAST = 8_000_000
 #: Distinct bigrams that a task gathers before it passes them on.
@@ -97,10 +103,51 @@ def _first(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def _counted(rows: DataFrame, buckets: int) -> DataFrame:
+def chosen(labels: DataFrame, label: str = "toxic", key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+    """``key`` and ``label`` (the largest of an id) of at most ``sample`` ids of each class, those of the smallest hashes."""
+    rows = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    of = lambda c: rows.where(F.col("label") == c).orderBy(F.xxhash64(key), key).limit(sample)
+    return of(1).unionAll(of(0))
+
+
+def _held_by(docs: DataFrame) -> DataFrame:
+    """word, texts: how many texts hold each word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merge():
+            w, n = (np.concatenate([x[k] for x in held]) for k in range(2))
+            order, new = _first(w)
+            return (w[order][new], np.add.reduceat(n[order], new)) if len(new) else (w, n)
+
+        def flush():
+            w, n = merge()
+            for k in range(0, len(w), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(w[k : k + 100_000].view(np.int64)), pa.array(n[k : k + 100_000])], names=["word", "texts"])
+
+        for b in batches:
+            word, _, row = words(*utf8(b.column("text")))
+            order, new = _first(word, row)
+            held.append((word[order][new], np.ones(len(new), np.int64)))
+            size += len(new)
+            if size > HELD:
+                held = [merge()]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    return docs.mapInArrow(run, "word long, texts long").groupBy("word").agg(F.sum("texts").alias("texts"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
     """What tasks saw, summed in each first: of a word and the word before it (``pair`` is their hash), whether toxic
     and ordinary texts hold it; of a word alone (``pair`` 0), how many toxic and ordinary texts hold it."""
-    out = T.StructType([T.StructField("bucket", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("word", "pair")), *(T.StructField(c, T.IntegerType()) for c in ("toxic", "ordinary"))])
+    out = T.StructType([*(T.StructField(c, T.LongType()) for c in ("word", "pair")), *(T.StructField(c, T.IntegerType()) for c in ("toxic", "ordinary"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -119,7 +166,7 @@ def _counted(rows: DataFrame, buckets: int) -> DataFrame:
             w, p, t, o = merge()
             for k in range(0, len(w), 100_000):
                 s = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array((w[s] % np.uint64(buckets)).astype(np.int32)), pa.array(w[s].view(np.int64)), pa.array(p[s].view(np.int64)), pa.array(t[s].astype(np.int32)), pa.array(o[s].astype(np.int32))], names=out.names)
+                yield pa.RecordBatch.from_arrays([pa.array(w[s].view(np.int64)), pa.array(p[s].view(np.int64)), pa.array(t[s].astype(np.int32)), pa.array(o[s].astype(np.int32))], names=out.names)
 
         for b in batches:
             word, before, row = words(*utf8(b.column("text")))
@@ -143,43 +190,40 @@ def _counted(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def _stats(counts: DataFrame) -> DataFrame:
-    """Per word: n_toxic, n_ordinary (continuation counts, at most the texts) and types (words before it)."""
+    """Per word: n_toxic and n_ordinary, the continuation counts (at most the texts)."""
+    pairs = counts.groupBy("word", "pair").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    alone = F.col("pair") == 0
+    of = lambda c: F.least(F.sum((~alone & (F.col(c) > 0)).cast("long")), F.sum(F.when(alone, F.col(c)).otherwise(0))).alias(f"n_{c}")
+    return pairs.groupBy("word").agg(of("toxic"), of("ordinary"))
 
-    def run(table: pa.Table) -> pa.Table:
-        w, p = (table.column(c).to_numpy().view(np.uint64) for c in ("word", "pair"))
-        t, o = (table.column(c).to_numpy().astype(np.int64) for c in ("toxic", "ordinary"))
-        order, new = _first(p, w)
-        w, p, t, o = w[order][new], p[order][new], np.add.reduceat(t[order], new), np.add.reduceat(o[order], new)
-        one = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        pair = p != 0
-        sums = [np.add.reduceat(x, one) for x in (pair & (t > 0), pair & (o > 0), pair, np.where(pair, 0, t), np.where(pair, 0, o))]
-        return pa.table({"word": pa.array(w[one].view(np.int64)), "n_toxic": pa.array(np.minimum(sums[0], sums[3]).astype(np.int64)), "n_ordinary": pa.array(np.minimum(sums[1], sums[4]).astype(np.int64)), "types": pa.array(sums[2].astype(np.int64))})
 
-    return counts.groupBy("bucket").applyInArrow(run, "word long, n_toxic long, n_ordinary long, types long")
-
-
-def _ratios(stats: DataFrame) -> DataFrame | None:
+def _ratios(stats: DataFrame, shared: DataFrame) -> DataFrame | None:
     """The entries (key, value) of all words whose ratio is not 0."""
     left = {c: F.greatest(F.col(f"n_{c}") - DISCOUNT, F.lit(0.0)) for c in ("toxic", "ordinary")}
-    total = stats.agg(F.sum(left["toxic"]).alias("toxic"), F.sum(left["ordinary"]).alias("ordinary"), F.sum(F.col("n_toxic") + F.col("n_ordinary")).alias("n"), F.sum("types").alias("types"), F.count("*").alias("words")).first()
+    total = stats.agg(F.sum(left["toxic"]).alias("toxic"), F.sum(left["ordinary"]).alias("ordinary"), F.sum(F.col("n_toxic") + F.col("n_ordinary")).alias("n")).first()
     if not total["toxic"] or not total["ordinary"]:
         return None
+    texts, kinds = shared.agg(F.sum("texts"), F.count("*")).first()
     back = 1 - (total["toxic"] + total["ordinary"]) / total["n"]
-    shared = back * (F.col("types") + 0.5) / (total["types"] + 0.5 * total["words"])
-    p = {c: (1 - back) * left[c] / total[c] + shared for c in left}
-    return stats.where((left["toxic"] > 0) | (left["ordinary"] > 0)).select(F.col("word").alias("key"), F.log(p["toxic"] / p["ordinary"]).cast("float").alias("value"))
+    behind = back * (F.coalesce("texts", F.lit(0)) + 0.5) / ((texts or 0) + 0.5 * (kinds + 1))
+    p = {c: (1 - back) * left[c] / total[c] + behind for c in left}
+    known = stats.where((left["toxic"] > 0) | (left["ordinary"] > 0)).join(shared, "word", "left")
+    return known.select(F.col("word").alias("key"), F.log(p["toxic"] / p["ordinary"]).cast("float").alias("value"))
+
 
+def train(labelled: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", corpus: DataFrame | None = None) -> Model:
+    """Fit the models on all rows with a text and a 0/1 label, and the probability on a tenth of them (by ``key``).
 
-def train(labelled: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", buckets: int | None = None) -> Model:
-    """Fit the models on all rows with a text and a 0/1 label, and the probability on a tenth of them (by ``key``)."""
+    The shared counts are those of the texts of ``corpus`` (``labelled`` itself without one)."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("text is not null and label is not null")
     part = F.pmod(F.xxhash64("key"), F.lit(CALIBRATE))
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stats = written(_stats(_counted(rows.where(part != 0).select("text", "label"), buckets)), "toxicity-counts")
-    found = _ratios(stats)
+    stats = written(_stats(_counted(rows.where(part != 0).select("text", "label"))), "toxicity-counts")
+    shared = written(_held_by((labelled if corpus is None else corpus).select(F.col(text).alias("text"))), "toxicity-words")
+    found = _ratios(stats, shared)
     if found is None:
         return Model(spark.createDataFrame([], "key long, value float"), 0)
+    found = written(found, "toxicity-ratios")
     model = Model(found, found.count())
     ratios = top_ratio(rows.where(part == 0).select("text", "label"), model)
     cells = ratios.groupBy(F.least(F.greatest(F.floor(F.col("ratio") / CELL), F.lit(int(-RANGE / CELL))), F.lit(int(RANGE / CELL))).alias("cell")).agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).toPandas()
@@ -253,26 +297,29 @@ def top_ratio(df: DataFrame, model: Model, text: str = "text", out: str = "ratio
         return df.mapInArrow(run, schema)
     # beyond the bound: every word meets its entry in a shuffle join (hot words are split by the engine), and the
     # values of each passage are summed; passages without an entry have the ratio 0
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
-    kind = T.StructType([T.StructField(c, T.LongType()) for c in ("_row", "key", "at", "n")])
+    place, top, bare = (unused(df, n) for n in ("_row", "_top", "_bare"))
+    rows = df.drop(out).withColumn(place, F.monotonically_increasing_id())
+    kind = T.StructType([T.StructField(c, T.LongType()) for c in ("row", "key", "at", "n")])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            word, _, row = words(*utf8(b.column(text)))
+            word, _, row = words(*utf8(b.column("text")))
             n = np.bincount(row, minlength=b.num_rows)
             at = np.arange(len(word)) - (np.cumsum(n) - n)[row]
-            yield pa.RecordBatch.from_arrays([pa.array(b.column("_row").to_numpy()[row]), pa.array(word.view(np.int64)), pa.array(at), pa.array(n[row])], names=kind.names)
+            yield pa.RecordBatch.from_arrays([pa.array(b.column("row").to_numpy()[row]), pa.array(word.view(np.int64)), pa.array(at), pa.array(n[row])], names=kind.names)
 
-    found = rows.select("_row", text).mapInArrow(emit, kind).join(model.entries, "key")
+    found = rows.select(F.col(place).alias("row"), F.col(text).alias("text")).mapInArrow(emit, kind).join(model.entries, "key")
     starts = F.sequence(F.greatest(F.col("at") - (width - 1), F.lit(0)), F.least(F.col("at"), F.greatest(F.col("n") - width, F.lit(0))))
-    sums = found.select("_row", "n", "value", F.explode(starts).alias("start")).groupBy("_row", "start", "n").agg((F.sum("value") / F.least(F.lit(width), F.col("n"))).alias("mean"))
-    top = sums.groupBy("_row").agg(F.max("mean").alias("top"), (F.count("*") < F.greatest(F.max("n") - width + 1, F.lit(1))).alias("bare"))
-    return rows.drop(out).join(top, "_row", "left").withColumn(out, F.coalesce(F.when(F.col("bare"), F.greatest("top", F.lit(0.0))).otherwise(F.col("top")), F.lit(0.0))).drop("_row", "top", "bare")
+    sums = found.select("row", "n", "value", F.explode(starts).alias("start")).groupBy("row", "start", "n").agg((F.sum("value") / F.least(F.lit(width), F.col("n"))).alias("mean"))
+    best = sums.groupBy(F.col("row").alias(place)).agg(F.max("mean").alias(top), (F.count("*") < F.greatest(F.max("n") - width + 1, F.lit(1))).alias(bare))
+    ratio = F.coalesce(F.when(F.col(bare), F.greatest(F.col(top), F.lit(0.0))).otherwise(F.col(top)), F.lit(0.0))
+    return rows.join(best, place, "left").withColumn(out, ratio).drop(place, top, bare)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", broadcast: int = BROADCAST) -> DataFrame:
     """Add the probability that a text is toxic."""
-    ratios = top_ratio(df, model, text, "_ratio", broadcast)
+    ratio = unused(df, "_ratio")
+    ratios = top_ratio(df.drop(out), model, text, ratio, broadcast)
     if not np.isfinite(model.offset):
-        return ratios.drop("_ratio").withColumn(out, F.lit(0.0))
-    return ratios.withColumn(out, 1 / (1 + F.exp(-F.least(F.greatest(F.col("_ratio") * model.slope + model.offset, F.lit(-30.0)), F.lit(30.0))))).drop("_ratio")
+        return ratios.drop(ratio).withColumn(out, F.lit(0.0))
+    return ratios.withColumn(out, 1 / (1 + F.exp(-F.least(F.greatest(F.col(ratio) * model.slope + model.offset, F.lit(-30.0)), F.lit(30.0))))).drop(ratio)
