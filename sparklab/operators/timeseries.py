@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparklab.operators import ranking
 
@@ -60,6 +62,128 @@ def regularize(df: DataFrame, ids: list[str], ts: str, value: str, fill: str = "
              .withColumn("y", F.coalesce(F.col("y"), interp)).drop("_py", "_pt", "_ny", "_nt"))
 
 
+#: Steps a grid can have, with the shortest usual gap (seconds) that tells each: months have 28 to 31 days.
+STEPS = (("year", 360 * 86400), ("quarter", 89 * 86400), ("month", 28 * 86400), ("week", 7 * 86400), ("day", 86400),
+         ("hour", 3600), ("minute", 0))
+
+
+def step_of(gap_seconds):
+    """Name of the grid step for the most common gap of a series."""
+    out = F.when(F.col(gap_seconds) >= STEPS[0][1], STEPS[0][0])
+    for name, least in STEPS[1:]:
+        out = out.when(F.col(gap_seconds) >= least, name)
+    return out
+
+
+def _step_interval(step):
+    """The step as an interval; months, quarters and years follow the calendar."""
+    n = lambda name, k: F.when(step == name, k).otherwise(0)
+    months = F.when(step == "month", 1).when(step == "quarter", 3).otherwise(0)
+    return F.make_interval(n("year", 1), months, n("week", 1), n("day", 1), n("hour", 1), n("minute", 1), F.lit(0))
+
+
+def calendar_grid(df: DataFrame, ids: list[str], ts: str, value: str, step: str = "auto", fill: str = "linear") -> DataFrame:
+    """Steps 1-4 at any frequency: one row per step of the calendar from the first to the last point of a series.
+
+    ``step`` is a name of ``STEPS``, or 'auto': each series gets that of its most common gap (a series of one point the
+    day).  Points of one step are averaged; gaps are filled by linear interpolation in time, with ``fill='zero'`` by 0.
+    Returns ids, ts (timestamp_ntz, the beginning of the step; weeks begin on Monday), step, is_filled and y."""
+    src = df.select(*ids, F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(value).cast("double").alias("y")).where("ts IS NOT NULL")
+    if step == "auto":
+        found = infer_frequency(src, ids, "ts").select(*[F.col(c).alias(f"_id{k}") for k, c in enumerate(ids)],
+                                                       F.coalesce(step_of("step_seconds"), F.lit("day")).alias("step"))
+        same = [F.col(c).eqNullSafe(F.col(f"_id{k}")) for k, c in enumerate(ids)]
+        on = same[0]
+        for c in same[1:]:
+            on = on & c
+        src = src.join(found, on).select(*ids, "ts", "y", "step")
+    elif step in dict(STEPS):
+        src = src.withColumn("step", F.lit(step))
+    else:
+        raise ValueError(f"step must be 'auto' or one of {[n for n, _ in STEPS]}")
+    pts = src.groupBy(*ids, "step", F.expr("date_trunc(step, ts)").cast("timestamp_ntz").alias("ts")).agg(F.avg("y").alias("y"))
+    # the points and the empty steps between two of them: no join, and no series is gathered whole before its grid
+    w = _w(ids)
+    nxt = pts.withColumn("_nt", F.lead("ts").over(w)).withColumn("_ny", F.lead("y").over(w))
+    gap = F.sequence(F.col("ts"), F.coalesce("_nt", "ts"), _step_interval(F.col("step")))
+    rows = nxt.select(*ids, "step", F.col("ts").alias("_t"), F.col("y").alias("_y"), "_nt", "_ny", F.explode(gap).alias("ts")).where(
+        F.col("_nt").isNull() | (F.col("ts") < F.col("_nt")))
+    sec = lambda a, b: F.expr(f"timestampdiff(SECOND, {a}, {b})")
+    first = F.col("ts") == F.col("_t")
+    between = F.col("_y") + (F.col("_ny") - F.col("_y")) * sec("_t", "ts") / sec("_t", "_nt")
+    y = F.when(first, F.col("_y")).otherwise(F.lit(0.0) if fill == "zero" else between)
+    return rows.select(*ids, "ts", "step", (~first | F.col("_y").isNull()).alias("is_filled"), y.alias("y"))
+
+
+def _segment(y: np.ndarray, penalty: float, shortest: int) -> list[int]:
+    """Starts of the segments of the cheapest partition: squared distances to the segment means plus ``penalty`` for each
+    cut.  A start that is dearer by more than the penalty at some point can never be the last cut later (pruning)."""
+    n = len(y)
+    one, two = (np.concatenate([[0.0], np.cumsum(v)]) for v in (y, y * y))
+    best = np.full(n + 1, np.inf)
+    best[0] = -penalty
+    last = np.zeros(n + 1, np.int64)
+    until = np.full(n + 1, n + 1)  # from there on a start is no longer tried
+    starts = np.zeros(1, np.int64)
+    for t in range(shortest, n + 1):
+        if t - shortest >= shortest:
+            starts = np.append(starts, t - shortest)
+        starts = starts[until[starts] > t]
+        cost = best[starts] + (two[t] - two[starts]) - (one[t] - one[starts]) ** 2 / (t - starts)
+        k = int(cost.argmin())
+        best[t], last[t] = cost[k] + penalty, starts[k]
+        # t itself can only be a last cut from t + shortest on
+        worse = starts[cost > best[t]]
+        until[worse] = np.minimum(until[worse], t + shortest)
+    out, t = [], n
+    while t > 0:
+        t = int(last[t])
+        out.append(t)
+    return out[::-1]
+
+
+def optimal_segments(df: DataFrame, ids: list[str], ts: str = "ts", value: str = "y", penalty: float = 3.0,
+                     shortest: int = 2) -> DataFrame:
+    """Change points by penalised optimal segmentation: of all partitions of a series into stretches of at least
+    ``shortest`` points the one with the least sum of squared distances to the stretch means plus
+    ``penalty`` * variance * ln(n) for each cut.  The variance is the square of median(|first difference|) / 0.954
+    (0.6745 * sqrt(2)), which the cuts themselves hardly move; a series without any spread is one segment.
+
+    A dynamic programme with pruning per series (its points meet in one task, as long as the series), several series per
+    Arrow batch.  Rows: ids, segment (from 0), first_at and last_at (``ts``), n, mean, shift (from the segment before,
+    NULL in the first), cost (squared distances).  NULL values are left out; a series of fewer than 2 * ``shortest``
+    points is one segment, one without values has no row."""
+    pts = df.where(F.col(value).isNotNull()).groupBy(*ids).agg(F.sort_array(F.collect_list(
+        F.struct(F.col(ts).alias("t"), F.col(value).cast("double").alias("v")))).alias("_p"))
+    cols = [f"_id{k}" for k in range(len(ids))]
+    src = pts.select(F.struct(*[F.col(c).alias(k) for c, k in zip(ids, cols)]).alias("_ids"), F.col("_p.v").alias("_v"),
+                     F.col("_p.t").alias("_t"))
+    kind = T.StructType([*src.schema.fields, T.StructField("starts", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for b in batches:
+            found = []
+            for v in b.column("_v").to_pylist():
+                y = np.array(v, float)
+                d = np.median(np.abs(np.diff(y))) / 0.954 if len(y) > 1 else 0.0
+                ok = len(y) >= 2 * shortest and d > 0 and np.isfinite(y).all()
+                found.append(_segment(y - y.mean(), penalty * d * d * np.log(len(y)), shortest) if ok else [0])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int32()))], names=kind.names)
+
+    done = src.mapInArrow(run, kind)
+    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("_v")))
+    parts = done.select("*", F.posexplode(F.arrays_zip(F.col("starts").alias("a"), ends.alias("b"))).alias("segment", "_s"))
+    # sums over the slice of a segment: the means come from the data, not from the search
+    own = F.slice("_v", F.col("_s.a") + 1, F.col("_s.b") - F.col("_s.a"))
+    total = lambda x, f: F.aggregate(x, F.lit(0.0), lambda acc, v: acc + f(v))
+    parts = parts.select(*[F.col(f"_ids.{k}").alias(c) for c, k in zip(ids, cols)], "segment", F.element_at("_t", F.col("_s.a") + 1).alias("first_at"),
+                         F.element_at("_t", F.col("_s.b")).alias("last_at"), own.alias("_own"))
+    parts = parts.withColumn("n", F.size("_own")).withColumn("mean", total("_own", lambda v: v) / F.col("n"))
+    parts = parts.withColumn("cost", total("_own", lambda v: (v - F.col("mean")) * (v - F.col("mean"))))
+    return parts.withColumn("shift", F.col("mean") - F.lag("mean").over(Window.partitionBy(*ids).orderBy("segment"))).select(
+        *ids, "segment", "first_at", "last_at", "n", "mean", "shift", "cost")
+
+
 def _array_median(arr):
     """Interpolated median of a small numeric array (NULLs dropped)."""
     s = F.array_sort(F.filter(arr, lambda x: x.isNotNull()))

@@ -18,7 +18,6 @@ from sparklab.plans.fixtures import SCORES_SQL, md5num_sql, with_sql
 from sparklab.plans.quality import DQ_SQL
 from sparklab.plans.registry import query
 from sparklab.plans.text import FINDINGS_SQL, SENT_SQL
-from sparklab.plans.timeseries import step_sql
 from sparklab.session import ensure_checkpoint_dir
 from sparklab.sources import io
 from sparklab.sources.tables import Tables
@@ -274,10 +273,3 @@ def q_percent_rank_frozen(spark, sf):
     return j.select("c_custkey", "c_mktsegment", (F.greatest(pos, F.lit(0)) / 100.0).alias("balance_pctile"))
 
 
-@query("change_points", sql=step_sql(14, 2.5))
-def q_change_points(spark, sf):
-    """Model-free change points: mean shift between 14-day windows, local maxima above 2.5."""
-    from sparklab.operators import timeseries as ts
-    from sparklab.plans.timeseries import IDS, regular
-    c = ts.change_points(regular(Tables(spark, sf)), IDS, 14, 2.5).where("is_change_point")
-    return c.select("series_id", "ts", F.round("shift_score", 6).alias("shift_score"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparklab.operators import statespace
 from sparklab.operators import timeseries as ts
 from sparklab.plans.fixtures import with_sql
 from sparklab.plans.registry import query
@@ -201,8 +202,23 @@ def q_ts_holiday_effect(spark, sf):
         F.round(F.avg("residual"), 6).alias("mean_residual"), F.count(F.lit(1)).alias("n"))
 
 
-def _fc(t, horizon=7):
-    return ts.forecast_many(regular(t), "series_id", horizon=horizon, max_p=3)
+def calendar(t):
+    """The fixture's holidays: 1 January and 25 December of every year of the orders and the one after it."""
+    years = t.orders.agg(F.year(F.min("o_orderdate")).alias("a"), F.year(F.max("o_orderdate")).alias("b"))
+    year = years.select(F.explode(F.sequence("a", F.col("b") + 1)).alias("y"))
+    return year.select(F.explode(F.array(F.struct(F.make_date("y", F.lit(1), F.lit(1)).alias("ts"), F.lit("new year").alias("holiday")),
+                                         F.struct(F.make_date("y", F.lit(12), F.lit(25)).alias("ts"), F.lit("christmas").alias("holiday")))).alias("d")).select("d.*")
+
+
+def models(t, extra=None):
+    """A model row for every series: season of a week and holidays, on spike-free data."""
+    reg = regular(t)
+    clean = ts.clean_spikes(reg, IDS, 3, 5.0).select("series_id", "ts", F.col("y_clean").alias("y"))
+    return statespace.fit(clean if extra is None else clean.unionByName(extra(clean)), "series_id", 7, calendar(t))
+
+
+def _two_days(clean):
+    return clean.where(F.col("series_id") == "1-URGENT").orderBy("ts").limit(2).withColumn("series_id", F.lit("1-URGENT/first-two-days"))
 
 
 @query("forecast_many")
@@ -210,40 +226,40 @@ def q_forecast_many(spark, sf):
     """One model per series, plus a deliberately short series that must come
     back as a failed row (not be absent)."""
     t = Tables(spark, sf)
-    reg = regular(t)
-    short = reg.where(F.col("series_id") == "1-URGENT").orderBy("ts").limit(2).withColumn(
-        "series_id", F.lit("1-URGENT/first-two-days"))
-    return ts.forecast_many(reg.unionByName(short), "series_id", horizon=7)
+    return statespace.forecast(models(t, _two_days), "series_id", 7, "1 day", calendar(t))
 
 
 @query("forecast_fit")
 def q_forecast_fit(spark, sf):
-    return ts.fit_metadata(regular(Tables(spark, sf)), "series_id", max_p=3)
+    return models(Tables(spark, sf)).drop("history", "candidates", "holiday_effects")
 
 
 @query("arima_evaluate")
 def q_arima_evaluate(spark, sf):
-    return ts.fit_metadata(regular(Tables(spark, sf)), "series_id", max_p=1)
+    """All structures tried per series with likelihood, AIC and variance; failed series with their message."""
+    return statespace.evaluate(models(Tables(spark, sf), _two_days), "series_id")
 
 
 @query("forecast")
 def q_forecast(spark, sf):
-    return ts.with_intervals(_fc(Tables(spark, sf), 14), 0.95, horizon=3)
+    t = Tables(spark, sf)
+    f = statespace.forecast(models(t), "series_id", 14, "1 day", calendar(t), 0.95)
+    return f.where(F.col("horizon") <= 3).drop("status", "message")
 
 
 @query("explain_forecast")
 def q_explain_forecast(spark, sf):
-    """History rows with components that add up, then forecast rows (spikes,
-    steps and residual NULL there)."""
+    """History rows with components that add up, then forecast rows (spikes and residual NULL there)."""
     t = Tables(spark, sf)
-    d = ts.decompose(regular(t), IDS, 7)
-    hist = d.select("series_id", F.col("ts").alias("time_series_timestamp"), F.lit("history").alias("time_series_type"),
-                    F.col("y").alias("time_series_data"), "trend", "seasonal", "residual")
-    fc = _fc(t, 7).where(F.col("status") == "ok").select(
-        "series_id", F.col("forecast_date").alias("time_series_timestamp"), F.lit("forecast").alias("time_series_type"),
-        F.col("forecast_value").alias("time_series_data"), F.col("forecast_value").alias("trend"),
-        F.lit(None).cast("double").alias("seasonal"), F.lit(None).cast("double").alias("residual"))
-    return hist.unionByName(fc)
+    raw = regular(t).select("series_id", "ts", F.col("y").alias("raw"))
+    return statespace.explain(models(t), "series_id", 14, "1 day", calendar(t), raw)
+
+
+@query("forecast_monthly")
+def q_forecast_monthly(spark, sf):
+    """Monthly order totals per priority, a season of twelve calendar months, twelve months ahead."""
+    grid = ts.calendar_grid(monthly(Tables(spark, sf)), IDS, "ts", "v")
+    return statespace.forecast(statespace.fit(grid, "series_id", 12), "series_id", 12, "1 month")
 
 
 @query("forecast_xreg")
@@ -261,31 +277,113 @@ def q_forecast_xreg(spark, sf):
 
 @query("ts_anomalies")
 def q_ts_anomalies(spark, sf):
-    """Points outside the 95 % band of the seasonal-naive prediction, with the
-    band width from each series' naive-error spread."""
-    from pyspark.sql import Window
-    n = ts.seasonal_naive(regular(Tables(spark, sf)), IDS, 7)
-    e = n.withColumn("_err", F.col("y") - F.col("naive"))
-    e = e.withColumn("_sd", F.stddev_samp("_err").over(Window.partitionBy(*IDS)))
-    lo, hi = F.col("naive") - 1.96 * F.col("_sd"), F.col("naive") + 1.96 * F.col("_sd")
-    return e.where((F.col("y") < lo) | (F.col("y") > hi)).select("series_id", "ts", "y", lo.alias("lower_bound"),
-                                                                  hi.alias("upper_bound"))
+    """Points outside the 99 % band of the fitted model's one-step prediction, with the probability of a smaller error."""
+    reg = regular(Tables(spark, sf))
+    return statespace.anomalies(statespace.fit(reg, "series_id", 7), "series_id", 0.99).where("is_anomaly")
 
 
 @query("walk_forward")
 def q_walk_forward(spark, sf):
     """Forward chaining: 4 folds, each fits on data up to its cut and scores the
-    next 7 days; folds are rows, so all (series, fold) fits run in parallel."""
+    next 7 days; folds are rows, so all (series, fold) fits run in parallel.  A
+    fold that cannot be fitted is a row with its message."""
     reg = regular(Tables(spark, sf))
     mx = reg.agg(F.max("ts").alias("_m"))
     folds = mx.select(F.explode(F.sequence(F.lit(1), F.lit(4))).alias("fold"), "_m").select(
         "fold", F.date_sub("_m", F.col("fold") * 7).alias("cut"))
-    x = reg.crossJoin(F.broadcast(folds))  # 4 folds: a fixed multiplier
-    train = x.where(F.col("ts") <= F.col("cut")).select(
-        F.concat_ws("#", "series_id", F.col("fold").cast("string")).alias("sid"), "ts", "y")
-    fc = ts.forecast_many(train, "sid", horizon=7)
+    folds = folds.unionByName(reg.agg(F.min("ts").alias("cut")).select(F.lit(5).alias("fold"), "cut"))  # one day of history
+    x = reg.crossJoin(F.broadcast(folds))  # 5 folds: a fixed multiplier
+    sid = F.concat_ws("#", "series_id", F.col("fold").cast("string"))
+    fits = statespace.fit(x.where(F.col("ts") <= F.col("cut")).select(sid.alias("sid"), "ts", "y"), "sid", 7)
+    fc = statespace.forecast(fits, "sid", 7)
     actual = x.where((F.col("ts") > F.col("cut")) & (F.col("ts") <= F.date_add("cut", 7))).select(
-        F.concat_ws("#", "series_id", F.col("fold").cast("string")).alias("series_id"), F.col("ts").alias("forecast_date"), "y")
-    j = fc.join(actual, ["series_id", "forecast_date"])
-    return j.groupBy("series_id").agg(F.avg(F.abs(F.col("forecast_value") - F.col("y"))).alias("mae"),
-                                      F.count(F.lit(1)).alias("n"))
+        sid.alias("sid"), F.col("ts").cast("timestamp").alias("forecast_timestamp"), "y")
+    j = fc.join(actual, ["sid", "forecast_timestamp"], "left")
+    e = F.col("forecast_value") - F.col("y")
+    return j.groupBy("sid").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.count("y").alias("n"),
+                                F.first("status").alias("status"), F.first("message").alias("message")).withColumnRenamed("sid", "series_id")
+
+
+def hourly(t):
+    """Hourly mean value per event type, with the gaps that the events leave."""
+    return t.events.groupBy(F.col("event_type").alias("series_id"), F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("v"))
+
+
+def monthly(t):
+    """Monthly order totals per priority; December 1996 to February 1997 are left out."""
+    o = t.orders.where((F.col("o_orderdate") < F.lit("1996-12-01").cast("timestamp_ntz")) | (F.col("o_orderdate") >= F.lit("1997-03-01").cast("timestamp_ntz")))
+    return o.groupBy(F.col("o_orderpriority").alias("series_id"), F.date_trunc("month", "o_orderdate").alias("ts")).agg(F.sum("o_totalprice").alias("v"))
+
+
+def grid_sql(points: str, unit: str) -> str:
+    """Oracle of ``calendar_grid`` over the points (series_id, ts, y)."""
+    sec = lambda a: f"epoch({a})"
+    return f"""
+WITH pts AS ({points}),
+rng AS (SELECT series_id, min(ts) AS lo, max(ts) AS hi FROM pts GROUP BY 1),
+grid AS (SELECT series_id, unnest(generate_series(lo, hi, INTERVAL 1 {unit})) AS ts FROM rng),
+g AS (SELECT grid.series_id, grid.ts, pts.y, CASE WHEN pts.y IS NOT NULL THEN {sec('grid.ts')} END AS kt
+      FROM grid LEFT JOIN pts ON pts.series_id = grid.series_id AND pts.ts = grid.ts),
+f AS (SELECT *,
+        last_value(y IGNORE NULLS) OVER p AS py, last_value(kt IGNORE NULLS) OVER p AS pt,
+        first_value(y IGNORE NULLS) OVER n AS ny, first_value(kt IGNORE NULLS) OVER n AS nt
+      FROM g WINDOW p AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                    n AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT series_id, ts, '{unit.lower()}' AS step, y IS NULL AS is_filled,
+       round(coalesce(y, py + (ny - py) * ({sec('ts')} - pt) / (nt - pt)), 9) AS y FROM f"""
+
+
+HOURLY_SQL = "SELECT event_type AS series_id, date_trunc('hour', ts) AS ts, avg(value) AS y FROM events GROUP BY 1, 2"
+MONTHLY_SQL = """SELECT o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS ts, sum(o_totalprice) AS y FROM orders
+  WHERE o_orderdate < TIMESTAMP '1996-12-01' OR o_orderdate >= TIMESTAMP '1997-03-01' GROUP BY 1, 2"""
+
+
+@query("ts_regularize_hourly", sql=grid_sql(HOURLY_SQL, "HOUR"))
+def q_ts_regularize_hourly(spark, sf):
+    """A grid of the step that the series themselves show (hours)."""
+    return ts.calendar_grid(hourly(Tables(spark, sf)), IDS, "ts", "v").withColumn("y", F.round("y", 9))
+
+
+@query("ts_regularize_monthly", sql=grid_sql(MONTHLY_SQL, "MONTH"))
+def q_ts_regularize_monthly(spark, sf):
+    """A grid of calendar months, with three months filled in."""
+    return ts.calendar_grid(monthly(Tables(spark, sf)), IDS, "ts", "v").withColumn("y", F.round("y", 9))
+
+
+#: The optimal partition by the full dynamic programme (every last cut is tried at every week), then walked back.
+SEGMENT_SQL = """
+WITH RECURSIVE
+pts AS (SELECT o_orderpriority AS series_id, CAST(date_trunc('week', o_orderdate) AS TIMESTAMP) AS ts, sum(o_totalprice) AS y FROM orders GROUP BY 1, 2),
+whole AS (SELECT series_id, list(ts ORDER BY ts) AS at, list(y ORDER BY ts) AS v FROM pts GROUP BY 1),
+spread AS (SELECT *, len(v) AS n, list_avg(v) AS m, list_aggregate(list_transform(range(1, len(v)), lambda i: abs(v[i + 1] - v[i])), 'median') / 0.954 AS d FROM whole),
+zero AS (SELECT *, list_transform(v, lambda x: x - m) AS c, 0.5 * d * d * ln(n) AS penalty FROM spread),
+src AS (SELECT *, list_transform(range(0, n + 1), lambda i: coalesce(list_sum(c[1:i]), 0.0)) AS p,
+               list_transform(range(0, n + 1), lambda i: coalesce(list_sum(list_transform(c[1:i], lambda x: x * x)), 0.0)) AS q FROM zero),
+dp AS (
+  SELECT series_id, CAST(1 AS BIGINT) AS t, [-penalty, 1e300] AS f, [CAST(0 AS BIGINT), 0] AS prev FROM src
+  UNION ALL
+  SELECT series_id, t + 1, list_append(f, list_min(costs) + penalty), list_append(prev, CAST(list_position(costs, list_min(costs)) - 1 AS BIGINT))
+  FROM (SELECT dp.series_id, dp.t, dp.f, dp.prev, src.penalty,
+               list_transform(range(0, dp.t), lambda s: dp.f[s + 1] + (src.q[dp.t + 2] - src.q[s + 1]) - (src.p[dp.t + 2] - src.p[s + 1]) * (src.p[dp.t + 2] - src.p[s + 1]) / (dp.t + 1 - s)) AS costs
+        FROM dp JOIN src ON src.series_id = dp.series_id WHERE dp.t < src.n)),
+done AS (SELECT dp.series_id, dp.prev, src.n FROM dp JOIN src ON src.series_id = dp.series_id AND src.n = dp.t),
+cuts AS (
+  SELECT series_id, prev, prev[n + 1] AS a, CAST(n AS BIGINT) AS b FROM done
+  UNION ALL
+  SELECT series_id, prev, prev[a + 1], a FROM cuts WHERE a > 0),
+parts AS (
+  SELECT c.series_id, row_number() OVER (PARTITION BY c.series_id ORDER BY c.a) - 1 AS segment, s.at[c.a + 1] AS first_at, s.at[c.b] AS last_at,
+         c.b - c.a AS n, list_avg(s.v[c.a + 1:c.b]) AS mean
+  FROM cuts c JOIN src s ON s.series_id = c.series_id)
+SELECT series_id, CAST(segment AS INTEGER) AS segment, first_at, last_at, CAST(n AS INTEGER) AS n, round(mean, 2) AS mean,
+       round(mean - lag(mean) OVER (PARTITION BY series_id ORDER BY segment), 2) AS shift
+FROM parts"""
+
+
+@query("change_points", sql=SEGMENT_SQL)
+def q_change_points(spark, sf):
+    """Weekly order totals per priority, cut where the level shifts: the cheapest partition of each whole series."""
+    o = Tables(spark, sf).orders
+    weekly = o.groupBy(F.col("o_orderpriority").alias("series_id"), F.date_trunc("week", "o_orderdate").cast("timestamp_ntz").alias("ts")).agg(F.sum("o_totalprice").alias("y"))
+    s = ts.optimal_segments(weekly, IDS, "ts", "y", penalty=0.5)
+    return s.select("series_id", "segment", "first_at", "last_at", "n", F.round("mean", 2).alias("mean"), F.round("shift", 2).alias("shift"))
