@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparklab.session import ensure_checkpoint_dir
 
 #: Rows and bytes that an Arrow batch holds at most (one longer text is a batch of its own).
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
