@@ -133,8 +133,8 @@ def training_info(model) -> DataFrame:
 def gbt_training_info(model, train: DataFrame, evaluation: DataFrame | None = None) -> DataFrame:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    tr = model.evaluateEachIteration(train, "logLoss")
-    ev = model.evaluateEachIteration(evaluation, "logLoss") if evaluation is not None else [None] * len(tr)
+    tr = model.evaluateEachIteration(train)
+    ev = model.evaluateEachIteration(evaluation) if evaluation is not None else [None] * len(tr)
     rows = [(i + 1, float(a), None if b is None else float(b)) for i, (a, b) in enumerate(zip(tr, ev))]
     return spark.createDataFrame(rows, "iteration int, loss double, eval_loss double")
 

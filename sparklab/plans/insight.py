@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Pipeline
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from sparklab.operators import explain as xp
-from sparklab.operators import ml, quality, ranking
+from sparklab.operators import ml, quality, ranking, trees
 from sparklab.operators import unsup as us
 from sparklab.plans.fixtures import SCORES_SQL, churn_scores, with_sql
-from sparklab.plans.modeling import CATEG, NUMERIC, customer_features, fit_pipeline, training_frame
+from sparklab.plans.modeling import CATEG, NUMERIC, customer_features, fit_pipeline, source_version, training_frame
 from sparklab.plans.registry import query
 from sparklab.sources.tables import Tables
 
@@ -154,8 +155,16 @@ def _slot_names(m, data):
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
+    """Splits on each feature, with their mean gain and mean training rows, from the saved nodes."""
     m, data = fit_pipeline(Tables(spark, sf), "gbt")
-    return ml.feature_importance(m.stages[-1], _slot_names(m, data))
+    return trees.importance(m.stages[-1], _slot_names(m, data))
+
+
+@query("tree_shapley")
+def q_tree_shapley(spark, sf):
+    """Exact attributions of the boosted trees' raw score for every customer."""
+    m, data = fit_pipeline(Tables(spark, sf), "gbt")
+    return trees.shapley(m.stages[-1], _feature_frame(m, data), "c_custkey", "features", _slot_names(m, data))
 
 
 @query("explain_predict")
@@ -182,7 +191,8 @@ def q_global_explain(spark, sf):
 def q_sampled_shapley(spark, sf):
     m, data = fit_pipeline(Tables(spark, sf), "gbt")
     fx = _feature_frame(m, data).select("c_custkey", "features")
-    return xp.sampled_shapley(m.stages[-1], fx, "c_custkey", "features", _slot_names(m, data), path_count=8)
+    mean = _feature_frame(m, data).where(~F.col("is_eval")).agg(Summarizer.mean(F.col("features")).alias("m")).first()["m"]
+    return xp.sampled_shapley(m.stages[-1], fx, "c_custkey", "features", _slot_names(m, data), path_count=8, baseline=mean.toArray().tolist())
 
 
 @query("approximation_error")
@@ -321,7 +331,7 @@ _SEGMENTS: dict = {}
 
 
 def _segments(spark, sf, k=4, seed=42, init="k-means||"):
-    key = (spark.sparkContext.applicationId, sf, k, seed, init)
+    key = (spark.sparkContext.applicationId, source_version(Tables(spark, sf), "customer", "orders"), k, seed, init)
     if key not in _SEGMENTS:
         f = customer_features(Tables(spark, sf))
         _SEGMENTS[key] = (us.kmeans_pipeline(SEG_FEATURES, k, init=init, seed=seed, max_iter=20).fit(f), f)
