@@ -7,12 +7,15 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklab.functions.core import md5num
+from sparklab.operators import bloom
 
 WORD_SPLIT = r"[^\p{L}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
@@ -291,17 +294,57 @@ def shingles(ws: Column, n: int) -> Column:
         F.transform(F.sequence(F.lit(0), k), lambda i: F.array_join(F.slice(ws, i + 1, n), " ")))
 
 
+def _gram_hashes(df: DataFrame, key: str, text: str, n: int, keep: bloom.Bloom | None = None) -> DataFrame:
+    """(key, at, h): the 64-bit hash of every ``n``-word shingle, once per row; with ``keep`` only those it lets pass.
+
+    Words are hashed in the JVM; a shingle's hash is array work over the word hashes of a whole batch."""
+    src = df.select(F.col(key).alias("key"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("w"))
+    kind = T.StructType([src.schema["key"], T.StructField("at", T.IntegerType()), T.StructField("h", T.LongType())])
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("w").fill_null([]) if b.column("w").null_count else b.column("w")
+            offs = lists.offsets.to_numpy().astype(np.int64)
+            w = bloom.mixed(lists.values.to_numpy(zero_copy_only=False).view(np.uint64))[offs[0]:offs[-1]]
+            offs = offs - offs[0]
+            if len(w) < n:
+                continue
+            h = np.zeros(len(w) - n + 1, np.uint64)
+            for k in range(n):
+                h = bloom.mixed(h * np.uint64(3) + w[k:len(w) - n + 1 + k])
+            row = np.searchsorted(offs, np.arange(len(h)), "right") - 1
+            some = np.flatnonzero(np.arange(len(h)) + n <= offs[row + 1])
+            if keep is not None:
+                some = some[keep.might_contain(h[some])]
+            order = some[np.lexsort((h[some], row[some]))]
+            new = np.ones(len(order), bool)
+            new[1:] = (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])
+            order = order[new]
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(row[order])), pa.array((order - offs[row[order]]).astype(np.int32)),
+                                              pa.array(h[order].view(np.int64))], names=kind.names)
+    return src.mapInArrow(run, kind)
+
+
 def eval_set_isolation(eval_items: DataFrame, item_key: str, item_text: str, corpus: DataFrame, doc_key: str,
                        doc_text: str, n: int = 8) -> DataFrame:
     """Per evaluation item: how many corpus documents share an n-word shingle.
-    Distinct (doc, shingle) pairs are formed before the join so a common
-    phrase is counted once per document; a hot shingle is a skewed join key on
-    the corpus side only, which AQE splits."""
-    es = (eval_items.select(item_key, words(item_text).alias("_ws"))
-                    .select(item_key, F.explode(F.array_distinct(shingles(F.col("_ws"), n))).alias("sh")))
-    ds = (corpus.select(doc_key, words(doc_text).alias("_ws"))
-                .select(doc_key, F.explode(F.array_distinct(shingles(F.col("_ws"), n))).alias("sh")))
-    j = es.join(ds, "sh")
-    hits = j.groupBy(item_key).agg(F.count_distinct(doc_key).alias("contaminated_docs"))
-    return eval_items.select(item_key).join(hits, item_key, "left").select(
-        item_key, F.coalesce("contaminated_docs", F.lit(0)).alias("contaminated_docs"))
+
+    A Bloom filter of the evaluation shingles (bounded size) goes to the tasks that scan the corpus, so only shingles
+    that may occur in an item leave them; they meet the items' shingles by hash, and documents with a common hash are
+    verified on the words themselves.  A hot shingle is a skewed key of that small join, which AQE splits.  Rows of one
+    key count as one document."""
+    items = _gram_hashes(eval_items, item_key, item_text, n).select(F.col("key").alias("item"), F.col("at").alias("item_at"), "h").persist()
+    try:
+        found = bloom.build(items, "h")
+        some = _gram_hashes(corpus, doc_key, doc_text, n, found).select(F.col("key").alias("doc"), F.col("at").alias("doc_at"), "h")
+        near = items.join(some, "h").groupBy("item", "doc").agg(F.collect_set(F.struct("item_at", "doc_at")).alias("at"))  # fewer than the document has words
+        # the words of documents are split after the join, which few documents survive
+        both = near.join(eval_items.select(F.col(item_key).alias("item"), F.col(item_text).alias("it")), "item")
+        both = both.join(corpus.select(F.col(doc_key).alias("doc"), F.col(doc_text).alias("dt")), "doc")
+        both = both.select("item", "doc", "at", words("it").alias("iw"), words("dt").alias("dw"))
+        same = F.exists("at", lambda x: F.slice("iw", x["item_at"] + 1, n) == F.slice("dw", x["doc_at"] + 1, n))
+        hits = both.where(same).groupBy("item").agg(F.count_distinct("doc").alias("contaminated_docs"))
+        return eval_items.select(item_key).join(hits.withColumnRenamed("item", item_key), item_key, "left").select(
+            item_key, F.coalesce("contaminated_docs", F.lit(0)).alias("contaminated_docs"))
+    finally:
+        items.unpersist()

@@ -144,3 +144,46 @@ def test_lsh_recall_vs_exact(spark):
     exact = tx.vector_search(e, "vec_id", "embedding", q, "label", "centroid", k=5).select("query_id", "base_id")
     ann = tx.vector_search_lsh(e, "vec_id", "embedding", q, "label", "centroid", k=5).select("query_id", "base_id")
     assert ann.join(exact, ["query_id", "base_id"]).count() / exact.count() >= 0.9
+
+
+def test_isolation_filter_shrinks_the_shuffle_and_handles_edges(spark):
+    """Only shingles that an item may hold leave the scan, and odd rows are counted like plain ones."""
+    import random
+
+    from sparklab.operators import bloom
+    r = random.Random(2)
+    vocab = ["".join(r.choices("abcdefgh", k=4)) for _ in range(300)]
+    say = lambda n: " ".join(r.choices(vocab, k=n))
+    item = [say(30) for _ in range(20)] + ["too short", "", None, say(8)]
+    docs = [say(200) for _ in range(300)]
+    for k in range(0, 300, 7):
+        docs[k] += " " + " ".join((item[k % 20] or "").split()[5:14]) + " " + say(3)
+    rows = [(k, t) for k, t in enumerate(docs)] + [(None, docs[0]), (0, docs[0]), (5, None), (6, "")]
+    items = spark.createDataFrame([*enumerate(item)], "item_id int, text string")
+    corpus = spark.createDataFrame(rows, "doc_id long, text string")
+    shingles = lambda t: {tuple((t or "").split()[i:i + 8]) for i in range(len((t or "").split()) - 7)}
+    want = {k: len({d for d, t in rows if d is not None and shingles(t) & shingles(i)}) for k, i in enumerate(item)}
+    got = {x.item_id: x.contaminated_docs for x in tx.eval_set_isolation(items, "item_id", "text", corpus, "doc_id", "text", 8).collect()}
+    assert got == want and sum(want.values()) >= 43
+    hashes = tx._gram_hashes(items, "item_id", "text", 8)
+    keep = bloom.build(hashes, "h")
+    every = tx._gram_hashes(corpus, "doc_id", "text", 8).count()
+    passed = tx._gram_hashes(corpus, "doc_id", "text", 8, keep).count()
+    assert passed * 10 < every and passed >= 43
+    assert tx.eval_set_isolation(items.where("false"), "item_id", "text", corpus, "doc_id", "text").count() == 0
+    assert {x.contaminated_docs for x in tx.eval_set_isolation(items, "item_id", "text", corpus.where("false"), "doc_id", "text").collect()} == {0}
+
+
+def test_bloom_filter_has_no_false_negatives(spark):
+    from pyspark.sql import functions as F
+    import numpy as np
+
+    from sparklab.operators import bloom
+    df = spark.range(5000).select(F.xxhash64("id").alias("h"), F.col("id"))
+    keep = bloom.build(df.unionByName(df.limit(1).select(F.lit(None).cast("long").alias("h"), "id")), "h")
+    inside = df.toArrow().column("h").to_numpy().view(np.uint64)
+    assert keep.might_contain(inside).all()
+    other = np.random.default_rng(0).integers(0, 1 << 63, 50_000).astype(np.uint64)
+    assert keep.might_contain(other).mean() < 0.01
+    small = bloom.build(df, "h", largest=10)
+    assert small.might_contain(inside).all() and len(small.cells) == 16
