@@ -4,7 +4,7 @@ with algebraic aggregates (partial aggregation before the shuffle) unless noted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklab.functions.core import col, safe_divide
@@ -147,15 +147,13 @@ def top_categories(df: DataFrame, c: str, k: int = 15) -> DataFrame:
     return g.orderBy(F.desc("n"), F.asc(c)).limit(k)
 
 
-def decile_calibration(scores: DataFrame, p: str, truth: Column, revenue: str, key: str,
-                       k: int = 10) -> DataFrame:
-    """NTILE(k) by score (distributed ntile), then per decile: n, mean predicted,
-    actual rate, revenue."""
+def decile_calibration(scores: DataFrame, p: str, truth: Column, revenue: str, key: str, k: int = 10) -> DataFrame:
+    """``k`` equal groups by score (distributed ntile; group ``k`` has the highest scores), and for each: rows, mean score,
+    share of true rows, the gap between the two, and the sum of ``revenue``."""
     d = ranking.ntile(scores.withColumn("_y", truth.cast("int")), k, [], [F.col(p), F.col(key)], "decile")
-    return d.groupBy("decile").agg(F.count(F.lit(1)).alias("customers"),
-                                   F.round(F.avg(p), 3).alias("avg_predicted"),
-                                   F.round(F.avg("_y"), 3).alias("actual_churn_rate"),
-                                   F.round(F.sum(revenue), 0).alias("monthly_revenue"))
+    g = d.groupBy("decile").agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("s"), F.avg("_y").alias("y"), F.sum(revenue).alias("r"))
+    return g.select("decile", "n", F.round("s", 4).alias("mean_score"), F.round("y", 4).alias("true_share"),
+                    F.round(F.col("s") - F.col("y"), 4).alias("gap"), F.round("r", 2).alias("revenue"))
 
 
 def threshold_grid(spark, lo_pct: int, hi_pct: int, step_pct: int, name: str = "th") -> DataFrame:
@@ -166,27 +164,28 @@ def threshold_grid(spark, lo_pct: int, hi_pct: int, step_pct: int, name: str = "
 def expected_value_curve(scores: DataFrame, p: str, truth: Column, charges: str, thresholds: DataFrame,
                          offer_cost: float = 12.0, save_rate: float = 0.30, months_retained: float = 12.0,
                          margin_rate: float = 0.45) -> DataFrame:
-    """Per threshold: contacted, churners reached, precision, recall, net value.
-
-    The threshold grid is tiny and fixed-size (a broadcast cross join);
-    the score table is aggregated once per threshold with conditional sums.
-    At very large score tables the same numbers come from a histogram of
-    scores (see ``roc_curve``); here the grid is 17 values so the cross join
-    multiplies rows by a small constant only.
-    """
-    s = scores.select(F.col(p).alias("_p"), truth.alias("_y"), F.col(charges).alias("_m"))
-    positives = s.agg(F.count_if("_y").alias("_pos"))
-    j = s.crossJoin(F.broadcast(thresholds))
-    hit = F.col("_p") >= F.col("th")
-    g = j.groupBy("th").agg(F.count_if(hit).alias("contacted"),
-                            F.count_if(hit & F.col("_y")).alias("churners_reached"),
-                            F.sum(F.when(hit & F.col("_y"), F.col("_m") * (months_retained * margin_rate * save_rate))
-                                  .otherwise(F.lit(0.0))).alias("_saved"))
-    g = g.crossJoin(F.broadcast(positives))
-    return g.select(F.round("th", 2).alias("threshold"), "contacted", "churners_reached",
-                    F.round(safe_divide(F.col("churners_reached"), F.col("contacted")), 3).alias("precision"),
-                    F.round(safe_divide(F.col("churners_reached"), F.col("_pos")), 3).alias("recall"),
-                    F.round(F.col("_saved") - F.col("contacted") * offer_cost, 0).alias("net_value"))
+    """What acting on all scores from a threshold up would bring, per threshold: contacted rows, churners_reached,
+    precision, recall and net_value (the margin of the churners that stay, less the offers).
+
+    A row only matters by the number of thresholds its score reaches, so rows are summed once, per number; each
+    threshold's figures are the sums of the cells from its own up."""
+    levels = sorted(r[0] for r in thresholds.collect())  # the grid is a parameter
+    reached = F.lit(0)
+    for t in levels:
+        reached = reached + F.when(F.col(p) >= t, 1).otherwise(0)
+    kept = F.col(charges) * (months_retained * margin_rate * save_rate)
+    cells = scores.select(reached.alias("cell"), truth.alias("y"), kept.alias("kept")).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("y").alias("hits"), F.sum(F.when(F.col("y"), F.col("kept")).otherwise(0.0)).alias("kept"))
+    grid = scores.sparkSession.createDataFrame([(k + 1, t) for k, t in enumerate(levels)], "cell int, th double")
+    # a row per threshold and one for the rows below all: the window holds no more
+    up = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
+    total = [F.coalesce(F.sum(c).over(up), F.lit(0)).alias(c) for c in ("n", "hits", "kept")]
+    every = F.sum("hits").over(Window.partitionBy()).alias("positives")
+    sums = cells.join(grid, "cell", "full").select("th", every, *total).where("th IS NOT NULL")
+    return sums.select(
+        F.round("th", 2).alias("threshold"), F.col("n").alias("contacted"), F.col("hits").alias("churners_reached"),
+        F.round(safe_divide(F.col("hits"), F.col("n")), 3).alias("precision"), F.round(safe_divide(F.col("hits"), F.col("positives")), 3).alias("recall"),
+        F.round(F.col("kept") - F.col("n") * offer_cost, 0).alias("net_value"))
 
 
 def contribution_analysis(df: DataFrame, dims: list[str], metric: Column, is_test: Column,

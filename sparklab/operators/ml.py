@@ -245,17 +245,17 @@ def pr_auc(scores: DataFrame, p: str, y: Column) -> DataFrame:
     return g.agg((F.sum(F.col("pos") * (F.col("_tp") / F.col("_cnt"))) / F.sum("pos")).alias("pr_auc"))
 
 
-def risk_tier(p: Column) -> Column:
-    return F.when(p >= 0.60, "High").when(p >= 0.35, "Medium").otherwise("Low")
-
-
-def retention_watchlist(scores: DataFrame, key: str, p: str, contract: str, tenure: str, charges: str,
-                        monthly_contract_value: str, min_p: float = 0.35, margin: float = 0.45) -> DataFrame:
-    action = (F.when(F.col(contract) == monthly_contract_value, "Offer 12-month contract with discount")
-               .when(F.col(tenure) <= 6, "Onboarding check-in call").otherwise("Service quality review"))
-    return scores.where(F.col(p) >= min_p).select(
-        key, F.round(p, 3).alias("risk_score"), risk_tier(F.col(p)).alias("risk_tier"), contract, tenure, charges,
-        F.round(F.col(charges) * 12 * margin, 0).alias("annual_margin_at_risk"), action.alias("suggested_action"))
+def watchlist(scores: DataFrame, key: str, score: str, tiers: list[tuple[float, str]], actions: list[tuple[str, Column | None]],
+              exposure: Column, carry: list[str] = ()) -> DataFrame:
+    """Rows worth acting on: those that reach the lowest of the ``tiers`` (lowest score, name), each with its tier, the
+    first of the ``actions`` (name, condition) whose condition holds (None always does), and ``exposure`` weighted by
+    the score."""
+    ladder = sorted(tiers, reverse=True)
+    s = F.col(score)
+    tier = F.coalesce(*[F.when(s >= low, F.lit(name)) for low, name in ladder])
+    action = F.coalesce(*[F.lit(name) if rule is None else F.when(rule, F.lit(name)) for name, rule in actions])
+    rows = scores.where(s >= ladder[-1][0])
+    return rows.select(key, *carry, s.alias("score"), tier.alias("tier"), (s * exposure).alias("expected_loss"), action.alias("action"))
 
 
 def traffic_split(df: DataFrame, key: str, pct_new: int, new: str = "v2", old: str = "v1",

@@ -195,6 +195,19 @@ def chunk_with_headings(pages: DataFrame, key: str, html: str) -> DataFrame:
     return b.where(F.col("tag") == "p").select(key, "pos", "h1", "h2", "h3", "text")
 
 
+def title_verdict(df: DataFrame, name: str, title: str) -> DataFrame:
+    """Add ``hits`` (words of the read title that the file name has) and ``verdict``: abstained (no word read), exact (the
+    same words in the same order), partial (one side has all words of the other), or mismatch.  Case, the extension and
+    what stands between words do not count."""
+    parts = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")
+    d = df.withColumn("_own", parts(F.substring_index(F.col(name), ".", 1))).withColumn("_told", parts(F.coalesce(F.col(title), F.lit(""))))
+    missing = lambda a, b: F.size(F.array_except(a, b))
+    verdict = (F.when(F.size("_told") == 0, "abstained").when(F.col("_told") == F.col("_own"), "exact")
+                .when(F.least(missing("_told", "_own"), missing("_own", "_told")) == 0, "partial").otherwise("mismatch"))
+    hits = F.size(F.filter("_told", lambda w: F.array_contains("_own", w)))
+    return d.withColumn("hits", hits).withColumn("verdict", verdict).drop("_own", "_told")
+
+
 # ------------------------------------------------------------------ vectors ------
 
 def _dot(a: Column, b: Column) -> Column:

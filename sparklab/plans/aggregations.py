@@ -182,28 +182,30 @@ def q_top_categories(spark, sf):
     return aggs.top_categories(Tables(spark, sf).lineitem, "l_partkey", 15)
 
 
-@query("decile_calibration", sql=with_sql(SCORES_SQL, """
-SELECT CAST(decile AS INTEGER) AS decile, CAST(count(*) AS BIGINT) AS customers,
-       round(avg(p_churn), 3) AS avg_predicted,
-       round(avg(CASE WHEN actual_churn = 'Yes' THEN 1 ELSE 0 END), 3) AS actual_churn_rate,
-       round(sum(monthly_charges), 0) AS monthly_revenue
-FROM (SELECT *, ntile(10) OVER (ORDER BY p_churn, c_custkey) AS decile FROM scores)
-GROUP BY decile"""))
+#: Groups by position: with n rows and k groups the first n % k groups have one row more.
+DECILE_SQL = with_sql(SCORES_SQL, """,
+placed AS (SELECT p_churn, actual_churn = 'Yes' AS y, monthly_charges AS m, row_number() OVER (ORDER BY p_churn, c_custkey) - 1 AS i, count(*) OVER () AS n FROM scores),
+cut AS (SELECT *, n // 10 AS low, n % 10 AS more FROM placed),
+grouped AS (SELECT *, CASE WHEN i < more * (low + 1) THEN i // (low + 1) ELSE more + (i - more * (low + 1)) // low END + 1 AS g FROM cut)
+SELECT CAST(g AS INTEGER) AS decile, count(*) AS n, round(avg(p_churn), 4) AS mean_score, round(avg(CAST(y AS INTEGER)), 4) AS true_share,
+       round(avg(p_churn) - avg(CAST(y AS INTEGER)), 4) AS gap, round(sum(m), 2) AS revenue
+FROM grouped GROUP BY g""")
+
+
+@query("decile_calibration", sql=DECILE_SQL)
 def q_decile_calibration(spark, sf):
     s = churn_scores(Tables(spark, sf))
     return aggs.decile_calibration(s, "p_churn", F.col("actual_churn") == "Yes", "monthly_charges", "c_custkey")
 
 
-EV_SQL = with_sql(SCORES_SQL, """
-SELECT round(th, 2) AS threshold,
-       CAST(count_if(p_churn >= th) AS BIGINT) AS contacted,
-       CAST(count_if(p_churn >= th AND actual_churn = 'Yes') AS BIGINT) AS churners_reached,
-       round(count_if(p_churn >= th AND actual_churn = 'Yes') / nullif(count_if(p_churn >= th), 0), 3) AS precision,
-       round(count_if(p_churn >= th AND actual_churn = 'Yes') / nullif((SELECT count_if(actual_churn = 'Yes') FROM scores), 0), 3) AS recall,
-       round(sum(CASE WHEN p_churn >= th AND actual_churn = 'Yes' THEN monthly_charges * (12.0 * 0.45 * 0.30) ELSE 0.0 END)
-             - count_if(p_churn >= th) * 12.0, 0) AS net_value
-FROM scores, (SELECT generate_series / 100.0 AS th FROM generate_series(10, 90, 5)) g
-GROUP BY th""")
+EV_SQL = with_sql(SCORES_SQL, """,
+grid AS (SELECT CAST(g AS DOUBLE) / 100 AS th FROM range(10, 95, 5) t(g)),
+rows_at AS (SELECT th, actual_churn = 'Yes' AS y, monthly_charges AS m FROM grid LEFT JOIN scores ON p_churn >= th),
+sums AS (SELECT th, count(m) AS n, coalesce(sum(CAST(y AS INTEGER)), 0) AS hits, coalesce(sum(m) FILTER (y), 0) * (12.0 * 0.45 * 0.30) AS kept FROM rows_at GROUP BY th),
+whole AS (SELECT sum(CAST(actual_churn = 'Yes' AS INTEGER)) AS positives FROM scores)
+SELECT round(th, 2) AS threshold, CAST(n AS BIGINT) AS contacted, CAST(hits AS BIGINT) AS churners_reached,
+       round(hits / nullif(n, 0), 3) AS precision, round(hits / nullif(positives, 0), 3) AS recall, round(kept - 12 * n, 0) AS net_value
+FROM sums, whole""")
 
 
 @query("expected_value_curve", sql=EV_SQL)

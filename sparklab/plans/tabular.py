@@ -150,14 +150,14 @@ def q_today_filter(spark, sf):
     return layout.on_day(e, "ts", "2024-01-15").select("event_id", "user_id", "event_type")
 
 
-@query("feature_flags", sql=with_sql(SCORES_SQL, """
-SELECT c_custkey, monthly_charges > 500 AS is_high_value, tenure_months <= 3 AS is_new_customer,
-       n_orders >= 10 AS is_frequent FROM scores"""))
+@query("feature_flags", sql="""
+SELECT o_orderkey, o_totalprice >= 250000 AS is_large, o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AS is_pressing,
+       dayofweek(o_orderdate) IN (0, 6) AS on_weekend FROM orders""")
 def q_feature_flags(spark, sf):
-    s = churn_scores(Tables(spark, sf))
-    return s.select("c_custkey", (F.col("monthly_charges") > 500).alias("is_high_value"),
-                    (F.col("tenure_months") <= 3).alias("is_new_customer"),
-                    (F.col("n_orders") >= 10).alias("is_frequent"))
+    o = Tables(spark, sf).orders
+    return o.select("o_orderkey", (F.col("o_totalprice") >= 250000).alias("is_large"),
+                    ((F.col("o_orderstatus") == "O") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("is_pressing"),
+                    F.dayofweek("o_orderdate").isin(1, 7).alias("on_weekend"))
 
 
 @query("feature_interaction", sql="""

@@ -129,52 +129,39 @@ def q_aggregate_prompt(spark, sf):
         items, lambda s: F.format_string("%s (%d)", s["word"], s["n"])), "; ")).alias("prompt"))
 
 
-def _title_frame(t):
+def _titles(t):
+    """A file per part and the title a scorer read from it: nothing, the whole name, its first word, or the brand."""
     p = t.part
-    h = F.pmod(md5num("p_partkey"), F.lit(4))
-    pred = (F.when(h == 0, F.lit("")).when(h == 1, F.col("p_name"))
-             .when(h == 2, F.substring_index("p_name", " ", 1)).otherwise(F.col("p_brand")))
-    fname = F.concat(F.regexp_replace("p_name", " ", "_"), F.lit(".jpg"))
-    truth = F.lower(F.regexp_replace(F.regexp_replace(fname, r"\.[a-z]+$", ""), "_", " "))
-    return p.select("p_partkey", fname.alias("file_name"), truth.alias("truth_title"), pred.alias("predicted_title"),
-                    F.lower(F.trim(F.coalesce(pred, F.lit("")))).alias("pred_norm"))
-
-
-TITLE_SQL = f"""compared AS (
-  SELECT p_partkey, file_name, lower(regexp_replace(regexp_replace(file_name, '\\.[a-z]+$', ''), '_', ' ', 'g')) AS truth_title,
-         pred AS predicted_title, lower(trim(coalesce(pred, ''))) AS pred_norm
-  FROM (SELECT p_partkey, replace(p_name, ' ', '_') || '.jpg' AS file_name,
-               CASE ({md5num_sql('p_partkey')}) % 4 WHEN 0 THEN '' WHEN 1 THEN p_name
-                    WHEN 2 THEN split_part(p_name, ' ', 1) ELSE p_brand END AS pred FROM part))"""
-
-
-@query("title_match_verdict", sql=with_sql(TITLE_SQL, """
-SELECT p_partkey, file_name, truth_title, predicted_title,
-       CASE WHEN pred_norm = '' THEN 'abstained' WHEN pred_norm = truth_title THEN 'exact'
-            WHEN strpos(truth_title, pred_norm) > 0 OR strpos(pred_norm, truth_title) > 0 THEN 'partial'
-            ELSE 'mismatch' END AS verdict FROM compared"""))
+    turn = F.pmod(md5num("p_partkey"), F.lit(4)).cast("int")
+    read = F.element_at(F.array(F.lit(""), F.col("p_name"), F.substring_index("p_name", " ", 1), F.col("p_brand")), turn + 1)
+    return p.select("p_partkey", F.concat(F.translate("p_name", " ", "_"), F.lit(".jpg")).alias("file_name"), read.alias("title"))
+
+
+TITLES_SQL = f"""titles AS (
+  SELECT p_partkey, replace(p_name, ' ', '_') || '.jpg' AS file_name,
+         (['', p_name, split_part(p_name, ' ', 1), p_brand])[1 + ({md5num_sql('p_partkey')}) % 4] AS title FROM part),
+split_up AS (
+  SELECT *, list_filter(regexp_split_to_array(lower(split_part(file_name, '.', 1)), '[^a-z0-9]+'), lambda w: w <> '') AS own,
+         list_filter(regexp_split_to_array(lower(title), '[^a-z0-9]+'), lambda w: w <> '') AS told FROM titles),
+judged AS (
+  SELECT *, len(list_filter(told, lambda w: list_contains(own, w))) AS hits,
+         CASE WHEN len(told) = 0 THEN 'abstained' WHEN told = own THEN 'exact' WHEN list_has_all(own, told) OR list_has_all(told, own) THEN 'partial' ELSE 'mismatch' END AS verdict
+  FROM split_up)"""
+
+
+@query("title_match_verdict", sql=with_sql(TITLES_SQL, """
+SELECT p_partkey, file_name, title, CAST(hits AS INTEGER) AS hits, verdict FROM judged"""))
 def q_title_match_verdict(spark, sf):
-    c = _title_frame(Tables(spark, sf))
-    v = (F.when(F.col("pred_norm") == "", "abstained").when(F.col("pred_norm") == F.col("truth_title"), "exact")
-          .when((F.expr("instr(truth_title, pred_norm)") > 0) | (F.expr("instr(pred_norm, truth_title)") > 0), "partial")
-          .otherwise("mismatch"))
-    return c.select("p_partkey", "file_name", "truth_title", "predicted_title", v.alias("verdict"))
-
-
-@query("title_match_summary", sql=with_sql(TITLE_SQL, """
-SELECT CAST(count(*) AS BIGINT) AS images, CAST(count_if(pred_norm = truth_title) AS BIGINT) AS exact,
-       CAST(count_if(pred_norm != '' AND pred_norm != truth_title AND (strpos(truth_title, pred_norm) > 0
-             OR strpos(pred_norm, truth_title) > 0)) AS BIGINT) AS partial,
-       CAST(count_if(pred_norm = '') AS BIGINT) AS abstained,
-       round(100 * count_if(pred_norm = truth_title) / count(*), 1) AS exact_pct FROM compared"""))
+    """A read title against the file's name, word by word."""
+    return tx.title_verdict(_titles(Tables(spark, sf)), "file_name", "title").select("p_partkey", "file_name", "title", "hits", "verdict")
+
+
+@query("title_match_summary", sql=with_sql(TITLES_SQL, """
+SELECT verdict, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 4) AS share FROM judged GROUP BY verdict"""))
 def q_title_match_summary(spark, sf):
-    c = _title_frame(Tables(spark, sf))
-    pn, tt = F.col("pred_norm"), F.col("truth_title")
-    part = (pn != "") & (pn != tt) & ((F.expr("instr(truth_title, pred_norm)") > 0) |
-                                      (F.expr("instr(pred_norm, truth_title)") > 0))
-    return c.agg(F.count(F.lit(1)).alias("images"), F.count_if(pn == tt).alias("exact"), F.count_if(part).alias("partial"),
-                 F.count_if(pn == "").alias("abstained"),
-                 F.round(100 * F.count_if(pn == tt) / F.count(F.lit(1)), 1).alias("exact_pct"))
+    v = tx.title_verdict(_titles(Tables(spark, sf)), "file_name", "title").groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+    whole = v.agg(F.sum("n").alias("whole"))
+    return v.crossJoin(whole).select("verdict", "n", F.round(F.col("n") / F.col("whole"), 4).alias("share"))  # one row per verdict
 
 
 @query("label_explode_summary", sql=rf"""

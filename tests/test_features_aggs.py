@@ -117,3 +117,29 @@ def test_vector_search_without_broadcast_matches(spark):
     b = tx.vector_search(e, "vec_id", "embedding", q, "label", "centroid", k=3, max_broadcast_queries=1).select(
         "query_id", "base_id", "rank")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_watchlist_tiers_and_first_true_action(spark):
+    from sparklab.operators import ml
+    rows = [(1, 0.9, 10.0, "a"), (2, 0.5, 20.0, "b"), (3, 0.5, 30.0, "a"), (4, 0.1, 99.0, "a"), (5, None, 1.0, "a")]
+    w = ml.watchlist(spark.createDataFrame(rows, "id int, p double, v double, k string"), "id", "p", [(0.3, "low"), (0.8, "top")],
+                     [("first", F.col("k") == "b"), ("rest", None)], F.col("v"), ["k"])
+    got = {r["id"]: (r["tier"], r["expected_loss"], r["action"], r["k"]) for r in w.collect()}
+    assert got == {1: ("top", 9.0, "rest", "a"), 2: ("low", 10.0, "first", "b"), 3: ("low", 15.0, "rest", "a")}
+
+
+def test_expected_value_sums_cells_once(spark):
+    """No row is multiplied by the thresholds, whichever scores there are."""
+    df = spark.createDataFrame([(0.05, True, 10.0), (0.95, False, 1.0), (0.5, True, 100.0), (None, True, 7.0)], "p double, y boolean, m double")
+    out = aggs.expected_value_curve(df, "p", F.col("y"), "m", aggs.threshold_grid(spark, 10, 90, 40))
+    got = {r["threshold"]: (r["contacted"], r["churners_reached"], r["recall"]) for r in out.collect()}
+    assert got == {0.1: (2, 1, 0.333), 0.5: (2, 1, 0.333), 0.9: (1, 0, 0.0)}
+    assert "CartesianProduct" not in (plan := out._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
+
+
+def test_title_verdict_by_words(spark):
+    from sparklab.operators import text as tx
+    rows = [("big_red_dog.jpg", "Big Red Dog", "exact", 3), ("big_red_dog.jpg", "red, big", "partial", 2), ("dog.png", "the dog", "partial", 1),
+            ("dog.png", "cat", "mismatch", 0), ("dog.png", " -- ", "abstained", 0), ("dog.png", None, "abstained", 0), ("big_dog.jpg", "dog cat", "mismatch", 1)]
+    got = tx.title_verdict(spark.createDataFrame([(k, *r[:2]) for k, r in enumerate(rows)], "k int, f string, t string"), "f", "t").orderBy("k").collect()
+    assert [(r["verdict"], r["hits"]) for r in got] == [r[2:] for r in rows]
