@@ -4,6 +4,7 @@ expiry) plus the date predicates that keep partition pruning possible."""
 from __future__ import annotations
 
 import datetime as _dt
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,30 +84,38 @@ def cluster_layout(df: DataFrame, cluster_cols: list[str], n_files: int | None =
     return r.sortWithinPartitions(*cluster_cols)
 
 
+def partition_folders(spark, path: str, part_col: str) -> list[tuple[str, str]]:
+    """(value, folder) of the partitions of a table by ``part_col``, from the listing of its folder by the cluster's file
+    system: no data file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = []
+    for s in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at):
+        name = s.getPath().getName()
+        if s.isDirectory() and name.startswith(f"{part_col}="):
+            out.append((unquote(name[len(part_col) + 1:]), s.getPath().toString()))
+    return sorted(out)
+
+
 def partitions_to_expire(spark, path: str, part_col: str, as_of, keep_days: int) -> DataFrame:
-    """Partition values older than ``keep_days`` before ``as_of`` (a dry run: a
-    DataFrame of values, nothing deleted).  Reads only the partition listing."""
-    parts = spark.read.parquet(path).select(part_col).distinct()
-    limit = F.date_sub(F.to_date(F.lit(str(as_of))), keep_days)
-    return parts.where(F.col(part_col) < limit)
+    """Partition values older than ``keep_days`` before ``as_of``, nothing deleted.  Reads only the listing of the table's
+    folder; values that are no dates (the null partition) never expire."""
+    rows = [(v,) for v, _ in partition_folders(spark, path, part_col)]  # a row per partition
+    parts = spark.createDataFrame(rows, f"`{part_col}` string").select(F.expr(f"try_cast(`{part_col}` AS date)").alias(part_col))
+    return parts.where(F.col(part_col) < F.date_sub(F.to_date(F.lit(str(as_of))), keep_days))
 
 
 def expire_partitions(spark, path: str, part_col: str, as_of, keep_days: int, dry_run: bool = True):
-    """Drop old partitions by rewriting the kept ones into place (dynamic overwrite
-    cannot remove a partition, so the kept rows go to a new folder version)."""
+    """Delete the folders of old partitions through the cluster's file system (any store that Spark reads), and return
+    their values; with ``dry_run`` only the values.  The kept partitions are not touched."""
     old = partitions_to_expire(spark, path, part_col, as_of, keep_days)
     if dry_run:
         return old
-    import os
-    import shutil
-
-    for r in old.toLocalIterator():  # one row per partition value, not per data row
-        v = r[0]
-        v = v.isoformat() if isinstance(v, (_dt.date, _dt.datetime)) else v
-        p = os.path.join(path.replace("file:", ""), f"{part_col}={v}")
-        if os.path.isdir(p):
-            shutil.rmtree(p)
-    return old
+    gone = {str(r[0]) for r in old.collect()}  # a row per partition
+    folders = [f for v, f in partition_folders(spark, path, part_col) if v in gone]
+    for f in folders:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return spark.createDataFrame([(_dt.date.fromisoformat(v),) for v in sorted(gone)], f"`{part_col}` date")
 
 
 def partition_count_guard(df: DataFrame, part_cols: list[str], per_table: int = 10_000) -> int:

@@ -63,8 +63,16 @@ def q_read_uri_list(spark, sf):
     path = _page_files(spark, sf)
     objs = io.object_table(spark, path, glob="*.txt")
     lst = scratch(spark, "uri-list")
-    objs.select("uri").coalesce(1).write.text(lst)
-    return io.read_uri_list(spark, lst).select("path", "length", F.md5("content").alias("md5_hash"))
+    objs.select("uri").write.text(lst)
+    return io.read_uri_list(spark, lst).select("path", "length", F.md5("content").alias("md5_hash"), "error")
+
+
+@query("row_group_sample")
+def q_row_group_sample(spark, sf):
+    """A fifth of the blocks of the line items (written in small row groups first): only those are read."""
+    path = scratch(spark, "lineitem-groups")
+    Tables(spark, sf).lineitem.repartition(8, "l_orderkey").write.option("parquet.block.size", 64 * 1024).option("parquet.page.size", 8 * 1024).parquet(path)
+    return io.row_group_sample(spark, path, 0.2, columns=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"])
 
 
 @query("read_jsonl_batch", sql="SELECT doc_id, lang, text FROM documents")

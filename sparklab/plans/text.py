@@ -379,17 +379,6 @@ def _det_sql_array():
     return "list_concat(" + ", ".join(parts) + ")" if len(parts) > 1 else parts[0]
 
 
-@query("inspect_infotypes", sql=f"""
-SELECT doc_id, f.info_type, f.quote, f.likelihood FROM (
-  SELECT doc_id, unnest({_det_sql_array()}) AS f FROM documents)
-WHERE f.info_type <> 'CREDIT_CARD_NUMBER'""")
-def q_inspect_infotypes(spark, sf):
-    """Regex detectors (cards excluded from the oracle: their likelihood uses a
-    Luhn check written with array functions, verified in pytest)."""
-    f = pv.inspect_infotypes(Tables(spark, sf).documents, "doc_id", "text")
-    return f.where(F.col("info_type") != "CREDIT_CARD_NUMBER")
-
-
 def _luhn_sql(q: str) -> str:
     """Likelihood of a card quote: LIKELY when its digits pass the Luhn check."""
     dg = f"regexp_replace({q}, '[^0-9]', '', 'g')"
@@ -405,6 +394,13 @@ findings AS (SELECT doc_id, lang, source, text, f.info_type AS info_type, f.quot
              FROM raw)"""
 
 
+@query("inspect_infotypes", sql=with_sql(FINDINGS_SQL, """
+SELECT doc_id, info_type, quote, likelihood FROM findings"""))
+def q_inspect_infotypes(spark, sf):
+    """All findings of all detectors; a card is LIKELY when its digits pass the Luhn check."""
+    return pv.inspect_infotypes(Tables(spark, sf).documents, "doc_id", "text")
+
+
 @query("inspect_cards", sql=with_sql(FINDINGS_SQL, """
 SELECT doc_id, lang, source, info_type, quote, likelihood FROM findings WHERE info_type = 'CREDIT_CARD_NUMBER'"""))
 def q_inspect_cards(spark, sf):

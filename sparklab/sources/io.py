@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,11 +53,85 @@ def read_csv_batch(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return load_csv(spark, path, ddl, multiline=False)
 
 
+def _opened(uri: str):
+    """A pyarrow file system and the path on it (file, s3, gs, hdfs and the like); paths are taken as they are, without
+    percent escapes."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    scheme, mark, rest = uri.partition("://")
+    if not mark:
+        raise ValueError("no URI with a scheme")
+    authority, _, path = rest.partition("/")
+    store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}")
+    return store, f"{base.rstrip('/')}/{path}"
+
+
 def read_uri_list(spark: SparkSession, list_path: str) -> DataFrame:
-    """A text file of URIs -> the referenced files (metadata + content)."""
-    uris = [r[0] for r in spark.read.text(list_path).where(F.trim("value") != "").collect()]
-    return spark.read.format("binaryFile").load(uris) if uris else spark.createDataFrame(
-        [], "path string, modificationTime timestamp, length long, content binary")
+    """Text files of URIs -> the referenced files: path, modificationTime, length, content and ``error`` (NULL, or why the
+    file could not be read; the other columns but the path are NULL then).
+
+    The list stays distributed: its rows are dealt out by hash, and each task opens its files itself, one at a time."""
+    uris = spark.read.text(list_path).select(F.trim("value").alias("path")).where("path <> ''").repartition("path")
+    kind = "path string, modificationTime timestamp, length long, content binary, error string"
+
+    def run(batches):
+        for b in batches:
+            for uri in b.column(0).to_pylist():
+                at = size = data = error = None
+                try:
+                    store, path = _opened(uri)
+                    at = store.get_file_info(path).mtime
+                    with store.open_input_stream(path) as f:
+                        data = f.read()
+                    size = len(data)
+                except Exception as e:  # noqa: BLE001
+                    at, error = None, f"{type(e).__name__}: {e}"[:300]
+                yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([at], pa.timestamp("us", "UTC")), pa.array([size], pa.int64()), pa.array([data], pa.binary()),
+                                                  pa.array([error], pa.string())], names=["path", "modificationTime", "length", "content", "error"])
+    return uris.mapInArrow(run, kind)
+
+
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet row groups under a folder: file, row_group, n_rows, n_bytes.  Files come from the listing; each footer
+    is read by a task."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path").repartition("path")
+
+    def run(batches):
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            for uri in b.column(0).to_pylist():
+                store, at = _opened(uri)
+                with store.open_input_file(at) as f:
+                    m = pq.read_metadata(f)
+                g = [m.row_group(k) for k in range(m.num_row_groups)]
+                yield pa.RecordBatch.from_arrays([pa.array([uri] * len(g), pa.string()), pa.array(range(len(g)), pa.int32()), pa.array([x.num_rows for x in g], pa.int64()),
+                                                  pa.array([x.total_byte_size for x in g], pa.int64())], names=["file", "row_group", "n_rows", "n_bytes"])
+    return files.mapInArrow(run, "file string, row_group int, n_rows long, n_bytes long")
+
+
+def row_group_sample(spark: SparkSession, path: str, fraction: float, seed: int = 7, columns: list[str] | None = None) -> DataFrame:
+    """Block sampling that reads in proportion to the sample: whole row groups, chosen by a seeded hash of the file's name
+    and the group's number; of the others only the footers are read.  Rows of a block are alike, as in any block sample."""
+    kind = spark.read.parquet(path).select(*(columns or ["*"])).schema
+    name = F.substring_index("file", "/", -1)
+    chosen = row_groups(spark, path).where(F.pmod(F.xxhash64(name, "row_group", F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    dealt = chosen.select("file", "row_group").repartition("file", "row_group")
+
+    def run(batches):
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(kind)
+        for b in batches:
+            for uri, group in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                store, at = _opened(uri)
+                with store.open_input_file(at) as f:
+                    own = pq.ParquetFile(f).read_row_group(group, columns=kind.names).select(kind.names)
+                yield from own.cast(target).to_batches(max_chunksize=10_000)
+    return dealt.mapInArrow(run, kind)
 
 
 def federated_query(spark: SparkSession, url: str, query: str, props: dict | None = None) -> DataFrame:

@@ -118,3 +118,54 @@ def test_block_and_hash_samples(spark):
     assert 0 < b < li.count()
     h1 = win.hash_sample(li, "l_orderkey", 10).count()
     assert h1 == win.hash_sample(li, "l_orderkey", 10).count()
+
+
+def test_uri_list_is_read_by_tasks_and_failures_are_rows(spark, tmpdir_path):
+    want = {}
+    for k in range(6):
+        p = os.path.join(tmpdir_path, f"f {k}.bin")
+        with open(p, "wb") as f:
+            f.write(bytes(range(k * 40)))
+        want[f"file:{p}" if k % 2 else f"file://{p}"] = bytes(range(k * 40))
+    lists = os.path.join(tmpdir_path, "lists")
+    os.makedirs(lists)
+    for k, part in enumerate([list(want)[:3], list(want)[3:] + ["", "file:/no/such/file", "odd"]]):
+        with open(os.path.join(lists, f"{k}.txt"), "w") as f:
+            f.write("\n".join(part))
+    got = {r["path"]: r for r in io.read_uri_list(spark, lists).collect()}
+    assert {p: bytes(r["content"]) for p, r in got.items() if r["error"] is None} == want
+    assert all(r["length"] == len(want[p]) and r["modificationTime"] is not None for p, r in got.items() if p in want)
+    bad = {p: r for p, r in got.items() if p not in want}
+    assert set(bad) == {"file:/no/such/file", "odd"} and all(r["error"] and r["content"] is None and r["length"] is None for r in bad.values())
+    os.makedirs(os.path.join(tmpdir_path, "none"))
+    assert io.read_uri_list(spark, os.path.join(tmpdir_path, "none")).count() == 0
+
+
+def test_row_groups_are_sampled_whole(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    d = spark.range(0, 40_000, 1, 4).select("id", F.concat(F.lit("v"), F.col("id").cast("string")).alias("s"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("t"))
+    d.write.option("parquet.block.size", 16 * 1024).option("parquet.page.size", 4096).option("parquet.block.size.row.check.min", 100).parquet(path)
+    groups = io.row_groups(spark, path).collect()
+    assert sum(g["n_rows"] for g in groups) == 40_000 and len(groups) > 8
+    assert sorted(r["id"] for r in io.row_group_sample(spark, path, 1.0).collect()) == list(range(40_000))
+    some = io.row_group_sample(spark, path, 0.4, seed=3, columns=["s", "t"])
+    assert some.columns == ["s", "t"] and [f.dataType.simpleString() for f in some.schema] == ["string", "timestamp_ntz"]
+    rows = some.collect()
+    assert rows == io.row_group_sample(spark, path, 0.4, seed=3, columns=["s", "t"]).collect() or sorted(rows) == sorted(io.row_group_sample(spark, path, 0.4, seed=3, columns=["s", "t"]).collect())
+    assert 0 < len(rows) < 40_000 and io.row_group_sample(spark, path, 0.0).count() == 0
+    # what is kept are whole groups
+    sizes = [g["n_rows"] for g in groups]
+    reachable = {0}
+    for n in sizes:
+        reachable |= {x + n for x in reachable}
+    assert len(rows) in reachable
+
+
+def test_partitions_expire_on_the_file_system(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "p")
+    d = spark.createDataFrame([(k, f"2024-01-{k:02d}") for k in range(1, 11)] + [(99, None)], "id int, d string").withColumn("d", F.to_date("d"))
+    d.write.partitionBy("d").parquet(path)
+    gone = layout.expire_partitions(spark, path, "d", "2024-01-10", 4, dry_run=False)
+    assert sorted(r["d"].day for r in gone.collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [6, 7, 8, 9, 10, 99]
+    assert layout.expire_partitions(spark, path, "d", "2024-01-10", 4, dry_run=False).count() == 0
