@@ -136,10 +136,14 @@ def daily_rollup(df: DataFrame, ts: str, value: str, key: str, extra: dict | Non
 
 
 def group_mean_median(df: DataFrame, group: list[str], value: str, digits: int = 4) -> DataFrame:
-    """Count, mean and exact median per group (``percentile`` keeps a per-group
-    buffer; for unbounded groups use ``approx_percentile`` instead)."""
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), digits).alias("mean"),
-                                  F.round(F.median(value), digits).alias("median"))
+    """Count, mean and exact median per group.  The median is found by distributed selection (``ranking.exact_quantiles``),
+    so a group that holds most rows is not gathered in one task."""
+    m = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), digits).alias("mean"))
+    med = ranking.exact_quantiles(df, group, value, {"median": 0.5}).select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(group)], F.round("median", digits).alias("median"))
+    same = F.lit(True)
+    for k, c in enumerate(group):
+        same = same & m[c].eqNullSafe(med[f"_g{k}"])
+    return m.join(med, same, "left").select(*group, "n", "mean", "median")
 
 
 def top_categories(df: DataFrame, c: str, k: int = 15) -> DataFrame:

@@ -72,8 +72,9 @@ def auto_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFr
     """Inverse-frequency weights ``n / (k * n_class)`` (the class table is tiny)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    w = counts.crossJoin(tot).select(F.col(label).alias("_class"), (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
+    # a NULL class is a class; the engine broadcasts the class table if it is small
+    return df.join(w, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
 
 
 # ---------------------------------------------------------------- training -----
@@ -276,6 +277,7 @@ def continuous_eval(scores: DataFrame, period: Column, p: str, y: Column, thresh
         aucs = (d.groupBy("_period", F.col(p).alias("s")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
         aucs = ranking.prefix_sum(aucs, ["_period"], ["s"], "neg", "nb").groupBy("_period").agg(
             (F.sum(F.col("pos") * (F.col("nb") + F.col("neg") / 2.0)) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
-        m = m.join(aucs, "_period", "left")
+        aucs = aucs.withColumnRenamed("_period", "_auc_period")  # a NULL period keeps its figures
+        m = m.join(aucs, F.col("_period").eqNullSafe(F.col("_auc_period")), "left").drop("_auc_period")
         alert = alert | F.coalesce(F.col("roc_auc") < min_auc, F.lit(False))
     return m.withColumnRenamed("_period", "period").withColumn("alert", alert)

@@ -161,3 +161,23 @@ def cume_dist(df: DataFrame, part: list[str], value: str, out: str = "cume_dist"
               n_parts: int | None = None) -> DataFrame:
     r = value_ranks(df, part, value, n_parts)
     return r.withColumn(out, (F.col("_le") / F.col("_n")).cast("double")).drop("_lt", "_le", "_n")
+
+
+def exact_quantiles(df: DataFrame, part: list[str], value: str, qs: dict[str, float], n_parts: int | None = None) -> DataFrame:
+    """Exact quantiles per group, interpolated between neighbours as ``percentile`` does: one row per group with a column
+    for each name of ``qs``.  NULL values are left out; a group without values has no row.
+
+    No task sees a whole group: equal values are counted first, range slices and their totals give each value its ranks,
+    and only the values at the wanted ranks go on."""
+    d = df.where(F.col(value).isNotNull()).select(*part, F.col(value).alias("_v")).groupBy(*part, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    total = d.groupBy(*part).agg(F.sum("_c").alias("_n")) if part else d.agg(F.sum("_c").alias("_n"))
+    d = prefix_sum(d, part, ["_v"], "_c", "_lt", n_parts=n_parts)
+    d = _join_back(d, total, part) if part else d.crossJoin(F.broadcast(total))  # a row per group; one row
+    held, out = [], []
+    for k, (name, q) in enumerate(qs.items()):
+        at = F.lit(float(q)) * (F.col("_n") - 1)
+        lo, hi = F.floor(at), F.ceil(at)
+        here = lambda rank: (F.col("_lt") <= rank) & (rank < F.col("_lt") + F.col("_c"))
+        held += [F.max(F.when(here(lo), F.col("_v"))).alias(f"_a{k}"), F.max(F.when(here(hi), F.col("_v"))).alias(f"_b{k}"), F.max(at - lo).alias(f"_s{k}")]
+        out.append((F.col(f"_a{k}") + (F.col(f"_b{k}") - F.col(f"_a{k}")) * F.col(f"_s{k}")).alias(name))
+    return (d.groupBy(*part) if part else d.groupBy()).agg(*held).select(*part, *out)

@@ -91,6 +91,24 @@ def debounce_stream(stream: DataFrame, key: str, ts: str, gap: str = "30 minutes
 
 # ------------------------------------------------------------------ monitoring -------
 
+def linf_by_window(share: DataFrame, baseline: DataFrame, category: str) -> DataFrame:
+    """Largest distance between a window's category shares (_w, category, q) and the baseline's (category, p), a category
+    that one side lacks having the share 0 there.
+
+    No window x category grid: of the categories a window lacks only the most common one of the baseline counts, and that
+    is the first gap in the baseline ranks of those it has."""
+    r = ranking.row_number(baseline, [], [F.desc("p"), F.col(category)], "_rank")
+    r = r.select(F.col(category).alias("_cat"), "p", "_rank")
+    j = share.join(r, F.col(category).eqNullSafe(F.col("_cat")), "left")
+    w = Window.partitionBy("_w").orderBy(F.col("_rank").asc_nulls_last())
+    # ranks are in place up to the first category that the window lacks
+    j = j.withColumn("_place", F.row_number().over(w))
+    g = j.groupBy("_w").agg(F.max(F.abs(F.col("q") - F.coalesce("p", F.lit(0.0)))).alias("_d"),
+                            (F.coalesce(F.sum(F.when(F.col("_rank") == F.col("_place"), 1)), F.lit(0)) + 1).alias("_gap"))
+    absent = r.select(F.col("_rank").alias("_gap"), F.col("p").alias("_absent"))
+    return g.join(absent, "_gap", "left").select("_w", F.greatest("_d", F.coalesce("_absent", F.lit(0.0))).alias("linf"))
+
+
 def windowed_monitor(df: DataFrame, ts: str, value: str, score: Column, category: str, baseline: DataFrame,
                      window: str = "1 day", slide: str | None = None) -> DataFrame:
     """Per tumbling window (or sliding, with ``slide``, for smoothing): requests,
@@ -110,11 +128,7 @@ def windowed_monitor(df: DataFrame, ts: str, value: str, score: Column, category
     b = baseline.groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
     bt = b.agg(F.sum("_n").alias("_t"))
     bshare = b.crossJoin(bt).select(category, (F.col("_n") / F.col("_t")).alias("p"))
-    # every (window, category) pair present on either side
-    cats = share.select(category).union(bshare.select(category)).distinct()
-    grid = stats.select("_w").crossJoin(F.broadcast(cats))  # windows x categories: small, bounded by both
-    g = grid.join(share, ["_w", category], "left").join(F.broadcast(bshare), category, "left")
-    drift = g.groupBy("_w").agg(F.max(F.abs(F.coalesce("q", F.lit(0.0)) - F.coalesce("p", F.lit(0.0)))).alias("linf"))
+    drift = linf_by_window(share, bshare, category)
     return stats.join(drift, "_w").withColumnRenamed("_w", "window_start")
 
 
@@ -136,10 +150,7 @@ def windowed_monitor_stream(stream: DataFrame, ts: str, value: str, score: Colum
                                     (F.sum("_ss") / F.sum("_n")).alias("avg_score"))
         share = b.join(stats.select("_w", "requests"), "_w").select("_w", category,
                                                                     (F.col("_n") / F.col("requests")).alias("q"))
-        cats = share.select(category).union(baseline_shares.select(category)).distinct()
-        grid = stats.select("_w").crossJoin(F.broadcast(cats))
-        g = grid.join(share, ["_w", category], "left").join(F.broadcast(baseline_shares), category, "left")
-        drift = g.groupBy("_w").agg(F.max(F.abs(F.coalesce("q", F.lit(0.0)) - F.coalesce("p", F.lit(0.0)))).alias("linf"))
+        drift = linf_by_window(share, baseline_shares, category)
         out = stats.join(drift, "_w").withColumnRenamed("_w", "window_start").withColumn("batch_id", F.lit(batch_id))
         # overwrite this batch's own folder: a replayed batch does not duplicate rows
         out.write.mode("overwrite").parquet(os.path.join(sink_path, f"batch_id={batch_id}"))

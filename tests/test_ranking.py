@@ -1,6 +1,7 @@
 """Distributed order statistics equal Spark's window functions, including ties,
 NULLs, a hot group holding a third of the rows and n not divisible by k."""
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -84,3 +85,41 @@ def test_auto_split_of_a_huge_table_has_eval_rows(spark):
 
     rows = spark.range(400_000).withColumnRenamed("id", "k")
     assert ml.data_split(rows, "AUTO", "k", n_rows=1_000_000_000).where("is_eval").count() > 0
+
+
+def test_exact_quantiles_of_a_hot_group(spark):
+    """A group with half of the rows, ties, NULLs and a NULL group; the same as NumPy's, from slices that hold no group."""
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v)) for v in rng.integers(0, 400, 3000) / 4] + [(f"g{k % 40}", float(v)) for k, v in enumerate(rng.normal(size=2900))]
+    rows += [(None, 3.0), (None, 8.0), ("none", None), ("hot", None), ("one", 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    qs = {"a": 0.0, "b": 0.25, "median": 0.5, "c": 0.9, "d": 1.0}
+    got = {r["g"]: r for r in ranking.exact_quantiles(df, ["g"], "v", qs, n_parts=7).collect()}
+    by = {}
+    for g, v in rows:
+        if v is not None:
+            by.setdefault(g, []).append(v)
+    assert set(got) == set(by)
+    for g, v in by.items():
+        assert np.allclose([got[g][n] for n in qs], np.quantile(v, list(qs.values())))
+    whole = ranking.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
+    assert whole == pytest.approx(np.median([v for x in by.values() for v in x]))
+    from sparklab.operators import aggs
+    m = {r["g"]: r for r in aggs.group_mean_median(df, ["g"], "v").collect()}
+    assert m["none"]["n"] == 1 and m["none"]["median"] is None and m[None]["median"] == 5.5 and m["hot"]["n"] == 3001
+
+
+def test_window_drift_without_a_grid(spark):
+    """Against all (window, category) pairs, with categories that only one side has."""
+    from sparklab.streaming.events import linf_by_window
+    rng = np.random.default_rng(6)
+    cats = [f"c{k}" for k in range(8)] + [None]
+    base = {c: float(p) for c, p in zip(cats[:6] + [None], rng.dirichlet(np.ones(7)))}
+    share = []
+    for w in range(30):
+        some = [cats[k] for k in rng.choice(9, rng.integers(1, 9), replace=False)]
+        share += [(w, c, float(q)) for c, q in zip(some, rng.dirichlet(np.ones(len(some))))]
+    got = {r["_w"]: r["linf"] for r in linf_by_window(spark.createDataFrame(share, "_w int, cat string, q double"), spark.createDataFrame(list(base.items()), "cat string, p double"), "cat").collect()}
+    for w in range(30):
+        own = {c: q for x, c, q in share if x == w}
+        assert got[w] == pytest.approx(max(abs(own.get(c, 0) - base.get(c, 0)) for c in cats))
