@@ -1,16 +1,19 @@
 """Language identification by language-bitmask n-gram filters.
 
-Training counts the character 4-grams of every language and keeps those that make up at least ``RATE`` of the
-language's 4-grams (so at most 1 / RATE per language, whatever the corpus).  One Bloom filter per language holds them;
-the filters are bit-sliced: a cell has one bit per language, so a look-up of a 4-gram reads ``HASHES`` cells and their
-conjunction is the set of languages that contain it.  A document's bits are counted per language, corrected by each
+Training counts the character 4-grams of every language.  All of them go into filters: a 4-gram belongs to the language
+in which it makes up the largest share of the 4-grams, and to every other one with at least ``SHARE`` of that (less is
+what quotations and wrong labels bring into any large corpus).  So none is dropped, and the rule is the same for every
+size of the corpus.  One Bloom filter per language holds its 4-grams; the filters are bit-sliced: a cell has one bit per
+language, so a look-up of a 4-gram reads ``HASHES`` cells and their conjunction is the set of languages that contain it.
+Cells are set by Spark sums; their number follows the distinct 4-grams up to 2 ** ``BITS``, beyond which the rate of false
+positives rises, and with it the correction.  A document's bits are counted per language, corrected by each
 filter's rate of false positives, and the largest count decides.
 
 Letters are lower-cased code point by code point, everything else counts as a blank (runs as one).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; ties go to the language with more training
 text, then by name; rows with a null language or text do not train; repeated rows count each; extra columns are
-carried; without any training row every text is ``und``; empty tables give empty results.
+carried, those named like a result are replaced; a very long text is an Arrow batch of its own; without any training row every text is ``und``; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,10 +31,10 @@ from sparklab.llm.bpe import LETTER, char_classes
 from sparklab.llm.common import mixed, utf8, written
 
 GRAM = 4
-#: A 4-gram belongs to a language if it is at least this share of the language's 4-grams.
-RATE = 1 / 50_000
-#: Cells per kept 4-gram (at least), and cells that each 4-gram is looked up in.
-CELLS, HASHES = 8, 3
+#: A 4-gram belongs to a language if its rate there is at least this share of its largest rate in any language.
+SHARE = 0.02
+#: Cells per 4-gram (at least), cells that each 4-gram is looked up in, and the most cells (log2) of a filter.
+CELLS, HASHES, BITS = 8, 3, 25
 #: Distinct 4-grams that a task gathers before it passes them on.
 HELD = 1_000_000
 
@@ -79,24 +82,30 @@ def grams(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return mixed(h[inside]), rows[: 1 - GRAM][inside], has
 
 
+def places(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The cells of each 4-gram."""
+    mask = np.uint64((1 << bits) - 1)
+    step = (hashes >> np.uint64(32)) | np.uint64(1)
+    for k in range(HASHES):
+        yield ((hashes + np.uint64(k) * step) & mask).astype(np.int64)
+
+
 class Filters:
     """Bit-sliced Bloom filters: cell c, byte l // 8, bit l % 8 belongs to language l."""
 
-    def __init__(self, languages: list[str], hashes: np.ndarray, language: np.ndarray):
-        self.languages = languages
+    def __init__(self, languages: list[str], bits: int, words: np.ndarray = (), slices: np.ndarray = (), masks: np.ndarray = ()):
+        """``masks``: the bits of eight cells each, at 8 * ``words`` of the slice of eight languages."""
+        self.languages, self.bits = languages, bits
         self.width = max(1, -(-len(languages) // 8))
-        self.bits = max(10, int(np.ceil(np.log2(max(1, len(hashes)) * CELLS))))
-        self.cells = np.zeros((self.width, 1 << self.bits), np.uint8)
-        for at in self.places(hashes):
-            np.bitwise_or.at(self.cells, (language // 8, at), np.left_shift(1, language % 8).astype(np.uint8))
+        eight = np.zeros((self.width, 1 << (bits - 3)), np.uint64)
+        if len(words):
+            eight[slices, words] = masks
+        self.cells = eight.view(np.uint8)
         fill = np.array([np.mean(self.cells[i // 8] >> (i % 8) & 1) for i in range(len(languages))])
         self.false = fill**HASHES
 
     def places(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
-        mask = np.uint64((1 << self.bits) - 1)
-        step = (hashes >> np.uint64(32)) | np.uint64(1)
-        for k in range(HASHES):
-            yield ((hashes + np.uint64(k) * step) & mask).astype(np.int64)
+        return places(hashes, self.bits)
 
     def counts(self, hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """4-grams of each row that each language contains, and 4-grams of each row."""
@@ -112,10 +121,10 @@ class Filters:
         return out[:, : len(self.languages)], total
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rate: float = RATE) -> Filters:
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE) -> Filters:
     """Fit the filters on all rows with a text and a language.
 
-    Counts are summed in each task first; what reaches the driver is at most 1 / rate 4-grams per language."""
+    Counts are summed in each task first; what reaches the driver are the cells, bounded by 2 ** ``BITS``."""
     counts = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,17 +155,35 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rate: flo
 
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     found = rows.mapInArrow(run, counts).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # the totals per language go beside each gram: one row per language, and at most 1 / rate grams pass
     found = written(found, "language-grams")
-    totals = found.groupBy("lang").agg(F.sum("n").alias("total")).collect()
+    totals = found.groupBy("lang").agg(F.sum("n").alias("total")).collect()  # a row per language
     totals = sorted(((r["lang"], r["total"]) for r in totals), key=lambda x: (-x[1], x[0]))
-    names = [x[0] for x in totals]
-    least = F.create_map(*(x for name, total in totals for x in (F.lit(name), F.lit(max(1.0, rate * total))))) if totals else None
-    kept = found.where(F.col("n") >= least[F.col("lang")]).select("lang", "gram").toArrow() if totals else None
-    if kept is None:
-        return Filters([], np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    index = {name: k for k, name in enumerate(names)}
-    return Filters(names, kept.column("gram").to_numpy().astype(np.int64).view(np.uint64), np.array([index[x] for x in kept.column("lang").to_pylist()], np.int64))
+    if not totals:
+        return Filters([], 10)
+    index = F.create_map(*(F.lit(x) for k, (name, _) in enumerate(totals) for x in (name, k)))
+    whole = F.create_map(*(x for name, total in totals for x in (F.lit(name), F.lit(float(total)))))
+    rated = found.select("gram", index[F.col("lang")].alias("language"), (F.col("n") / whole[F.col("lang")]).alias("rate"))
+    # a row per 4-gram: the languages it belongs to
+    many = rated.groupBy("gram").agg(F.collect_list(F.struct("language", "rate")).alias("x"), F.max("rate").alias("top"))
+    owned = many.select("gram", F.transform(F.filter("x", lambda x: x["rate"] >= share * F.col("top")), lambda x: x["language"]).alias("languages"))
+    size = owned.agg(F.sum(F.size("languages"))).first()[0]
+    bits = int(np.clip(np.ceil(np.log2(size * CELLS)), 10, BITS))
+    kind = "slice int, word int, mask long"
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("languages")
+            language = lists.flatten().to_numpy()
+            h = np.repeat(b.column("gram").to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy()))
+            for at in places(h, bits):
+                bit = (language % 8 + 8 * (at % 8)).astype(np.uint64)
+                key, back = np.unique((language // 8).astype(np.int64) << 32 | at // 8, return_inverse=True)
+                mask = np.zeros(len(key), np.uint64)
+                np.bitwise_or.at(mask, back, np.uint64(1) << bit)
+                yield pa.RecordBatch.from_arrays([pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(mask.view(np.int64))], names=["slice", "word", "mask"])
+
+    held = owned.mapInArrow(cells, kind).groupBy("slice", "word").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most 2 ** (BITS - 3) rows for eight languages
+    return Filters([x[0] for x in totals], bits, *(held.column(c).to_numpy() for c in ("word", "slice")), held.column("mask").to_numpy().view(np.uint64))
 
 
 def predict(df: DataFrame, filters: Filters, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
