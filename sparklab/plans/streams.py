@@ -58,16 +58,43 @@ def q_drop_stale(spark, sf):
     return ev.drop_stale(e, "ts", "2024-01-30 12:00:00", 60)
 
 
-@query("debounce_arrivals", sql="""
+DEBOUNCE_SQL = """
 WITH l AS (SELECT user_id, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 f AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
                   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM l)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS arrivals
-FROM f GROUP BY user_id, s""")
+FROM f GROUP BY user_id, s"""
+
+
+@query("debounce_arrivals", sql=DEBOUNCE_SQL)
 def q_debounce_arrivals(spark, sf):
     return ev.sessionize(Tables(spark, sf).events, "user_id", "ts", 30, "event_id")
 
 
+@query("debounce_stateful", sql=DEBOUNCE_SQL)
+def q_debounce_stateful(spark, sf):
+    """The same sessions from a stream with timers, every tenth event being sent twice; two later events close all."""
+    from sparklab.streaming import stateful
+    base = _scratch(spark, "sessions")
+    e = Tables(spark, sf).events.select("user_id", "ts", "event_id")
+    end = e.agg(F.max("ts").alias("m"))
+    last = lambda days: end.select(F.lit(-1).cast("long").alias("user_id"), F.expr(f"m + INTERVAL {days} DAYS").alias("ts"), F.lit(-days).cast("long").alias("event_id"))
+    sent = [e.unionAll(e.where(F.col("event_id") % 10 == 0)), last(30), last(60)]
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    stateful.use_rocksdb(spark)
+    try:
+        for part in sent:
+            part.write.mode("append").parquet(f"{base}/in")
+            stream = spark.readStream.schema(e.schema).parquet(f"{base}/in")
+            out = stateful.sessions(stream, "user_id", "ts", "event_id", 1800, "1 hour")
+            out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    done = spark.read.parquet(f"{base}/out").where(F.col("user_id") >= 0)
+    return done.select("user_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")), "arrivals")
+
+
 @query("windowed_monitor", sql=f"""
 WITH d AS (SELECT date_trunc('day', ts) AS w, * FROM events),
 st AS (SELECT w, count(*) AS requests, avg(value) AS avg_latency,

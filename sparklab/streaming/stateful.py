@@ -32,10 +32,10 @@ def merged(opened: list[tuple[int, int, list[str], int]], at: int, event: str, g
 
 
 class Sessions(StatefulProcessor):
-    """Open sessions of a key; times in milliseconds, gaps in milliseconds."""
+    """Open sessions of a key; times and gap in microseconds, timers (the engine's) in milliseconds."""
 
-    def __init__(self, gap_ms: int, key_name: str):
-        self.gap, self.key_name = gap_ms, key_name
+    def __init__(self, gap: int, key_name: str):
+        self.gap, self.key_name = gap, key_name
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -50,26 +50,26 @@ class Sessions(StatefulProcessor):
             self.handle.deleteTimer(t)
         if opened:
             self.open.update(tuple(list(x) for x in zip(*opened)))
-            self.handle.registerTimer(min(s[1] for s in opened) + self.gap)
+            self.handle.registerTimer(-(-(min(s[1] for s in opened) + self.gap) // 1000))
         else:
             self.open.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         opened = self._get()
         for pdf in rows:
-            for at, event in sorted(zip(pdf["at_ms"].tolist(), pdf["event"].astype(str).tolist())):
+            for at, event in sorted(zip(pdf["at"].tolist(), pdf["event"].astype(str).tolist())):
                 opened = merged(opened, int(at), event, self.gap)
         self._put(opened)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
+        now = timerValues.getCurrentWatermarkInMs() * 1000
         opened = self._get()
         done = [s for s in opened if s[1] + self.gap <= now]
         self._put([s for s in opened if s[1] + self.gap > now])
         if done:
-            yield pd.DataFrame({self.key_name: [key[0]] * len(done), "session_start": [pd.Timestamp(s[0], unit="ms") for s in done],
-                                "session_end": [pd.Timestamp(s[1] + self.gap, unit="ms") for s in done], "arrivals": [len(s[2]) for s in done], "duplicates": [s[3] for s in done]})
+            yield pd.DataFrame({self.key_name: [key[0]] * len(done), "session_start": [pd.Timestamp(s[0], unit="us") for s in done],
+                                "session_end": [pd.Timestamp(s[1] + self.gap, unit="us") for s in done], "arrivals": [len(s[2]) for s in done], "duplicates": [s[3] for s in done]})
 
     def close(self) -> None:
         pass
@@ -79,9 +79,9 @@ def sessions(stream: DataFrame, key: str, ts: str, event: str, gap_seconds: int
     """Streaming sessions of each key (not NULL): ``key``, session_start, session_end (last event plus the gap), arrivals
     (different ``event`` ids) and duplicates.  Needs the RocksDB state store (``use_rocksdb``)."""
     s = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, F.col(ts).cast("timestamp").alias("_ts"), F.col(event).cast("string").alias("event"))
-    s = s.withWatermark("_ts", watermark).withColumn("at_ms", F.unix_millis("_ts"))
+    s = s.withWatermark("_ts", watermark).withColumn("at", F.unix_micros("_ts"))
     kind = f"`{key}` {stream.schema[key].dataType.simpleString()}, {OUT}"
-    return s.groupBy(key).transformWithStateInPandas(Sessions(gap_seconds * 1000, key), kind, "Append", "EventTime")
+    return s.groupBy(key).transformWithStateInPandas(Sessions(gap_seconds * 1_000_000, key), kind, "Append", "EventTime")
 
 
 def use_rocksdb(spark) -> None:
