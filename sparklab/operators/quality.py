@@ -303,13 +303,25 @@ def describe_data(df: DataFrame, num_quantiles: int = 2, top_k: int = 1, accurac
 
 
 def top_values(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
-    """Top-k values with counts and ratios per column (one pass over the unpivoted
-    table; ties broken by value)."""
-    lg = _long(df, cols, "string").withColumnRenamed("feature", "column_name")
-    counts = lg.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
-    totals = lg.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
-    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    """The ``k`` most frequent values of each column (as strings) with exact counts, ratios and rank.
+
+    Values are counted by two 64-bit hashes, so whole texts are neither group keys nor shuffled; the values behind the
+    ``k`` hashes kept per column are looked up in a second pass.  Which of equally frequent values are kept goes by hash
+    where there are more than fit; those kept are ranked by count, then value."""
+    def hashed(as_value: bool) -> DataFrame:
+        v = lambda c: F.col(c).cast("string")
+        arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.when(v(c).isNotNull(), F.xxhash64(F.lit(1), v(c))).alias("h1"), F.xxhash64(F.lit(2), v(c)).alias("h2"),
+                                 *([v(c).alias("value")] if as_value else [])) for c in cols])
+        return df.select(F.inline(arr))
+
+    counts = hashed(False).groupBy("column_name", "h1", "h2").agg(F.count(F.lit(1)).alias("count"))
+    totals = counts.groupBy("column_name").agg(F.sum("count").alias("_n"))
+    w = Window.partitionBy("column_name").orderBy(F.desc("count"), "h1", "h2")
+    kept = counts.where(F.col("h1").isNotNull()).withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= k).drop("_place")
+    # k rows per column: a proven size bound
+    named = hashed(True).join(F.broadcast(kept), ["column_name", "h1", "h2"]).groupBy("column_name", "h1", "h2", "count").agg(F.first("value").alias("value"))
+    order = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
+    top = named.select("column_name", "value", "count", F.row_number().over(order).alias("rank"))
     return top.join(F.broadcast(totals), "column_name").withColumn("ratio", F.col("count") / F.col("_n")).drop("_n")
 
 

@@ -120,3 +120,31 @@ def test_stats_validate_flags_different_bin_edges(spark, pair):
     c = qa.stats_blob(qa.fit_statistics(test, ["x"], [], edges_from=qa.fit_statistics(base, ["x"], [])))
     r2 = {x.input: x for x in qa.stats_validate(a, c).collect()}
     assert r2["x"].metric == "JENSEN_SHANNON_DIVERGENCE"
+
+
+def test_top_values_count_exactly_without_grouping_by_text(spark):
+    import random
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from sparklab.operators.quality import top_values
+    r = random.Random(1)
+    long = "a long text " * 500
+    rows = [(r.choice(["x", "y", "y", None, long, long + "2"]), r.randint(0, 30), k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "t string, n int, id int").repartition(5)
+    got = {}
+    out = top_values(df, ["t", "n", "id"], 4)
+    for x in out.collect():
+        got.setdefault(x["column_name"], []).append((x["rank"], x["value"], x["count"], x["ratio"]))
+    for j, c in enumerate(["t", "n"]):
+        count = Counter(str(v[j]) for v in rows if v[j] is not None)
+        best = sorted(count.values(), reverse=True)[:4]
+        mine = sorted(got[c])
+        assert [x[2] for x in mine] == best and [x[0] for x in mine] == [1, 2, 3, 4]
+        assert all(count[x[1]] == x[2] and abs(x[3] - x[2] / 2000) < 1e-12 for x in mine)
+        assert mine == sorted(mine, key=lambda x: (-x[2], x[1]))
+    assert [x[2] for x in got["id"]] == [1] * 4
+    keys = [line for line in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
+    assert keys and not any("value" in k.split("hashpartitioning(")[1].split(")")[0] for k in keys)
+    assert top_values(df.where(F.lit(False)), ["t"], 3).count() == 0
