@@ -303,26 +303,35 @@ def describe_data(df: DataFrame, num_quantiles: int = 2, top_k: int = 1, accurac
 
 
 def top_values(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
-    """The ``k`` most frequent values of each column (as strings) with exact counts, ratios and rank.
-
-    Values are counted by two 64-bit hashes, so whole texts are neither group keys nor shuffled; the values behind the
-    ``k`` hashes kept per column are looked up in a second pass.  Which of equally frequent values are kept goes by hash
-    where there are more than fit; those kept are ranked by count, then value."""
-    def hashed(as_value: bool) -> DataFrame:
-        v = lambda c: F.col(c).cast("string")
-        arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.when(v(c).isNotNull(), F.xxhash64(F.lit(1), v(c))).alias("h1"), F.xxhash64(F.lit(2), v(c)).alias("h2"),
-                                 *([v(c).alias("value")] if as_value else [])) for c in cols])
-        return df.select(F.inline(arr))
-
-    counts = hashed(False).groupBy("column_name", "h1", "h2").agg(F.count(F.lit(1)).alias("count"))
-    totals = counts.groupBy("column_name").agg(F.sum("count").alias("_n"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("count"), "h1", "h2")
-    kept = counts.where(F.col("h1").isNotNull()).withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= k).drop("_place")
-    # k rows per column: a proven size bound
-    named = hashed(True).join(F.broadcast(kept), ["column_name", "h1", "h2"]).groupBy("column_name", "h1", "h2", "count").agg(F.first("value").alias("value"))
+    """The ``k`` most frequent values of each column (as strings) with exact counts, ratios and rank; equally frequent
+    ones by value.
+
+    Strings are counted by two 64-bit hashes, so whole texts are neither group keys nor shuffled, and the values behind
+    the ``k`` hashes kept per column are looked up in a second pass (which of equally frequent strings are kept goes by
+    hash where there are more than fit).  Values of other types are short and counted as they are, in one pass."""
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    short = [c for c in cols if c not in texts]
+    parts = []
+    if short:
+        counts = _long(df, short, "string").withColumnRenamed("feature", "column_name").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+        w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
+        top = counts.where(F.col("value").isNotNull()).withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= k)
+        parts.append(top.select("column_name", "value", "count"))
+    if texts:
+        hashes = lambda c: [F.lit(c).alias("column_name"), F.xxhash64(F.lit(1), F.col(c)).alias("h1"), F.xxhash64(F.lit(2), F.col(c)).alias("h2")]
+        listed = df.select(F.inline(F.array(*[F.when(F.col(c).isNotNull(), F.struct(*hashes(c))) for c in texts])))
+        counts = listed.where(F.col("h1").isNotNull()).groupBy("column_name", "h1", "h2").agg(F.count(F.lit(1)).alias("count"))
+        w = Window.partitionBy("column_name").orderBy(F.desc("count"), "h1", "h2")
+        kept = counts.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= k).drop("_place")
+        named = df.select(F.inline(F.array(*[F.struct(*hashes(c), F.col(c).alias("value")) for c in texts]))).where(F.col("value").isNotNull())
+        # k rows per column: a proven size bound
+        parts.append(named.join(F.broadcast(kept), ["column_name", "h1", "h2"]).groupBy("column_name", "h1", "h2", "count")
+                          .agg(F.first("value").alias("value")).select("column_name", "value", "count"))
+    top = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     order = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
-    top = named.select("column_name", "value", "count", F.row_number().over(order).alias("rank"))
-    return top.join(F.broadcast(totals), "column_name").withColumn("ratio", F.col("count") / F.col("_n")).drop("_n")
+    rows = df.agg(F.count(F.lit(1)).alias("_n"))  # one row
+    top = top.select("column_name", "value", "count", F.row_number().over(order).alias("rank"))
+    return top.crossJoin(F.broadcast(rows)).withColumn("ratio", F.col("count") / F.col("_n")).drop("_n")
 
 
 def profile_scan(df: DataFrame, include: list[str] | None = None, exclude: list[str] = (),

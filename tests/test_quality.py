@@ -145,6 +145,8 @@ def test_top_values_count_exactly_without_grouping_by_text(spark):
         assert all(count[x[1]] == x[2] and abs(x[3] - x[2] / 2000) < 1e-12 for x in mine)
         assert mine == sorted(mine, key=lambda x: (-x[2], x[1]))
     assert [x[2] for x in got["id"]] == [1] * 4
+    assert sorted(x[1] for x in got["id"]) == ["0", "1", "10", "100"]
+    out = top_values(df.select("t"), ["t"], 4)
     keys = [line for line in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
     assert keys and not any("value" in k.split("hashpartitioning(")[1].split(")")[0] for k in keys)
     assert top_values(df.where(F.lit(False)), ["t"], 3).count() == 0
