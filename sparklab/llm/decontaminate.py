@@ -137,6 +137,8 @@ class Index:
         if not len(hit):
             return []
         a, b = np.searchsorted(self.h, h[hit], "left"), np.searchsorted(self.h, h[hit], "right")
+        if not (b > a).any():  # hits of the table alone: no q-gram of an item is there
+            return []
         which = np.repeat(a, b - a) + ranges(b - a)
         hit = np.repeat(hit, b - a)
         item, row = self.item[which], np.searchsorted(at, hit, "right") - 1

@@ -126,6 +126,23 @@ def test_language_bpe_counts_and_hits_with_clashing_names(spark, clash):
     assert token_counts.build(clash.drop("key"), BYTE).count() == 9
 
 
+def test_text_whose_only_hits_are_hash_table_collisions(spark):
+    import numpy as np
+    r = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    items = [(k, "".join(x)) for k, x in enumerate(r.choice(letters, (4000, 10)))]
+    index = decontaminate.Index(items)
+    raw = "".join(r.choice(letters, 60_000))
+    grams = decontaminate.gram_hashes(decontaminate.folded(raw.encode(), np.array([0, len(raw)]))[0])
+    at = np.flatnonzero(index.table[decontaminate.slots(grams)] & ~np.isin(grams, index.h))
+    assert len(at)
+    text = raw[at[0] : at[0] + 10]
+    assert index.search(text.encode(), np.array([0, 10])) == []
+    docs = spark.createDataFrame([(1, text), (2, items[0][1])], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert [x["doc_id"] for x in decontaminate.hits(docs, bench).collect()] == [2]
+
+
 def test_token_ids_with_null_and_tied_keys(spark, tmpdir_path):
     docs = spark.createDataFrame([(None, "one two"), (2, "three"), (2, "four"), (None, None)], "doc_id long, text string")
     token_store.write(docs, f"{tmpdir_path}/ids", WORD)
