@@ -71,7 +71,8 @@ def q_read_uri_list(spark, sf):
 def q_row_group_sample(spark, sf):
     """A fifth of the blocks of the line items (written in small row groups first): only those are read."""
     path = scratch(spark, "lineitem-groups")
-    Tables(spark, sf).lineitem.repartition(8, "l_orderkey").write.option("parquet.block.size", 64 * 1024).option("parquet.page.size", 8 * 1024).parquet(path)
+    # files of bounded size, as many as the rows need: a footer lists all groups of its file
+    Tables(spark, sf).lineitem.repartition("l_orderkey").write.option("maxRecordsPerFile", 500_000).option("parquet.block.size", 64 * 1024).option("parquet.page.size", 8 * 1024).parquet(path)
     return io.row_group_sample(spark, path, 0.2, columns=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"])
 
 

@@ -112,13 +112,24 @@ def row_groups(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, "file string, row_group int, n_rows long, n_bytes long")
 
 
+#: Neighbouring row groups of a file that are read together.
+GROUPS = 256
+
+
+def neighbours(chosen: DataFrame) -> DataFrame:
+    """Row groups of a file in lists of neighbours, so that a file is opened and its footer read once for all of a list."""
+    near = chosen.groupBy("file", F.floor(F.col("row_group") / GROUPS).alias("_part"))
+    return near.agg(F.array_sort(F.collect_list("row_group")).alias("row_groups")).select("file", "row_groups")
+
+
 def row_group_sample(spark: SparkSession, path: str, fraction: float, seed: int = 7, columns: list[str] | None = None) -> DataFrame:
     """Block sampling that reads in proportion to the sample: whole row groups, chosen by a seeded hash of the file's name
     and the group's number; of the others only the footers are read.  Rows of a block are alike, as in any block sample."""
     kind = spark.read.parquet(path).select(*(columns or ["*"])).schema
     name = F.substring_index("file", "/", -1)
     chosen = row_groups(spark, path).where(F.pmod(F.xxhash64(name, "row_group", F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000))
-    dealt = chosen.select("file", "row_group").repartition("file", "row_group")
+    near = neighbours(chosen)
+    dealt = near.repartition("file", F.col("row_groups")[0])
 
     def run(batches):
         import pyarrow.parquet as pq
@@ -126,11 +137,13 @@ def row_group_sample(spark: SparkSession, path: str, fraction: float, seed: int
 
         target = to_arrow_schema(kind)
         for b in batches:
-            for uri, group in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for uri, groups in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 store, at = _opened(uri)
                 with store.open_input_file(at) as f:
-                    own = pq.ParquetFile(f).read_row_group(group, columns=kind.names).select(kind.names)
-                yield from own.cast(target).to_batches(max_chunksize=10_000)
+                    held = pq.ParquetFile(f)
+                    for group in groups:
+                        own = held.read_row_group(group, columns=kind.names).select(kind.names)
+                        yield from own.cast(target).to_batches(max_chunksize=10_000)
     return dealt.mapInArrow(run, kind)
 
 
