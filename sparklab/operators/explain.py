@@ -75,12 +75,16 @@ def sampled_shapley(model, df: DataFrame, key: str, features_col: str, names: li
                       lambda j: F.when(F.col("perm_pos")[j] < F.col("step"), F.col("_x")[j]).otherwise(base[j]))
     scored = model.transform(steps.withColumn(features_col, array_to_vector(vec)))
     p = vector_to_array("probability")[positive_index] if "probability" in scored.columns else F.col("prediction")
-    s = scored.select(key, "path", "step", "perm_order", p.alias("_f"))
-    w = Window.partitionBy(key, "path").orderBy("step")  # d+1 rows per (row, path)
-    s = s.withColumn("_delta", F.col("_f") - F.lag("_f").over(w)).where(F.col("step") > 0)
-    s = s.withColumn("feature", F.element_at(F.array(*[F.lit(n) for n in names]),
-                                             F.element_at("perm_order", F.col("step")) + 1))
-    return s.groupBy(key, "feature").agg(F.avg("_delta").alias("attribution"))
+    s = scored.select(key, "step", "perm_order", p.alias("_f"))
+    # the change at a step is its score less the score before: a score counts for the feature switched at its step and
+    # against the next one, so sums per (row, feature) are enough and no path is put in order
+    ends = F.array(F.when(F.col("step") > 0, F.struct(F.element_at("perm_order", F.greatest(F.col("step"), F.lit(1))).alias("j"), F.col("_f").alias("v"), F.lit(1).alias("n"))),
+                   F.when(F.col("step") < d, F.struct(F.element_at("perm_order", F.least(F.col("step") + 1, F.lit(d))).alias("j"), (-F.col("_f")).alias("v"), F.lit(0).alias("n"))))
+    sums = s.select(key, F.inline(F.filter(ends, lambda e: e.isNotNull()))).groupBy(key, "j").agg(F.sum("v").alias("_v"), F.sum("n").alias("_n"))
+    # rows that share a key share its paths: every step is there once for each of them, the change comes once
+    rows = F.col("_n") / F.lit(float(path_count))
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("j") + 1)
+    return sums.select(key, name.alias("feature"), (F.col("_v") / F.col("_n") / rows).alias("attribution"))
 
 
 def approximation_error(attr: DataFrame, key: str, fx: DataFrame, fbase: float) -> DataFrame:
