@@ -16,6 +16,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparklab.operators import blocks
+
+#: Users and items of a block of factors, about.
+USER_BLOCK, ITEM_BLOCK = 16_384, 262_144
+
 
 def default_k(n_rows: int) -> int:
     return max(2, int(round(math.log10(max(n_rows, 10)))))
@@ -165,9 +170,15 @@ def als_fit(ratings: DataFrame, user: str, item: str, rating: str, implicit: boo
 
 
 def als_recommend(model, users: DataFrame, user: str, k: int = 5) -> DataFrame:
-    rec = model.recommendForUserSubset(users.select(user).distinct(), k)
-    return rec.select(user, F.posexplode("recommendations").alias("rank", "r")).select(
-        user, (F.col("rank") + 1).alias("rank"), "r.*")
+    """The ``k`` items of the largest predicted rating per user the model knows (ties: the smaller item).  Every user is
+    compared with every item, in blocks of factors by matrix products."""
+    item = model.getItemCol()
+    u = model.userFactors.join(users.select(F.col(user).alias("id")), "id", "left_semi").select(F.col("id").alias(user), F.col("features").alias("_u"))
+    v = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_v"))
+    met = blocks.matches(u, v, "_u", "_v", k, "product", USER_BLOCK, ITEM_BLOCK)
+    w = Window.partitionBy(user).orderBy(F.desc("rating"), item)
+    met = met.select(user, item, F.col("_score").cast("float").alias("rating"))
+    return met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(user, "rank", item, "rating")
 
 
 def als_predict_cold_start(model, pairs: DataFrame, ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
