@@ -73,7 +73,8 @@ def kmeans_evaluate(model, df: DataFrame) -> DataFrame:
     d = x.join(F.broadcast(c), "centroid_id").withColumn("d", _dist(F.col("_x"), F.col("center")))
     s = d.groupBy("centroid_id").agg(F.avg("d").alias("s"), F.avg(F.col("d") * F.col("d")).alias("msd"),
                                      F.count(F.lit(1)).alias("n"))
-    s = s.join(c, "centroid_id")
+    # k rows: both measures below read them, the data is passed over once
+    s = spark.createDataFrame(s.collect(), s.schema).join(c, "centroid_id")
     pairs = s.alias("a").crossJoin(s.alias("b")).where(F.col("a.centroid_id") != F.col("b.centroid_id"))  # k x k
     r = pairs.select(F.col("a.centroid_id").alias("i"),
                      ((F.col("a.s") + F.col("b.s")) / _dist(F.col("a.center"), F.col("b.center"))).alias("r"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.stat import Summarizer
@@ -12,8 +13,9 @@ from sparklab.operators import explain as xp
 from sparklab.operators import ml, quality, ranking, trees
 from sparklab.operators import unsup as us
 from sparklab.plans.fixtures import SCORES_SQL, churn_scores, with_sql
-from sparklab.plans.modeling import CATEG, NUMERIC, customer_features, fit_pipeline, source_version, training_frame
+from sparklab.plans.modeling import CATEG, NUMERIC, customer_features, fit_pipeline, kept_features, source_version, training_frame
 from sparklab.plans.registry import query
+from sparklab.session import ensure_checkpoint_dir
 from sparklab.sources.tables import Tables
 
 
@@ -333,7 +335,7 @@ _SEGMENTS: dict = {}
 def _segments(spark, sf, k=4, seed=42, init="k-means||"):
     key = (spark.sparkContext.applicationId, source_version(Tables(spark, sf), "customer", "orders"), k, seed, init)
     if key not in _SEGMENTS:
-        f = customer_features(Tables(spark, sf))
+        f = kept_features(Tables(spark, sf))
         _SEGMENTS[key] = (us.kmeans_pipeline(SEG_FEATURES, k, init=init, seed=seed, max_iter=20).fit(f), f)
     return _SEGMENTS[key]
 
@@ -359,7 +361,7 @@ def q_kmeans_evaluate(spark, sf):
 
 @query("kmeans_choose_k")
 def q_kmeans_choose_k(spark, sf):
-    f = customer_features(Tables(spark, sf)).cache()
+    f = kept_features(Tables(spark, sf))
     out = None
     for k in range(2, 11):
         m = us.kmeans_pipeline(SEG_FEATURES, k, max_iter=10).fit(f)
@@ -438,7 +440,9 @@ def q_als_cold_start(spark, sf):
     """Pairs with customers and parts never seen in training get the global mean
     plus the known side's bias."""
     t = Tables(spark, sf)
-    r = _ratings(t)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}"
+    _ratings(t).write.parquet(path)  # fit, means and pairs each read them
+    r = spark.read.parquet(path)
     train = r.where(F.col("user_id") % 10 != 0)
     m = us.als_fit(train, "user_id", "item_id", "rating", implicit=False)
     pairs = r.where(F.col("user_id") % 10 == 0).select("user_id", "item_id")
