@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklab.functions.core import md5num
-from sparklab.operators import bloom
+from sparklab.operators import blocks, bloom
+
+#: Query rows up to which an exact vector search broadcasts them.
+FEW_QUERIES = 100
+#: Rows and bytes of prompts a scorer gets at a time, about.
+SCORE_ROWS, SCORE_BYTES = 1000, 1 << 20
 
 WORD_SPLIT = r"[^\p{L}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
@@ -36,7 +41,7 @@ def score_table(df: DataFrame, prompt: Column, scorer: Callable[[pd.Series], lis
                 keep: list[str] | None = None, max_retries: int = 1) -> DataFrame:
     """Batch a table through a caller-supplied scorer with an enforced schema.
 
-    ``scorer`` receives a pandas Series of prompts (one Arrow batch) and returns
+    ``scorer`` receives a pandas Series of prompts (a slice of an Arrow batch) and returns
     one JSON text per prompt.  Pass a class (with ``__call__``) to have it
     instantiated once per partition, e.g. when it holds a network client.  Errors
     never fail the job: a row whose call raises, returns invalid JSON or a value
@@ -51,37 +56,44 @@ def score_table(df: DataFrame, prompt: Column, scorer: Callable[[pd.Series], lis
         # a class is instantiated once per partition (one client per task); an
         # instance or function is used as given
         call = scorer() if isinstance(scorer, type) else scorer
-        for pdf in batches:
-            prompts = pdf["_prompt"]
-            raw, status = [None] * len(prompts), [""] * len(prompts)
+        for batch in batches:
+            # a slice at a time: what Python holds does not depend on the rows of a batch
+            step = max(1, min(SCORE_ROWS, int(SCORE_BYTES / max(batch.nbytes / max(batch.num_rows, 1), 1))))
+            for k in range(0, batch.num_rows, step):
+                some = batch.slice(k, step)
+                raw, status = scored_slice(call, some.column("_prompt").to_pandas())
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(raw, pa.string()), pa.array(status, pa.string())], names=out_schema.names)
+
+    def scored_slice(call, prompts: pd.Series) -> tuple[list, list]:
+        raw, status = [None] * len(prompts), [""] * len(prompts)
+        try:
+            res = list(call(prompts))
+            if len(res) != len(prompts):
+                raise ValueError("scorer returned a different number of rows")
+            for i, r in enumerate(res):
+                raw[i] = r
+        except Exception:  # noqa: BLE001 - batch failed: retry row by row
+            for i, p in enumerate(prompts):
+                for attempt in range(max_retries + 1):
+                    try:
+                        raw[i] = list(call(pd.Series([p])))[0]
+                        status[i] = ""
+                        break
+                    except Exception as e:  # noqa: BLE001
+                        status[i] = f"error: {type(e).__name__}: {str(e)[:200]}"
+        for i, r in enumerate(raw):
+            if status[i]:
+                continue
+            if r is None:
+                status[i] = "error: empty response"
+                continue
             try:
-                res = list(call(prompts))
-                if len(res) != len(prompts):
-                    raise ValueError("scorer returned a different number of rows")
-                for i, r in enumerate(res):
-                    raw[i] = r
-            except Exception:  # noqa: BLE001 - batch failed: retry row by row
-                for i, p in enumerate(prompts):
-                    for attempt in range(max_retries + 1):
-                        try:
-                            raw[i] = list(call(pd.Series([p])))[0]
-                            status[i] = ""
-                            break
-                        except Exception as e:  # noqa: BLE001
-                            status[i] = f"error: {type(e).__name__}: {str(e)[:200]}"
-            for i, r in enumerate(raw):
-                if status[i]:
-                    continue
-                if r is None:
-                    status[i] = "error: empty response"
-                    continue
-                try:
-                    json.loads(r)
-                except Exception:  # noqa: BLE001
-                    status[i] = "error: invalid JSON"
-            yield pdf.assign(_raw=raw, _status=status)
-
-    scored = base.mapInPandas(run, out_schema)
+                json.loads(r)
+            except Exception:  # noqa: BLE001
+                status[i] = "error: invalid JSON"
+        return raw, status
+
+    scored = base.mapInArrow(run, out_schema)
     typed = F.from_json(F.col("_raw"), output_schema)
     fields = T.StructType.fromDDL(output_schema).fieldNames()
     s = scored.withColumn("_t", typed)
@@ -230,18 +242,25 @@ def vector_search(base: DataFrame, base_key: str, base_vec: str, queries: DataFr
                   base_cols: list[str] = ()) -> DataFrame:
     """Exact top-k by distance for many query rows.
 
-    The query side is broadcast only after its row count is checked against
-    ``max_broadcast_queries``; larger query sets are joined without the hint
-    (Catalyst picks a shuffled nested-loop plan).  Top-k per query uses a
-    row-number filter, which Catalyst turns into a per-partition group limit
-    before the shuffle."""
+    A few query rows are broadcast.  Many are compared by euclidean distance in blocks (``blocks.matches``), which leaves
+    about k rows per query and block to be measured here; null vectors and those of another length or with a null or
+    non-finite number are measured pair by pair.  Otherwise the query side is broadcast up to ``max_broadcast_queries``
+    rows, and larger query sets are joined without the hint (Catalyst picks a shuffled nested-loop plan).  Top-k per
+    query uses a row-number filter, which Catalyst turns into a per-partition group limit before the shuffle."""
     dist = euclidean if metric == "euclidean" else cosine_distance
     q = queries.select(F.col(query_key).alias("query_id"), F.col(query_vec).alias("_qv"))
     n_q = q.count()
-    q = F.broadcast(q) if n_q <= max_broadcast_queries else q
     b = base.select(F.col(base_key).alias("base_id"), F.col(base_vec).alias("_bv"), *base_cols)
-    j = b.crossJoin(q).withColumn("distance", dist(F.col("_bv"), F.col("_qv")))
     w = Window.partitionBy("query_id").orderBy("distance", "base_id")
+    if metric == "euclidean" and n_q > FEW_QUERIES:
+        dims = q.agg(F.max(F.size("_qv"))).first()[0]
+        fits = lambda v: F.coalesce((F.size(v) == dims) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e100)), F.lit(False))
+        plain = blocks.matches(q.where(fits("_qv")), b.where(fits("_bv")), "_qv", "_bv", k, "euclidean", 2048, 50_000).drop("_score")
+        odd = b.where(~fits("_bv")).crossJoin(q).unionByName(b.where(fits("_bv")).crossJoin(q.where(~fits("_qv"))))
+        j = plain.unionByName(odd.select(*plain.columns))
+    else:
+        j = b.crossJoin(F.broadcast(q) if n_q <= max_broadcast_queries else q)
+    j = j.withColumn("distance", dist(F.col("_bv"), F.col("_qv")))
     return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
              .select("query_id", "base_id", *base_cols, "distance", "rank"))
 
