@@ -15,8 +15,10 @@ Documents of equal sets are one class and need no pairs.  Classes that meet on a
 member only (a pivot, the same for most n-grams they share), and what links is merged into components; pairs are then
 formed only between classes of different components.  In the next rounds classes that share prefix n-grams with others
 have one pivot for each two least hashes of a whole set (under two of the seeds): sets of similarity t have the same
-least hash with probability t, so copies inside a crowd that shares a passage find a pivot of their own.  At last all
-pairs that remain on any prefix n-gram are compared: the rounds before only save pairs.  So a group of near copies costs
+least hash with probability t, so copies inside a crowd that shares a passage find a pivot of their own.  While the
+pairs that remain are many times the rows they come from, classes are compared with a few pivots drawn anew for each
+n-gram, as long as that merges components.  At last all pairs that remain on any prefix n-gram are compared, each on the
+first n-gram it shares if few n-grams lie between: the rounds before only save pairs.  So a group of near copies costs
 a number of pairs in proportion to its size, and no link between different texts is lost for the components.
 
 The order comes from a table of ``CELLS`` counts that n-grams are hashed to: 2 MB whatever the corpus; n-grams that
@@ -29,11 +31,12 @@ all ids are; extra columns are not carried; an empty table gives an empty result
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +52,10 @@ BROADCAST = 1_000_000
 PARTNERS, FLUSH = 64, 8 << 20
 #: Rounds of pivots before all remaining pairs: one of each n-gram, the others of each two least hashes.
 ROUNDS = 4
+#: Rounds of drawn pivots at most, pivots of an n-gram in each, and the remaining pairs per row that need no such round.
+DRAWN, PIVOTS, PAIRS = 8, 16, 16
+#: Shared n-grams before its own that a row knows: a pair that shares one of them has met there.
+BEFORE = 16
 
 
 class Sets:
@@ -160,6 +167,11 @@ def _spread(prefixes: DataFrame) -> DataFrame:
     return prefixes.select("key", "n", "prefix").mapInArrow(run, "h long, key long, at long")
 
 
+def _sized(n, m, percent: int):
+    """Whether sets of ``n`` and ``m`` n-grams may link."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
 def _passes(x: str, y: str, percent: int):
     """Length and position of a pair that shares an n-gram: ``x`` and ``y`` hold place << 32 | size.
 
@@ -167,7 +179,7 @@ def _passes(x: str, y: str, percent: int):
     n, m = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in (x, y))
     i, j = (F.shiftright(F.col(c), 32) for c in (x, y))
     most = F.least(n - i, m - j)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
+    return _sized(n, m, percent) & ((100 + percent) * most >= percent * (n + m))
 
 
 def _near(c: str, d: str, n, m, percent: int):
@@ -244,6 +256,36 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words:
     return sent.sortWithinPartitions("hub", "part", F.col("key") != F.col("hub")).mapInArrow(compare, "a long, b long")
 
 
+def _left(rest: DataFrame) -> tuple[int, int]:
+    """Pairs of classes of different components that meet on the n-grams of ``rest``, and its rows."""
+    square = lambda c: F.sum(F.col(c).cast("decimal(38,0)") * F.col(c))
+    each = rest.groupBy("h", "label").agg(F.count("*").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), square("n").alias("same"))
+    got = each.agg(square("n").alias("all"), F.sum("same").alias("same"), F.sum("n").alias("n")).first()
+    return int((got["all"] or 0) - (got["same"] or 0)) // 2, got["n"] or 0
+
+
+def _drawn(rest: DataFrame, sizes: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Pairs (key, other) of the classes with ``PIVOTS`` classes at most that are drawn for each n-gram.
+
+    The n-gram need not be the first that a pair shares, so its position tells nothing here."""
+    by = F.xxhash64(F.lit(seed), "h", "key")
+    pivots = rest.groupBy("h", F.pmod(by, F.lit(PIVOTS)).alias("some")).agg(*(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("label", "other_label"))))
+    pivots = pivots.drop("some").join(sizes.toDF("other", "other_n", "other_classes"), "other")
+    near = _sized(F.col("n"), F.col("other_n"), percent) & _near("classes", "other_classes", F.col("n"), F.col("other_n"), percent)
+    return rest.join(pivots, (rest["h"] == pivots["h"]) & (F.col("label") != F.col("other_label")) & near).select("key", "other")
+
+
+def _all(rest: DataFrame, percent: int) -> DataFrame:
+    """All pairs (key, other) of classes of different components, on the first n-gram they share at least.
+
+    The order of n-grams is the same in all sets: what two sets share before an n-gram lies before it in both."""
+    before = F.collect_list("h").over(Window.partitionBy("key").orderBy("at").rowsBetween(-BEFORE, -1))
+    rest = rest.withColumn("before", before)
+    other = rest.select("h", *(F.col(c).alias(f"other_{c}") for c in ("at", "label", "n", "classes", "before")), F.col("key").alias("other"))
+    near = _passes("at", "other_at", percent) & _near("classes", "other_classes", F.col("n"), F.col("other_n"), percent) & ~F.arrays_overlap("before", "other_before")
+    return rest.join(other, (rest["h"] == other["h"]) & (F.col("key") < F.col("other")) & (F.col("label") != F.col("other_label")) & near).select("key", "other")
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     hub, part, key, sets = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(hub, pa.int64()), pa.array(part, pa.int64()), pa.array(key, pa.int64()), pa.array(sets, pa.binary())], names=["hub", "part", "key", "set"])
@@ -264,21 +306,24 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     shared = written(rows.join(pivot, "h"), "join-shared")
     pairs = shared.where("key <> other").where(_passes("at", "other_at", percent))
     picks = written(prefixes.join(shared.select("key").distinct(), "key").select("key", "n", "least"), "join-picks")
-    tested = links = None
+    tested = links = rest = None
+    last, fresh = False, 0
     hub = F.col("a")
     labels = docs.sparkSession.createDataFrame([], "key long, label long")
-    for k in range(ROUNDS + 1):
+    for k in itertools.count():
         found = _candidates(pairs, sizes, percent)
         if tested is not None:
             found = found.join(tested, ["a", "b"], "left_anti")
         found = written(found, "join-pairs")
+        fresh = 0
         if not found.isEmpty():
             new = written(_verified(docs, members, found, hub, words, percent), "join-links")
             tested = found if tested is None else tested.union(found)
-            if not new.isEmpty():
+            fresh = new.count()
+            if fresh:
                 links = new if links is None else links.union(new)
                 labels = components(links).withColumnRenamed("node", "key")
-        if k == ROUNDS:
+        if last:
             break
         named = lambda rows: rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))  # noqa: E731, B023
         if k + 1 < ROUNDS:
@@ -287,16 +332,17 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             at = named(picks.select("key", "n", F.xxhash64(F.col("least")[k], F.col("least")[(k + 1) % (ROUNDS - 1)]).alias("least")))
             split = at.groupBy("least").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("n", "other_n"), ("label", "other_label")))).where("x <> y")
             hub = F.when(F.xxhash64(F.lit(k), "a") < F.xxhash64(F.lit(k), "b"), F.col("a")).otherwise(F.col("b"))
-            sized = 100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")
+            sized = _sized(F.col("n"), F.col("other_n"), percent)
             pairs = at.join(split.select("least", "other", "other_n", "other_label"), "least").where(sized & (F.col("label") != F.col("other_label"))).select("key", "other")
         else:
             hub = F.col("a")
-            at = named(shared.select("h", "key", "at"))
+            at = named(shared.select("h", "key", "at").join(sizes, "key") if rest is None else rest.drop("label"))
             split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-            rest = written(at.join(split.select("h"), "h").join(sizes.select("key", "n", "classes"), "key"), "join-rest")
-            other = rest.select("h", *(F.col(c).alias(f"other_{c}") for c in ("at", "label", "n", "classes")), F.col("key").alias("other"))
-            near = _passes("at", "other_at", percent) & _near("classes", "other_classes", F.col("n"), F.col("other_n"), percent)
-            pairs = rest.join(other, (rest["h"] == other["h"]) & (F.col("key") < F.col("other")) & (F.col("label") != F.col("other_label")) & near).select("key", "other")
+            rest = written(at.join(split.select("h"), "h"), "join-rest")
+            left, size = _left(rest)
+            # drawn pivots go on while they find links of a hundredth of the rows
+            last = left <= PAIRS * size or k + 1 >= ROUNDS + DRAWN or (k >= ROUNDS and 100 * fresh < size)
+            pairs = _all(rest, percent) if last else _drawn(rest, sizes, k, percent)
     names = members.where("n > 0").select("key", "id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = names.groupBy("label").agg(F.min("id").alias("component_id"))
     # one row per class, so that copies do not meet in one task: their rows are split by the join

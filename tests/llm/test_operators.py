@@ -221,6 +221,31 @@ def test_ngram_join_links_texts_without_ids(spark, monkeypatch, broadcast):
     assert [(x["doc_id"], x["n_shingles"], x["component_id"]) for x in ngram_join.linked(frame_(near)).collect()] == [(None, 25, None)] * 2
 
 
+def test_ngram_join_forms_remaining_pairs_once_and_draws_few(spark):
+    rows = [(h, key, h << 32 | 100, key, 100, [0] * 8) for h in range(10) for key in range(40)]
+    rest = spark.createDataFrame(rows, "h long, key long, at long, label long, n long, classes array<long>")
+    # one row a pair: one for each n-gram before
+    assert sorted(map(tuple, ngram_join._all(rest, 80).collect())) == [(a, b) for a in range(40) for b in range(a + 1, 40)]
+    assert ngram_join._left(rest) == (10 * 40 * 39 // 2, 400)
+    sizes = rest.select("key", "n", "classes").distinct()
+    assert 0 < ngram_join._drawn(rest, sizes, 4, 80).count() <= ngram_join.PIVOTS * 400
+
+
+def test_ngram_join_of_a_crowd_with_drawn_pivots(spark, monkeypatch):
+    r = random.Random(8)
+    for name, value in (("PAIRS", 0), ("ROUNDS", 2), ("DRAWN", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = []
+    for k in range(60):
+        v = [f"w{j}" for j in range(80)]
+        for j in r.sample(range(80), r.choice([1, 2])):
+            v[j] = f"new{k}_{j}"
+        rows.append((k, " ".join(v)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.linked(docs, words=5, percent=80).collect()}
+    assert got == brute_components(rows, 5, 80)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
