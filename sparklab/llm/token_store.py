@@ -321,10 +321,10 @@ class _Words(dict):
             self.clear()
         new = [*set(chain.from_iterable(words)).difference(self)]
         plain = [w for w in new if self.mark not in w]
-        # a special token between two words keeps them apart and shows where each one's ids end
+        # a special token between two words keeps them apart and shows where each one's ids end; offsets are not needed
         for k in range(0, len(plain), 20_000):
             part = plain[k : k + 20_000]
-            found = np.array(self.library.encode(self.mark.join(part), add_special_tokens=False).ids, "<u2")
+            found = np.array(self.library.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids, "<u2")
             cuts = [0, *(2 * np.flatnonzero(found == self.mark_id)).tolist(), 2 * len(found)]
             raw = found.tobytes()
             self.update((w, raw[a + 2 * (k > 0) : b]) for k, (w, a, b) in enumerate(zip(part, cuts, cuts[1:])))
