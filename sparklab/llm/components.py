@@ -2,7 +2,8 @@
 
 Each round every node moves to the neighbour (or itself) of the smallest hash under the round's seed, the edges are
 rewritten to the new nodes, and loops go; a constant share of the nodes disappears per round.  The minimum is a partial
-aggregate, so a hub's neighbours never meet in one task.  Rounds are written to the shared folder.
+aggregate, so a hub's neighbours never meet in one task.  Rounds are written to the shared folder; their moves are put
+together at the end, the last and smallest first.
 """
 
 from __future__ import annotations
@@ -16,22 +17,30 @@ from sparklab.llm.common import written
 def components(edges: DataFrame) -> DataFrame:
     """Of edges (a, b), every node with a label that is equal within a component: (node, label)."""
     edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    labels = None
+    steps = []
     seed = 0
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a")).toDF("node", "near")
         order = lambda c: F.struct(F.xxhash64(F.lit(seed), c), c.alias("to"))  # noqa: E731, B023
         step = both.groupBy("node").agg(F.least(F.min(order(F.col("near"))), order(F.col("node"))).getField("to").alias("to"))
         step = written(step, "component-step")
-        if labels is None:
-            labels = step.withColumnRenamed("to", "label")
-        else:
-            labels = labels.join(step.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        labels = written(labels, "component-labels")
+        steps.append(step)
         a, b = step.toDF("a", "a2"), step.toDF("b", "b2")
         edges = edges.join(a, "a").join(b, "b").select(F.col("a2").alias("a"), F.col("b2").alias("b")).where("a <> b")
         edges = written(edges.distinct(), "edges")
         seed += 1
-    if labels is None:
+    if not steps:
         return edges.toDF("node", "label")
-    return labels
+    labels = steps[-1].toDF("node", "label")
+    for step in reversed(steps[:-1]):
+        labels = step.join(labels.toDF("to", "label"), "to", "left").select("node", F.coalesce("label", "to").alias("label"))
+    return written(labels, "component-labels")
+
+
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, label) of ``components`` after more edges (a, b): only the components that these join are contracted."""
+    for c in "ab":
+        edges = edges.join(labels.toDF(c, "label"), c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
+    step = components(edges)
+    moved = labels.join(step.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return written(moved.union(step.join(labels.select("node"), "node", "left_anti")), "component-labels")

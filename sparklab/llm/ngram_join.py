@@ -7,7 +7,8 @@ those prefix n-grams, and are compared by
 * length: the smaller size is at least t times the larger one,
 * position: what can follow the shared n-gram in both orders still allows the overlap that t asks for,
 * suffix: n-grams fall into 512 classes by hash; each class whose two counts differ in parity holds an n-gram of one
-  set only, so the number of these classes bounds from below how far the sets differ,
+  set only, so the number of these classes bounds from below how far the sets differ (pairs of long sets are compared
+  by 4,096 classes as well),
 
 and each pair that remains is verified once on the whole sets.
 
@@ -18,8 +19,9 @@ have one pivot for each two least hashes of a whole set (under two of the seeds)
 least hash with probability t, so copies inside a crowd that shares a passage find a pivot of their own.  While the
 pairs that remain are many times the rows they come from, classes are compared with a few pivots drawn anew for each
 n-gram, as long as that merges components.  At last all pairs that remain on any prefix n-gram are compared, each on the
-first n-gram it shares if few n-grams lie between: the rounds before only save pairs.  So a group of near copies costs
-a number of pairs in proportion to its size, and no link between different texts is lost for the components.
+first n-gram it shares if few n-grams lie between: the rounds before only save pairs.  Of the pairs that are left then,
+one for each component is verified first, and those that its links have joined need no look.  So a group of near copies
+costs a number of pairs in proportion to its size, and no link between different texts is lost for the components.
 
 The order comes from a table of ``CELLS`` counts that n-grams are hashed to: 2 MB whatever the corpus; n-grams that
 share a cell count together, which changes the order but never the result.
@@ -41,11 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklab.llm.common import M1, M2, mixed, ranges, utf8, written
-from sparklab.llm.components import components
+from sparklab.llm.components import joined
 from sparklab.llm.fingerprints import shingle_hashes
 
 CELLS = 1 << 18
 CLASSES = 512
+#: Classes of sets of more than ``LONG`` n-grams in a second look: 512 are nearly all odd or even by chance there.
+FINE, LONG = 4096, 1000
 #: Places that sets are sent to, broadcast at most (24 bytes each); more are joined by a shuffle.
 BROADCAST = 1_000_000
 #: Partners of a hub that one task compares with it, and bytes of sets that leave a task in one Arrow batch.
@@ -56,6 +60,8 @@ ROUNDS = 4
 DRAWN, PIVOTS, PAIRS = 8, 16, 16
 #: Shared n-grams before its own that a row knows: a pair that shares one of them has met there.
 BEFORE = 16
+#: Times that the last pairs are verified one for each component before all that are left.
+FIRSTS = 2
 
 
 class Sets:
@@ -126,11 +132,16 @@ def _cells(summary: DataFrame) -> np.ndarray:
     return out
 
 
+def _parities(hashes: np.ndarray) -> np.ndarray:
+    """The parities of the ``FINE`` classes of a set, as bits."""
+    return np.packbits((np.bincount((hashes & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE) & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> DataFrame:
     """Per document with n-grams: key, n, its prefix (hashes, rare first), the parities of its suffix classes as bits
-    and its least hashes."""
+    and its least hashes, and the parities of the finer classes if the set is long (else null)."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
-    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType()), T.StructField("classes", T.ArrayType(T.LongType())), T.StructField("least", T.ArrayType(T.LongType()))])
+    kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType()), T.StructField("classes", T.ArrayType(T.LongType())), T.StructField("least", T.ArrayType(T.LongType())), T.StructField("fine", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = shared.value
@@ -145,10 +156,12 @@ def _prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> D
             ends = np.cumsum(prefix[some])
             classes = np.bincount(s.row * CLASSES + (s.hash & np.uint64(CLASSES - 1)).astype(np.int64), minlength=s.rows * CLASSES).reshape(s.rows, CLASSES)[some]
             bits = np.packbits((classes & 1).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view("<i8")
+            fine = pa.array([_parities(s.hash[s.at[k] : s.at[k + 1]]) if s.n[k] > LONG else None for k in some.tolist()], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 pa.array(s.keys()[some]), pa.array(s.n[some].astype(np.int64)), pa.array([kept[a:z].tobytes() for a, z in zip([0, *ends.tolist()], ends.tolist())], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * (CLASSES // 64)), pa.array(bits)),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * (ROUNDS - 1)), pa.array(s.least(ROUNDS - 1).reshape(-1))),
+                fine,
             ], names=kind.names)
 
     return docs.mapInArrow(run, kind).dropDuplicates(["key"])
@@ -167,6 +180,11 @@ def _spread(prefixes: DataFrame) -> DataFrame:
     return prefixes.select("key", "n", "prefix").mapInArrow(run, "h long, key long, at long")
 
 
+def _size(at: str):
+    """The size of ``at`` (place << 32 | size)."""
+    return F.col(at).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def _sized(n, m, percent: int):
     """Whether sets of ``n`` and ``m`` n-grams may link."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
@@ -176,7 +194,7 @@ def _passes(x: str, y: str, percent: int):
     """Length and position of a pair that shares an n-gram: ``x`` and ``y`` hold place << 32 | size.
 
     The first n-gram that two linked sets share passes; a later one may not, which loses nothing."""
-    n, m = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in (x, y))
+    n, m = _size(x), _size(y)
     i, j = (F.shiftright(F.col(c), 32) for c in (x, y))
     most = F.least(n - i, m - j)
     return _sized(n, m, percent) & ((100 + percent) * most >= percent * (n + m))
@@ -185,14 +203,22 @@ def _passes(x: str, y: str, percent: int):
 def _near(c: str, d: str, n, m, percent: int):
     """Whether sets of ``n`` and ``m`` n-grams with the parities ``c`` and ``d`` may link."""
     apart = sum((F.bit_count(F.col(c)[k].bitwiseXOR(F.col(d)[k])) for k in range(CLASSES // 64)), F.lit(0))
+    return _close(apart, n, m, percent)
+
+
+def _close(apart, n, m, percent: int):
+    """Whether sets of ``n`` and ``m`` n-grams of which at least ``apart`` are in one only may link."""
     return (100 + percent) * apart <= (100 - percent) * (n + m)
 
 
-def _candidates(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _candidates(pairs: DataFrame, sizes: DataFrame, long: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) that pass the suffix filter."""
     pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     x, y = sizes.toDF("a", "n", "c"), sizes.toDF("b", "m", "d")
-    return pairs.join(x, "a").join(y, "b").where(_near("c", "d", F.col("n"), F.col("m"), percent)).select("a", "b")
+    pairs = pairs.join(x, "a").join(y, "b").where(_near("c", "d", F.col("n"), F.col("m"), percent)).select("a", "b", "n", "m")
+    pairs = pairs.join(long.toDF("a", "c"), "a", "left").join(long.toDF("b", "d"), "b", "left")
+    apart = F.aggregate(F.zip_with("c", "d", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return pairs.where(F.col("c").isNull() | F.col("d").isNull() | _close(apart, F.col("n"), F.col("m"), percent)).select("a", "b")
 
 
 def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words: int, percent: int) -> DataFrame:
@@ -256,6 +282,18 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words:
     return sent.sortWithinPartitions("hub", "part", F.col("key") != F.col("hub")).mapInArrow(compare, "a long, b long")
 
 
+def _split(rest: DataFrame, percent: int) -> DataFrame:
+    """The rows (h, at, label) whose n-gram another component holds too, in a set of a size that may link.
+
+    Sizes fall into bands as wide as linked sizes may differ (and a little wider): those of linked sets are the same or
+    neighbours, so each row counts in its own band and the next."""
+    band = F.floor(F.ln(_size("at")) / float(np.log(100.1 / percent))).cast("int")
+    of = rest.withColumn("band", band)
+    each = of.select("h", "label", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    mixed_ = each.groupBy("h", "band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").groupBy("h").agg(F.collect_set("band").alias("bands"))
+    return of.join(mixed_, "h").where(F.array_contains("bands", F.col("band")) | F.array_contains("bands", F.col("band") + 1)).drop("band", "bands")
+
+
 def _left(rest: DataFrame) -> tuple[int, int]:
     """Pairs of classes of different components that meet on the n-grams of ``rest``, and its rows."""
     square = lambda c: F.sum(F.col(c).cast("decimal(38,0)") * F.col(c))
@@ -278,12 +316,27 @@ def _drawn(rest: DataFrame, sizes: DataFrame, seed: int, percent: int) -> DataFr
 def _all(rest: DataFrame, percent: int) -> DataFrame:
     """All pairs (key, other) of classes of different components, on the first n-gram they share at least.
 
-    The order of n-grams is the same in all sets: what two sets share before an n-gram lies before it in both."""
+    The order of n-grams is the same in all sets: what two sets share before an n-gram lies before it in both.  Both
+    sides are one plan, so that Spark shuffles the rows once."""
     before = F.collect_list("h").over(Window.partitionBy("key").orderBy("at").rowsBetween(-BEFORE, -1))
     rest = rest.withColumn("before", before)
-    other = rest.select("h", *(F.col(c).alias(f"other_{c}") for c in ("at", "label", "n", "classes", "before")), F.col("key").alias("other"))
-    near = _passes("at", "other_at", percent) & _near("classes", "other_classes", F.col("n"), F.col("other_n"), percent) & ~F.arrays_overlap("before", "other_before")
-    return rest.join(other, (rest["h"] == other["h"]) & (F.col("key") < F.col("other")) & (F.col("label") != F.col("other_label")) & near).select("key", "other")
+    near = _passes("x.at", "y.at", percent) & _near("x.classes", "y.classes", _size("x.at"), _size("y.at"), percent) & ~F.arrays_overlap("x.before", "y.before")
+    apart = (F.col("x.key") < F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
+    return rest.alias("x").join(rest.alias("y"), (F.col("x.h") == F.col("y.h")) & apart & near).select(F.col("x.key").alias("key"), F.col("y.key").alias("other"))
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes of different components, with these."""
+    for c in "ab":
+        pairs = pairs.join(labels.toDF(c, f"label_{c}"), c, "left").withColumn(f"label_{c}", F.coalesce(f"label_{c}", c))
+    return pairs.where("label_a <> label_b")
+
+
+def _firsts(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One pair (a, b) for each component that has any."""
+    by = F.xxhash64("a", "b")
+    each = _apart(pairs, labels).withColumn("label", F.explode(F.array("label_a", "label_b")))
+    return each.groupBy("label").agg(F.min_by("a", by).alias("a"), F.min_by("b", by).alias("b")).select("a", "b").distinct()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -300,29 +353,35 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     members = summary.where("piece is null").select("key", "id", "tie", "n")
     prefixes = written(_prefixes(docs, _cells(summary), words, percent), "join-prefixes")
     sizes = prefixes.select("key", "n", "classes")
+    long = prefixes.where("fine is not null").select("key", "fine")
     rows = _spread(prefixes)
     # the pivot of an n-gram is its class of the smallest key (a hash); n-grams of one class only meet nobody
     pivot = rows.groupBy("h").agg(F.min("key").alias("other"), F.min_by("at", "key").alias("other_at"), F.count("*").alias("n")).where("n > 1").select("h", "other", "other_at")
     shared = written(rows.join(pivot, "h"), "join-shared")
     pairs = shared.where("key <> other").where(_passes("at", "other_at", percent))
     picks = written(prefixes.join(shared.select("key").distinct(), "key").select("key", "n", "least"), "join-picks")
-    tested = links = rest = None
+    tested = rest = None
     last, fresh = False, 0
     hub = F.col("a")
     labels = docs.sparkSession.createDataFrame([], "key long, label long")
     for k in itertools.count():
-        found = _candidates(pairs, sizes, percent)
+        found = _candidates(pairs, sizes, long, percent)
         if tested is not None:
             found = found.join(tested, ["a", "b"], "left_anti")
         found = written(found, "join-pairs")
-        fresh = 0
-        if not found.isEmpty():
-            new = written(_verified(docs, members, found, hub, words, percent), "join-links")
-            tested = found if tested is None else tested.union(found)
-            fresh = new.count()
-            if fresh:
-                links = new if links is None else links.union(new)
-                labels = components(links).withColumnRenamed("node", "key")
+        fresh = step = 0
+        while not found.isEmpty():
+            some = written(_firsts(found, labels), "join-firsts") if last and step < FIRSTS else found
+            new = written(_verified(docs, members, some, hub, words, percent), "join-links")
+            tested = some if tested is None else tested.union(some)
+            linked_now = new.count()
+            if linked_now:
+                labels = joined(labels.toDF("node", "label"), new).toDF("key", "label")
+            fresh += linked_now
+            if some is found:
+                break
+            found = written(_apart(found.join(some, ["a", "b"], "left_anti"), labels).select("a", "b"), "join-pairs")
+            step += 1
         if last:
             break
         named = lambda rows: rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))  # noqa: E731, B023
@@ -336,13 +395,14 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             pairs = at.join(split.select("least", "other", "other_n", "other_label"), "least").where(sized & (F.col("label") != F.col("other_label"))).select("key", "other")
         else:
             hub = F.col("a")
-            at = named(shared.select("h", "key", "at").join(sizes, "key") if rest is None else rest.drop("label"))
-            split = at.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-            rest = written(at.join(split.select("h"), "h"), "join-rest")
+            at = named(shared.select("h", "key", "at") if rest is None else rest.drop("label"))
+            rest = written(_split(at, percent), "join-rest")
             left, size = _left(rest)
             # drawn pivots go on while they find links of a hundredth of the rows
             last = left <= PAIRS * size or k + 1 >= ROUNDS + DRAWN or (k >= ROUNDS and 100 * fresh < size)
-            pairs = _all(rest, percent) if last else _drawn(rest, sizes, k, percent)
+            # the classes of a set are long: they are joined to the rows that are compared, and not kept with them
+            whole = rest.join(sizes, "key")
+            pairs = _all(whole, percent) if last else _drawn(whole, sizes, k, percent)
     names = members.where("n > 0").select("key", "id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = names.groupBy("label").agg(F.min("id").alias("component_id"))
     # one row per class, so that copies do not meet in one task: their rows are split by the join

@@ -231,6 +231,38 @@ def test_ngram_join_forms_remaining_pairs_once_and_draws_few(spark):
     assert 0 < ngram_join._drawn(rest, sizes, 4, 80).count() <= ngram_join.PIVOTS * 400
 
 
+def test_ngram_join_last_pairs_are_one_for_each_component_first(spark):
+    pairs = spark.createDataFrame([(a, b) for a in range(0, 20) for b in range(20, 40)], "a long, b long")
+    labels = spark.createDataFrame([(k, k // 20) for k in range(40)], "key long, label long")
+    assert ngram_join._firsts(pairs, labels).count() == 1
+    assert ngram_join._firsts(pairs, labels.withColumn("label", F.lit(7).cast("long"))).count() == 0
+
+
+def test_ngram_join_rows_without_partners_of_their_size_go(spark):
+    sizes = {1: 90, 2: 100, 3: 500, 4: 111, 5: 124, 6: 1}
+    rest = spark.createDataFrame([(h, key, n, key) for h in (1, 2) for key, n in sizes.items() if h == 1 or key in (1, 5)], "h long, key long, at long, label long")
+    got = {(x["h"], x["key"]) for x in ngram_join._split(rest, 90).collect()}
+    # every pair whose sizes may link keeps both rows
+    for a, n in sizes.items():
+        for b, m in sizes.items():
+            if a != b and 100 * min(n, m) >= 90 * max(n, m):
+                assert {(1, a), (1, b)} <= got
+    assert not got & {(1, 3), (1, 6), (2, 1), (2, 5)}
+
+
+def test_ngram_join_tells_long_sets_apart_by_finer_classes(spark):
+    r = np.random.default_rng(5)
+    of = lambda seed: np.random.default_rng(seed).integers(0, 2**63, 4000).astype(np.uint64)
+    near = np.concatenate([of(1)[:3900], r.integers(0, 2**63, 100).astype(np.uint64)])
+    bits = lambda x, classes: np.packbits((np.bincount((x & np.uint64(classes - 1)).astype(int), minlength=classes) & 1).astype(np.uint8), bitorder="little").view("<i8").tolist()
+    sets = {1: of(1), 2: of(2), 3: near}
+    sizes = spark.createDataFrame([(k, 4000, bits(x, 512)) for k, x in sets.items()], "key long, n long, classes array<long>")
+    long = spark.createDataFrame([(k, ngram_join._parities(x).tolist()) for k, x in sets.items()], "key long, fine array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "key long, other long")
+    assert [tuple(x) for x in ngram_join._candidates(pairs, sizes, long, 90).collect()] == [(1, 3)]
+    assert ngram_join._candidates(pairs, sizes, long.where("key = 0"), 90).count() == 3
+
+
 def test_ngram_join_of_a_crowd_with_drawn_pivots(spark, monkeypatch):
     r = random.Random(8)
     for name, value in (("PAIRS", 0), ("ROUNDS", 2), ("DRAWN", 1)):
@@ -252,6 +284,22 @@ def test_components_of_chains_and_stars(spark):
     assert len({got[k] for k in range(31)}) == 1 and len({got[k] for k in range(100, 140)}) == 1 and got[0] != got[100]
 
 
+def test_components_after_more_edges_are_those_of_all(spark):
+    r = random.Random(3)
+    parts = [[(r.randrange(60), r.randrange(60)) for _ in range(18)] for _ in range(4)]
+    labels = spark.createDataFrame([], "node long, label long")
+    for k, part in enumerate(parts):
+        labels = components.joined(labels, spark.createDataFrame(part, "a long, b long"))
+        got = [tuple(x) for x in labels.collect()]
+        whole = {}
+        for x in components.components(spark.createDataFrame(sum(parts[: k + 1], []), "a long, b long")).collect():
+            whole.setdefault(x["label"], set()).add(x["node"])
+        mine = {}
+        for node, label in got:
+            mine.setdefault(label, set()).add(node)
+        assert len(got) == len(dict(got)) and sorted(map(sorted, mine.values())) == sorted(map(sorted, whole.values()))
+
+
 def brute_dedup(rows, length):
     seen, out = set(), {}
     for i, t in sorted(rows):
