@@ -13,28 +13,32 @@ from pyspark.sql import functions as F
 
 from sparklab.llm.common import written
 
+#: Rows that a file of a round holds at least, if there are as many: a round of few edges is few files and tasks.
+ROWS = 200_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """Of edges (a, b), every node with a label that is equal within a component: (node, label)."""
     edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
     steps = []
     seed = 0
-    while not edges.isEmpty():
+    while left := edges.count():
+        files = -(-left // ROWS)
         both = edges.union(edges.select("b", "a")).toDF("node", "near")
         order = lambda c: F.struct(F.xxhash64(F.lit(seed), c), c.alias("to"))  # noqa: E731, B023
         step = both.groupBy("node").agg(F.least(F.min(order(F.col("near"))), order(F.col("node"))).getField("to").alias("to"))
-        step = written(step, "component-step")
+        step = written(step.coalesce(files), "component-step")
         steps.append(step)
         a, b = step.toDF("a", "a2"), step.toDF("b", "b2")
         edges = edges.join(a, "a").join(b, "b").select(F.col("a2").alias("a"), F.col("b2").alias("b")).where("a <> b")
-        edges = written(edges.distinct(), "edges")
+        edges = written(edges.distinct().coalesce(files), "edges")
         seed += 1
     if not steps:
         return edges.toDF("node", "label")
     labels = steps[-1].toDF("node", "label")
     for step in reversed(steps[:-1]):
         labels = step.join(labels.toDF("to", "label"), "to", "left").select("node", F.coalesce("label", "to").alias("label"))
-    return written(labels, "component-labels")
+    return written(labels.coalesce(-(-steps[0].count() // ROWS)), "component-labels")
 
 
 def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:

@@ -284,6 +284,11 @@ def test_components_of_chains_and_stars(spark):
     assert len({got[k] for k in range(31)}) == 1 and len({got[k] for k in range(100, 140)}) == 1 and got[0] != got[100]
 
 
+def test_components_of_few_edges_are_few_files(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "a long, b long").repartition(8)
+    assert len(components.components(edges).inputFiles()) == 1
+
+
 def test_components_after_more_edges_are_those_of_all(spark):
     r = random.Random(3)
     parts = [[(r.randrange(60), r.randrange(60)) for _ in range(18)] for _ in range(4)]
