@@ -10,19 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.session import ensure_checkpoint_dir
-
-#: Rows and bytes that an Arrow batch holds at most (one longer text is a batch of its own).
-BATCH_ROWS, BATCH_BYTES = 1000, 1 << 20
-
-
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
-    """Bound the Arrow batches handed to Python workers by rows and bytes: array work takes tens of times a batch.
-
-    Both are settings of the session, which hold for all plans it runs from then on."""
-    for key, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
-        if spark.conf.get(f"spark.sql.execution.arrow.{key}") != str(value):
-            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+from sparklab.session import ensure_checkpoint_dir, small_batches
 
 
 def unused(df: DataFrame, name: str) -> str:

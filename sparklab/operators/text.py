@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sparklab.functions.core import md5num
 from sparklab.operators import blocks, bloom
+from sparklab.session import small_batches
 
 #: Query rows up to which an exact vector search broadcasts them.
 FEW_QUERIES = 100
@@ -49,6 +50,8 @@ def score_table(df: DataFrame, prompt: Column, scorer: Callable[[pd.Series], lis
     """
     keep = keep or df.columns
     base = df.select(*keep, prompt.alias("_prompt"))
+    # a worker holds the Arrow batch a slice is cut from, and its copies: bounded as well
+    small_batches(df.sparkSession, SCORE_ROWS, SCORE_BYTES)
     out_schema = T.StructType(base.schema.fields + [T.StructField("_raw", T.StringType()),
                                                     T.StructField("_status", T.StringType())])
 

@@ -112,6 +112,15 @@ def test_scorer_gets_slices_of_bounded_size(spark):
     assert tx.score_table(long, F.col("t"), scorer, "n INT", keep=["id"]).agg(F.max("n")).first()[0] <= 4
 
 
+def test_scorer_holds_no_arrow_batch_beyond_its_slices(spark):
+    for key, value in (("maxRecordsPerBatch", "10000"), ("maxBytesPerBatch", str(64 << 20))):
+        spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+    few = spark.range(0, 10, 1, 1).select("id", F.lit("t").alias("t"))
+    assert tx.score_table(few, F.col("t"), tx.LexiconScorer, "sentiment string", keep=["id"]).count() == 10
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(tx.SCORE_ROWS)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(tx.SCORE_BYTES)
+
+
 def test_row_groups_of_a_file_are_opened_together(spark):
     groups = spark.createDataFrame([("f", k) for k in range(600)] + [("g", 5)], "file string, row_group int")
     lists = [x["row_groups"] for x in io.neighbours(groups).where("file = 'f'").collect()]
