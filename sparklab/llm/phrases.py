@@ -24,6 +24,7 @@ an empty result.  Ties in a ranking are ordered by count, then phrase (in byte o
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparklab.llm.common import mixed, small_batches, utf8, word_spans, written
+from sparklab.llm.common import M2, P_INVERSE, mixed, powers, small_batches, utf8, word_spans, written
 
 #: Words of a phrase at most, its occurrences at least, phrases of a language in the report, scale of the score, and
 #: the percentage of a phrase's occurrences inside a longer one from which only the longer one is reported.
@@ -46,7 +47,7 @@ HEAD, WINDOW, SIDE = 1 << 14, 1 << 20, 9
 SPARSE = 16
 #: Bits of a Bloom filter (log2) and bits set per phrase.
 BITS, PROBES = 26, 3
-#: Words that a task remembers or gathers at most before it starts anew.
+#: Words that a task gathers at most before it starts anew.
 MEMO = 400_000
 #: Parts in which the phrases of a language are ranked first.
 PARTS = 64
@@ -55,10 +56,13 @@ _ENDS, _BETWEEN = (np.zeros(256, bool) for _ in range(2))
 _ENDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _BETWEEN[[32, 9]] = True
 _BETWEEN |= _ENDS
+#: Bytes whose hashes are summed at a time, and what each byte value counts.
+SPAN = 1 << 20
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
 class _Numbers(dict):
-    """64-bit numbers of the words of a language; those in ``bad`` are no word's number."""
+    """64-bit numbers of the words of a language whose hash is shared; those in ``bad`` are no word's number."""
 
     def __init__(self, lang: str, bad: frozenset):
         super().__init__()
@@ -73,19 +77,56 @@ class _Numbers(dict):
         return out
 
 
-def _read(b: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """Language, words, and whether each word goes on with the next one in its piece, of every text."""
+@functools.lru_cache(1)
+def _scales() -> tuple[np.ndarray, np.ndarray]:
+    return powers(SPAN + 1), powers(SPAN + 1, P_INVERSE)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the words between ``starts`` and ``ends`` (ascending), equal for equal bytes; the sums run
+    over ``SPAN`` bytes at a time, or one longer word."""
+    out = np.zeros(len(starts), np.uint64)
+    k = 0
+    while k < len(starts):
+        z = max(int(np.searchsorted(ends, starts[k] + SPAN, "right")), k + 1)
+        at = int(starts[k])
+        part = data[at : int(ends[z - 1])]
+        up, back = _scales() if len(part) <= SPAN else (powers(len(part)), powers(len(part), P_INVERSE))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTES[part] * up[: len(part)], out=sums[1:])
+        a, e = starts[k:z] - at, ends[k:z] - at
+        out[k:z] = (sums[e] - sums[a]) * back[a] + (e - a).astype(np.uint64) * M2
+        k = z
+    return out
+
+
+def word_ids(raw: bytes, starts: np.ndarray, ends: np.ndarray, langs: list[str], n: np.ndarray, bad: frozenset) -> np.ndarray:
+    """The ids of words, the next ``n[k]`` of them in ``langs[k]``; words whose hash is in ``bad`` are numbered singly."""
+    salts = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(langs)}
+    out = mixed(word_hashes(np.frombuffer(raw, np.uint8), starts, ends) ^ np.repeat(np.array([salts[x] for x in langs], np.uint64), n)).view(np.int64)
+    if bad:
+        numbers = {x: _Numbers(x, bad) for x in salts}
+        rows = np.repeat(np.arange(len(langs)), n)
+        for k in np.flatnonzero(np.isin(out, np.array([*bad], np.int64))).tolist():
+            out[k] = numbers[langs[rows[k]]][raw[starts[k] : ends[k]]]
+    return out
+
+
+def _spans(b: pa.RecordBatch) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased bytes of all texts, start and end of their words, and the words before each text (n + 1 numbers)."""
     raw, offsets = utf8(b.column("text"))
     raw = raw.lower()  # of bytes: A-Z alone
-    data = np.frombuffer(raw, np.uint8)
-    starts, ends, before = word_spans(data, offsets, _BETWEEN)
-    pieces = np.concatenate([[0], np.cumsum(_ENDS[data])])[starts] if len(starts) else starts
-    joined = np.append(pieces[1:] == pieces[:-1], False) if len(starts) else np.zeros(0, bool)
+    return raw, *word_spans(np.frombuffer(raw, np.uint8), offsets, _BETWEEN)
+
+
+def _goes_on(raw: bytes, starts: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Whether each word goes on with the next one in its piece."""
+    if not len(starts):
+        return np.zeros(0, bool)
+    pieces = np.cumsum(_ENDS[np.frombuffer(raw, np.uint8)])[starts]
+    joined = np.append(pieces[1:] == pieces[:-1], False)
     joined[before[1:][before[1:] > 0] - 1] = False
-    words = [raw[a:e] for a, e in zip(starts.tolist(), ends.tolist())]
-    for lang, a, e in zip(b.column("lang").to_pylist(), before[:-1].tolist(), before[1:].tolist()):
-        if e > a:
-            yield lang, words[a:e], joined[a:e]
+    return joined
 
 
 def _words(docs: DataFrame, bad: frozenset) -> DataFrame:
@@ -96,15 +137,19 @@ def _words(docs: DataFrame, bad: frozenset) -> DataFrame:
 
         def flush():
             for lang, counter in held.items():
-                numbers = _Numbers(lang, bad)
                 items = list(counter.items())
                 for k in range(0, len(items), 20_000):
                     some = items[k : k + 20_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([numbers[w] for w, _ in some], pa.int64()), pa.array([lang] * len(some)), pa.array([w.decode("utf-8", "replace") for w, _ in some]), pa.array([n for _, n in some], pa.int64())], names=["id", "lang", "word", "n"])
+                    ends = np.cumsum([len(w) for w, _ in some])
+                    ids = word_ids(b"".join(w for w, _ in some), np.append(0, ends[:-1]), ends, [lang], np.array([len(some)]), bad)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([lang] * len(some)), pa.array([w.decode("utf-8", "replace") for w, _ in some]), pa.array([n for _, n in some], pa.int64())], names=["id", "lang", "word", "n"])
 
         for b in batches:
-            for lang, words, _ in _read(b):
-                held.setdefault(lang, Counter()).update(words)
+            raw, starts, ends, before = _spans(b)
+            words = [raw[a:e] for a, e in zip(starts.tolist(), ends.tolist())]
+            for lang, a, e in zip(b.column("lang").to_pylist(), before[:-1].tolist(), before[1:].tolist()):
+                if e > a:
+                    held.setdefault(lang, Counter()).update(words[a:e])
             if sum(map(len, held.values())) > MEMO:
                 yield from flush()
                 held.clear()
@@ -263,26 +308,32 @@ def _counted(docs: DataFrame, levels: list[Level], bad: frozenset, window: int)
     columns = [f"w{k}" for k in range(len(levels) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[str, _Numbers] = {}
-        ids: list[int] = []
+        ids: list[np.ndarray] = []
         joined: list[np.ndarray] = []
+        n = 0
 
         def flush():
-            words, counts = window_counts(np.array(ids, np.int64), np.concatenate(joined), held.value)
+            words, counts = window_counts(np.concatenate(ids), np.concatenate(joined), held.value)
             for k in range(0, len(counts), 100_000):
                 s = slice(k, k + 100_000)
                 yield pa.RecordBatch.from_arrays([*(pa.array(w[s]) for w in words), pa.array(counts[s])], names=[*columns, "n"])
 
         for b in batches:
-            for lang, words, goes_on in _read(b):
-                ids += map(numbers.setdefault(lang, _Numbers(lang, bad)).__getitem__, words)
-                joined.append(goes_on)
-                if len(ids) >= window:
+            raw, starts, ends, before = _spans(b)
+            found = word_ids(raw, starts, ends, b.column("lang").to_pylist(), np.diff(before), bad)
+            goes_on = _goes_on(raw, starts, before)
+            k = 0
+            while k < len(before) - 1:
+                # the texts that fill the window
+                z = min(int(np.searchsorted(before, before[k] + window - n)), len(before) - 1)
+                ids.append(found[before[k] : before[z]])
+                joined.append(goes_on[before[k] : before[z]])
+                n += int(before[z] - before[k])
+                k = z
+                if n >= window:
                     yield from flush()
-                    ids, joined = [], []
-            if sum(map(len, numbers.values())) > MEMO:
-                numbers.clear()
-        if ids:
+                    ids, joined, n = [], [], 0
+        if n:
             yield from flush()
 
     kind = T.StructType([T.StructField(c, T.LongType()) for c in [*columns, "n"]])

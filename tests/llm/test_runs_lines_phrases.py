@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,3 +280,43 @@ def test_scores_beyond_64_bits(spark):
     big = 3_000_000_019
     row = spark.createDataFrame([(big, 2 * big + 1, 5 * big + 3)], "a long, l long, r long").select(phrases._score(F.col("a"), F.col("l"), F.col("r")).alias("s")).first()
     assert row["s"] == 1_000_000 * big * big // ((2 * big + 1) * (5 * big + 3))
+
+
+def test_word_ids_are_those_of_the_bytes(monkeypatch):
+    """Ids come from sums over the bytes of a batch: they depend on word and language only, also across the spans of
+    the sums; those of a hash that is no word's are numbered singly."""
+    monkeypatch.setattr(phrases, "SPAN", 16)
+    phrases._scales.cache_clear()
+    texts = [b"b aa b ab ba", b"aa", b"", b"x" * 50 + b" aa  ba", b"b"]
+    langs = ["en", "fr", "en", "en", "fr"]
+
+    def ids(bad):
+        batch = pa.RecordBatch.from_arrays([pa.array([t.decode() for t in texts])], names=["text"])
+        raw, starts, ends, before = phrases._spans(batch)
+        found = phrases.word_ids(raw, starts, ends, langs, np.diff(before), bad).tolist()
+        named = defaultdict(set)
+        for k, lang in enumerate(langs):
+            for w, a, e in zip(found[before[k] : before[k + 1]], starts[before[k] :], ends[before[k] :]):
+                named[lang, raw[a:e]].add(w)
+        return named
+
+    try:
+        named = ids(frozenset())
+        assert len(named) == 7 and all(len(x) == 1 for x in named.values()) and len(set().union(*named.values())) == 7
+        again = ids(frozenset(named["en", b"aa"]))
+        assert len(set().union(*again.values())) == 7
+        assert {k for k in named if named[k] != again[k]} == {("en", b"aa")}
+    finally:
+        phrases._scales.cache_clear()
+
+
+def test_words_whose_sums_are_equal_are_told_apart(spark):
+    """Two words of 1,024 letters with the same polynomial hash (Thue-Morse) are still counted apart."""
+    one = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    raw = (one + two).encode()
+    h = phrases.word_hashes(np.frombuffer(raw, np.uint8), np.array([0, 1024]), np.array([1024, 2048]))
+    assert h[0] == h[1]
+    rows = [("en", f"{one} c")] * 12 + [("en", f"{two} c. {two}")] * 11
+    got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == plain_phrases(rows, 3, 10, 2000, 50) and got.count() == 2
