@@ -17,9 +17,10 @@ from sparklab.llm.common import written
 ROWS = 200_000
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Of edges (a, b), every node with a label that is equal within a component: (node, label)."""
-    edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """Of edges (a, b), at most so many, every node with a label that is equal within a component: (node, label)."""
+    edges = edges.select("a", "b").where("a <> b").distinct()
+    edges = written(edges if most is None else edges.coalesce(max(-(-most // ROWS), 1)), "edges")
     steps = []
     seed = 0
     while left := edges.count():
@@ -43,8 +44,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (node, label) of ``components`` after more edges (a, b): only the components that these join are contracted."""
+    most = edges.count()
     for c in "ab":
         edges = edges.join(labels.toDF(c, "label"), c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
-    step = components(edges)
+    step = components(edges, most)
     moved = labels.join(step.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    return written(moved.union(step.join(labels.select("node"), "node", "left_anti")), "component-labels")
+    moved = moved.union(step.join(labels.select("node"), "node", "left_anti"))
+    return written(moved.coalesce(-(-(labels.count() + 2 * most) // ROWS) or 1), "component-labels")

@@ -43,10 +43,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklab.llm.common import M1, M2, mixed, ranges, utf8, written
-from sparklab.llm.components import joined
+from sparklab.llm.components import ROWS, joined
 from sparklab.llm.fingerprints import shingle_hashes
 
 CELLS = 1 << 18
+#: Rows that a set with its prefix and classes counts as when files are dealt out.
+DENSE = 16
 CLASSES = 512
 #: Classes of sets of more than ``LONG`` n-grams in a second look: 512 are nearly all odd or even by chance there.
 FINE, LONG = 4096, 1000
@@ -101,6 +103,11 @@ def _needed(n, percent: int):
     return -(-percent * n // 100)
 
 
+def _few(rows: DataFrame, most: int) -> DataFrame:
+    """``rows``, at most so many, in tasks of ``ROWS`` rows at least: few rows are written to few files."""
+    return rows.coalesce(max(-(-most // ROWS), 1))
+
+
 def _summary(docs: DataFrame, words: int) -> DataFrame:
     """Rows of two kinds: per document (key, id, tie, n), and per task the counts of the cells in pieces of 4,096."""
     kind = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("n", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("counts", T.BinaryType())])
@@ -225,7 +232,9 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words:
     """The pairs (a, b) whose whole sets are as similar as asked; ``hub`` picks a side of each.
 
     A hub's set travels once per ``PARTNERS`` partners and a partner's set once per pair, straight from the texts: the
-    sets are neither stored nor sent to be joined twice.  No part of a hub is larger than about ``PARTNERS`` sets."""
+    sets are neither stored nor sent to be joined twice.  No part of a hub is larger than about ``PARTNERS`` sets.
+    Pairs that link are dealt anew, so that the sets are compared in as many tasks as ever and few files are written."""
+    most = pairs.count()
     pairs = pairs.select("a", "b", hub.alias("hub"))
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PARTNERS).alias("parts"))
     spread = pairs.join(parts, "hub").select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("key"), "parts")
@@ -235,7 +244,7 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words:
     first = members.join(ways.select("key").distinct(), "key").groupBy("key").agg(F.min("id").alias("id"), F.min("tie").alias("tie"))
     bare = F.col("id").isNull()
     ways = ways.join(first, "key").groupBy("id", F.when(bare, F.col("tie")).alias("tie"), F.floor(F.col("part") / 256).alias("some")).agg(F.collect_list(F.struct("key", "hub", "part")).alias("ways")).select("id", "tie", "ways")
-    ways = written(ways, "join-ways")
+    ways = written(_few(ways, 3 * most), "join-ways")
     small = (ways.agg(F.sum(F.size("ways"))).first()[0] or 0) <= BROADCAST
     to = lambda rows: F.broadcast(rows) if small else rows
     texts = docs.select("id", "text").join(to(ways.where(~bare).drop("tie")), "id").select("text", "ways")
@@ -279,7 +288,7 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, hub, words:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
 
     sent = texts.mapInArrow(send, "hub long, part long, key long, set binary").repartition("hub", "part")
-    return sent.sortWithinPartitions("hub", "part", F.col("key") != F.col("hub")).mapInArrow(compare, "a long, b long")
+    return sent.sortWithinPartitions("hub", "part", F.col("key") != F.col("hub")).mapInArrow(compare, "a long, b long").repartition(max(-(-most // ROWS), 1))
 
 
 def _split(rest: DataFrame, percent: int) -> DataFrame:
@@ -351,27 +360,28 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     docs = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
     summary = written(_summary(docs, words), "join-summary")
     members = summary.where("piece is null").select("key", "id", "tie", "n")
-    prefixes = written(_prefixes(docs, _cells(summary), words, percent), "join-prefixes")
+    prefixes = written(_few(_prefixes(docs, _cells(summary), words, percent), DENSE * members.count()), "join-prefixes")
+    n_sets, size = prefixes.agg(F.count("*"), F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("long")).first()
     sizes = prefixes.select("key", "n", "classes")
     long = prefixes.where("fine is not null").select("key", "fine")
     rows = _spread(prefixes)
     # the pivot of an n-gram is its class of the smallest key (a hash); n-grams of one class only meet nobody
     pivot = rows.groupBy("h").agg(F.min("key").alias("other"), F.min_by("at", "key").alias("other_at"), F.count("*").alias("n")).where("n > 1").select("h", "other", "other_at")
-    shared = written(rows.join(pivot, "h"), "join-shared")
+    shared = written(_few(rows.join(pivot, "h"), size), "join-shared")
     pairs = shared.where("key <> other").where(_passes("at", "other_at", percent))
-    picks = written(prefixes.join(shared.select("key").distinct(), "key").select("key", "n", "least"), "join-picks")
+    picks = written(_few(prefixes.join(shared.select("key").distinct(), "key").select("key", "n", "least"), n_sets), "join-picks")
     tested = rest = None
-    last, fresh = False, 0
+    last, fresh, most = False, 0, size
     hub = F.col("a")
     labels = docs.sparkSession.createDataFrame([], "key long, label long")
     for k in itertools.count():
         found = _candidates(pairs, sizes, long, percent)
         if tested is not None:
             found = found.join(tested, ["a", "b"], "left_anti")
-        found = written(found, "join-pairs")
+        found = written(_few(found, most), "join-pairs")
         fresh = step = 0
-        while not found.isEmpty():
-            some = written(_firsts(found, labels), "join-firsts") if last and step < FIRSTS else found
+        while n := found.count():
+            some = written(_few(_firsts(found, labels), n), "join-firsts") if last and step < FIRSTS else found
             new = written(_verified(docs, members, some, hub, words, percent), "join-links")
             tested = some if tested is None else tested.union(some)
             linked_now = new.count()
@@ -380,13 +390,14 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             fresh += linked_now
             if some is found:
                 break
-            found = written(_apart(found.join(some, ["a", "b"], "left_anti"), labels).select("a", "b"), "join-pairs")
+            found = written(_few(_apart(found.join(some, ["a", "b"], "left_anti"), labels).select("a", "b"), n), "join-pairs")
             step += 1
         if last:
             break
         named = lambda rows: rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))  # noqa: E731, B023
         if k + 1 < ROUNDS:
-            # least hashes whose classes are still of different components
+            # least hashes whose classes are still of different components: a pair for each class at most
+            most = n_sets
             by = F.xxhash64(F.lit(k), "key")
             at = named(picks.select("key", "n", F.xxhash64(F.col("least")[k], F.col("least")[(k + 1) % (ROUNDS - 1)]).alias("least")))
             split = at.groupBy("least").agg(F.min("label").alias("x"), F.max("label").alias("y"), *(F.min_by(c, by).alias(o) for c, o in (("key", "other"), ("n", "other_n"), ("label", "other_label")))).where("x <> y")
@@ -396,13 +407,14 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
         else:
             hub = F.col("a")
             at = named(shared.select("h", "key", "at") if rest is None else rest.drop("label"))
-            rest = written(_split(at, percent), "join-rest")
+            rest = written(_few(_split(at, percent), size), "join-rest")
             left, size = _left(rest)
             # drawn pivots go on while they find links of a hundredth of the rows
             last = left <= PAIRS * size or k + 1 >= ROUNDS + DRAWN or (k >= ROUNDS and 100 * fresh < size)
             # the classes of a set are long: they are joined to the rows that are compared, and not kept with them
             whole = rest.join(sizes, "key")
             pairs = _all(whole, percent) if last else _drawn(whole, sizes, k, percent)
+            most = left if last else PIVOTS * size
     names = members.where("n > 0").select("key", "id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = names.groupBy("label").agg(F.min("id").alias("component_id"))
     # one row per class, so that copies do not meet in one task: their rows are split by the join

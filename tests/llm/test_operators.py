@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparklab.llm import bpe, components, decontaminate, fingerprints, language, ngram_join, quality_rules, suffix_dedup, token_counts, token_store, toxicity
-from sparklab.llm.common import utf8
+from sparklab.llm.common import utf8, written
 from tests.conftest import SF001
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -453,3 +453,28 @@ def test_pipeline_stages(spark):
     whole = {r["doc_id"]: r["text"] for r in docs.collect()}
     same = [r for k, r in rows.items() if r["n_chars"] == len(whole[k])][:20]
     assert same and all(np.frombuffer(r["ids"], "<u4").tolist() == lib.encode(whole[r["doc_id"]], add_special_tokens=False).ids for r in same)
+
+
+def test_few_rows_of_a_join_are_few_files(spark, monkeypatch):
+    """What the join and its components write of few rows is one file each, however many shuffle partitions there are."""
+    files = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    monkeypatch.setattr(components, "written", counted)
+    rows = [(k, " ".join(f"w{k % 20}x{j}" for j in range(30)) + f" end{k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("23", "false")):
+            spark.conf.set(k, v)
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked(docs, percent=80).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == {k: k % 20 for k in range(60)}
+    assert files["join-links"] == 1 and all(n == 1 for name, n in files.items() if name != "join-summary"), files
