@@ -13,13 +13,15 @@ from pyspark.ml import clustering as MCL
 from pyspark.ml import feature as MF
 from pyspark.ml import recommendation as MREC
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparklab.operators import blocks
 
 #: Users and items of a block of factors, about.
 USER_BLOCK, ITEM_BLOCK = 16_384, 262_144
+#: Ratings of the users or of the items that a task of the fit holds, about; Spark's number of such blocks.
+RATING_BLOCK, RATING_BLOCKS = 4_000_000, 10
 
 
 def default_k(n_rows: int) -> int:
@@ -165,21 +167,24 @@ def pca_reconstruction_error(model, df: DataFrame, key: str) -> DataFrame:
 
 def als_fit(ratings: DataFrame, user: str, item: str, rating: str, implicit: bool = True, alpha: float = 40.0,
             rank: int = 10, reg: float = 0.1, max_iter: int = 10, seed: int = 42):
+    """A task holds the ratings of a block of users (or items) and the factors they meet, so there are more blocks for more
+    ratings.  Beyond one block's worth every iteration is checkpointed, which lets its shuffle files go.  ``ratings`` are
+    read twice."""
+    n = ratings.count()
+    parts = max(RATING_BLOCKS, -(-n // RATING_BLOCK))
     als = MREC.ALS(userCol=user, itemCol=item, ratingCol=rating, implicitPrefs=implicit, alpha=alpha, rank=rank,
-                   regParam=reg, maxIter=max_iter, seed=seed, coldStartStrategy="nan")
+                   regParam=reg, maxIter=max_iter, seed=seed, coldStartStrategy="nan", numUserBlocks=parts,
+                   numItemBlocks=parts, checkpointInterval=10 if n <= RATING_BLOCK else 1)
     return als.fit(ratings)
 
 
 def als_recommend(model, users: DataFrame, user: str, k: int = 5) -> DataFrame:
     """The ``k`` items of the largest predicted rating per user the model knows (ties: the smaller item).  Every user is
-    compared with every item, in blocks of factors by matrix products."""
-    item = model.getItemCol()
-    u = model.userFactors.join(users.select(F.col(user).alias("id")), "id", "left_semi").select(F.col("id").alias(user), F.col("features").alias("_u"))
-    v = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_v"))
-    met = blocks.matches(u, v, "_u", "_v", k, "product", USER_BLOCK, ITEM_BLOCK)
-    w = Window.partitionBy(user).orderBy(F.desc("rating"), item)
-    met = met.select(user, item, F.col("_score").cast("float").alias("rating"))
-    return met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(user, "rank", item, "rating")
+    compared with every item that can be among them, in blocks of factors by matrix products."""
+    known = model.userFactors.join(users.select(F.col(user).alias("id")), "id", "left_semi")
+    best = blocks.top_products(known, model.itemFactors, k, USER_BLOCK, ITEM_BLOCK)
+    return best.select(F.col("id").cast("int").alias(user), "rank", F.col("other").cast("int").alias(model.getItemCol()),
+                       F.col("score").alias("rating"))
 
 
 def als_predict_cold_start(model, pairs: DataFrame, ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:

@@ -426,10 +426,17 @@ def _ratings(t):
         F.sum("l_quantity").alias("rating"))
 
 
+def _kept_ratings(t, spark):
+    """Written once: fit (twice), means and pairs each read them."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}"
+    _ratings(t).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("als_recommend")
 def q_als_recommend(spark, sf):
     t = Tables(spark, sf)
-    r = _ratings(t)
+    r = _kept_ratings(t, spark)
     m = us.als_fit(r, "user_id", "item_id", "rating", implicit=True, alpha=40.0)
     users = t.customer.select(F.col("c_custkey").cast("int").alias("user_id"))
     return us.als_recommend(m, users, "user_id", 5)
@@ -440,9 +447,7 @@ def q_als_cold_start(spark, sf):
     """Pairs with customers and parts never seen in training get the global mean
     plus the known side's bias."""
     t = Tables(spark, sf)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}"
-    _ratings(t).write.parquet(path)  # fit, means and pairs each read them
-    r = spark.read.parquet(path)
+    r = _kept_ratings(t, spark)
     train = r.where(F.col("user_id") % 10 != 0)
     m = us.als_fit(train, "user_id", "item_id", "rating", implicit=False)
     pairs = r.where(F.col("user_id") % 10 == 0).select("user_id", "item_id")

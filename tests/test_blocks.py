@@ -132,3 +132,39 @@ def test_feature_flags_are_those_of_the_scored_customers():
     import __spark_entry__ as e
     sql = e.oracle_sql()["feature_flags"]
     assert "FROM scores" in sql and all(c in sql for c in ("is_high_value", "is_new_customer", "is_frequent"))
+
+
+def test_best_products_are_carried_from_block_to_block(spark):
+    r = np.random.default_rng(8)
+    x, y = r.normal(size=(50, 4)).astype(np.float32), r.normal(size=(90, 4)).astype(np.float32) * r.lognormal(size=(90, 1)).astype(np.float32)
+    x[0], y[60:] = 0, y[:30]  # a row that ties with all, rows that come twice
+    left = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id int, features array<float>")
+    right = spark.createDataFrame([(200 - k, v.tolist()) for k, v in enumerate(y)] + [(1, [math.nan] * 4)], "id int, features array<float>")
+    for size, k in ((1000, 3), (20, 3), (7, 5), (20, 100)):
+        got = {}
+        for z in blocks.top_products(left, right, k, 16, size).collect():
+            got.setdefault(z["id"], {})[z["rank"]] = (z["other"], z["score"])
+        assert set(got) == set(range(50))
+        for n, best in got.items():
+            want = sorted(((-float(s), 200 - m) for m, s in enumerate((x[n : n + 1] @ y.T)[0])))[:k]
+            assert sorted(best) == list(range(1, len(want) + 1))
+            assert [best[m + 1][0] for m in range(len(want))] == [m for _, m in want] and np.allclose([best[m + 1][1] for m in range(len(want))], [-s for s, _ in want], atol=1e-5)
+    assert blocks.top_products(left, right.where("id < 0"), 3, 16, 7).count() == 0 and blocks.top_products(left.where("id < 0"), right, 3, 16, 7).count() == 0
+
+
+def test_rows_that_tie_with_all_hold_k():
+    y = np.ones((9000, 3), np.float32)
+    held, scores = np.zeros((300, 2), np.int64), np.full((300, 2), -np.inf, np.float32)
+    blocks.top(np.zeros((300, 3), np.float32), y, np.arange(9000)[::-1], np.full(9000, 3**0.5), held, scores)
+    assert (held == [0, 1]).all() and (scores == 0).all()
+
+
+def test_recommendations_pack_no_block_into_a_row_and_fit_in_more_blocks(spark, monkeypatch):
+    ratings = spark.createDataFrame([(u, (u * k) % 31, float(k)) for u in range(30) for k in range(1, 9)], "user_id int, item_id int, rating double").distinct()
+    few = unsup.als_fit(ratings, "user_id", "item_id", "rating", max_iter=1)
+    assert few.userFactors._jdf.rdd().getNumPartitions() == 10
+    monkeypatch.setattr(unsup, "RATING_BLOCK", 10)
+    m = unsup.als_fit(ratings, "user_id", "item_id", "rating", max_iter=2)
+    assert m.userFactors._jdf.rdd().getNumPartitions() == m.itemFactors._jdf.rdd().getNumPartitions() == 24
+    plan = unsup.als_recommend(m, ratings.select("user_id").distinct(), "user_id", 4)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" not in plan and "collect_list" not in plan and "Window" not in plan
